@@ -1,0 +1,21 @@
+"""Small shared helpers for operator plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Broadcast only below this many rows, after counting them.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows.
+
+    Meant for model outputs (rules, centres, per-class tables) that are
+    already materialised, so the count is cheap.  Beyond the bound the frame
+    is returned unchanged and the join stays a shuffle join (AQE may still
+    pick broadcast from the measured shuffle size, and splits a hot key).
+    """
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df

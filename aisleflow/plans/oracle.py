@@ -61,3 +61,148 @@ SELECT wl_customer_id,
        CASE WHEN clicks_in_0 > (SELECT avg(clicks_in_0) FROM cc) THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
        {_CLICK_FEATS}
   FROM cc"""
+
+# --- readers ----------------------------------------------------------------
+ORACLE_SQL["delimited_roundtrip"] = ORACLE_SQL["items_dim"]
+ORACLE_SQL["json_roundtrip"] = f"SELECT wl_customer_id, wl_item_id FROM {CLICKS}"
+
+# --- reviews ----------------------------------------------------------------
+REVIEWS = """(SELECT d.doc_id AS pr_review_id,
+        CAST(CASE WHEN l.quality = 0 AND l.toxic = 1 THEN 1
+                  WHEN l.quality = 0 THEN 2
+                  WHEN l.toxic = 1 THEN 3
+                  ELSE 4 + d.doc_id % 2 END AS INTEGER) AS pr_rating,
+        d.text AS pr_content
+   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+
+REVIEW_LABELS = f"""(SELECT pr_review_id, pr_rating,
+        CASE pr_rating WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 1.0
+                       WHEN 4 THEN 2.0 WHEN 5 THEN 2.0 END::DOUBLE AS label,
+        CASE pr_rating WHEN 1 THEN 'NEG' WHEN 2 THEN 'NEG' WHEN 3 THEN 'NEU'
+                       WHEN 4 THEN 'POS' WHEN 5 THEN 'POS' END AS sentiment,
+        pr_content AS sentence
+   FROM {REVIEWS}
+  WHERE ((pr_review_id % 5) + 5) % 5 IN (1, 2, 3))"""
+
+ORACLE_SQL["review_labels"] = f"SELECT * FROM {REVIEW_LABELS} WHERE label IS NOT NULL"
+HASH_BUCKET = "(CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 4) AS INTEGER) % 10)"
+ORACLE_SQL["hash_split"] = f"""SELECT pr_review_id, {HASH_BUCKET.format(k='pr_review_id')} AS bucket,
+       CASE WHEN {HASH_BUCKET.format(k='pr_review_id')} < 6 THEN 'train' ELSE 'test' END AS split
+  FROM {REVIEWS}"""
+ORACLE_SQL["sample_head"] = f"""SELECT pr_review_id, label, sentence FROM {REVIEW_LABELS}
+ WHERE label IS NOT NULL ORDER BY pr_review_id LIMIT 5"""
+ORACLE_SQL["label_index"] = f"""SELECT sentiment AS label,
+       CAST(row_number() OVER (ORDER BY count(*) DESC, sentiment) - 1 AS DOUBLE) AS label_index,
+       count(*) AS n
+  FROM {REVIEW_LABELS} WHERE label IS NOT NULL AND sentiment IS NOT NULL GROUP BY sentiment"""
+ORACLE_SQL["categorical_features"] = f"""WITH cl AS (SELECT * FROM {CATEGORY_CLICKS}),
+long AS (UNPIVOT (SELECT {_CLICK_FEATS} FROM cl) ON {_CLICK_FEATS} INTO NAME feature VALUE value)
+SELECT feature, count(DISTINCT value) AS n_distinct, count(DISTINCT value) <= 20 AS is_categorical
+  FROM long GROUP BY feature"""
+
+# --- text -------------------------------------------------------------------
+WS = "'[ \\t\\n\\x0B\\f\\r]'"
+TOKENS = f"""(SELECT pr_review_id, pos, token FROM (
+    SELECT pr_review_id,
+           unnest(generate_series(0, len(t) - 1)) AS pos,
+           unnest(t) AS token
+      FROM (SELECT pr_review_id, regexp_split_to_array(lower(pr_content), {WS}) AS t
+              FROM {REVIEWS}))
+  WHERE token <> '')"""
+
+
+def _stop_list() -> str:
+    from aisleflow.functions.text import STOP_WORDS
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
+
+
+TOKENS_NS = f"(SELECT * FROM {TOKENS} WHERE token NOT IN ({_stop_list()}))"
+ORACLE_SQL["tokens"] = f"SELECT * FROM {TOKENS}"
+ORACLE_SQL["tokens_no_stopwords"] = f"SELECT * FROM {TOKENS_NS}"
+VOCAB = f"""(SELECT term, CAST(row_number() OVER (ORDER BY freq DESC, term) - 1 AS INTEGER) AS term_index,
+        freq, doc_freq
+   FROM (SELECT term, sum(tf) AS freq, count(*) AS doc_freq
+           FROM (SELECT pr_review_id, token AS term, count(*) AS tf
+                   FROM {TOKENS_NS} GROUP BY pr_review_id, token)
+          GROUP BY term)
+  ORDER BY freq DESC, term LIMIT 262144)"""
+ORACLE_SQL["term_vocabulary"] = f"SELECT term, term_index, CAST(freq AS BIGINT) AS freq, doc_freq FROM {VOCAB}"
+ORACLE_SQL["vocab_size"] = f"SELECT count(*) AS vocab_size FROM {VOCAB}"
+TF = f"(SELECT pr_review_id, token AS term, count(*) AS tf FROM {TOKENS} GROUP BY pr_review_id, token)"
+IDF = f"""(SELECT term, count(*) AS doc_freq,
+        ln(((SELECT count(*) FROM {REVIEWS}) + 1) / (count(*) + 1)) AS idf
+   FROM {TF} GROUP BY term)"""
+ORACLE_SQL["term_idf"] = f"SELECT term, doc_freq, round(idf, 9) AS idf FROM {IDF}"
+ORACLE_SQL["doc_tfidf"] = f"""SELECT t.pr_review_id, t.term, t.tf, round(t.tf * i.idf, 9) AS tfidf
+  FROM {TF} t JOIN {IDF} i ON t.term = i.term"""
+
+# --- baskets ------------------------------------------------------------------
+SALES_ITEMS = f"(SELECT ss.*, i.* FROM {STORE_SALES} ss JOIN {ITEMS} i ON ss.ss_item_id = i.i_item_id)"
+ORACLE_SQL["baskets"] = f"""SELECT ss_transaction_id, list_sort(list(DISTINCT ss_item_id)) AS items
+  FROM {SALES_ITEMS} GROUP BY ss_transaction_id"""
+ORACLE_SQL["brand_baskets"] = f"""SELECT ss_transaction_id, list_sort(list(DISTINCT i_brand)) AS items
+  FROM {SALES_ITEMS} GROUP BY ss_transaction_id"""
+ORACLE_SQL["customers_per_category"] = f"""SELECT DISTINCT i.i_category_id, c.wl_customer_id
+  FROM {CLICKS} c JOIN {ITEMS} i ON c.wl_item_id = i.i_item_id
+ WHERE c.wl_customer_id IS NOT NULL AND i.i_category_id IS NOT NULL"""
+
+
+def _itemsets(min_support: float) -> str:
+    """Frequent itemsets of sizes 1-3 over brand baskets (self-joins)."""
+    return f"""WITH b AS (SELECT DISTINCT ss_transaction_id AS t, i_brand AS item FROM {SALES_ITEMS}),
+mc AS (SELECT ceil({min_support}::DOUBLE * count(DISTINCT t)) AS m FROM b),
+s1 AS (SELECT item, count(*) AS freq FROM b GROUP BY item HAVING count(*) >= (SELECT m FROM mc)),
+bf AS (SELECT * FROM b WHERE item IN (SELECT item FROM s1)),
+s2 AS (SELECT x.item AS i1, y.item AS i2, count(*) AS freq
+         FROM bf x JOIN bf y ON x.t = y.t AND x.item < y.item
+        GROUP BY 1, 2 HAVING count(*) >= (SELECT m FROM mc)),
+s3 AS (SELECT x.item AS i1, y.item AS i2, z.item AS i3, count(*) AS freq
+         FROM bf x JOIN bf y ON x.t = y.t AND x.item < y.item
+                   JOIN bf z ON x.t = z.t AND y.item < z.item
+        WHERE (x.item, y.item) IN (SELECT (i1, i2) FROM s2)
+        GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT m FROM mc)),
+sets AS (SELECT [item] AS items, freq FROM s1
+         UNION ALL SELECT [i1, i2], freq FROM s2
+         UNION ALL SELECT [i1, i2, i3], freq FROM s3)"""
+
+
+ORACLE_SQL["frequent_itemsets"] = _itemsets(0.01) + "\nSELECT items, len(items) AS size, freq FROM sets"
+ORACLE_SQL["frequent_itemsets_rdd_variant"] = _itemsets(0.004) + "\nSELECT items, len(items) AS size, freq FROM sets"
+
+
+def _rules(min_support: float, min_conf: float) -> str:
+    return _itemsets(min_support) + f""",
+n AS (SELECT count(DISTINCT t) AS n FROM b),
+cand AS (SELECT s.items, s.freq, u.c AS consequent,
+                list_filter(s.items, lambda x: x <> u.c) AS antecedent
+           FROM sets s, (SELECT unnest(items) AS c, items AS k FROM sets WHERE len(items) > 1) u
+          WHERE u.k = s.items),
+rules AS (SELECT c.antecedent, c.consequent,
+                 c.freq::DOUBLE / a.freq AS confidence,
+                 (c.freq::DOUBLE / a.freq) / (one.freq::DOUBLE / (SELECT n FROM n)) AS lift,
+                 c.freq::DOUBLE / (SELECT n FROM n) AS support
+            FROM cand c JOIN sets a ON a.items = c.antecedent
+                        JOIN sets one ON one.items = [c.consequent]
+           WHERE c.freq::DOUBLE / a.freq >= {min_conf})"""
+
+
+ORACLE_SQL["association_rules"] = _rules(0.01, 0.9) + """
+SELECT antecedent, consequent, round(confidence, 9) AS confidence, round(lift, 9) AS lift,
+       round(support, 9) AS support FROM rules"""
+ORACLE_SQL["association_rules_conf10"] = _rules(0.01, 0.1) + """
+SELECT antecedent, consequent, round(confidence, 9) AS confidence, round(lift, 9) AS lift,
+       round(support, 9) AS support FROM rules"""
+ORACLE_SQL["basket_recommendations"] = _rules(0.01, 0.1) + """,
+bl AS (SELECT t, list(item) AS basket FROM b GROUP BY t)
+SELECT bl.t AS ss_transaction_id, list_sort(list(DISTINCT r.consequent)) AS prediction
+  FROM bl JOIN rules r ON list_has_all(bl.basket, r.antecedent)
+ WHERE NOT list_contains(bl.basket, r.consequent)
+ GROUP BY bl.t"""
+
+# --- profiles -----------------------------------------------------------------
+ORACLE_SQL["column_profile"] = """SELECT 'o_totalprice' AS column_name, count(o_totalprice) AS count,
+       round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS stddev,
+       min(o_totalprice)::DOUBLE AS min, max(o_totalprice)::DOUBLE AS max FROM orders
+UNION ALL
+SELECT 'o_custkey', count(o_custkey), round(avg(o_custkey::DOUBLE), 4), round(stddev_samp(o_custkey::DOUBLE), 4),
+       min(o_custkey)::DOUBLE, max(o_custkey)::DOUBLE FROM orders"""

@@ -75,3 +75,224 @@ def click_label(spark, sf):
 @query("click_label_by_mean")
 def click_label_by_mean(spark, sf):
     return pivots.click_label_by_mean(_category_clicks(spark, sf))
+
+
+# --- raw-file readers (write a copy to shared scratch, read it back) -------
+
+@query("delimited_roundtrip")
+def delimited_roundtrip(spark, sf):
+    from aisleflow.session import scratch_path
+    from aisleflow.sources import readers
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "items_tbl")
+    adapters.items(spark, sf).write.option("sep", "|").option("header", True).csv(path)
+    schema = T.StructType([
+        T.StructField("i_item_id", T.LongType()),
+        T.StructField("i_category_id", T.IntegerType()),
+        T.StructField("i_category_name", T.StringType()),
+        T.StructField("i_class_id", T.IntegerType()),
+        T.StructField("i_brand", T.StringType()),
+    ])
+    return readers.read_delimited(spark, path, schema, validate_header=True)
+
+
+@query("json_roundtrip")
+def json_roundtrip(spark, sf):
+    from aisleflow.session import scratch_path
+    from aisleflow.sources import readers
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "clicks_json")
+    adapters.clicks(spark, sf).write.json(path)
+    two = T.StructType([T.StructField("wl_customer_id", T.LongType()),
+                        T.StructField("wl_item_id", T.LongType())])
+    return readers.read_json_lines(spark, path, two)
+
+
+# --- reviews, labels, splits -----------------------------------------------
+
+def _reviews(spark, sf):
+    return adapters.product_reviews(spark, sf)
+
+
+def _review_labels(spark, sf, bucketed=True):
+    from aisleflow.functions import labels as L
+    r = _reviews(spark, sf)
+    if bucketed:
+        r = r.filter(L.bucket_filter(F.col("pr_review_id")))
+    lab = L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES)
+    return (r.select("pr_review_id", "pr_rating", lab.alias("label"),
+                     L.rating_label(F.col("pr_rating"), L.RATING_TO_SENTIMENT).alias("sentiment"),
+                     F.col("pr_content").alias("sentence"))
+            .filter(F.col("label").isNotNull()))
+
+
+@query("review_labels")
+def review_labels(spark, sf):
+    return _review_labels(spark, sf)
+
+
+@query("hash_split")
+def hash_split(spark, sf):
+    from aisleflow.functions.split import with_split
+    return with_split(_reviews(spark, sf).select("pr_review_id"), "pr_review_id")
+
+
+@query("sample_head")
+def sample_head(spark, sf):
+    return (_review_labels(spark, sf).select("pr_review_id", "label", "sentence")
+            .orderBy("pr_review_id").limit(5))
+
+
+@query("random_split")
+def random_split(spark, sf):
+    from aisleflow.functions.split import random_split as rs
+    tr, te = rs(_reviews(spark, sf).select("pr_review_id"))
+    return (tr.withColumn("split", F.lit("train"))
+            .unionByName(te.withColumn("split", F.lit("test"))))
+
+
+@query("label_index")
+def label_index(spark, sf):
+    from aisleflow.operators.classify import label_index as li
+    return li(_review_labels(spark, sf), "sentiment")
+
+
+@query("categorical_features")
+def categorical_features(spark, sf):
+    from aisleflow.operators.classify import categorical_features as cf
+    cl = pivots.click_label(_category_clicks(spark, sf))
+    return cf(cl, [f"clicks_in_{n}" for n in range(1, 20)], max_categories=20)
+
+
+# --- text long form ---------------------------------------------------------
+
+def _review_tokens(spark, sf):
+    from aisleflow.operators import text
+    return text.token_rows(_reviews(spark, sf), key="pr_review_id", text="pr_content")
+
+
+@query("tokens")
+def tokens_q(spark, sf):
+    return _review_tokens(spark, sf)
+
+
+@query("tokens_no_stopwords")
+def tokens_no_stopwords(spark, sf):
+    from aisleflow.operators import text
+    return text.remove_stop_words(_review_tokens(spark, sf))
+
+
+def _vocabulary(spark, sf):
+    from aisleflow.operators import text
+    tok = text.remove_stop_words(_review_tokens(spark, sf))
+    return text.term_vocabulary(text.term_frequencies(tok, "pr_review_id"))
+
+
+@query("term_vocabulary")
+def term_vocabulary(spark, sf):
+    return _vocabulary(spark, sf)
+
+
+@query("vocab_size")
+def vocab_size(spark, sf):
+    return _vocabulary(spark, sf).agg(F.count(F.lit(1)).alias("vocab_size"))
+
+
+def _idf(spark, sf):
+    from aisleflow.operators import text
+    tf = text.term_frequencies(_review_tokens(spark, sf), "pr_review_id")
+    return tf, text.term_idf(tf, _reviews(spark, sf), "pr_review_id")
+
+
+@query("term_idf")
+def term_idf(spark, sf):
+    _, idf = _idf(spark, sf)
+    return idf.select("term", "doc_freq", F.round("idf", 9).alias("idf"))
+
+
+@query("doc_tfidf")
+def doc_tfidf(spark, sf):
+    from aisleflow.operators import text
+    tf, idf = _idf(spark, sf)
+    return text.doc_tfidf(tf, idf, "pr_review_id").select(
+        "pr_review_id", "term", "tf", F.round("tfidf", 9).alias("tfidf"))
+
+
+# --- baskets and frequent itemsets ------------------------------------------
+
+@query("baskets")
+def baskets_q(spark, sf):
+    from aisleflow.operators import baskets as B
+    return B.baskets(adapters.store_sales(spark, sf), adapters.items(spark, sf))
+
+
+def _brand_baskets(spark, sf):
+    from aisleflow.operators import baskets as B
+    return B.baskets(adapters.store_sales(spark, sf), adapters.items(spark, sf),
+                     item_col="i_brand")
+
+
+@query("brand_baskets")
+def brand_baskets(spark, sf):
+    return _brand_baskets(spark, sf)
+
+
+@query("customers_per_category")
+def customers_per_category(spark, sf):
+    c = adapters.clicks(spark, sf).filter(F.col("wl_customer_id").isNotNull())
+    it = adapters.items(spark, sf).filter(F.col("i_category_id").isNotNull())
+    j = c.join(it, c["wl_item_id"] == it["i_item_id"], "inner")
+    return j.select("i_category_id", "wl_customer_id").distinct()
+
+
+def _fp_model(spark, sf, min_support, min_confidence):
+    from aisleflow.operators import baskets as B
+    return B.fit_fp_growth(_brand_baskets(spark, sf), min_support=min_support,
+                           min_confidence=min_confidence)
+
+
+@query("frequent_itemsets")
+def frequent_itemsets(spark, sf):
+    from aisleflow.operators import baskets as B
+    return B.frequent_itemsets(_fp_model(spark, sf, B.MIN_SUPPORT, B.MIN_CONFIDENCE))
+
+
+@query("frequent_itemsets_rdd_variant")
+def frequent_itemsets_rdd_variant(spark, sf):
+    from aisleflow.operators import baskets as B
+    return B.frequent_itemsets(_fp_model(spark, sf, B.RDD_VARIANT_MIN_SUPPORT,
+                                         B.MIN_CONFIDENCE))
+
+
+@query("association_rules")
+def association_rules(spark, sf):
+    from aisleflow.operators import baskets as B
+    return B.association_rules(_fp_model(spark, sf, B.MIN_SUPPORT, B.MIN_CONFIDENCE))
+
+
+# Confidence 0.1 keeps rules at every test scale (0.9 keeps none there).
+LOW_CONFIDENCE = 0.1
+
+
+@query("association_rules_conf10")
+def association_rules_conf10(spark, sf):
+    from aisleflow.operators import baskets as B
+    return B.association_rules(_fp_model(spark, sf, B.MIN_SUPPORT, LOW_CONFIDENCE))
+
+
+@query("basket_recommendations")
+def basket_recommendations(spark, sf):
+    from aisleflow.operators import baskets as B
+    rules = B.association_rules(_fp_model(spark, sf, B.MIN_SUPPORT, LOW_CONFIDENCE))
+    longf = B.basket_items(adapters.store_sales(spark, sf), adapters.items(spark, sf),
+                           item_col="i_brand")
+    return B.recommend(longf, rules)
+
+
+# --- profiles ---------------------------------------------------------------
+
+@query("column_profile")
+def column_profile(spark, sf):
+    from aisleflow.operators.profile import column_profile as cp
+    from aisleflow.sources.tables import table
+    return cp(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"])
