@@ -206,3 +206,172 @@ ORACLE_SQL["column_profile"] = """SELECT 'o_totalprice' AS column_name, count(o_
 UNION ALL
 SELECT 'o_custkey', count(o_custkey), round(avg(o_custkey::DOUBLE), 4), round(stddev_samp(o_custkey::DOUBLE), 4),
        min(o_custkey)::DOUBLE, max(o_custkey)::DOUBLE FROM orders"""
+
+# --- naive Bayes twin ---------------------------------------------------------
+NB_CTE = f"""WITH r AS (SELECT pr_review_id,
+        CASE pr_rating WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 1.0
+                       WHEN 4 THEN 2.0 WHEN 5 THEN 2.0 END::DOUBLE AS label,
+        {HASH_BUCKET.format(k='pr_review_id')} AS bucket
+   FROM {REVIEWS}),
+train AS (SELECT pr_review_id, label FROM r WHERE label IS NOT NULL AND bucket < 6),
+test AS (SELECT pr_review_id, label FROM r WHERE label IS NOT NULL AND bucket >= 6),
+tf AS {TF},
+tft AS (SELECT * FROM tf WHERE pr_review_id IN (SELECT pr_review_id FROM train)),
+idf AS (SELECT term, ln(((SELECT count(*) FROM train) + 1) / (count(*) + 1)) AS idf
+          FROM tft GROUP BY term),
+xt AS (SELECT t.pr_review_id, t.term, t.tf * i.idf AS x FROM tft t JOIN idf i ON t.term = i.term),
+k AS (SELECT (SELECT count(*) FROM train) AS n, (SELECT count(DISTINCT label) FROM train) AS c,
+             (SELECT count(*) FROM idf) AS v),
+nc AS (SELECT label, count(*) AS n_docs FROM train GROUP BY label),
+scj AS (SELECT tr.label, xt.term, sum(xt.x) AS s_cj
+          FROM xt JOIN train tr ON xt.pr_review_id = tr.pr_review_id GROUP BY 1, 2),
+sc AS (SELECT label, sum(s_cj) AS s_c FROM scj GROUP BY label),
+priors AS (SELECT nc.label, nc.n_docs,
+                  ln(nc.n_docs + 1.0) - ln(k.n + 1.0 * k.c) AS pi,
+                  ln(1.0) - ln(coalesce(sc.s_c, 0.0) + 1.0 * k.v) AS theta_unseen,
+                  coalesce(sc.s_c, 0.0) AS s_c
+             FROM nc LEFT JOIN sc ON nc.label = sc.label, k),
+lik AS (SELECT scj.label, scj.term, ln(scj.s_cj + 1.0) - ln(p.s_c + 1.0 * k.v) AS theta,
+               ln(scj.s_cj + 1.0) - ln(p.s_c + 1.0 * k.v) - p.theta_unseen AS delta
+          FROM scj JOIN priors p ON scj.label = p.label, k),
+xtest AS (SELECT t.pr_review_id, t.term, t.tf * i.idf AS x
+            FROM tf t JOIN idf i ON t.term = i.term
+           WHERE t.pr_review_id IN (SELECT pr_review_id FROM test)),
+xs AS (SELECT pr_review_id, sum(x) AS xsum FROM xtest GROUP BY 1),
+contrib AS (SELECT x.pr_review_id, l.label, sum(x.x * l.delta) AS s
+              FROM xtest x JOIN lik l ON x.term = l.term GROUP BY 1, 2),
+scores AS (SELECT t.pr_review_id, t.label, p.label AS cls,
+                  p.pi + p.theta_unseen * coalesce(xs.xsum, 0.0) + coalesce(c.s, 0.0) AS score
+             FROM test t CROSS JOIN priors p
+             LEFT JOIN xs ON xs.pr_review_id = t.pr_review_id
+             LEFT JOIN contrib c ON c.pr_review_id = t.pr_review_id AND c.label = p.label),
+pred AS (SELECT pr_review_id, label, min(cls) FILTER (WHERE score = best) AS prediction
+           FROM (SELECT *, max(score) OVER (PARTITION BY pr_review_id) AS best FROM scores)
+          GROUP BY pr_review_id, label)"""
+
+ORACLE_SQL["nb_priors"] = NB_CTE + """
+SELECT label, n_docs, round(pi, 9) AS pi, round(theta_unseen, 9) AS theta_unseen FROM priors"""
+ORACLE_SQL["nb_likelihoods"] = NB_CTE + "\nSELECT label, term, round(theta, 6) AS theta FROM lik"
+ORACLE_SQL["nb_predictions"] = NB_CTE + "\nSELECT pr_review_id, label, prediction FROM pred"
+ORACLE_SQL["nb_scores"] = NB_CTE + "\nSELECT pr_review_id, cls AS class, round(score, 6) AS score FROM scores"
+ORACLE_SQL["prediction_histogram"] = NB_CTE + "\nSELECT prediction AS value, count(*) AS n FROM pred GROUP BY 1"
+ORACLE_SQL["confusion_matrix"] = NB_CTE + "\nSELECT label, prediction, count(*) AS n FROM pred GROUP BY 1, 2"
+ORACLE_SQL["accuracy"] = NB_CTE + """
+SELECT count(*) AS n, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END::DOUBLE), 9) AS accuracy FROM pred"""
+ORACLE_SQL["test_error"] = NB_CTE + """
+SELECT round(1.0 - avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END::DOUBLE), 9) AS test_error FROM pred"""
+ORACLE_SQL["rmse"] = NB_CTE + """
+SELECT round(sqrt(avg((prediction - label) * (prediction - label))), 9) AS rmse FROM pred"""
+PER_LABEL = """,
+cm AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY 1, 2),
+tot AS (SELECT sum(n) AS total FROM cm),
+bl AS (SELECT label, sum(n) AS n, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM cm GROUP BY label),
+bp AS (SELECT prediction AS label, sum(n) AS n_pred FROM cm GROUP BY prediction),
+m AS (SELECT bl.label, bl.n, bl.tp, coalesce(bp.n_pred, 0) AS n_pred FROM bl LEFT JOIN bp ON bl.label = bp.label),
+per AS (SELECT label, CAST(n AS BIGINT) AS n, CAST(tp AS BIGINT) AS tp, CAST(n_pred - tp AS BIGINT) AS fp,
+               CAST(n - tp AS BIGINT) AS fn,
+               CASE WHEN n_pred = 0 THEN 0.0 ELSE tp::DOUBLE / n_pred END AS precision,
+               CASE WHEN n = 0 THEN 0.0 ELSE tp::DOUBLE / n END AS recall,
+               CASE WHEN (SELECT total FROM tot) - n = 0 THEN 0.0
+                    ELSE (n_pred - tp)::DOUBLE / ((SELECT total FROM tot) - n) END AS fpr
+          FROM m),
+per2 AS (SELECT *, recall AS tpr,
+                CASE WHEN precision + recall = 0 THEN 0.0
+                     ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM per)"""
+ORACLE_SQL["per_label_metrics"] = NB_CTE + PER_LABEL + """
+SELECT label, n, tp, fp, fn, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(tpr, 9) AS tpr, round(fpr, 9) AS fpr, round(f1, 9) AS f1 FROM per2"""
+ORACLE_SQL["weighted_metrics"] = NB_CTE + PER_LABEL + """,
+w AS (SELECT *, n::DOUBLE / sum(n) OVER () AS wt FROM per2)
+SELECT round(sum(tp)::DOUBLE / sum(n), 9) AS accuracy,
+       round(sum(wt * precision), 9) AS weighted_precision,
+       round(sum(wt * recall), 9) AS weighted_recall,
+       round(sum(wt * recall), 9) AS weighted_tpr,
+       round(sum(wt * fpr), 9) AS weighted_fpr,
+       round(sum(wt * f1), 9) AS weighted_f1 FROM w"""
+
+
+# --- Lloyd twin and silhouette -------------------------------------------------
+def _lloyd_sql(k: int = 4, steps: int = 5) -> str:
+    feats = [f"id{c}" for c in range(1, 17)]
+    fl = ", ".join(feats)
+    parts = [f"p AS ({ORACLE_SQL['customer_class_pivot']})",
+             f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY cid) - 1 AS INTEGER) AS cluster, "
+             + ", ".join(f"{f}::DOUBLE AS {f}" for f in feats)
+             + f" FROM (SELECT * FROM p ORDER BY cid LIMIT {k}))"]
+
+    def assign(s):
+        dist = " + ".join(f"(p.{f} - c.{f}) * (p.{f} - c.{f})" for f in feats)
+        return (f"a{s} AS (SELECT cid, {fl}, cluster FROM ("
+                f"SELECT p.*, c.cluster, row_number() OVER (PARTITION BY p.cid ORDER BY "
+                f"round({dist}, 9), c.cluster) AS rk FROM p CROSS JOIN c{s} c) WHERE rk = 1)")
+
+    for s in range(steps):
+        parts.append(assign(s))
+        parts.append(
+            f"c{s + 1} AS (SELECT c.cluster, "
+            + ", ".join(f"coalesce(n.{f}, c.{f}) AS {f}" for f in feats)
+            + f" FROM c{s} c LEFT JOIN (SELECT cluster, "
+            + ", ".join(f"avg({f}) AS {f}" for f in feats)
+            + f" FROM a{s} GROUP BY cluster) n ON c.cluster = n.cluster)")
+    parts.append(assign(steps))
+    return "WITH " + ",\n".join(parts)
+
+
+def _silhouette_sql(k: int = 4, steps: int = 5) -> str:
+    feats = [f"id{c}" for c in range(1, 17)]
+    a = f"a{steps}"
+    sq = " + ".join(f"{f}::DOUBLE * {f}::DOUBLE" for f in feats)
+    dot = " + ".join(f"x.{f}::DOUBLE * st.s_{f}" for f in feats)
+    return _lloyd_sql(k, steps) + f""",
+pts AS (SELECT *, {sq} AS sq FROM {a}),
+st AS (SELECT cluster, count(*) AS n, sum(sq) AS q, {", ".join(f"sum({f}::DOUBLE) AS s_{f}" for f in feats)}
+         FROM pts GROUP BY cluster),
+d AS (SELECT x.cid, x.cluster AS own, st.cluster AS other, st.n AS n,
+             (x.sq + (st.q / st.n)) - ((2.0 * ({dot})) / st.n) AS md
+        FROM pts x CROSS JOIN st),
+s AS (SELECT cid,
+             max(CASE WHEN other = own THEN n END) AS own_n,
+             max(CASE WHEN other = own THEN md END) AS own_md,
+             min(CASE WHEN other <> own THEN md END) AS nb
+        FROM d GROUP BY cid),
+v AS (SELECT CASE WHEN own_n <= 1 THEN 0.0
+                  WHEN (own_md * own_n) / (own_n - 1.0) < nb THEN 1.0 - ((own_md * own_n) / (own_n - 1.0)) / nb
+                  WHEN (own_md * own_n) / (own_n - 1.0) > nb THEN nb / ((own_md * own_n) / (own_n - 1.0)) - 1.0
+                  ELSE 0.0 END AS sil FROM s)
+SELECT round(avg(sil), 6) AS silhouette FROM v"""
+
+
+ORACLE_SQL["lloyd_centers"] = _lloyd_sql() + """
+SELECT cluster, feature, round(value, 6) AS value FROM (UNPIVOT c5 ON """ + ", ".join(
+    f"id{c}" for c in range(1, 17)) + " INTO NAME feature VALUE value)"
+ORACLE_SQL["lloyd_assignment"] = _lloyd_sql() + "\nSELECT cid, cluster FROM a5"
+ORACLE_SQL["silhouette_fixed"] = _silhouette_sql()
+
+
+# --- gini split table ------------------------------------------------------------
+def _gini(n, c0, c1):
+    return f"(CASE WHEN {n} = 0 THEN 0.0 ELSE 1.0 - (({c0} / {n}) * ({c0} / {n}) + ({c1} / {n}) * ({c1} / {n})) END)"
+
+
+GINI = f"""WITH cl AS ({ORACLE_SQL['click_label']}),
+long AS (UNPIVOT (SELECT label, {_CLICK_FEATS} FROM cl) ON {_CLICK_FEATS} INTO NAME feature VALUE value),
+per AS (SELECT feature, value, count(*) AS n,
+               sum(CASE WHEN label = 0.0 THEN 1 ELSE 0 END) AS c0,
+               sum(CASE WHEN label = 1.0 THEN 1 ELSE 0 END) AS c1
+          FROM long GROUP BY feature, value),
+cum AS (SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS next_value,
+               sum(n) OVER w AS nl, sum(n) OVER (PARTITION BY feature) AS nt,
+               sum(c0) OVER w AS l0, sum(c1) OVER w AS l1,
+               sum(c0) OVER (PARTITION BY feature) AS t0, sum(c1) OVER (PARTITION BY feature) AS t1
+          FROM per
+        WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT feature, CAST(substr(feature, 11) AS INTEGER) - 1 AS feature_index,
+             (value::DOUBLE + next_value::DOUBLE) / 2 AS threshold,
+             CAST(nl AS BIGINT) AS n_left, CAST(nt - nl AS BIGINT) AS n_right,
+             round({_gini('nt::DOUBLE', 't0::DOUBLE', 't1::DOUBLE')}
+                   - (nl::DOUBLE / nt::DOUBLE) * {_gini('nl::DOUBLE', 'l0::DOUBLE', 'l1::DOUBLE')}
+                   - ((nt - nl)::DOUBLE / nt::DOUBLE) * {_gini('(nt - nl)::DOUBLE', '(t0 - l0)::DOUBLE', '(t1 - l1)::DOUBLE')}, 9) AS gain
+        FROM cum WHERE next_value IS NOT NULL)"""
+ORACLE_SQL["gini_splits"] = GINI + "\nSELECT * FROM g"
+ORACLE_SQL["gini_best"] = GINI + "\nSELECT * FROM g ORDER BY gain DESC, feature_index, threshold LIMIT 1"

@@ -296,3 +296,191 @@ def column_profile(spark, sf):
     from aisleflow.operators.profile import column_profile as cp
     from aisleflow.sources.tables import table
     return cp(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"])
+
+
+# --- naive Bayes twin over TF-IDF (split first, IDF fitted on train) -------
+
+_FITS: dict = {}
+
+
+def _memo(name, spark, sf, build):
+    """Fit once per (session, folder, name): several registered queries
+    read the same fitted model."""
+    k = (id(spark), sf, name)
+    if k not in _FITS:
+        _FITS[k] = build()
+    return _FITS[k]
+
+
+def nb_pipeline(spark, sf):
+    """Labelled reviews -> hash split -> train-only IDF -> NB twin -> test
+    scores.  Returns (model, scored test frame)."""
+    return _memo("nb", spark, sf, lambda: _nb_build(spark, sf))
+
+
+def _nb_build(spark, sf):
+    from pyspark import StorageLevel
+    from aisleflow.functions import labels as L
+    from aisleflow.functions.split import with_split
+    from aisleflow.operators import bayes, text
+    key = "pr_review_id"
+    reviews = _reviews(spark, sf)
+    lab = with_split(reviews.select(
+        key, L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label"))
+        .filter(F.col("label").isNotNull()), key)
+    train = lab.filter(F.col("split") == "train").select(key, "label")
+    test = lab.filter(F.col("split") == "test").select(key, "label")
+    # Token counts are the one expensive input (regex split of whole texts);
+    # persisted once, read by the train and the test side.
+    tf = text.term_frequencies(text.token_rows(reviews, key, "pr_content"), key).join(
+        lab.select(key), key, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    tf_train = tf.join(train.select(key), key, "left_semi")
+    idf = text.term_idf(tf_train, train, key).persist(StorageLevel.MEMORY_AND_DISK)
+    x_train = tf_train.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
+    model = bayes.fit(x_train, train, key=key)
+    tf_test = tf.join(test.select(key), key, "left_semi")
+    x_test = tf_test.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
+    sc = bayes.scores(model, test, x_test, key=key).join(test, key)
+    return model, sc
+
+
+@query("nb_priors")
+def nb_priors(spark, sf):
+    m, _ = nb_pipeline(spark, sf)
+    return m.priors.select("label", "n_docs", F.round("pi", 9).alias("pi"),
+                           F.round("theta_unseen", 9).alias("theta_unseen"))
+
+
+@query("nb_likelihoods")
+def nb_likelihoods(spark, sf):
+    m, _ = nb_pipeline(spark, sf)
+    return m.likelihoods.select("label", "term", F.round("theta", 6).alias("theta"))
+
+
+def _nb_predictions(spark, sf):
+    _, sc = nb_pipeline(spark, sf)
+    return sc.select("pr_review_id", "label", "prediction")
+
+
+@query("nb_predictions")
+def nb_predictions(spark, sf):
+    return _nb_predictions(spark, sf)
+
+
+@query("nb_scores")
+def nb_scores(spark, sf):
+    m, sc = nb_pipeline(spark, sf)
+    cols = [F.struct(F.lit(c).alias("class"), F.col(f"score_{i}").alias("score"))
+            for i, c in enumerate(m.classes)]
+    return (sc.select("pr_review_id", F.explode(F.array(*cols)).alias("s"))
+            .select("pr_review_id", F.col("s.class").alias("class"),
+                    F.round("s.score", 6).alias("score")))
+
+
+@query("prediction_histogram")
+def prediction_histogram(spark, sf):
+    from aisleflow.operators.profile import value_histogram
+    return value_histogram(_nb_predictions(spark, sf), "prediction")
+
+
+# --- evaluation tables over the twin's test predictions ---------------------
+
+@query("confusion_matrix")
+def confusion_matrix(spark, sf):
+    from aisleflow.operators import evaluate as ev
+    return ev.confusion_matrix(_nb_predictions(spark, sf))
+
+
+@query("accuracy")
+def accuracy(spark, sf):
+    from aisleflow.operators import evaluate as ev
+    a = ev.accuracy(_nb_predictions(spark, sf))
+    return a.select("n", F.round("accuracy", 9).alias("accuracy"))
+
+
+@query("test_error")
+def test_error(spark, sf):
+    from aisleflow.operators import evaluate as ev
+    return ev.accuracy(_nb_predictions(spark, sf)).select(
+        F.round("test_error", 9).alias("test_error"))
+
+
+@query("rmse")
+def rmse(spark, sf):
+    from aisleflow.operators import evaluate as ev
+    return ev.rmse(_nb_predictions(spark, sf)).select(F.round("rmse", 9).alias("rmse"))
+
+
+@query("per_label_metrics")
+def per_label_metrics(spark, sf):
+    from aisleflow.operators import evaluate as ev
+    m = ev.per_label_metrics(_nb_predictions(spark, sf))
+    return m.select("label", "n", "tp", "fp", "fn",
+                    *[F.round(c, 9).alias(c) for c in ("precision", "recall", "tpr", "fpr", "f1")])
+
+
+@query("weighted_metrics")
+def weighted_metrics(spark, sf):
+    from aisleflow.operators import evaluate as ev
+    m = ev.weighted_metrics(_nb_predictions(spark, sf))
+    return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
+
+
+# --- Lloyd twin and silhouette on the purchase pivot ------------------------
+
+PIVOT_FEATURES = [f"id{c}" for c in range(1, 17)]
+LLOYD_K = 4
+LLOYD_STEPS = 5
+
+
+def lloyd_run(spark, sf):
+    return _memo("lloyd", spark, sf, lambda: _lloyd_build(spark, sf))
+
+
+def _lloyd_build(spark, sf):
+    from aisleflow.operators import cluster
+    from pyspark import StorageLevel
+    pts = customer_class_pivot(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    init = cluster.initial_centers(pts, PIVOT_FEATURES, LLOYD_K, "cid")
+    centers = cluster.lloyd(pts, PIVOT_FEATURES, init, LLOYD_STEPS)
+    return pts, centers
+
+
+@query("lloyd_centers")
+def lloyd_centers(spark, sf):
+    from aisleflow.operators import cluster
+    _, centers = lloyd_run(spark, sf)
+    return cluster.centers_frame(spark, centers, PIVOT_FEATURES)
+
+
+@query("lloyd_assignment")
+def lloyd_assignment(spark, sf):
+    from aisleflow.operators import cluster
+    pts, centers = lloyd_run(spark, sf)
+    return cluster.assign(pts, PIVOT_FEATURES, centers).select("cid", "cluster")
+
+
+@query("silhouette_fixed")
+def silhouette_fixed(spark, sf):
+    from aisleflow.operators import cluster
+    pts, centers = lloyd_run(spark, sf)
+    a = cluster.assign(pts, PIVOT_FEATURES, centers)
+    return cluster.silhouette(a, PIVOT_FEATURES).select(
+        F.round("silhouette", 6).alias("silhouette"))
+
+
+# --- gini split table on the click-interest data ----------------------------
+
+CLICK_FEATURES = [f"clicks_in_{n}" for n in range(1, 20)]
+
+
+@query("gini_splits")
+def gini_splits(spark, sf):
+    from aisleflow.operators import tree
+    return tree.gini_splits(click_label(spark, sf), CLICK_FEATURES, [0.0, 1.0])
+
+
+@query("gini_best")
+def gini_best(spark, sf):
+    from aisleflow.operators import tree
+    return tree.best_split(gini_splits(spark, sf))
