@@ -484,3 +484,256 @@ def gini_splits(spark, sf):
 def gini_best(spark, sf):
     from aisleflow.operators import tree
     return tree.best_split(gini_splits(spark, sf))
+
+
+# --- pyspark.ml fits (rows-only in the driver; invariants in tests) ---------
+
+def _pivot_vectors(spark, sf):
+    from aisleflow.plans import models as M
+    return M.assemble(customer_class_pivot(spark, sf), PIVOT_FEATURES)
+
+
+def kmeans_model(spark, sf):
+    from aisleflow.plans import models as M
+
+    def build():
+        v = M.persist(_pivot_vectors(spark, sf))
+        return v, M.fit_kmeans(v)
+    return _memo("kmeans", spark, sf, build)
+
+
+@query("kmeans_fit")
+def kmeans_fit(spark, sf):
+    from aisleflow.plans import models as M
+    _, m = kmeans_model(spark, sf)
+    return M.kmeans_centers(spark, m, PIVOT_FEATURES)
+
+
+@query("kmeans_quality")
+def kmeans_quality(spark, sf):
+    from aisleflow.plans import models as M
+    v, m = kmeans_model(spark, sf)
+    return M.kmeans_quality(spark, m, v)
+
+
+@query("kmeans_assignment")
+def kmeans_assignment(spark, sf):
+    v, m = kmeans_model(spark, sf)
+    return m.transform(v).select("cid", "prediction")
+
+
+@query("kmeans_sweep")
+def kmeans_sweep(spark, sf):
+    from aisleflow.plans import models as M
+    return M.kmeans_sweep(spark, _pivot_vectors(spark, sf))
+
+
+def gmm_model(spark, sf):
+    from aisleflow.plans import models as M
+
+    def build():
+        v = M.persist(_pivot_vectors(spark, sf))
+        m = M.fit_gmm(v)
+        return v, m
+    return _memo("gmm", spark, sf, build)
+
+
+@query("gmm_fit")
+def gmm_fit(spark, sf):
+    from aisleflow.plans import models as M
+    return M.gmm_components(spark, gmm_model(spark, sf)[1])
+
+
+@query("gmm_summary")
+def gmm_summary(spark, sf):
+    from aisleflow.plans import models as M
+    return M.gmm_summary(spark, gmm_model(spark, sf)[1])
+
+
+def lda_model(spark, sf):
+    from aisleflow.plans import models as M
+
+    def build():
+        docs = M.persist(_reviews(spark, sf).select("pr_review_id", "pr_content"))
+        return docs, M.lda_pipeline(docs, "pr_content")
+    return _memo("lda", spark, sf, build)
+
+
+@query("lda_topics")
+def lda_topics(spark, sf):
+    from aisleflow.plans import models as M
+    return M.lda_topics(spark, lda_model(spark, sf)[1])
+
+
+@query("lda_doc_topics")
+def lda_doc_topics(spark, sf):
+    from aisleflow.plans import models as M
+    docs, m = lda_model(spark, sf)
+    return M.lda_doc_topics(m, docs, "pr_review_id", "pr_content")
+
+
+@query("lda_quality")
+def lda_quality(spark, sf):
+    from aisleflow.plans import models as M
+    docs, m = lda_model(spark, sf)
+    return M.lda_quality(spark, m, docs, "pr_content")
+
+
+def _review_split(spark, sf, train_buckets=6):
+    from aisleflow.functions import labels as L
+    from aisleflow.functions.split import with_split
+    r = _reviews(spark, sf).select(
+        "pr_review_id", L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label"),
+        "pr_content").filter(F.col("label").isNotNull())
+    return with_split(r, "pr_review_id", train_buckets)
+
+
+def _text_model(spark, sf, name, make_estimator):
+    from aisleflow.plans import models as M
+
+    def build():
+        data = M.persist(_review_split(spark, sf))
+        train = data.filter(F.col("split") == "train")
+        return data, M.fit_text_classifier(train, "pr_content", make_estimator())
+    return _memo(name, spark, sf, build)
+
+
+@query("nb_fit")
+def nb_fit(spark, sf):
+    from aisleflow.plans import models as M
+    data, m = _text_model(spark, sf, "nb_ml", M.naive_bayes_estimator)
+    test = data.filter(F.col("split") == "test")
+    return m.transform(test).select("pr_review_id", "label", "prediction")
+
+
+def logreg_model(spark, sf):
+    from aisleflow.plans import models as M
+    return _text_model(spark, sf, "logreg", M.logistic_estimator)
+
+
+@query("logreg_fit")
+def logreg_fit(spark, sf):
+    from aisleflow.plans import models as M
+    _, m = logreg_model(spark, sf)
+    return M.logistic_coefficients(spark, m.stages[-1])
+
+
+@query("logreg_metrics")
+def logreg_metrics(spark, sf):
+    from aisleflow.plans import models as M
+    _, m = logreg_model(spark, sf)
+    return M.logistic_train_metrics(spark, m.stages[-1])
+
+
+@query("logreg_label_metrics")
+def logreg_label_metrics(spark, sf):
+    from aisleflow.plans import models as M
+    _, m = logreg_model(spark, sf)
+    return M.logistic_label_metrics(spark, m.stages[-1])
+
+
+@query("logreg_history")
+def logreg_history(spark, sf):
+    from aisleflow.plans import models as M
+    _, m = logreg_model(spark, sf)
+    return M.logistic_history(spark, m.stages[-1])
+
+
+@query("logreg_test_predictions")
+def logreg_test_predictions(spark, sf):
+    data, m = logreg_model(spark, sf)
+    return m.transform(data.filter(F.col("split") == "test")).select(
+        "pr_review_id", "label", "prediction")
+
+
+def _click_split(spark, sf, train_buckets):
+    from aisleflow.functions.split import with_split
+    from aisleflow.plans import models as M
+    cl = M.assemble(click_label(spark, sf), CLICK_FEATURES)
+    return with_split(cl, "wl_customer_id", train_buckets)
+
+
+def tree_model(spark, sf):
+    from aisleflow.plans import models as M
+
+    def build():
+        data = M.persist(_click_split(spark, sf, 7))
+        return data, M.fit_tree(data.filter(F.col("split") == "train"))
+    return _memo("tree", spark, sf, build)
+
+
+@query("tree_fit")
+def tree_fit(spark, sf):
+    from aisleflow.operators import evaluate as ev
+    from aisleflow.plans import models as M
+    data, m = tree_model(spark, sf)
+    pred = m.transform(data.filter(F.col("split") == "test"))
+    acc = ev.accuracy(pred).join(ev.rmse(pred))
+    metrics = acc.select(F.expr("stack(3, 'accuracy', accuracy, 'test_error', test_error, "
+                                "'rmse', rmse) AS (name, value)"))
+    return M.tree_facts(spark, m).unionByName(metrics)
+
+
+@query("tree_importances")
+def tree_importances(spark, sf):
+    from aisleflow.plans import models as M
+    return M.tree_importances(spark, tree_model(spark, sf)[1], CLICK_FEATURES)
+
+
+def svc_model(spark, sf):
+    from aisleflow.plans import models as M
+
+    def build():
+        data = M.persist(_click_split(spark, sf, 6))
+        return data, M.fit_svc(data.filter(F.col("split") == "train"))
+    return _memo("svc", spark, sf, build)
+
+
+@query("svc_fit")
+def svc_fit(spark, sf):
+    from aisleflow.plans import models as M
+    return M.svc_coefficients(spark, svc_model(spark, sf)[1], CLICK_FEATURES)
+
+
+@query("svc_predictions")
+def svc_predictions(spark, sf):
+    data, m = svc_model(spark, sf)
+    return m.transform(data.filter(F.col("split") == "test")).select(
+        "wl_customer_id", "label", "prediction")
+
+
+@query("mlp_predictions")
+def mlp_predictions(spark, sf):
+    from aisleflow.plans import models as M
+
+    def build():
+        data = M.persist(_click_split(spark, sf, 6))
+        return data, M.fit_mlp(data.filter(F.col("split") == "train"), len(CLICK_FEATURES), 2)
+    data, m = _memo("mlp", spark, sf, build)
+    return m.transform(data.filter(F.col("split") == "test")).select(
+        "wl_customer_id", "label", "prediction")
+
+
+# --- run log and model persistence ---------------------------------------------
+
+@query("run_log")
+def run_log(spark, sf):
+    from aisleflow.sources import sinks
+    v, m = kmeans_model(spark, sf)
+    from aisleflow.plans import models as M
+    sil = M.silhouette_of(m.transform(v))
+    rows = sinks.log_run(spark, "customer_segmentation", sinks.param_rows(m),
+                         {"silhouette": sil})
+    run_id = rows.first()["run_id"]
+    return sinks.read_run_log(spark).filter(F.col("run_id") == run_id)
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf):
+    from pyspark.ml.clustering import KMeansModel
+    from aisleflow.plans import models as M
+    from aisleflow.session import scratch_path
+    from aisleflow.sources import sinks
+    _, m = kmeans_model(spark, sf)
+    path = sinks.save_model(m, scratch_path(spark, "kmeans_model"))
+    return M.kmeans_centers(spark, KMeansModel.load(path), PIVOT_FEATURES)
