@@ -51,6 +51,7 @@ CATEGORY_CLICKS = "(SELECT c.wl_customer_id,\n       " + ",\n       ".join(
  GROUP BY c.wl_customer_id)"""
 
 ORACLE_SQL["category_clicks"] = f"SELECT * FROM {CATEGORY_CLICKS}"
+ORACLE_SQL["category_clicks_stream"] = ORACLE_SQL["category_clicks"]
 _CLICK_FEATS = ", ".join(f"clicks_in_{n}" for n in range(1, 20))
 ORACLE_SQL["click_label"] = f"""SELECT wl_customer_id,
        CASE WHEN clicks_in_0 > 3.871510156577754 THEN 1.0 ELSE 0.0 END::DOUBLE AS label,

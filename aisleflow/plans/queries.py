@@ -737,3 +737,20 @@ def model_roundtrip(spark, sf):
     _, m = kmeans_model(spark, sf)
     path = sinks.save_model(m, scratch_path(spark, "kmeans_model"))
     return M.kmeans_centers(spark, KMeansModel.load(path), PIVOT_FEATURES)
+
+
+# --- streaming form of the click pivot ---------------------------------------
+
+@query("category_clicks_stream")
+def category_clicks_stream(spark, sf):
+    """Run the streaming rollup to completion over the events file(s), then
+    read the summed partials; equals ``category_clicks``."""
+    import os
+    from aisleflow.session import scratch_path
+    from aisleflow.streaming import clicks as S
+    root = scratch_path(spark, "click_stream")
+    q = S.start_click_rollup(spark, os.path.join(sf, "events.parquet"),
+                             adapters.items(spark, sf), os.path.join(root, "sink"),
+                             os.path.join(root, "checkpoint"))
+    q.awaitTermination()
+    return S.read_click_rollup(spark, os.path.join(root, "sink"))
