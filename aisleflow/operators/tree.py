@@ -16,47 +16,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _gini(n, counts):
-    s = None
-    for c in counts:
-        p = c / n
-        s = p * p if s is None else s + p * p
-    return F.when(n == 0, F.lit(0.0)).otherwise(F.lit(1.0) - s)
+def _gini(n: str, counts: list[str]) -> str:
+    s = " + ".join(f"({c} / {n}) * ({c} / {n})" for c in counts)
+    return f"(CASE WHEN {n} = 0 THEN 0.0D ELSE 1.0D - ({s}) END)"
 
 
 def gini_splits(df: DataFrame, features: Sequence[str], classes: Sequence[float],
                 label: str = "label", digits: int = 9) -> DataFrame:
     """(feature, feature_index, threshold, n_left, n_right, gain)."""
-    idx = {f: i for i, f in enumerate(features)}
+    k = len(classes)
     long = df.select(label, *features).unpivot([label], list(features), "feature", "value")
     per = long.groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.when(F.col(label) == F.lit(c), 1).otherwise(0)).alias(f"_c{i}")
+        F.expr("count(1) AS n"),
+        *[F.expr(f"sum(CASE WHEN `{label}` = {float(c)!r}D THEN 1 ELSE 0 END) AS _c{i}")
           for i, c in enumerate(classes)])
-    w = Window.partitionBy("feature").orderBy("value")
-    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy("feature")
-    k = len(classes)
-    t = per.select(
-        "feature", "value", F.lead("value").over(w).alias("next_value"),
-        F.sum("n").over(cum).alias("nl"), F.sum("n").over(tot).alias("nt"),
-        *[F.sum(f"_c{i}").over(cum).alias(f"l{i}") for i in range(k)],
-        *[F.sum(f"_c{i}").over(tot).alias(f"t{i}") for i in range(k)],
-    ).filter(F.col("next_value").isNotNull())
-    nl, nt = F.col("nl").cast("double"), F.col("nt").cast("double")
-    nr = nt - nl
-    g_parent = _gini(nt, [F.col(f"t{i}").cast("double") for i in range(k)])
-    g_left = _gini(nl, [F.col(f"l{i}").cast("double") for i in range(k)])
-    g_right = _gini(nr, [(F.col(f"t{i}") - F.col(f"l{i}")).cast("double") for i in range(k)])
-    gain = g_parent - (nl / nt) * g_left - (nr / nt) * g_right
-    fidx = F.lit(None).cast("int")
-    for f, i in idx.items():
-        fidx = F.when(F.col("feature") == f, F.lit(i)).otherwise(fidx)
-    return t.select(
-        "feature", fidx.alias("feature_index"),
-        ((F.col("value").cast("double") + F.col("next_value").cast("double")) / 2).alias("threshold"),
-        F.col("nl").alias("n_left"), (F.col("nt") - F.col("nl")).alias("n_right"),
-        F.round(gain, digits).alias("gain"))
+    cum = "OVER (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    tot = "OVER (PARTITION BY feature)"
+    t = per.selectExpr(
+        "feature", "value", "lead(value) OVER (PARTITION BY feature ORDER BY value) AS next_value",
+        f"sum(n) {cum} AS nl", f"sum(n) {tot} AS nt",
+        *[f"sum(_c{i}) {cum} AS l{i}" for i in range(k)],
+        *[f"sum(_c{i}) {tot} AS t{i}" for i in range(k)],
+    ).filter("next_value IS NOT NULL")
+    nl, nt, nr = "CAST(nl AS DOUBLE)", "CAST(nt AS DOUBLE)", "CAST(nt - nl AS DOUBLE)"
+    g_parent = _gini(nt, [f"CAST(t{i} AS DOUBLE)" for i in range(k)])
+    g_left = _gini(nl, [f"CAST(l{i} AS DOUBLE)" for i in range(k)])
+    g_right = _gini(nr, [f"CAST(t{i} - l{i} AS DOUBLE)" for i in range(k)])
+    gain = f"{g_parent} - ({nl} / {nt}) * {g_left} - ({nr} / {nt}) * {g_right}"
+    fidx = "CASE feature " + " ".join(
+        f"WHEN '{f}' THEN {i}" for i, f in enumerate(features)) + " END"
+    return t.selectExpr(
+        "feature", f"CAST({fidx} AS INT) AS feature_index",
+        "(CAST(value AS DOUBLE) + CAST(next_value AS DOUBLE)) / 2 AS threshold",
+        "nl AS n_left", "nt - nl AS n_right", f"round({gain}, {digits}) AS gain")
 
 
 def best_split(splits: DataFrame) -> DataFrame:

@@ -149,22 +149,19 @@ ORACLE_SQL["customers_per_category"] = f"""SELECT DISTINCT i.i_category_id, c.wl
 
 
 def _itemsets(min_support: float) -> str:
-    """Frequent itemsets of sizes 1-3 over brand baskets (self-joins)."""
-    return f"""WITH b AS (SELECT DISTINCT ss_transaction_id AS t, i_brand AS item FROM {SALES_ITEMS}),
+    """Frequent itemsets of every size over brand baskets: a recursive CTE
+    lists each subset of each basket's frequent items once (items in
+    increasing order), then subsets are counted."""
+    return f"""WITH RECURSIVE b AS (SELECT DISTINCT ss_transaction_id AS t, i_brand AS item FROM {SALES_ITEMS}),
 mc AS (SELECT ceil({min_support}::DOUBLE * count(DISTINCT t)) AS m FROM b),
 s1 AS (SELECT item, count(*) AS freq FROM b GROUP BY item HAVING count(*) >= (SELECT m FROM mc)),
 bf AS (SELECT * FROM b WHERE item IN (SELECT item FROM s1)),
-s2 AS (SELECT x.item AS i1, y.item AS i2, count(*) AS freq
-         FROM bf x JOIN bf y ON x.t = y.t AND x.item < y.item
-        GROUP BY 1, 2 HAVING count(*) >= (SELECT m FROM mc)),
-s3 AS (SELECT x.item AS i1, y.item AS i2, z.item AS i3, count(*) AS freq
-         FROM bf x JOIN bf y ON x.t = y.t AND x.item < y.item
-                   JOIN bf z ON x.t = z.t AND y.item < z.item
-        WHERE (x.item, y.item) IN (SELECT (i1, i2) FROM s2)
-        GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT m FROM mc)),
-sets AS (SELECT [item] AS items, freq FROM s1
-         UNION ALL SELECT [i1, i2], freq FROM s2
-         UNION ALL SELECT [i1, i2, i3], freq FROM s3)"""
+occ(t, items) AS (SELECT t, [item] FROM bf
+                  UNION ALL
+                  SELECT o.t, list_append(o.items, x.item)
+                    FROM occ o JOIN bf x ON o.t = x.t AND x.item > o.items[-1]),
+sets AS (SELECT items, count(*) AS freq FROM occ GROUP BY items
+         HAVING count(*) >= (SELECT m FROM mc))"""
 
 
 ORACLE_SQL["frequent_itemsets"] = _itemsets(0.01) + "\nSELECT items, len(items) AS size, freq FROM sets"

@@ -340,7 +340,9 @@ def _nb_build(spark, sf):
     model = bayes.fit(x_train, train, key=key)
     tf_test = tf.join(test.select(key), key, "left_semi")
     x_test = tf_test.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
-    sc = bayes.scores(model, test, x_test, key=key).join(test, key)
+    # One row per test document; several evaluation queries read it.
+    sc = bayes.scores(model, test, x_test, key=key).join(test, key).persist(
+        StorageLevel.MEMORY_AND_DISK)
     return model, sc
 
 

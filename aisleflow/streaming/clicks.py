@@ -38,11 +38,20 @@ def _clicks(events: DataFrame) -> DataFrame:
 
 
 def _partial_pivot(joined: DataFrame, categories) -> DataFrame:
-    aggs = [F.sum(F.when(F.col("i_category_id") == n, F.lit(1)).otherwise(F.lit(0)))
-            .alias(f"clicks_in_{n}") for n in categories]
+    aggs = [F.expr(f"sum(CASE WHEN i_category_id = {int(n)} THEN 1 ELSE 0 END) AS clicks_in_{int(n)}")
+            for n in categories]
     return joined.groupBy("wl_customer_id").agg(*aggs)
 
 
+def stream_path(path: str) -> str:
+    """File-stream sources take directories or glob patterns; a single local
+    file is turned into a pattern that matches only itself."""
+    if os.path.isfile(path):
+        d, b = os.path.split(path)
+        return os.path.join(d, f"[{b[0]}]{b[1:]}")
+    return path
+
+
 def start_click_rollup(spark: SparkSession, source: str, items: DataFrame, sink_dir: str,
                        checkpoint_dir: str, *, categories=DEFAULT_CATEGORIES,
                        available_now: bool = True, max_files_per_trigger: int | None = None):
@@ -50,7 +59,7 @@ def start_click_rollup(spark: SparkSession, source: str, items: DataFrame, sink_
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    clicks = _clicks(r.parquet(source)).filter(F.col("wl_customer_id").isNotNull())
+    clicks = _clicks(r.parquet(stream_path(source))).filter(F.col("wl_customer_id").isNotNull())
     it = items.filter(F.col("i_category_id").isNotNull()).select("i_item_id", "i_category_id")
     joined = clicks.join(it, clicks["wl_item_id"] == it["i_item_id"], "inner")
     cats = list(categories)
