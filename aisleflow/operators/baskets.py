@@ -77,15 +77,29 @@ def association_rules(model: FPGrowthModel, digits: int = 9) -> DataFrame:
                     F.round("support", digits).alias("support"))
 
 
+# Rule sets up to this many rows are applied by the model itself (rules
+# broadcast to every task, checked per basket, no shuffle).
+MAX_BROADCAST_RULES = 200_000
+
+
 def recommend(basket_long: DataFrame, rules: DataFrame, *,
-              txn: str = "ss_transaction_id") -> DataFrame:
+              txn: str = "ss_transaction_id", model: FPGrowthModel | None = None,
+              baskets: DataFrame | None = None,
+              max_broadcast_rules: int = MAX_BROADCAST_RULES) -> DataFrame:
     """(txn, prediction): consequents of rules whose antecedent is inside the
     basket, minus items already in it; only baskets with a recommendation.
 
-    Plan: antecedent items are joined to the basket rows by item, counted
-    per (basket, antecedent) and kept when all of the antecedent is present;
-    no pair of basket items is ever formed.
+    With the fitted ``model`` and the basket arrays, and at most
+    ``max_broadcast_rules`` rules (counted first), the model's transform
+    applies the broadcast rules per basket: no shuffle.  Otherwise the
+    relational plan runs: antecedent items are joined to the basket rows by
+    item, counted per (basket, antecedent) and kept when the whole
+    antecedent is present; no pair of basket items is ever formed.
     """
+    if model is not None and baskets is not None and rules.count() <= max_broadcast_rules:
+        out = model.transform(baskets.select(txn, "items"))
+        return (out.filter(F.size("prediction") > 0)
+                .select(txn, F.array_sort("prediction").alias("prediction")))
     r = rules.select(F.array_sort("antecedent").alias("ante"), "consequent")
     ante = r.select("ante").distinct()
     ante_items = ante.select("ante", F.size("ante").alias("k"),

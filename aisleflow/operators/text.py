@@ -20,10 +20,15 @@ from aisleflow.functions.text import STOP_WORDS, tokens
 DEFAULT_VOCAB_SIZE = 1 << 18
 
 
-def token_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, pos, token) for every non-empty token; NULL text yields none."""
-    return (docs.select(key, F.posexplode(tokens(F.col(text))).alias("pos", "token"))
-            .filter(F.col("token") != ""))
+def token_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
+               positions: bool = True) -> DataFrame:
+    """(key, pos, token) for every non-empty token; NULL text yields none.
+    ``positions=False`` gives (key, token) and skips numbering."""
+    if positions:
+        rows = docs.select(key, F.posexplode(tokens(F.col(text))).alias("pos", "token"))
+    else:
+        rows = docs.select(key, F.explode(tokens(F.col(text))).alias("token"))
+    return rows.filter(F.col("token") != "")
 
 
 def remove_stop_words(tok: DataFrame, stop_words=STOP_WORDS) -> DataFrame:

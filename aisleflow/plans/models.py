@@ -176,16 +176,16 @@ def logistic_estimator(**overrides):
 def logistic_coefficients(spark: SparkSession, lr_model) -> DataFrame:
     """(class, feature_index, value): non-zero coefficients (sparse long
     form, bounded by classes x features) plus intercepts at index -1."""
-    m = lr_model.coefficientMatrix
-    rows = []
-    if hasattr(m, "colPtrs"):          # sparse (column major or row major)
-        dense = m.toArray()
-    else:
-        dense = m.toArray()
-    nz = np.nonzero(dense)
-    rows = [(int(c), int(j), float(dense[c, j])) for c, j in zip(*nz)]
-    rows += [(int(c), -1, float(v)) for c, v in enumerate(lr_model.interceptVector.toArray())]
-    return spark.createDataFrame(rows, "class int, feature_index int, value double")
+    import pandas as pd
+    dense = lr_model.coefficientMatrix.toArray()
+    cls, feat = np.nonzero(dense)
+    icpt = lr_model.interceptVector.toArray()
+    pdf = pd.DataFrame({
+        "class": np.concatenate([cls, np.arange(len(icpt))]).astype("int32"),
+        "feature_index": np.concatenate([feat, np.full(len(icpt), -1)]).astype("int32"),
+        "value": np.concatenate([dense[cls, feat], icpt]).astype("float64")})
+    # Arrow transfer of a model-sized table (classes x features at most).
+    return spark.createDataFrame(pdf, "class int, feature_index int, value double")
 
 
 def logistic_history(spark: SparkSession, lr_model) -> DataFrame:

@@ -166,9 +166,10 @@ def categorical_features(spark, sf):
 
 # --- text long form ---------------------------------------------------------
 
-def _review_tokens(spark, sf):
+def _review_tokens(spark, sf, positions=True):
     from aisleflow.operators import text
-    return text.token_rows(_reviews(spark, sf), key="pr_review_id", text="pr_content")
+    return text.token_rows(_reviews(spark, sf), key="pr_review_id", text="pr_content",
+                           positions=positions)
 
 
 @query("tokens")
@@ -184,7 +185,7 @@ def tokens_no_stopwords(spark, sf):
 
 def _vocabulary(spark, sf):
     from aisleflow.operators import text
-    tok = text.remove_stop_words(_review_tokens(spark, sf))
+    tok = text.remove_stop_words(_review_tokens(spark, sf, positions=False))
     return text.term_vocabulary(text.term_frequencies(tok, "pr_review_id"))
 
 
@@ -200,7 +201,7 @@ def vocab_size(spark, sf):
 
 def _idf(spark, sf):
     from aisleflow.operators import text
-    tf = text.term_frequencies(_review_tokens(spark, sf), "pr_review_id")
+    tf = text.term_frequencies(_review_tokens(spark, sf, positions=False), "pr_review_id")
     return tf, text.term_idf(tf, _reviews(spark, sf), "pr_review_id")
 
 
@@ -223,12 +224,12 @@ def doc_tfidf(spark, sf):
 @query("baskets")
 def baskets_q(spark, sf):
     from aisleflow.operators import baskets as B
-    return B.baskets(adapters.store_sales(spark, sf), adapters.items(spark, sf))
+    return B.baskets(adapters.sales_lines(spark, sf), adapters.items(spark, sf))
 
 
 def _brand_baskets(spark, sf):
     from aisleflow.operators import baskets as B
-    return B.baskets(adapters.store_sales(spark, sf), adapters.items(spark, sf),
+    return B.baskets(adapters.sales_lines(spark, sf), adapters.items(spark, sf),
                      item_col="i_brand")
 
 
@@ -247,8 +248,13 @@ def customers_per_category(spark, sf):
 
 def _fp_model(spark, sf, min_support, min_confidence):
     from aisleflow.operators import baskets as B
-    return B.fit_fp_growth(_brand_baskets(spark, sf), min_support=min_support,
-                           min_confidence=min_confidence)
+
+    def build():
+        bk = _brand_baskets(spark, sf).persist()
+        return B.fit_fp_growth(bk, min_support=min_support, min_confidence=min_confidence)
+    # Rules depend on the confidence only through a filter; fits are shared
+    # per (support, confidence).
+    return _memo(f"fp-{min_support}-{min_confidence}", spark, sf, build)
 
 
 @query("frequent_itemsets")
@@ -283,10 +289,11 @@ def association_rules_conf10(spark, sf):
 @query("basket_recommendations")
 def basket_recommendations(spark, sf):
     from aisleflow.operators import baskets as B
-    rules = B.association_rules(_fp_model(spark, sf, B.MIN_SUPPORT, LOW_CONFIDENCE))
-    longf = B.basket_items(adapters.store_sales(spark, sf), adapters.items(spark, sf),
+    model = _fp_model(spark, sf, B.MIN_SUPPORT, LOW_CONFIDENCE)
+    longf = B.basket_items(adapters.sales_lines(spark, sf), adapters.items(spark, sf),
                            item_col="i_brand")
-    return B.recommend(longf, rules)
+    return B.recommend(longf, B.association_rules(model), model=model,
+                       baskets=_brand_baskets(spark, sf))
 
 
 # --- profiles ---------------------------------------------------------------
@@ -332,7 +339,8 @@ def _nb_build(spark, sf):
     test = lab.filter(F.col("split") == "test").select(key, "label")
     # Token counts are the one expensive input (regex split of whole texts);
     # persisted once, read by the train and the test side.
-    tf = text.term_frequencies(text.token_rows(reviews, key, "pr_content"), key).join(
+    tf = text.term_frequencies(text.token_rows(reviews, key, "pr_content", positions=False),
+                               key).join(
         lab.select(key), key, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
     tf_train = tf.join(train.select(key), key, "left_semi")
     idf = text.term_idf(tf_train, train, key).persist(StorageLevel.MEMORY_AND_DISK)

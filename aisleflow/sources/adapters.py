@@ -53,6 +53,15 @@ def store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``store_sales`` without the customer: (transaction, item) straight
+    from lineitem.  Jobs that never read the customer (baskets) use this and
+    skip the order join, the largest shuffle of ``store_sales``."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("ss_transaction_id"),
+                     F.col("l_partkey").alias("ss_item_id"))
+
+
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web clicks with the item id pulled out of the event's JSON text."""
     e = table(spark, sf_dir, "events")
