@@ -29,66 +29,82 @@ from pyspark.sql import functions as F
 class NaiveBayesTwin:
     priors: DataFrame        # label, n_docs, pi, theta_unseen
     likelihoods: DataFrame   # label, term, theta, delta
-    vocabulary: DataFrame    # term
+    wide: DataFrame          # term, d0 .. d{C-1}: theta - theta_unseen per class
     classes: list            # sorted class labels
     constants: dict          # label -> (pi, theta_unseen)
 
 
 def fit(features: DataFrame, labels: DataFrame, *, key: str,
         smoothing: float = 1.0) -> NaiveBayesTwin:
-    """``features``: (key, term, x) of training documents;
-    ``labels``: (key, label) of the same documents (one row each)."""
+    """``features``: (key, term, x) of training documents, optionally with
+    the document's ``label`` already attached (then no join is needed);
+    ``labels``: (key, label), one row per training document (documents
+    without features count in the priors)."""
     lam = F.lit(float(smoothing))
     n_c = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
-    # Bounded scalars, one small job each; used as literals afterwards.
+    # Bounded scalars, one small job; used as literals afterwards.
     n_total, n_classes = labels.agg(F.count(F.lit(1)), F.countDistinct("label")).first()
-    # One row per (class, term): the model itself, kept for the joins below.
-    s_cj = (features.join(labels, key, "inner")
-            .groupBy("label", "term").agg(F.sum("x").alias("s_cj"))
+    lf = features if "label" in features.columns else features.join(labels, key, "inner")
+    # One row per (class, term): the model itself, kept for the steps below.
+    s_cj = (lf.groupBy("label", "term").agg(F.sum("x").alias("s_cj"))
             .persist(StorageLevel.MEMORY_AND_DISK))
-    vocab = s_cj.select("term").distinct()
-    v = vocab.count()
-    s_c = s_cj.groupBy("label").agg(F.sum("s_cj").alias("s_c"))
-    priors = (n_c.join(s_c, "label", "left")
-              .withColumn("s_c", F.coalesce("s_c", F.lit(0.0)))
-              .select("label", "n_docs",
-                      (F.log(F.col("n_docs") + lam) - F.log(n_total + lam * n_classes)).alias("pi"),
-                      (F.log(lam) - F.log(F.col("s_c") + lam * v)).alias("theta_unseen"),
-                      "s_c"))
-    pr = priors.collect()            # one row per class
-    constants = {r["label"]: (r["pi"], r["theta_unseen"]) for r in pr}
+    s_c_rows = s_cj.groupBy("label").agg(F.sum("s_cj").alias("s_c"),
+                                         F.count(F.lit(1)).alias("_t")).collect()
+    v = s_cj.select("term").distinct().count()
+    s_c = {r["label"]: r["s_c"] for r in s_c_rows}
+    pri = n_c.collect()                 # one row per class
+    lam_v, n_docs = float(smoothing), {r["label"]: r["n_docs"] for r in pri}
+    import math
+    constants = {}
+    for c, n in n_docs.items():
+        pi = math.log(n + lam_v) - math.log(n_total + lam_v * n_classes)
+        t0 = math.log(lam_v) - math.log(s_c.get(c, 0.0) + lam_v * v)
+        constants[c] = (pi, t0)
     classes = sorted(constants)
-    theta = (s_cj.join(F.broadcast(priors.select("label", "s_c", "theta_unseen")), "label")
-             .select("label", "term",
-                     (F.log(F.col("s_cj") + lam) - F.log(F.col("s_c") + lam * v)).alias("theta"),
-                     "theta_unseen"))
-    lik = theta.select("label", "term", "theta",
-                       (F.col("theta") - F.col("theta_unseen")).alias("delta"))
-    return NaiveBayesTwin(priors.drop("s_c"), lik, vocab, classes, constants)
+    spark = features.sparkSession
+    priors = spark.createDataFrame(
+        [(float(c), int(n_docs[c]), constants[c][0], constants[c][1]) for c in classes],
+        "label double, n_docs long, pi double, theta_unseen double")
+    denom = {c: F.lit(float(s_c.get(c, 0.0)) + lam_v * v) for c in classes}
+    den_col = t0_col = None
+    for c in classes:
+        cond = F.col("label") == F.lit(c)
+        den_col = F.when(cond, denom[c]) if den_col is None else den_col.when(cond, denom[c])
+        t0 = F.lit(constants[c][1])
+        t0_col = F.when(cond, t0) if t0_col is None else t0_col.when(cond, t0)
+    theta = F.log(F.col("s_cj") + lam) - F.log(den_col)
+    lik = s_cj.select("label", "term", theta.alias("theta"),
+                      (theta - t0_col).alias("delta"))
+    wide = lik.groupBy("term").agg(*[
+        F.max(F.when(F.col("label") == F.lit(c), F.col("delta"))).alias(f"d{i}")
+        for i, c in enumerate(classes)])
+    return NaiveBayesTwin(priors, lik, wide, classes, constants)
 
 
 def scores(model: NaiveBayesTwin, docs: DataFrame, features: DataFrame, *,
-           key: str) -> DataFrame:
+           key: str, in_vocabulary: bool = False) -> DataFrame:
     """(key, score_<i> per class i, prediction) for every row of ``docs``.
 
-    ``features`` (key, term, x) are restricted to the training vocabulary;
-    documents without any such term score on the priors alone.
+    ``features`` (key, term, x) are matched to the model's per-term table:
+    one join and one aggregate per document.  Terms outside the training
+    vocabulary drop out in the join (``in_vocabulary`` is accepted for
+    callers whose features are already restricted).  Documents without
+    any such term score on the priors alone.
     """
-    f = features.join(model.vocabulary, "term", "left_semi")
-    xs = f.groupBy(key).agg(F.sum("x").alias("xsum"))
-    contrib = (f.join(model.likelihoods.select("label", "term", "delta"), "term", "inner")
-               .groupBy(key).agg(*[
-                   F.sum(F.when(F.col("label") == F.lit(c), F.col("x") * F.col("delta")))
-                   .alias(f"_s{i}") for i, c in enumerate(model.classes)]))
-    out = docs.select(key).join(xs, key, "left").join(contrib, key, "left")
+    f = features.join(model.wide, "term", "inner")
+    k = len(model.classes)
+    per_doc = f.groupBy(key).agg(
+        F.sum("x").alias("xsum"),
+        *[F.sum(F.col("x") * F.coalesce(F.col(f"d{i}"), F.lit(0.0))).alias(f"_s{i}")
+          for i in range(k)])
+    out = docs.select(key).join(per_doc, key, "left")
     cols = []
     for i, c in enumerate(model.classes):
         pi, t0 = model.constants[c]
         cols.append((F.lit(pi) + F.lit(t0) * F.coalesce("xsum", F.lit(0.0))
                      + F.coalesce(f"_s{i}", F.lit(0.0))).alias(f"score_{i}"))
     out = out.select(key, *cols)
-    best = F.greatest(*[F.col(f"score_{i}") for i in range(len(model.classes))]) \
-        if len(model.classes) > 1 else F.col("score_0")
+    best = F.greatest(*[F.col(f"score_{i}") for i in range(k)]) if k > 1 else F.col("score_0")
     pred = None
     for i, c in enumerate(model.classes):      # ascending: ties -> lowest label
         cond = F.col(f"score_{i}") == best

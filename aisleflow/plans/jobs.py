@@ -45,7 +45,7 @@ def _segment_vectors(sales, items, cfg):
     feats = list(cfg.features or [f"id{c}" for c in cfg.classes])
     if cfg.include_key:
         feats = ["cid"] + feats
-    return piv, M.persist(M.assemble(piv, feats)), feats
+    return piv, M.persist_sized(M.assemble(piv, feats)), feats
 
 
 def customer_segmentation(spark: SparkSession, sales: DataFrame, items: DataFrame,
@@ -97,7 +97,7 @@ def _labelled_reviews(reviews: DataFrame, cfg: ReviewConfig) -> DataFrame:
         r = r.filter(L.bucket_filter(F.col("pr_review_id")))
     r = r.select("pr_review_id", L.rating_label(F.col("pr_rating"), cfg.rating_map).alias("label"),
                  "pr_content").filter(F.col("label").isNotNull())
-    return M.persist(with_split(r, "pr_review_id", cfg.train_buckets))
+    return M.persist_sized(with_split(r, "pr_review_id", cfg.train_buckets), M.DOCS_PER_PARTITION)
 
 
 def _classify_reviews(spark, reviews, cfg, job, estimator):
@@ -144,7 +144,7 @@ def review_topics(spark, reviews, cfg: TopicConfig = TopicConfig()) -> dict:
     r = reviews.filter(F.col("pr_content").isNotNull())
     if cfg.bucket_filter:
         r = r.filter(L.bucket_filter(F.col("pr_review_id")))
-    docs = M.persist(r.select("pr_review_id", "pr_content"))
+    docs = M.persist_sized(r.select("pr_review_id", "pr_content"), M.DOCS_PER_PARTITION)
     model = M.lda_pipeline(docs, "pr_content", k=cfg.k, maxIter=cfg.max_iter, seed=cfg.seed)
     quality = M.lda_quality(spark, model, docs, "pr_content")
     if cfg.log:
@@ -193,7 +193,7 @@ def _click_data(clicks, items, cfg):
     lab = (pivots.click_label(piv, cfg.threshold) if cfg.threshold is not None
            else pivots.click_label_by_mean(piv))
     feats = [c for c in lab.columns if c.startswith("clicks_in_")]
-    data = M.persist(with_split(M.assemble(lab, feats), "wl_customer_id", cfg.train_buckets))
+    data = M.persist_sized(with_split(M.assemble(lab, feats), "wl_customer_id", cfg.train_buckets))
     return data, feats
 
 

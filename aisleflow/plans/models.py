@@ -50,6 +50,32 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# Rows per partition of a persisted fit input.  Iterative fits run one job
+# per iteration over every partition, so a few large partitions beat many
+# tiny ones; at scale the count still yields thousands of partitions.
+ROWS_PER_PARTITION = 500_000
+DOCS_PER_PARTITION = 2_000
+
+
+def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Persist ``df`` with about ``rows_per_partition`` rows per partition.
+
+    The frame is persisted and counted once; if it has more partitions than
+    its size needs, the cached blocks are coalesced (narrow, no shuffle) into
+    a second persisted copy and the first is released.  Never increases the
+    partition count.
+    """
+    first = persist(df)
+    n = first.count()
+    want = max(1, -(-n // rows_per_partition))
+    if want >= first.rdd.getNumPartitions():
+        return first
+    sized = persist(first.coalesce(want))
+    sized.count()
+    first.unpersist()
+    return sized
+
+
 # --- clustering -----------------------------------------------------------------
 
 def fit_kmeans(vectors: DataFrame, *, seed: int = DEFAULT_SEED, **overrides):
@@ -82,7 +108,7 @@ def kmeans_sweep(spark: SparkSession, vectors: DataFrame,
                  ks: Sequence[int] = KMEANS_SWEEP_KS, seed: int = DEFAULT_SEED) -> DataFrame:
     """(k, silhouette, training_cost, chosen): one fit per k over one
     persisted input; ``chosen`` marks the k of highest silhouette."""
-    v = persist(vectors)
+    v = persist_sized(vectors)
     rows = []
     for k in ks:
         m = fit_kmeans(v, seed=seed, k=k)

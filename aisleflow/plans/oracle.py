@@ -251,7 +251,10 @@ ORACLE_SQL["nb_priors"] = NB_CTE + """
 SELECT label, n_docs, round(pi, 9) AS pi, round(theta_unseen, 9) AS theta_unseen FROM priors"""
 ORACLE_SQL["nb_likelihoods"] = NB_CTE + "\nSELECT label, term, round(theta, 6) AS theta FROM lik"
 ORACLE_SQL["nb_predictions"] = NB_CTE + "\nSELECT pr_review_id, label, prediction FROM pred"
-ORACLE_SQL["nb_scores"] = NB_CTE + "\nSELECT pr_review_id, cls AS class, round(score, 6) AS score FROM scores"
+ORACLE_SQL["nb_scores"] = NB_CTE + """
+SELECT pr_review_id, cls AS class, round(score, 6) AS score,
+       round(exp(score - best) / sum(exp(score - best)) OVER (PARTITION BY pr_review_id), 9) AS probability
+  FROM (SELECT *, max(score) OVER (PARTITION BY pr_review_id) AS best FROM scores)"""
 ORACLE_SQL["prediction_histogram"] = NB_CTE + "\nSELECT prediction AS value, count(*) AS n FROM pred GROUP BY 1"
 ORACLE_SQL["confusion_matrix"] = NB_CTE + "\nSELECT label, prediction, count(*) AS n FROM pred GROUP BY 1, 2"
 ORACLE_SQL["accuracy"] = NB_CTE + """

@@ -328,32 +328,39 @@ def nb_pipeline(spark, sf):
 def _nb_build(spark, sf):
     from pyspark import StorageLevel
     from aisleflow.functions import labels as L
-    from aisleflow.functions.split import with_split
+    from aisleflow.functions.split import hash_bucket
     from aisleflow.operators import bayes, text
     key = "pr_review_id"
-    reviews = _reviews(spark, sf)
-    lab = with_split(reviews.select(
-        key, L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label"))
-        .filter(F.col("label").isNotNull()), key)
-    train = lab.filter(F.col("split") == "train").select(key, "label")
-    test = lab.filter(F.col("split") == "test").select(key, "label")
-    # Token counts are the one expensive input (regex split of whole texts);
-    # persisted once, read by the train and the test side.
-    tf = text.term_frequencies(text.token_rows(reviews, key, "pr_content", positions=False),
-                               key).join(
-        lab.select(key), key, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
-    tf_train = tf.join(train.select(key), key, "left_semi")
+    reviews = _reviews(spark, sf).select(
+        key, L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label"),
+        "pr_content").filter(F.col("label").isNotNull())
+    is_train = hash_bucket(F.col(key)) < 6          # split is a function of the key
+    train = reviews.filter(is_train).select(key, "label")
+    test = reviews.filter(~is_train).select(key, "label")
+    # Token counts carry the document's label through the explode (no join
+    # back to the labels later); the one expensive input, persisted once.
+    tok = reviews.select(key, "label", F.explode(tokens_expr("pr_content")).alias("token")) \
+        .filter(F.col("token") != "")
+    tf = (tok.groupBy(key, "label", F.col("token").alias("term"))
+          .agg(F.count(F.lit(1)).alias("tf")).persist(StorageLevel.MEMORY_AND_DISK))
+    tf_train = tf.filter(is_train)
     idf = text.term_idf(tf_train, train, key).persist(StorageLevel.MEMORY_AND_DISK)
-    x_train = tf_train.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
+    x_train = tf_train.join(idf, "term").select(
+        key, "label", "term", (F.col("tf") * F.col("idf")).alias("x"))
     model = bayes.fit(x_train, train, key=key)
-    tf_test = tf.join(test.select(key), key, "left_semi")
-    x_test = tf_test.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
+    x_test = tf.filter(~is_train).join(idf, "term").select(
+        key, "term", (F.col("tf") * F.col("idf")).alias("x"))
     # One row per test document; several evaluation queries read it.
     sc = bayes.scores(model, test, x_test, key=key).join(test, key).persist(
         StorageLevel.MEMORY_AND_DISK)
     return model, sc
 
 
+def tokens_expr(col):
+    from aisleflow.functions.text import tokens
+    return tokens(F.col(col))
+
+
 @query("nb_priors")
 def nb_priors(spark, sf):
     m, _ = nb_pipeline(spark, sf)
@@ -382,9 +389,18 @@ def nb_scores(spark, sf):
     m, sc = nb_pipeline(spark, sf)
     cols = [F.struct(F.lit(c).alias("class"), F.col(f"score_{i}").alias("score"))
             for i, c in enumerate(m.classes)]
-    return (sc.select("pr_review_id", F.explode(F.array(*cols)).alias("s"))
+    # probability = softmax of the class scores (shifted by the best score)
+    best = F.greatest(*[F.col(f"score_{i}") for i in range(len(m.classes))])
+    denom = None
+    for i in range(len(m.classes)):
+        t = F.exp(F.col(f"score_{i}") - best)
+        denom = t if denom is None else denom + t
+    return (sc.select("pr_review_id", best.alias("_best"), denom.alias("_den"),
+                      F.explode(F.array(*cols)).alias("s"))
             .select("pr_review_id", F.col("s.class").alias("class"),
-                    F.round("s.score", 6).alias("score")))
+                    F.round("s.score", 6).alias("score"),
+                    F.round(F.exp(F.col("s.score") - F.col("_best")) / F.col("_den"), 9)
+                    .alias("probability")))
 
 
 @query("prediction_histogram")
@@ -507,7 +523,7 @@ def kmeans_model(spark, sf):
     from aisleflow.plans import models as M
 
     def build():
-        v = M.persist(_pivot_vectors(spark, sf))
+        v = M.persist_sized(_pivot_vectors(spark, sf))
         return v, M.fit_kmeans(v)
     return _memo("kmeans", spark, sf, build)
 
@@ -535,14 +551,14 @@ def kmeans_assignment(spark, sf):
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
     from aisleflow.plans import models as M
-    return M.kmeans_sweep(spark, _pivot_vectors(spark, sf))
+    return M.kmeans_sweep(spark, M.persist_sized(_pivot_vectors(spark, sf)))
 
 
 def gmm_model(spark, sf):
     from aisleflow.plans import models as M
 
     def build():
-        v = M.persist(_pivot_vectors(spark, sf))
+        v = M.persist_sized(_pivot_vectors(spark, sf))
         m = M.fit_gmm(v)
         return v, m
     return _memo("gmm", spark, sf, build)
@@ -564,7 +580,8 @@ def lda_model(spark, sf):
     from aisleflow.plans import models as M
 
     def build():
-        docs = M.persist(_reviews(spark, sf).select("pr_review_id", "pr_content"))
+        docs = M.persist_sized(_reviews(spark, sf).select("pr_review_id", "pr_content"),
+                               M.DOCS_PER_PARTITION)
         return docs, M.lda_pipeline(docs, "pr_content")
     return _memo("lda", spark, sf, build)
 
@@ -602,7 +619,7 @@ def _text_model(spark, sf, name, make_estimator):
     from aisleflow.plans import models as M
 
     def build():
-        data = M.persist(_review_split(spark, sf))
+        data = M.persist_sized(_review_split(spark, sf), M.DOCS_PER_PARTITION)
         train = data.filter(F.col("split") == "train")
         return data, M.fit_text_classifier(train, "pr_content", make_estimator())
     return _memo(name, spark, sf, build)
@@ -667,7 +684,7 @@ def tree_model(spark, sf):
     from aisleflow.plans import models as M
 
     def build():
-        data = M.persist(_click_split(spark, sf, 7))
+        data = M.persist_sized(_click_split(spark, sf, 7))
         return data, M.fit_tree(data.filter(F.col("split") == "train"))
     return _memo("tree", spark, sf, build)
 
@@ -694,7 +711,7 @@ def svc_model(spark, sf):
     from aisleflow.plans import models as M
 
     def build():
-        data = M.persist(_click_split(spark, sf, 6))
+        data = M.persist_sized(_click_split(spark, sf, 6))
         return data, M.fit_svc(data.filter(F.col("split") == "train"))
     return _memo("svc", spark, sf, build)
 
@@ -717,7 +734,7 @@ def mlp_predictions(spark, sf):
     from aisleflow.plans import models as M
 
     def build():
-        data = M.persist(_click_split(spark, sf, 6))
+        data = M.persist_sized(_click_split(spark, sf, 6))
         return data, M.fit_mlp(data.filter(F.col("split") == "train"), len(CLICK_FEATURES), 2)
     data, m = _memo("mlp", spark, sf, build)
     return m.transform(data.filter(F.col("split") == "test")).select(

@@ -35,6 +35,11 @@ def publish(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df
 
 
+def drop_view(spark: SparkSession, name: str) -> bool:
+    """Drop a session temp view; False when it did not exist."""
+    return bool(spark.catalog.dropTempView(name))
+
+
 def run_log_path(spark: SparkSession) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "run_log")
 

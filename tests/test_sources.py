@@ -61,3 +61,12 @@ def test_run_log_roundtrip(spark, tmp_path):
     assert df.count() == 5
     assert df.filter((F.col("kind") == "metric") & (F.col("job") == "job_a")).first()["value"] == 1.5
     assert df.filter(F.col("name") == "name").first()["value_text"] == "x"
+
+
+def test_publish_and_drop_view(spark, tmp_path):
+    from aisleflow.sources import sinks
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    sinks.publish(df, "af_rules_view", str(tmp_path / "rules"))
+    assert spark.sql("SELECT count(*) FROM af_rules_view").first()[0] == 1
+    assert sinks.drop_view(spark, "af_rules_view") is True
+    assert sinks.drop_view(spark, "af_rules_view") is False
