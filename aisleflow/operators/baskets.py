@@ -12,6 +12,7 @@ broadcast.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +59,16 @@ def fit_fp_growth(basket_df: DataFrame, *, min_support: float = MIN_SUPPORT,
                   minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    return fp.fit(basket_df.select(items_col))
+    model = fp.fit(basket_df.select(items_col))
+    # The mined itemsets are a lazy RDD behind the model: persist them so
+    # itemsets, rules and recommendations do not re-mine the baskets.
+    model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
+    return model
+
+
+def with_min_confidence(model: FPGrowthModel, min_confidence: float) -> FPGrowthModel:
+    """Same itemsets, rules filtered at another confidence (no re-fit)."""
+    return model.copy({model.minConfidence: min_confidence})
 
 
 def frequent_itemsets(model: FPGrowthModel) -> DataFrame:

@@ -251,10 +251,10 @@ def _fp_model(spark, sf, min_support, min_confidence):
 
     def build():
         bk = _brand_baskets(spark, sf).persist()
-        return B.fit_fp_growth(bk, min_support=min_support, min_confidence=min_confidence)
-    # Rules depend on the confidence only through a filter; fits are shared
-    # per (support, confidence).
-    return _memo(f"fp-{min_support}-{min_confidence}", spark, sf, build)
+        return B.fit_fp_growth(bk, min_support=min_support)
+    # One fit per support; the confidence only filters the rules.
+    model = _memo(f"fp-{min_support}", spark, sf, build)
+    return B.with_min_confidence(model, min_confidence)
 
 
 @query("frequent_itemsets")
@@ -466,7 +466,8 @@ def lloyd_run(spark, sf):
 def _lloyd_build(spark, sf):
     from aisleflow.operators import cluster
     from pyspark import StorageLevel
-    pts = customer_class_pivot(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    from aisleflow.plans import models as M
+    pts = M.persist_sized(customer_class_pivot(spark, sf))
     init = cluster.initial_centers(pts, PIVOT_FEATURES, LLOYD_K, "cid")
     centers = cluster.lloyd(pts, PIVOT_FEATURES, init, LLOYD_STEPS)
     return pts, centers

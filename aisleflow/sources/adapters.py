@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisleflow.sources.tables import table
+from aisleflow.sources.tables import spread, table
 
 N_CATEGORIES = 20
 N_CLASSES = 20
@@ -82,7 +82,9 @@ def review_rating(quality: Column, toxic: Column, doc_id: Column) -> Column:
 
 
 def product_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Reviews with whole texts; spread over the cluster when the document
+    scan lands in fewer tasks than cores (text work follows)."""
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     lab = table(spark, sf_dir, "labels")
     j = d.join(lab, "doc_id", "inner")
     return j.select(
