@@ -250,7 +250,8 @@ def _fp_model(spark, sf, min_support, min_confidence):
     from aisleflow.operators import baskets as B
 
     def build():
-        bk = _brand_baskets(spark, sf).persist()
+        from aisleflow.plans.models import persist_sized
+        bk = persist_sized(_brand_baskets(spark, sf))
         return B.fit_fp_growth(bk, min_support=min_support)
     # One fit per support; the confidence only filters the rules.
     model = _memo(f"fp-{min_support}", spark, sf, build)
@@ -325,6 +326,10 @@ def nb_pipeline(spark, sf):
     return _memo("nb", spark, sf, lambda: _nb_build(spark, sf))
 
 
+# Rows per partition of the persisted (document, term) counts.
+TF_ROWS_PER_PARTITION = 250_000
+
+
 def _nb_build(spark, sf):
     from pyspark import StorageLevel
     from aisleflow.functions import labels as L
@@ -341,18 +346,18 @@ def _nb_build(spark, sf):
     # back to the labels later); the one expensive input, persisted once.
     tok = reviews.select(key, "label", F.explode(tokens_expr("pr_content")).alias("token")) \
         .filter(F.col("token") != "")
-    tf = (tok.groupBy(key, "label", F.col("token").alias("term"))
-          .agg(F.count(F.lit(1)).alias("tf")).persist(StorageLevel.MEMORY_AND_DISK))
+    from aisleflow.plans.models import persist_sized
+    tf = persist_sized(tok.groupBy(key, "label", F.col("token").alias("term"))
+                       .agg(F.count(F.lit(1)).alias("tf")), TF_ROWS_PER_PARTITION)
     tf_train = tf.filter(is_train)
-    idf = text.term_idf(tf_train, train, key).persist(StorageLevel.MEMORY_AND_DISK)
+    idf = persist_sized(text.term_idf(tf_train, train, key), TF_ROWS_PER_PARTITION)
     x_train = tf_train.join(idf, "term").select(
         key, "label", "term", (F.col("tf") * F.col("idf")).alias("x"))
     model = bayes.fit(x_train, train, key=key)
     x_test = tf.filter(~is_train).join(idf, "term").select(
         key, "term", (F.col("tf") * F.col("idf")).alias("x"))
     # One row per test document; several evaluation queries read it.
-    sc = bayes.scores(model, test, x_test, key=key).join(test, key).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    sc = persist_sized(bayes.scores(model, test, x_test, key=key).join(test, key))
     return model, sc
 
 
