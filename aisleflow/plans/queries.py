@@ -200,8 +200,16 @@ def vocab_size(spark, sf):
 
 
 def _idf(spark, sf):
+    """(tf, idf): the (review, term) counts are persisted once and read by
+    both the document-frequency aggregate and the TF-IDF join, so the texts
+    are tokenised a single time."""
     from aisleflow.operators import text
-    tf = text.term_frequencies(_review_tokens(spark, sf, positions=False), "pr_review_id")
+    from aisleflow.plans.models import persist_sized
+
+    def build():
+        return persist_sized(text.term_frequencies(
+            _review_tokens(spark, sf, positions=False), "pr_review_id"), TF_ROWS_PER_PARTITION)
+    tf = _memo("review_tf", spark, sf, build)
     return tf, text.term_idf(tf, _reviews(spark, sf), "pr_review_id")
 
 
