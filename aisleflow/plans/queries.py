@@ -257,13 +257,20 @@ def customers_per_category(spark, sf):
 def _fp_model(spark, sf, min_support, min_confidence):
     from aisleflow.operators import baskets as B
 
+    _, model = _fp_fit(spark, sf, min_support)
+    # One fit per support; the confidence only filters the rules.
+    return B.with_min_confidence(model, min_confidence)
+
+
+def _fp_fit(spark, sf, min_support):
+    """(persisted brand baskets, FP-growth model) for one support level."""
+    from aisleflow.operators import baskets as B
+
     def build():
         from aisleflow.plans.models import persist_sized
         bk = persist_sized(_brand_baskets(spark, sf))
-        return B.fit_fp_growth(bk, min_support=min_support)
-    # One fit per support; the confidence only filters the rules.
-    model = _memo(f"fp-{min_support}", spark, sf, build)
-    return B.with_min_confidence(model, min_confidence)
+        return bk, B.fit_fp_growth(bk, min_support=min_support)
+    return _memo(f"fp-{min_support}", spark, sf, build)
 
 
 @query("frequent_itemsets")
@@ -301,8 +308,8 @@ def basket_recommendations(spark, sf):
     model = _fp_model(spark, sf, B.MIN_SUPPORT, LOW_CONFIDENCE)
     longf = B.basket_items(adapters.sales_lines(spark, sf), adapters.items(spark, sf),
                            item_col="i_brand")
-    return B.recommend(longf, B.association_rules(model), model=model,
-                       baskets=_brand_baskets(spark, sf))
+    bk, _ = _fp_fit(spark, sf, B.MIN_SUPPORT)
+    return B.recommend(longf, B.association_rules(model), model=model, baskets=bk)
 
 
 # --- profiles ---------------------------------------------------------------
