@@ -103,7 +103,7 @@ SELECT feature, count(DISTINCT value) AS n_distinct, count(DISTINCT value) <= 20
 
 # --- text -------------------------------------------------------------------
 WS = "'[ \\t\\n\\x0B\\f\\r]'"
-TOKENS = f"""(SELECT pr_review_id, pos, token FROM (
+TOKENS = f"""(SELECT pr_review_id, CAST(pos AS INTEGER) AS pos, token FROM (
     SELECT pr_review_id,
            unnest(generate_series(0, len(t) - 1)) AS pos,
            unnest(t) AS token
@@ -164,8 +164,8 @@ sets AS (SELECT items, count(*) AS freq FROM occ GROUP BY items
          HAVING count(*) >= (SELECT m FROM mc))"""
 
 
-ORACLE_SQL["frequent_itemsets"] = _itemsets(0.01) + "\nSELECT items, len(items) AS size, freq FROM sets"
-ORACLE_SQL["frequent_itemsets_rdd_variant"] = _itemsets(0.004) + "\nSELECT items, len(items) AS size, freq FROM sets"
+ORACLE_SQL["frequent_itemsets"] = _itemsets(0.01) + "\nSELECT items, CAST(len(items) AS INTEGER) AS size, freq FROM sets"
+ORACLE_SQL["frequent_itemsets_rdd_variant"] = _itemsets(0.004) + "\nSELECT items, CAST(len(items) AS INTEGER) AS size, freq FROM sets"
 
 
 def _rules(min_support: float, min_conf: float) -> str:

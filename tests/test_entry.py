@@ -40,6 +40,17 @@ def duck(sf):
     return con
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def _duck_type(spark_type) -> str:
+    s = spark_type.simpleString()
+    if s.startswith("array<"):
+        return _TYPES.get(s[6:-1], s[6:-1]) + "[]"
+    return _TYPES.get(s, s)
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle_parity(spark, sf, duck, name):
     df = E.queries()[name](spark, sf)
@@ -49,3 +60,5 @@ def test_oracle_parity(spark, sf, duck, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, rows) == _rows(dcols, drows)
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE ({E.oracle_sql()[name]})").fetchall()}
+    assert {f.name: _duck_type(f.dataType) for f in df.schema.fields} == dtypes
