@@ -41,13 +41,16 @@ def test_click_pivot_and_labels(spark):
     assert mean == {7: 1.0, 8: 0.0}                          # mean of (2, 0) is 1
 
 
-def test_pivot_partition_independent(spark, sf):
+def test_results_partition_independent(spark, sf):
+    """Tier-S results do not depend on the shuffle partition count."""
     from aisleflow.plans import queries as Q
-    a = sorted(Q.customer_class_pivot(spark, sf).collect())
+    names = ["customer_class_pivot", "category_clicks", "baskets", "gini_splits", "tokens"]
+    ref = {n: sorted(Q.QUERIES[n](spark, sf).collect()) for n in names}
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        for n in ("1", "17"):
-            spark.conf.set("spark.sql.shuffle.partitions", n)
-            assert sorted(Q.customer_class_pivot(spark, sf).collect()) == a
+        for p in ("1", "17"):
+            spark.conf.set("spark.sql.shuffle.partitions", p)
+            for n in names:
+                assert sorted(Q.QUERIES[n](spark, sf).collect()) == ref[n], (n, p)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
