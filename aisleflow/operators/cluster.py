@@ -61,12 +61,19 @@ def lloyd(points: DataFrame, features: Sequence[str], centers: Sequence[Sequence
           steps: int) -> list[list[float]]:
     """Run ``steps`` Lloyd updates; an empty cluster keeps its centre."""
     centers = [list(map(float, c)) for c in centers]
+    k = len(centers)
     for _ in range(steps):
         a = assign(points, features, centers)
-        rows = a.groupBy("cluster").agg(*[F.avg(F.col(f).cast("double")).alias(f)
-                                          for f in features]).collect()
-        new = {r["cluster"]: [float(r[f]) for f in features] for r in rows}
-        centers = [new.get(i, c) for i, c in enumerate(centers)]
+        # One global aggregate (k counts, k x d conditional sums): every map
+        # task sends one partial row, no shuffle by cluster.
+        aggs = []
+        for i in range(k):
+            aggs.append(F.expr(f"count(CASE WHEN cluster = {i} THEN 1 END) AS n{i}"))
+            aggs += [F.expr(f"sum(CASE WHEN cluster = {i} THEN CAST(`{f}` AS DOUBLE) END) AS s{i}_{j}")
+                     for j, f in enumerate(features)]
+        r = a.agg(*aggs).first()
+        centers = [[float(r[f"s{i}_{j}"]) / r[f"n{i}"] for j in range(len(features))]
+                   if r[f"n{i}"] else c for i, c in enumerate(centers)]
     return centers
 
 

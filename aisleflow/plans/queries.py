@@ -268,7 +268,7 @@ def _fp_fit(spark, sf, min_support):
 
     def build():
         from aisleflow.plans.models import persist_sized
-        bk = persist_sized(_brand_baskets(spark, sf))
+        bk = persist_sized(_brand_baskets(spark, sf), BASKETS_PER_PARTITION)
         return bk, B.fit_fp_growth(bk, min_support=min_support)
     return _memo(f"fp-{min_support}", spark, sf, build)
 
@@ -341,8 +341,11 @@ def nb_pipeline(spark, sf):
     return _memo("nb", spark, sf, lambda: _nb_build(spark, sf))
 
 
-# Rows per partition of the persisted (document, term) counts.
-TF_ROWS_PER_PARTITION = 250_000
+# Rows per partition of persisted per-row work tables (term counts,
+# baskets): small enough to keep every core busy, large enough to cap a
+# 200-partition default shuffle at a useful size.
+TF_ROWS_PER_PARTITION = 50_000
+BASKETS_PER_PARTITION = 20_000
 
 
 def _nb_build(spark, sf):
