@@ -57,14 +57,40 @@ ROWS_PER_PARTITION = 500_000
 DOCS_PER_PARTITION = 2_000
 
 
+# Session setting: "true" writes reused intermediates to the shared
+# checkpoint folder instead of caching them on executors.
+DURABLE_CONF = "spark.aisleflow.durableIntermediates"
+
+
+def durable_enabled(spark: SparkSession) -> bool:
+    try:
+        return spark.conf.get(DURABLE_CONF, "false").lower() == "true"
+    except Exception:
+        return False
+
+
+def stage_durable(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: one computation, lineage cut, and a lost executor costs a re-read
+    of files instead of a recomputation from raw inputs."""
+    from aisleflow.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Persist ``df`` with about ``rows_per_partition`` rows per partition.
 
     The frame is persisted and counted once; if it has more partitions than
     its size needs, the cached blocks are coalesced (narrow, no shuffle) into
     a second persisted copy and the first is released.  Never increases the
-    partition count.
+    partition count.  With ``spark.aisleflow.durableIntermediates=true`` the
+    frame is written to the shared checkpoint folder instead (see
+    :func:`stage_durable`).
     """
+    if durable_enabled(df.sparkSession):
+        return stage_durable(df)
     first = persist(df)
     n = first.count()
     want = max(1, -(-n // rows_per_partition))

@@ -35,3 +35,21 @@ def test_hot_customer_and_transaction_exact(spark):
     assert {c: piv[1][f"id{c}"] for c in range(1, 6)} == {c: want[c] for c in range(1, 6)}
     bk = {r[0]: r[1] for r in B.baskets(sales).collect()}
     assert bk[1] == sorted({i for t, c, i in rows if t == 1})
+
+
+def test_durable_intermediates_same_results(spark, sf):
+    """Writing reused intermediates to the shared folder gives the same
+    results as caching them."""
+    import os
+    from aisleflow.plans import models as M
+    from aisleflow.plans import queries as Q
+    ref = sorted(Q.customer_class_pivot(spark, sf).collect())
+    spark.conf.set(M.DURABLE_CONF, "true")
+    try:
+        staged = M.persist_sized(Q.customer_class_pivot(spark, sf))
+        files = staged.inputFiles()
+        assert files and all(spark.conf.get("spark.checkpoint.dir").split("://")[-1] in f
+                             for f in files)
+        assert sorted(staged.collect()) == ref
+    finally:
+        spark.conf.set(M.DURABLE_CONF, "false")
