@@ -83,9 +83,9 @@ def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -
     """Persist ``df`` with about ``rows_per_partition`` rows per partition.
 
     The frame is persisted and counted once; if it has more partitions than
-    its size needs, the cached blocks are coalesced (narrow, no shuffle) into
-    a second persisted copy and the first is released.  Never increases the
-    partition count.  With ``spark.aisleflow.durableIntermediates=true`` the
+    its size needs, the result reads the cached blocks through a narrow
+    coalesce (no shuffle, no second copy).  Never increases the partition
+    count.  With ``spark.aisleflow.durableIntermediates=true`` the
     frame is written to the shared checkpoint folder instead (see
     :func:`stage_durable`).
     """
@@ -96,10 +96,8 @@ def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -
     want = max(1, -(-n // rows_per_partition))
     if want >= first.rdd.getNumPartitions():
         return first
-    sized = persist(first.coalesce(want))
-    sized.count()
-    first.unpersist()
-    return sized
+    # Narrow coalesce over the cached blocks: no second copy, no extra job.
+    return first.coalesce(want)
 
 
 # --- clustering -----------------------------------------------------------------
