@@ -349,7 +349,6 @@ BASKETS_PER_PARTITION = 20_000
 
 
 def _nb_build(spark, sf):
-    from pyspark import StorageLevel
     from aisleflow.functions import labels as L
     from aisleflow.functions.split import hash_bucket
     from aisleflow.operators import bayes, text
@@ -488,7 +487,6 @@ def lloyd_run(spark, sf):
 
 def _lloyd_build(spark, sf):
     from aisleflow.operators import cluster
-    from pyspark import StorageLevel
     from aisleflow.plans import models as M
     pts = M.persist_sized(customer_class_pivot(spark, sf))
     init = cluster.initial_centers(pts, PIVOT_FEATURES, LLOYD_K, "cid")
