@@ -42,8 +42,6 @@ def fit(features: DataFrame, labels: DataFrame, *, key: str,
     without features count in the priors)."""
     lam = F.lit(float(smoothing))
     n_c = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
-    # Bounded scalars, one small job; used as literals afterwards.
-    n_total, n_classes = labels.agg(F.count(F.lit(1)), F.countDistinct("label")).first()
     lf = features if "label" in features.columns else features.join(labels, key, "inner")
     # One row per (class, term): the model itself, kept for the steps below.
     s_cj = (lf.groupBy("label", "term").agg(F.sum("x").alias("s_cj"))
@@ -52,8 +50,9 @@ def fit(features: DataFrame, labels: DataFrame, *, key: str,
                                          F.count(F.lit(1)).alias("_t")).collect()
     v = s_cj.select("term").distinct().count()
     s_c = {r["label"]: r["s_c"] for r in s_c_rows}
-    pri = n_c.collect()                 # one row per class
+    pri = n_c.collect()                 # one row per class (bounded)
     lam_v, n_docs = float(smoothing), {r["label"]: r["n_docs"] for r in pri}
+    n_total, n_classes = sum(n_docs.values()), len(n_docs)
     import math
     constants = {}
     for c, n in n_docs.items():
