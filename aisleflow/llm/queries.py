@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisleflow.llm import chat, decontaminate, exact_dedup, langid, mixing, quality, resharding, simhash, token_files
+from aisleflow.llm import chat, decontaminate, exact_dedup, html_extract, langid, mixing, quality, resharding, simhash, token_files
 from aisleflow.llm.common import cut, held_out, table
 
 
@@ -71,6 +71,11 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 #: The conversation added to those of the table: its texts are control strings.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_html_extract": op7_html_extract,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
