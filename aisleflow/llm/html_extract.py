@@ -42,9 +42,11 @@ from aisleflow.llm.common import ship
 @dataclass(frozen=True)
 class HtmlConfig:
     #: Pages of the bounded sample on which the trees are fitted.
-    fit_pages: int = 240
-    trees: int = 12
-    depth: int = 4
+    fit_pages: int = 120
+    #: Rebuilt copies of each of them.
+    copies: int = 5
+    trees: int = 16
+    depth: int = 5
     seed: int = 11
 
 
@@ -250,8 +252,10 @@ def weak_labels(page: Page) -> list[int] | None:
     hearts_set = set(hearts)
     for i in range(n):
         up = page.parent[i]
-        frame[i] = up >= 0 and frame[up] or page.tag[i] in FRAME_TAGS or (i not in hearts_set and any(t in FRAME_TOKENS for t in page.tokens[i]))
         inside[i] = i in hearts_set or up >= 0 and inside[up]
+        titled = page.tag[i] == "header" and inside[i]  # the article's own title
+        frame[i] = up >= 0 and frame[up] or (page.tag[i] in FRAME_TAGS and not titled) \
+            or (i not in hearts_set and any(t in FRAME_TOKENS for t in page.tokens[i]))
         out[i] = int(inside[i] and not frame[i])
     for i in hearts:
         while i >= 0 and not frame[i]:
@@ -274,43 +278,61 @@ def reframed(page: Page, labels: list[int], rng) -> tuple[Page, list[int]]:
         (blocks if labels[node] else links if page.tag[node] == "a" else frame).append((page.tag[up], text))
     if not blocks:
         return page, labels
-    telling = rng.random() < 0.5
-    name = lambda *x: f' class="{x[rng.integers(len(x))]}"' if telling or rng.random() < 0.3 else f' class="c{rng.integers(99)}"'
+    pick = lambda *x: x[rng.integers(len(x))]
+    chance = lambda p: rng.random() < p
+    telling = chance(0.7)
+    name = lambda *x: f' {pick("class", "class", "id")}="{pick(*x) if telling else f"c{rng.integers(99)}"}"'
     spare = [html.escape(t[1]) for t in frame] or ["Copyright"]
-    sentence = lambda: spare[rng.integers(len(spare))][: int(rng.integers(20, 200))]
+    sentence = lambda top=200: pick(*spare)[: int(rng.integers(5, top))]
     some = [html.escape(t[1]) for t in links] or ["home", "news", "about"]
-    menu = lambda: "<ul>" + "".join(f'<li><a href="/x">{some[rng.integers(len(some))]}</a></li>' for _ in range(rng.integers(3, 10))) + "</ul>"
-    body_words = html.escape(" ".join(b[1] for b in blocks)).split()
-    quote = lambda: " ".join(body_words[(s := int(rng.integers(max(1, len(body_words) - 12)))):s + int(rng.integers(4, 30))])
-    heart = "".join(f"<{t if t in ('h1', 'h2', 'li', 'blockquote', 'pre') else 'p'}>{html.escape(x)}</{t if t in ('h1', 'h2', 'li', 'blockquote', 'pre') else 'p'}>" for t, x in blocks)
-    parts = {
-        "header": f"<header{name('site-header', 'masthead')}><div><a href='/'>{sentence()}</a></div></header>",
-        "nav": f"<nav{name('navbar', 'menu')}>{menu()}</nav>" if rng.random() < 0.5 else f"<div{name('main-menu', 'navigation', 'breadcrumbs')}>{menu()}</div>",
-        "notice": f"<div{name('cookie-notice', 'consent', 'banner')}><p>{sentence()}</p><button>OK</button></div>",
-        "ad": f"<div{name('ad', 'advert', 'sponsored', 'promo')}>{sentence()}</div>",
-        "form": f"<form{name('newsletter', 'search', 'login')}><label>{sentence()[:30]}</label><input name='q'><button>{sentence()[:10]}</button></form>",
-    }
-    after = {
-        "side": f"<aside{name('sidebar', 'related')}><h3>{sentence()[:20]}</h3>{menu()}</aside>" if rng.random() < 0.5
-                else f"<div{name('sidebar', 'widget', 'related-posts')}><h3>{sentence()[:20]}</h3>{menu()}<p>{sentence()}</p></div>",
-        "comments": f"<{'section' if telling else 'div'}{name('comments', 'comment-list', 'replies')}><h3>{sentence()[:15]}</h3>" + "".join(
-            f"<div{name('comment', 'reply')}><b>{sentence()[:8]}</b><p>{quote()}</p></div>" for _ in range(rng.integers(1, 6))) + f"</{'section' if telling else 'div'}>",
-        "footer": f"<footer{name('footer', 'site-footer')}>&copy; {sentence()}</footer>" if rng.random() < 0.6 else f"<div{name('footer')}><p>{sentence()}</p>{menu()}</div>",
-    }
-    kind = rng.integers(3)
-    wrap = (f"<article><!--+-->{heart}<!-- --></article>", f"<main><!--+--><div>{heart}</div><!-- --></main>",
-            f"<div{name('post-content', 'entry', 'story')}><!--+-->{heart}<!-- --></div>")[kind]
-    chosen = [v for v in parts.values() if rng.random() < 0.6]
-    inner = parts["ad"] if rng.random() < 0.2 else ""
-    tail = [v for v in after.values() if rng.random() < 0.6]
-    marked = "".join(chosen) + wrap.replace("<!-- -->", inner) + "".join(tail)
-    if rng.random() < 0.5:
-        marked = f"<div{name('wrapper', 'page')}>{marked}</div>"
+    link = lambda: f'<a href="/x">{pick(*some)}</a>'
+    menu = lambda: pick("<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.integers(2, 10))) + "</ul>",
+                        "".join(link() + pick(" ", " | ") for _ in range(rng.integers(2, 8))))
+    if chance(0.4):  # a short article
+        blocks = [(t, x[: int(rng.integers(3, 120))].strip() or x) for t, x in blocks[: int(rng.integers(1, 5))]]
+    title = pick("h1", "h2")
+    blocks = [(title if t == "h1" else t, x) for t, x in blocks]
+    words = html.escape(" ".join(b[1] for b in blocks)).split()
+    quote = lambda: " ".join(words[(k := int(rng.integers(max(1, len(words) - 12)))):k + int(rng.integers(3, 40))])
+    kept = ("h1", "h2", "h3", "blockquote", "pre")
+    written = [f"<{t if t in kept else 'p'}>{html.escape(x)}</{t if t in kept else 'p'}>" for t, x in blocks]
+    if chance(0.3) and written[0].startswith("<h"):
+        written[0] = f"<header>{written[0]}</header>"
+    if chance(0.3):
+        written[-1] = "<ul>" + "".join(f"<li>{html.escape(x)}</li>" for x in [blocks[-1][1]]) + "</ul>"
+    ad = lambda: f"<{(t := pick('div', 'aside', 'section'))}{name('ad', 'advert', 'sponsored', 'promo', 'ads')}>{pick('', '<p>')}{sentence()}</{t}>"
+    form = lambda: f"<form{name('newsletter', 'search', 'login', 'subscribe')}><label>{sentence(30)}</label><input name='q'>{pick('', '<p>' + sentence(60) + '</p>')}<button>{sentence(12)}</button></form>"
+    notice = lambda: f"<div{name('cookie-notice', 'consent', 'banner', 'notice', 'popup')}>{pick('', '<p>')}{sentence()}{pick('', '<button>OK</button>')}</div>"
+    related = lambda: f"<{(t := pick('aside', 'div', 'section'))}{name('related', 'sidebar', 'widget', 'related-posts')}><h3>{sentence(20)}</h3>{pick(menu(), '<p>' + sentence() + link() + '</p>', menu() + '<p>' + quote() + '</p>')}</{t}>"
+    share = lambda: f"<div{name('share', 'social', 'tags')}>{menu()}</div>"
+
+    def comments() -> str:
+        t, item = pick("section", "div", "ol"), pick("div", "li", "p", "article")
+        own = "".join(f"<{item}{pick(name('comment', 'reply'), '')}>" + (f"<b>{sentence(10)}</b><p>{quote()}</p>" if item in ("div", "article") and chance(0.7) else quote())
+                      + f"</{item}>" for _ in range(rng.integers(1, 7)))
+        return f"<{t}{name('comments', 'comment-list', 'replies', 'responses', 'disqus')}>{pick('', f'<h3>{sentence(15)}</h3>')}{own}{pick('', form())}</{t}>"
+
+    inner = [x() for x in (ad, form, related, share, notice) if chance(0.2)]
+    for x in inner:
+        written.insert(int(rng.integers(1, len(written) + 1)), x)
+    if chance(0.25):
+        written.append(comments())
+    heart = "".join(written)
+    wrap = pick(f"<article>{heart}</article>", f"<article{name('post', 'article', 'entry')}><div{name('entry-content', 'article-body', 'text')}>{heart}</div></article>",
+                f"<main>{heart}</main>", f"<main><div>{heart}</div></main>", f"<div{name('post-content', 'entry', 'story', 'content', 'main-content')}>{heart}</div>")
+    top, menus = pick("header", "div"), pick("nav", "div")
+    before = [f"<{top}{name('header', 'site-header', 'masthead')}>{pick('', '<h1>', '<h1>')}{pick(link(), sentence(30))}{pick('', '<p>' + sentence(60) + '</p>')}</{top}>",
+              f"<{menus}{name('navbar', 'menu', 'main-menu', 'navigation', 'breadcrumbs')}>{menu()}</{menus}>", notice(), ad(), form(), related()]
+    bottom = pick("footer", "div")
+    after = [related(), comments(), share(), ad(), notice(), f"<{bottom}{name('footer', 'site-footer')}>{pick('', '<p>')}&copy; {sentence()}{pick('', menu())}</{bottom}>"]
+    marked = "".join(x for x in before if chance(0.45)) + wrap + "".join(x for x in after if chance(0.45))
+    if chance(0.5):
+        marked = f"<div{name('wrapper', 'page', 'container')}>{marked}</div>"
     out = parse(f"<html><body>{marked}</body></html>")
-    return out, _heart_labels(out, [x for _, x in blocks], inner)
+    return out, _heart_labels(out, [x for _, x in blocks])
 
 
-def _heart_labels(page: Page, texts: list[str], inner: str) -> list[int]:
+def _heart_labels(page: Page, texts: list[str]) -> list[int]:
     """Labels of a rebuilt page: nodes that hold the article's blocks, and all above them."""
     known = {t for t in texts}
     out = [0] * len(page.tag)
@@ -381,7 +403,7 @@ def fit(pages: DataFrame, cfg: HtmlConfig = HtmlConfig()) -> Trees | None:
 
     spark = pages.sparkSession
     ship(spark)
-    seed = cfg.seed
+    seed, copies = cfg.seed, cfg.copies
     chosen = pages.select("html", F.xxhash64("html").alias("h")).where("html is not null and html <> ''")
     bound = chosen.select("h").distinct().orderBy("h").limit(cfg.fit_pages).agg(F.max("h")).first()[0]
     if bound is None:
@@ -398,7 +420,7 @@ def fit(pages: DataFrame, cfg: HtmlConfig = HtmlConfig()) -> Trees | None:
                 if labels is None:
                     continue
                 rng = np.random.default_rng([seed, h & 0x7FFFFFFF])
-                for p, y in [(page, labels)] + [reframed(page, labels, rng) for _ in range(2)]:
+                for p, y in [(page, labels)] + [reframed(page, labels, rng) for _ in range(copies)]:
                     x = features(p)
                     xs.append(x)
                     ys.append(np.array(y, float))
