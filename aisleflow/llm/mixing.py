@@ -59,10 +59,12 @@ def word_tokens(text: Column) -> Column:
 
 def source_domain(source: Column) -> Column:
     """Domain of a source by the number that ends its name."""
-    number = F.regexp_extract(source, r"([0-9]+)$", 1)
-    names = F.array(*[F.lit(x) for x in ("web", "books", "forums", "reference")])
-    return F.when(number == "", F.lit(None)).otherwise(
-        F.element_at(names, F.pmod(number.cast("long"), F.lit(4)).cast("int") + 1))
+    number = F.coalesce(F.regexp_extract(source, r"([0-9]+)$", 1), F.lit(""))
+    rest = F.pmod(F.when(number == "", F.lit("0")).otherwise(number).cast("decimal(38,0)"), F.lit(4))
+    out = F.lit(None).cast("string")
+    for i, name in enumerate(("web", "books", "forums", "reference")):
+        out = F.when((number != "") & (rest == i), F.lit(name)).otherwise(out)
+    return out
 
 
 def _weight(name: Column, weights: dict) -> Column:
