@@ -37,6 +37,8 @@ from pyspark.sql.window import Window
 from aisleflow.llm.common import shared_path
 
 BLOCK_BITS = 12
+#: Bound of the number of (shard, block) counts that are broadcast.
+MAX_BLOCKS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -124,9 +126,9 @@ def _row_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
 
 
-def _block(h: Column) -> Column:
+def _block(h: Column, bits: int = BLOCK_BITS) -> Column:
     # the order of blocks is that of the hash
-    return F.shiftright(h, 64 - BLOCK_BITS)
+    return F.shiftright(h, 64 - bits)
 
 
 def plan(docs: DataFrame, old_shard: Column, cfg: ReshardConfig = ReshardConfig(),
@@ -190,16 +192,22 @@ def assign(docs: DataFrame, old_shard: Column, ranges: list[tuple]) -> DataFrame
                      & (F.col("__h") <= F.col("r_high"))).drop("r_old", "r_low", "r_high")
 
 
-def with_slots(assigned: DataFrame) -> DataFrame:
+def with_slots(assigned: DataFrame, n_shards: int) -> DataFrame:
     """Adds ``__slot``, gapless from 0 in each shard, by order of hash and id.
-    Rows are dealt by range of (shard, block), which also puts a shard's rows into few tasks."""
-    counts = assigned.groupBy("__shard", _block(F.col("__h")).alias("__block")).agg(F.count("*").alias("n"))
+
+    Rows are dealt once, by range of (shard, block), which also puts a shard's rows
+    into few tasks.  The counts of the blocks are broadcast: a shard has so many
+    blocks that all shards together have at most ``MAX_BLOCKS`` (or one each).
+    """
+    bits = max(0, (MAX_BLOCKS // max(1, n_shards)).bit_length() - 1)
+    block = _block(F.col("__h"), bits) if bits else F.lit(0).cast("long")
+    counts = assigned.groupBy("__shard", block.alias("__block")).agg(F.count("*").alias("n"))
     upto = Window.partitionBy("__shard").orderBy("__block")
     bases = counts.withColumn("__base", F.sum("n").over(upto) - F.col("n")).drop("n")
-    dealt = assigned.withColumn("__block", _block(F.col("__h"))).repartitionByRange("__shard", "__block")
+    dealt = assigned.withColumn("__block", block).repartitionByRange("__shard", "__block")
     order = Window.partitionBy("__shard", "__block").orderBy("__h", F.col("doc_id").cast("string"))
     numbered = dealt.withColumn("__row", F.row_number().over(order) - 1)
-    return numbered.join(bases, ["__shard", "__block"]).withColumn("__slot", (F.col("__base") + F.col("__row")).cast("long")) \
+    return numbered.join(F.broadcast(bases), ["__shard", "__block"]).withColumn("__slot", (F.col("__base") + F.col("__row")).cast("long")) \
         .drop("__row", "__base", "__block", "__h")
 
 
@@ -214,7 +222,7 @@ def reshard(docs: DataFrame, old_shard: Column, cfg: ReshardConfig = ReshardConf
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c not in ("shard", "slot")]
     transfers, ranges = plan(docs, old_shard, cfg, move_cost)
-    rows = with_slots(assign(docs, old_shard, ranges)).select(
+    rows = with_slots(assign(docs, old_shard, ranges), cfg.n_shards).select(
         *columns, F.col("__slot").alias("slot"), F.col("__shard").alias("shard"))
     untouched = sorted({t.new for t in transfers} - {x for t in transfers if t.old != t.new for x in (t.old, t.new)})
     path = path or shared_path(spark, "shards")
