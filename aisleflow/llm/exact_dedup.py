@@ -3,8 +3,11 @@
 The normalised texts are range-partitioned at sampled splitters
 (``repartitionByRange``) and sorted externally in each partition, which puts
 equal texts next to each other; a window over neighbours with the same whole text
-finds the identifier that stays and the size of the group.  Range partitioning by
-the text already satisfies the window, so there is one shuffle of the texts.
+finds the identifier that stays and the size of the group.  The order is by the
+first ``prefix`` characters, a hash, and then the whole text: the splitters, which the
+driver samples, hold the first two only, so they stay small however long the texts are, and texts
+with one long beginning still spread.  This range partitioning already satisfies the window,
+so there is one shuffle of the texts.
 
 A group of copies may hold a third of all rows.  A bounded sample of hashes
 (about ``sample`` rows, drawn at random) shows which texts recur: a text
@@ -33,6 +36,8 @@ from aisleflow.llm.common import ascii_lower, cut
 class ExactDedupConfig:
     #: The identifier that stays: "smallest" or "largest".
     keep: str = "smallest"
+    #: Characters of a text in a splitter.
+    prefix: int = 32
     sample: int = 20_000
     heavy: int = 20
     salts: int = 64
@@ -54,9 +59,10 @@ def equal_texts(docs: DataFrame, norm: Column, cfg: ExactDedupConfig = ExactDedu
         .join(heavy, F.col("hash") == F.col("heavy_hash"), "left")
     is_heavy = F.col("heavy_hash").isNotNull()
     salt = F.when(is_heavy, F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("salt")), F.lit(cfg.salts))).otherwise(F.lit(-1))
-    ordered = rows.select("doc_id", "norm", salt.cast("int").alias("salt")).repartitionByRange("norm", "salt")
+    ordered = rows.select("doc_id", "norm", F.substring("norm", 1, cfg.prefix).alias("begin"), "hash", salt.cast("int").alias("salt")) \
+        .repartitionByRange("begin", "hash", "salt")
     # neighbours with the same whole text and salt
-    run = Window.partitionBy("norm", "salt").orderBy("doc_id")
+    run = Window.partitionBy("begin", "hash", "salt", "norm").orderBy("doc_id")
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     runs = ordered.select(
         "doc_id", "salt", best("doc_id").over(whole).alias("best"), F.count("*").over(whole).alias("n"),
