@@ -19,8 +19,11 @@ table gives an empty manifest.
 
 from __future__ import annotations
 
+import json
 import re
+import sys
 import zlib
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -30,10 +33,14 @@ from pyspark.sql import functions as F
 
 from aisleflow.llm.common import shared_path, ship
 
+# Fixed value: the pre-tokenizer pattern of byte-level tokenizers.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BREAK = re.compile(r"(?<=\S)(?= )")
 _UNSAFE = re.compile(r"\s ")
-MAX_CACHED = 200_000
-MAX_CACHED_CHARS = 48
+#: Bounds of what a worker keeps, and of the length of a kept piece.
+MAX_PARTS, MAX_WORDS, MAX_KEPT_CHARS = 500_000, 100_000, 48
+#: Below this code point all versions of Unicode agree on what is a letter or a number.
+_SETTLED = "\u0530"
 
 
 @lru_cache(maxsize=4)
@@ -45,42 +52,90 @@ def load_tokenizer(path: str):
     return out
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: printable Latin-1
+    characters stand for themselves, the others for the code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Kept(dict):
+    """Values made when first asked for, up to a number of entries."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= MAX_KEPT_CHARS:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Encoder:
-    """Encodes texts to flat integers with a byte-level tokenizer.
+    """Encodes texts to flat integers with a tokenizer of the tokenizers library.
 
-    The pre-tokenizer never joins a space to what stands before it, so a text may
-    be cut before each space that follows a character other than white space; the
-    pieces are encoded once and kept, up to a bound.
+    A byte-level pre-tokenizer never joins a space to what stands before it, so a text may
+    be cut before each space that follows a character other than white space.  Such a
+    part is cut by the pre-tokenizer's pattern, and the model encodes the pieces; parts and
+    pieces that were encoded before are kept, up to a bound.  Other
+    tokenizers, and parts of letters on which versions of Unicode differ, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
+        import regex
+
         self.tokenizer = load_tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        pre = spec["pre_tokenizer"] or {}
+        self.by_parts = (spec["model"]["type"], pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex", True),
+                         spec["normalizer"]) == ("BPE", "ByteLevel", False, True, None)
+        self._letters, self._cut = byte_letters(), regex.compile(PIECES).findall
+        self._tokenize = self.tokenizer.model.tokenize
+        self._words = _Kept(self._model, MAX_WORDS)
+        self._parts = _Kept(self._part, MAX_PARTS)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [self.split(t) for t in texts]
-        if len(self.known) > MAX_CACHED:
-            self.known = {}
-        known = self.known
-        missing = list({p for own in pieces for p in own} - known.keys())
-        extra: dict[str, bytes] = {}
-        for i in range(0, len(missing), 4096):
-            some = missing[i:i + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                (known if len(p) <= MAX_CACHED_CHARS else extra)[p] = np.array(e.ids, self.dtype).tobytes()
-        if extra:
-            return [b"".join([known[p] if p in known else extra[p] for p in own]) for own in pieces]
-        return [b"".join(map(known.__getitem__, own)) for own in pieces]
-
-    @staticmethod
-    def split(text: str) -> list[str]:
+        if not self.by_parts:
+            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self._encode(t) for t in texts]
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, self.dtype).tobytes()
+
+    def _encode(self, text: str) -> bytes:
         if not text:
-            return []
+            return b""
         if _UNSAFE.search(text):
-            return _BREAK.split(text)
+            first, *rest = _BREAK.split(text)
+            return self._whole(first) + b"".join([self._parts[p[1:]] if p[1:2] != " " else self._whole(p) for p in rest])
         first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + w for w in rest]
+        return (self._whole(first) if first else b"") + b"".join(map(self._parts.__getitem__, rest))
+
+    def _part(self, part: str) -> bytes:
+        """A space and ``part``, which has no space."""
+        if part.isalpha() and (part.isascii() or max(part) < _SETTLED):
+            return self._model(" " + part)
+        return self._whole(" " + part)
+
+    def _whole(self, text: str) -> bytes:
+        if not text.isascii() and max(text) >= _SETTLED:
+            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join([self._parts[p[1:]] if p[0] == " " and p[1:].isalpha() else self._words[p] for p in self._cut(text)])
+
+    def _model(self, piece: str) -> bytes:
+        letters = piece.encode("utf-8").decode("latin-1").translate(self._letters)
+        return self._pack([t.id for t in self._tokenize(letters)])
+
+
+@lru_cache(maxsize=2)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def _files(folder: str):
@@ -133,7 +188,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, folder: str | N
 
         part = TaskContext.get().partitionId()
         stem = f"part-{part:06d}-{uuid.uuid4().hex[:8]}"
-        encoder = Encoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         end = np.array([end_id], encoder.dtype).tobytes()
         store, path = _files(folder)
         n_docs = n_tokens = 0
@@ -192,13 +247,15 @@ def read(spark: SparkSession, data: TokenDataset, id_type: str, with_ids: bool =
                         for i in range(0, len(doc_ids), 500):
                             some = doc_ids.slice(i, 500)
                             off = np.asarray(offsets[slice(at, at + len(some) + 1)])
-                            own = [np.ascontiguousarray(tokens[slice(int(a), int(b))]).astype("<u4").tobytes() for a, b in zip(off[:-1], off[1:])]
+                            begin = int(off[0])
+                            flat = memoryview(np.asarray(tokens[slice(begin, int(off[-1]))]).astype("<u4")).cast("B")
+                            own = [flat[4 * a:4 * b] for a, b in zip((off[:-1] - begin).tolist(), (off[1:] - begin).tolist())]
                             at += len(some)
                             columns = [some, pa.array(part["base"] + off[:-1]), pa.array(off[1:] - off[:-1]),
                                        pa.array([zlib.crc32(x) for x in own], pa.int64())]
                             names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                             if with_ids:
-                                columns, names = [*columns, pa.array(own, pa.binary())], [*names, "ids"]
+                                columns, names = [*columns, pa.array([bytes(x) for x in own], pa.binary())], [*names, "ids"]
                             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     parts = spark.createDataFrame(list(data.parts), "part long, stem string, docs long, tokens long, base long")

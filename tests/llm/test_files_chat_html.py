@@ -17,7 +17,8 @@ def plain_ids(texts):
 
 
 def test_pieces_encode_like_whole_texts():
-    texts = ["", " ", "  ", "a  b", "a \n b", "a\n b", "x  y", " lead", "trail ", "don't  stop 's", "a\t b\x1c c", "　 z", "12 34  !! ?", "<|endoftext|> x", "é" * 100 + " " + "q" * 100]
+    texts = ["", " ", "  ", "a  b", "a \n b", "a\n b", "x  y", " lead", "trail ", "don't  stop 's", "a\t b\x1c c", "　 z", "12 34  !! ?", "<|endoftext|> x", "é" * 100 + " " + "q" * 100,
+             "日本語 テキスト", " 日本", "Ωμέγα привет ёж", "ʼn ǅ ª º ² ½ ٣", "a\u00a0 b", "x\u2003y \u2003 z", "\x00 \x1c \x85 ", "😀 a😀 ", "it's 'tis o'clock'", "a'll", "１２ 3a4", "\u0378 \u0530x"]
     encoder = token_files.Encoder(tokenizer_path())
     assert encoder.dtype == np.dtype("<u2")
     for _ in range(2):  # the second time from what is kept
