@@ -38,7 +38,7 @@ from aisleflow.llm.common import shared_path
 
 BLOCK_BITS = 12
 #: Bound of the number of (shard, block) counts that are broadcast.
-MAX_BLOCKS = 1 << 18
+MAX_BLOCKS = 1 << 16
 
 
 @dataclass(frozen=True)
