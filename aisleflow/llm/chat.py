@@ -12,8 +12,9 @@ ranges [start, end) of the conversation, from prefix sums over segment lengths.
 
 Turns are encoded before the shuffle; conversations are assembled by streaming over
 sorted partitions, so memory does not grow with a conversation.  An output row
-holds whole turns, up to about ``max_tokens`` of them together: a usual conversation is one row,
-a very long one is several parts.
+holds whole turns, up to about ``max_tokens`` tokens together: a usual conversation is one
+row, a very long one is several parts, of which only the last has ``last`` set.  Whole conversations
+are read back row by row; only those of several parts are shuffled again.
 
 Defined results: null roles and texts are empty.  Turns are ordered by turn (nulls
 first), role and text; repeated rows are all kept.  Rows with a null conv_id are one
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aisleflow.llm.common import ship
-from aisleflow.llm.token_files import Encoder, load_tokenizer
+from aisleflow.llm.token_files import load_tokenizer, worker_encoder
 
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
@@ -74,7 +75,7 @@ def encode_turns(turns: DataFrame, cfg: ChatConfig) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(cfg.tokenizer_path)
+        encoder = worker_encoder(cfg.tokenizer_path)
         start, end = (np.array([i], "<u4") for i in reserved_ids(encoder.tokenizer))
         wide = lambda raw: np.frombuffer(raw, encoder.dtype).astype("<u4")
         newline = wide(encoder.encode(["\n"])[0])
@@ -97,8 +98,8 @@ def encode_turns(turns: DataFrame, cfg: ChatConfig) -> DataFrame:
 
 def format_conversations(turns: DataFrame, cfg: ChatConfig) -> DataFrame:
     """One row for each conversation (several parts for a very long one): conv_id, part,
-    first_token, ids (unsigned 32-bit little-endian), loss_ranges (token positions in
-    the conversation)."""
+    last, first_token, ids (unsigned 32-bit little-endian), loss_ranges (token positions
+    in the conversation)."""
     conv = turns.schema["conv_id"].dataType.simpleString()
 
     def run(batches):
@@ -107,34 +108,35 @@ def format_conversations(turns: DataFrame, cfg: ChatConfig) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         state: dict = {"open": False}
 
-        def flush(conv_type):
+        def flush(conv_type, last):
             row = pa.RecordBatch.from_arrays(
-                [pa.array([state["conv"]], conv_type), pa.array([state["part"]], pa.int32()), pa.array([state["first"]], pa.int64()),
+                [pa.array([state["conv"]], conv_type), pa.array([state["part"]], pa.int32()), pa.array([last]), pa.array([state["first"]], pa.int64()),
                  pa.array([b"".join(state["ids"])], pa.binary()), pa.array([state["loss"]], kind)],
-                names=["conv_id", "part", "first_token", "ids", "loss_ranges"])
+                names=["conv_id", "part", "last", "first_token", "ids", "loss_ranges"])
             state.update(part=state["part"] + 1, first=state["at"], ids=[], loss=[])
             return row
 
+        conv_type = None
         for batch in batches:
             conv_type = batch.column(0).type
             for conv_id, role, ids, a, b in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if not state["open"] or conv_id != state["conv"]:
-                    if state["open"] and state["ids"]:
-                        yield flush(conv_type)
+                    if state["open"]:
+                        yield flush(conv_type, True)
                     state = {"open": True, "conv": conv_id, "part": 0, "first": 0, "at": 0, "ids": [], "loss": []}
+                elif state["at"] - state["first"] >= cfg.max_tokens:
+                    yield flush(conv_type, False)
                 if role == LOSS_ROLE and b > a:
                     state["loss"].append({"start": state["at"] + a, "end": state["at"] + b})
                 state["ids"].append(ids)
                 state["at"] += len(ids) // 4
-                if state["at"] - state["first"] >= cfg.max_tokens:
-                    yield flush(conv_type)
-        if state["open"] and state["ids"]:
-            yield flush(conv_type)
+        if state["open"]:
+            yield flush(conv_type, True)
 
     encoded = encode_turns(turns, cfg)
     return encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text") \
         .select("conv_id", "role", "ids", "text_from", "text_to") \
-        .mapInArrow(run, f"conv_id {conv}, part int, first_token long, ids binary, loss_ranges array<struct<start: long, end: long>>")
+        .mapInArrow(run, f"conv_id {conv}, part int, last boolean, first_token long, ids binary, loss_ranges array<struct<start: long, end: long>>")
 
 
 def parse(ids: np.ndarray, tokenizer, start: int, end: int) -> list[tuple[str, str, int, int]]:
@@ -159,7 +161,8 @@ def render(ids: np.ndarray, tokenizer, start: int, end: int) -> str:
 
 def digests(formatted: DataFrame, cfg: ChatConfig) -> DataFrame:
     """Read the output back: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
-    formatted_chars.  Parts are streamed in order, so memory stays bounded."""
+    formatted_chars.  Parts are streamed in order, so memory stays bounded; read ``formatted``
+    from a written table, as it is read twice."""
     ship(formatted.sparkSession)
     conv = formatted.schema["conv_id"].dataType.simpleString()
 
@@ -204,6 +207,9 @@ def digests(formatted: DataFrame, cfg: ChatConfig) -> DataFrame:
             out.append(closed())
             yield batch_of(out, conv_type)
 
-    return formatted.select("conv_id", "part", "first_token", "ids", "loss_ranges").repartition("conv_id") \
-        .sortWithinPartitions("conv_id", "part").select("conv_id", "first_token", "ids", "loss_ranges") \
-        .mapInArrow(run, f"conv_id {conv}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    schema = f"conv_id {conv}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    columns = ["conv_id", "first_token", "ids", "loss_ranges"]
+    is_whole = F.col("last") & (F.col("part") == 0)
+    whole = formatted.filter(is_whole).select(*columns).mapInArrow(run, schema)
+    parts = formatted.filter(~is_whole).repartition("conv_id").sortWithinPartitions("conv_id", "part").select(*columns)
+    return whole.unionByName(parts.mapInArrow(run, schema))
