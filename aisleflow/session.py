@@ -10,12 +10,15 @@ local runs) do we pick a local folder.
 from __future__ import annotations
 
 import os
+import re
+import shlex
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings every session gets; values a cluster operator already set win.
+# Settings for a session that we start; a value that was submitted wins.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,28 +28,48 @@ SCALE_CONF = {
 }
 
 
+def submitted_keys() -> set[str]:
+    """Keys that the submitter set: of a running JVM its configuration, else those
+    that the JVM will be started with (``PYSPARK_SUBMIT_ARGS``, defaults file)."""
+    if SparkContext._gateway is not None or "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()
+        return {k for k, _ in SparkConf().getAll()}
+    args = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    keys = {"spark.master" for a in args if a.split("=")[0] == "--master"}
+    keys |= {b.split("=", 1)[0] for a, b in zip(args, args[1:]) if a in ("--conf", "-c")}
+    keys |= {a.split("=", 2)[1] for a in args if a.startswith("--conf=")}
+    files = [b for a, b in zip(args, args[1:]) if a == "--properties-file"]
+    conf = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    for path in files or [os.path.join(conf, "spark-defaults.conf")]:
+        if os.path.isfile(path):
+            with open(path) as f:
+                keys |= {re.split(r"[\s=]+", x.strip(), maxsplit=1)[0] for x in f if x.strip() and not x.lstrip().startswith("#")}
+    return keys
+
+
 def build_session(master: str | None = None, app: str = "aisleflow",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or fetch) a session with the scale settings applied.
+    """Start a session with the scale settings, or return the running one as it is.
 
-    Used by tests and the bench; on a cluster the submitter's session is
-    passed in instead and keeps its own settings.
+    A key that was submitted (``--conf``, defaults file) is never overridden,
+    whether the value here is a default of ours or comes from ``extra``.
     """
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        ensure_checkpoint_dir(running)
+        return running
+    wanted = {**SCALE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if shuffle_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    wanted.update(extra or {})
+    submitted = submitted_keys()
     b = SparkSession.builder.appName(app)
-    if master:
+    if master and "spark.master" not in submitted:
         b = b.master(master)
-    conf = dict(SCALE_CONF)
-    conf["spark.ui.enabled"] = "false"
-    conf["spark.ui.showConsoleProgress"] = "false"
-    conf.setdefault("spark.checkpoint.dir",
-                    os.environ.get("AISLEFLOW_CHECKPOINT_DIR")
-                    or tempfile.mkdtemp(prefix="aisleflow-ckpt-"))
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
+    for k, v in wanted.items():
+        if k not in submitted:
+            b = b.config(k, v)
     spark = b.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark
@@ -55,25 +78,27 @@ def build_session(master: str | None = None, app: str = "aisleflow",
 _LOCAL_FALLBACK: str | None = None
 
 
+def _configured_dir(spark: SparkSession) -> str | None:
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return path or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset.
+    """The shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage; we never
-    override it.  ``SparkContext.setCheckpointDir`` is only called when the
-    context has none yet, so ``DataFrame.checkpoint()`` works everywhere.
+    ``spark.checkpoint.dir`` names it and is never overridden.  Where it is unset,
+    a local run (master ``local[...]``: driver and executors are one process) gets a
+    folder of its own; on any other master that would be a folder that executors do
+    not share, so this raises before anything is written.
     """
     global _LOCAL_FALLBACK
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        try:
-            path = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # not set anywhere
-            path = None
+    path = _configured_dir(spark)
     if not path:
-        # Unset: a local run (tests, smoke checks).  Keep one folder per
-        # process so repeated calls agree.
-        if _LOCAL_FALLBACK is None:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set on master {sc.master}; "
+                               "name a folder that the driver and all executors share")
+        if _LOCAL_FALLBACK is None:  # one folder per process, so repeated calls agree
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="aisleflow-ckpt-")
         path = _LOCAL_FALLBACK
     if sc._jsc.sc().getCheckpointDir().isEmpty():

@@ -1,15 +1,16 @@
 """Declared-schema readers for the retail jobs' raw files.
 
 No schema inference (it costs an extra pass over the data and drifts between
-file copies).  Delimited files are read positionally against a declared
-schema; the header line is checked against the expected names through an
-alias map.  Malformed rows are kept as NULL-filled rows in PERMISSIVE mode and
+file copies).  Delimited files are read against a declared schema; with
+``validate_header`` the header line of every file is checked against the
+expected names through an alias map, and columns are taken by name.  Malformed rows are kept as NULL-filled rows in PERMISSIVE mode and
 counted through the corrupt-record column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,20 +62,52 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
 
 
-def check_header(spark: SparkSession, path: str, schema: T.StructType,
-                 sep: str = "|", aliases: Mapping[str, str] | None = None) -> list[str]:
-    """Header names of the first file line, mapped through ``aliases``;
-    raises if they do not equal the schema's names.  Reads one line."""
-    first = spark.read.text(path).first()
-    if first is None:
-        return []
-    names = [h.strip() for h in first[0].rstrip("\r").split(sep)]
-    mapped = [(aliases or {}).get(h, h) for h in names]
-    if mapped != schema.fieldNames():
+def file_headers(spark: SparkSession, path: str) -> dict[str, str]:
+    """First line of every data file below ``path`` (a folder, file or glob), through
+    the file system the path names; empty files are left out.  One open per
+    file, as a file listing with footers would make."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    todo, out = list(fs.globStatus(root) or []), {}
+    while todo:
+        status = todo.pop()
+        p = status.getPath()
+        if status.isDirectory():
+            todo += [x for x in fs.listStatus(p) if x.getPath().getName()[0] not in "_."]
+            continue
+        stream = fs.open(p)
+        try:
+            codec = codecs.getCodec(p)
+            data = codec.createInputStream(stream) if codec is not None else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        if line is not None:
+            out[p.toString()] = line
+    return out
+
+
+def header_names(line: str, schema: T.StructType, sep: str, aliases: Mapping[str, str] | None) -> tuple[str, ...]:
+    """The schema's names in the order of a header line; raises if they differ."""
+    names = [h.strip() for h in line.lstrip("\ufeff").rstrip("\r").split(sep)]
+    mapped = tuple((aliases or {}).get(h, h) for h in names)
+    if sorted(mapped) != sorted(schema.fieldNames()):
         raise ValueError(f"header {names} does not match {schema.fieldNames()}")
     return mapped
 
 
+def check_header(spark: SparkSession, path: str, schema: T.StructType,
+                 sep: str = "|", aliases: Mapping[str, str] | None = None) -> dict[tuple[str, ...], list[str]]:
+    """Files by the order of their columns; raises if any file's header does not
+    have exactly the schema's names (through ``aliases``)."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, line in sorted(file_headers(spark, path).items()):
+        out.setdefault(header_names(line, schema, sep, aliases), []).append(file)
+    return out
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *,
                    sep: str = "|", header: bool = True,
                    aliases: Mapping[str, str] | None = None,
@@ -82,18 +115,27 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *,
                    keep_corrupt: bool = False) -> DataFrame:
     """``|``-separated file(s) with a header line, read against ``schema``.
 
-    CRLF line ends are handled by the CSV reader.  With ``keep_corrupt`` the
-    result carries ``_corrupt_record`` (non-NULL for malformed lines).
+    With ``validate_header`` every file's header is read first; files whose columns
+    stand in another order are read in that order and then rearranged by name.
+    Without it columns are taken by position.  CRLF line ends are handled by the CSV
+    reader.  With ``keep_corrupt`` the result carries ``_corrupt_record``
+    (non-NULL for malformed lines).
     """
-    if validate_header and header:
-        check_header(spark, path, schema, sep, aliases)
-    r = (spark.read.option("sep", sep).option("header", header)
-         .option("mode", "PERMISSIVE").option("enforceSchema", True))
-    if keep_corrupt:
-        r = r.option("columnNameOfCorruptRecord", CORRUPT).schema(_with_corrupt(schema))
-    else:
-        r = r.schema(schema)
-    return r.csv(path)
+    def read(paths, fields: T.StructType) -> DataFrame:
+        r = (spark.read.option("sep", sep).option("header", header)
+             .option("mode", "PERMISSIVE").option("enforceSchema", True))
+        if keep_corrupt:
+            r = r.option("columnNameOfCorruptRecord", CORRUPT).schema(_with_corrupt(fields))
+        else:
+            r = r.schema(fields)
+        return r.csv(paths)
+
+    if not (validate_header and header):
+        return read(path, schema)
+    groups = check_header(spark, path, schema, sep, aliases)
+    names = schema.fieldNames() + ([CORRUPT] if keep_corrupt else [])
+    parts = [read(files, T.StructType([schema[n] for n in order])).select(*names) for order, files in sorted(groups.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else read(path, schema)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, *,
@@ -111,11 +153,15 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, *,
 def corrupt_count(df: DataFrame) -> DataFrame:
     """(n_rows, n_corrupt) of a frame read with ``keep_corrupt=True``.
 
-    The corrupt column is materialised first (Spark refuses queries that
-    only reference it on the raw scan).
+    One pass, nothing cached: Spark refuses to read the corrupt column alone, and
+    prunes columns that are not read, so the pass takes a hash over all of them.
+    The counts are built row by row, which keeps the columns in the scan.
     """
-    return df.cache().agg(F.count(F.lit(1)).alias("n_rows"),
-                          F.count(F.col(CORRUPT)).alias("n_corrupt"))
+    others = [c for c in df.columns if c != CORRUPT]
+    bad = F.when(F.col(CORRUPT).isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    # adding 0 * hash uses every column without changing the count
+    row = F.pmod(F.xxhash64(*others), F.lit(1))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(bad + row), F.lit(0)).cast("long").alias("n_corrupt"))
 
 
 def extract_json_fields(df: DataFrame, text_col: str, fields: Mapping[str, str]) -> DataFrame:

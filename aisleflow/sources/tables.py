@@ -21,16 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` partitions (default:
-    the cluster's parallelism) when its scan yields fewer.
-
-    For CPU-heavy per-row work right after a scan (tokenising whole texts):
-    a file with one row group is read by one task, and everything before the
-    first shuffle would run there.  Large inputs already arrive in many
-    splits, so for them this is a no-op and adds no shuffle.
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` hash-partitioned by ``key``, sized by adaptive execution.
+
+    For heavy per-row work (tokenising whole texts) that is followed by a join
+    or an aggregate on ``key``: the one exchange serves both, so the texts
+    move once, and the work is not bound to the number of input splits.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    return df.repartition(key)

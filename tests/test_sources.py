@@ -9,11 +9,16 @@ def _write(path, text):
         f.write(text)
 
 
+# The two header lines of the items file.
+ITEMS_HEADERS = ("i_item_id|i_name|i_category_id|i_category_name|i_price|i_comp_price|i_class_id",
+                 "i_item_id|i_item_name|i_category_id|i_category_name|price_1|price_2|quantity")
+
+
 def test_items_both_headers_crlf(spark, tmp_path):
     rows = "0|item#0000|0|cat#00|53.09|60.10|3\r\n1|item#0001|13|cat#13|1.14|2.00|17\r\n"
     a, b = tmp_path / "a.tbl", tmp_path / "b.tbl"
-    _write(a, "i_item_id|i_name|i_category_id|i_category_name|i_price|i_comp_price|i_class_id\r\n" + rows)
-    _write(b, "i_item_id|i_item_name|i_category_id|i_category_name|price_1|price_2|quantity\r\n" + rows)
+    _write(a, ITEMS_HEADERS[0] + "\r\n" + rows)
+    _write(b, ITEMS_HEADERS[1] + "\r\n" + rows)
     da = readers.read_delimited(spark, str(a), readers.ITEMS_SCHEMA, validate_header=True,
                                 aliases=readers.ITEMS_HEADER_ALIASES)
     db = readers.read_delimited(spark, str(b), readers.ITEMS_SCHEMA, validate_header=True,
@@ -31,6 +36,23 @@ def test_header_mismatch_raises(spark, tmp_path):
         readers.read_delimited(spark, str(p), readers.STORE_SALES_SCHEMA, validate_header=True)
 
 
+@pytest.mark.parametrize("long_first", [True, False])
+def test_swapped_columns_are_read_by_name(spark, tmp_path, long_first):
+    """Whichever file is larger, columns go by each file's own header."""
+    more = "".join(f"{i}|{i + 1000}|{i + 5}\n" for i in range(3, 300))
+    _write(tmp_path / "a.tbl", "ss_transaction_id|ss_customer_id|ss_item_id\n1|10|100\n" + (more if long_first else ""))
+    _write(tmp_path / "b.tbl", "ss_customer_id|ss_transaction_id|ss_item_id\n20|2|200\n" + ("" if long_first else "9|8|7\n" * 300))
+    (tmp_path / "_SUCCESS").touch()
+    (tmp_path / "empty.tbl").touch()
+    got = readers.read_delimited(spark, str(tmp_path), readers.STORE_SALES_SCHEMA, validate_header=True)
+    rows = {(r[0], r[1], r[2]) for r in got.collect()}
+    assert got.columns == readers.STORE_SALES_SCHEMA.fieldNames()
+    assert {(1, 10, 100), (2, 20, 200)} <= rows
+    _write(tmp_path / "z.tbl", "ss_transaction_id|ss_customer_id|other\n1|2|3\n")
+    with pytest.raises(ValueError, match="other"):
+        readers.read_delimited(spark, str(tmp_path), readers.STORE_SALES_SCHEMA, validate_header=True)
+
+
 def test_json_missing_keys_and_corrupt_row(spark, tmp_path):
     p = tmp_path / "clicks.json"
     _write(p, "\n".join([
@@ -42,8 +64,10 @@ def test_json_missing_keys_and_corrupt_row(spark, tmp_path):
     df = readers.read_json_lines(spark, str(p), readers.CLICKS_SCHEMA, keep_corrupt=True)
     rows = {r["wl_id"]: r for r in df.collect() if r["wl_id"] is not None}
     assert rows[2]["wl_item_id"] is None and rows[3]["wl_customer_id"] is None
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
     c = readers.corrupt_count(df).first()
     assert (c["n_rows"], c["n_corrupt"]) == (4, 1)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_json_field_extraction(spark):
