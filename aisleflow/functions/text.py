@@ -2,8 +2,8 @@
 
 ``tokens`` reproduces ``pyspark.ml.feature.Tokenizer``: lower case, then a
 split on every single whitespace character (Java's ``\\s``: space, tab, LF,
-VT, FF, CR).  Inner empty tokens are kept by the Tokenizer and dropped by the
-long-form helpers here, which only emit non-empty tokens.
+VT, FF, CR).  Empty tokens at the start and between two white spaces are kept, those
+at the end are not; the empty text is one empty token, white space alone is none.
 """
 
 from __future__ import annotations
@@ -44,4 +44,7 @@ STOP_WORDS = (
 
 def tokens(text: Column) -> Column:
     """array<string> of lower-cased whitespace-separated tokens."""
-    return F.split(F.lower(text), WHITESPACE, -1)
+    low = F.lower(text)
+    trimmed = F.regexp_replace(low, WHITESPACE + "+$", "")
+    none = F.array().cast("array<string>")
+    return F.when((trimmed == "") & (low != ""), none).otherwise(F.split(trimmed, WHITESPACE, -1))

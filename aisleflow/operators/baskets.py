@@ -6,8 +6,7 @@ merged from per-task sets and its basket is bounded by the number of
 distinct items, not by its row count.  Itemsets and rules come from
 ``pyspark.ml.fpm.FPGrowth`` (parallel FP-growth: conditional transactions are
 shuffled by item group, trees mined per partition).  Recommendations are a
-relational plan over the long (transaction, item) form instead of a model
-broadcast.
+relational plan: a rule meets only the baskets that hold its rarest item.
 """
 
 from __future__ import annotations
@@ -17,15 +16,18 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aisleflow.operators.common import bounded_broadcast
+from aisleflow.plans.cache import adopt
 
 # FP-growth settings of the market-basket job and of its
 # RDD-API variant.
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.9
-NUM_PARTITIONS = 2
 RDD_VARIANT_MIN_SUPPORT = 0.004
 
+# Copies of the rules in the join by item: an item that is in a large share of all
+# baskets is joined in that many tasks.
+SALTS = 8
+
 
 def basket_items(sales: DataFrame, items: DataFrame | None = None, *,
                  txn: str = "ss_transaction_id", item: str = "ss_item_id",
@@ -60,9 +62,6 @@ def fit_fp_growth(basket_df: DataFrame, *, min_support: float = MIN_SUPPORT,
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
     model = fp.fit(basket_df.select(items_col))
-    # The mined itemsets are a lazy RDD behind the model: persist them so
-    # itemsets, rules and recommendations do not re-mine the baskets.
-    model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
     return model
 
 
@@ -71,6 +70,13 @@ def with_min_confidence(model: FPGrowthModel, min_confidence: float) -> FPGrowth
     return model.copy({model.minConfidence: min_confidence})
 
 
+def mined(model: FPGrowthModel) -> FPGrowthModel:
+    """The same model with its itemsets cached for the enclosing owner: they are lazy
+    behind the model, and itemsets and rules would each mine the baskets again."""
+    adopt(model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK))
+    return model
+
+
 def frequent_itemsets(model: FPGrowthModel) -> DataFrame:
     """(items sorted, size, freq)."""
     return model.freqItemsets.select(F.array_sort("items").alias("items"),
@@ -87,37 +93,24 @@ def association_rules(model: FPGrowthModel, digits: int = 9) -> DataFrame:
                     F.round("support", digits).alias("support"))
 
 
-# Rule sets up to this many rows are applied by the model itself (rules
-# broadcast to every task, checked per basket, no shuffle).
-MAX_BROADCAST_RULES = 200_000
-
-
-def recommend(basket_long: DataFrame, rules: DataFrame, *,
-              txn: str = "ss_transaction_id", model: FPGrowthModel | None = None,
-              baskets: DataFrame | None = None,
-              max_broadcast_rules: int = MAX_BROADCAST_RULES) -> DataFrame:
+def recommend(basket_df: DataFrame, rules: DataFrame, itemsets: DataFrame, *,
+              txn: str = "ss_transaction_id") -> DataFrame:
     """(txn, prediction): consequents of rules whose antecedent is inside the
     basket, minus items already in it; only baskets with a recommendation.
 
-    With the fitted ``model`` and the basket arrays, and at most
-    ``max_broadcast_rules`` rules (counted first), the model's transform
-    applies the broadcast rules per basket: no shuffle.  Otherwise the
-    relational plan runs: antecedent items are joined to the basket rows by
-    item, counted per (basket, antecedent) and kept when the whole
-    antecedent is present; no pair of basket items is ever formed.
+    ``basket_df``: (txn, items); ``itemsets`` gives the frequency of the single items.
+    Each rule is joined to basket rows by the rarest item of its antecedent; whether
+    the basket holds the whole antecedent is then checked on its array.  Spark
+    broadcasts the rules if they are small; otherwise this is a shuffle join by item,
+    spread by a salt of the transaction.
     """
-    if model is not None and baskets is not None and rules.count() <= max_broadcast_rules:
-        out = model.transform(baskets.select(txn, "items"))
-        return (out.filter(F.size("prediction") > 0)
-                .select(txn, F.array_sort("prediction").alias("prediction")))
-    r = rules.select(F.array_sort("antecedent").alias("ante"), "consequent")
-    ante = r.select("ante").distinct()
-    ante_items = ante.select("ante", F.size("ante").alias("k"),
-                             F.explode("ante").alias("item"))
-    ante_items = bounded_broadcast(ante_items)
-    hits = (basket_long.join(ante_items, "item", "inner")
-            .groupBy(txn, "ante", "k").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") == F.col("k")))
-    cand = hits.join(r, "ante", "inner").select(txn, F.col("consequent").alias("item"))
-    new = cand.join(basket_long, [txn, "item"], "left_anti")
-    return new.groupBy(txn).agg(F.array_sort(F.collect_set("item")).alias("prediction"))
+    freq = itemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+    own = rules.select("antecedent", "consequent", F.explode("antecedent").alias("item")).join(freq, "item")
+    rarest = own.groupBy("antecedent", "consequent").agg(F.min(F.struct("freq", "item")).alias("least")).select(
+        "antecedent", "consequent", F.col("least.item").alias("item"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = basket_df.select(txn, "items", F.explode("items").alias("item"),
+                            F.pmod(F.xxhash64(txn), F.lit(SALTS)).cast("int").alias("salt"))
+    hits = rows.join(rarest, ["item", "salt"], "inner").filter(
+        (F.size(F.array_except("antecedent", "items")) == 0) & ~F.array_contains("items", F.col("consequent")))
+    return hits.groupBy(txn).agg(F.array_sort(F.collect_set("consequent")).alias("prediction"))

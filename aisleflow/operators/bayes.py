@@ -20,10 +20,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aisleflow.operators.text import TERM_SALTS, salted_join
+from aisleflow.plans.cache import hold
+
+# More classes than this are taken for a wrong label column.
+MAX_CLASSES = 1000
+
 
 @dataclass
 class NaiveBayesTwin:
@@ -39,21 +46,24 @@ def fit(features: DataFrame, labels: DataFrame, *, key: str,
     """``features``: (key, term, x) of training documents, optionally with
     the document's ``label`` already attached (then no join is needed);
     ``labels``: (key, label), one row per training document (documents
-    without features count in the priors)."""
+    without features count in the priors).  Sums per (class, term) are built in two
+    steps, by a salt of the document first, so a hot term is no hot task."""
     lam = F.lit(float(smoothing))
     n_c = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
     lf = features if "label" in features.columns else features.join(labels, key, "inner")
+    if "salt" not in lf.columns:
+        lf = lf.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)))
     # One row per (class, term): the model itself, kept for the steps below.
-    s_cj = (lf.groupBy("label", "term").agg(F.sum("x").alias("s_cj"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    s_c_rows = s_cj.groupBy("label").agg(F.sum("s_cj").alias("s_c"),
-                                         F.count(F.lit(1)).alias("_t")).collect()
+    s_cj = hold(lf.groupBy("label", "term", "salt").agg(F.sum("x").alias("s"))
+                .groupBy("label", "term").agg(F.sum("s").alias("s_cj")))
+    s_c_rows = s_cj.groupBy("label").agg(F.sum("s_cj").alias("s_c")).limit(MAX_CLASSES + 1).collect()
     v = s_cj.select("term").distinct().count()
     s_c = {r["label"]: r["s_c"] for r in s_c_rows}
-    pri = n_c.collect()                 # one row per class (bounded)
+    pri = n_c.limit(MAX_CLASSES + 1).collect()
+    if len(pri) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} distinct labels")
     lam_v, n_docs = float(smoothing), {r["label"]: r["n_docs"] for r in pri}
     n_total, n_classes = sum(n_docs.values()), len(n_docs)
-    import math
     constants = {}
     for c, n in n_docs.items():
         pi = math.log(n + lam_v) - math.log(n_total + lam_v * n_classes)
@@ -81,16 +91,21 @@ def fit(features: DataFrame, labels: DataFrame, *, key: str,
 
 
 def scores(model: NaiveBayesTwin, docs: DataFrame, features: DataFrame, *,
-           key: str, in_vocabulary: bool = False) -> DataFrame:
+           key: str, weights: DataFrame | None = None) -> DataFrame:
     """(key, score_<i> per class i, prediction) for every row of ``docs``.
 
-    ``features`` (key, term, x) are matched to the model's per-term table:
-    one join and one aggregate per document.  Terms outside the training
-    vocabulary drop out in the join (``in_vocabulary`` is accepted for
-    callers whose features are already restricted).  Documents without
-    any such term score on the priors alone.
+    ``features`` (key, term, x) are matched to the model's per-term table in one salted
+    join, and summed per document.  With ``weights`` (term, w; for example the
+    IDF) a feature counts ``x * w``; the weights join the per-term table, not the
+    rows.  Terms outside the training vocabulary drop out.  Documents
+    without any such term score on the priors alone.
     """
-    f = features.join(model.wide, "term", "inner")
+    wide = model.wide
+    x = F.col("x")
+    if weights is not None:
+        wide = wide.join(weights, "term", "inner")
+        x = x * F.col("w")
+    f = salted_join(features, wide, key).withColumn("x", x)
     k = len(model.classes)
     per_doc = f.groupBy(key).agg(
         F.sum("x").alias("xsum"),

@@ -31,6 +31,14 @@ def rmse(pred: DataFrame, label: str = "label", prediction: str = "prediction")
     return pred.agg(F.sqrt(F.avg(d * d)).alias("rmse"))
 
 
+def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(n, accuracy, test_error, rmse) in one pass over the predictions."""
+    hit = F.when(F.col(label) == F.col(prediction), F.lit(1.0)).otherwise(F.lit(0.0))
+    d = F.col(prediction).cast("double") - F.col(label).cast("double")
+    return pred.agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"), F.sqrt(F.avg(d * d)).alias("rmse")).select(
+        "n", "accuracy", (F.lit(1.0) - F.col("accuracy")).alias("test_error"), "rmse")
+
+
 def per_label_metrics(pred: DataFrame, label: str = "label",
                       prediction: str = "prediction") -> DataFrame:
     """(label, n, tp, fp, fn, precision, recall, tpr, fpr, f1) per label

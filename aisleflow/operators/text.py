@@ -16,19 +16,31 @@ from pyspark.sql import functions as F
 
 from aisleflow.functions.text import STOP_WORDS, tokens
 
-# Fixed value: default feature-space size of HashingTF / CountVectorizer.
-DEFAULT_VOCAB_SIZE = 1 << 18
+# Copies of the per-term side of a join with term rows: a term that stands in a large share of
+# all documents is joined in that many tasks.
+TERM_SALTS = 8
 
 
 def token_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
                positions: bool = True) -> DataFrame:
-    """(key, pos, token) for every non-empty token; NULL text yields none.
+    """(key, pos, token) for every token, empty ones included; NULL text yields none.
     ``positions=False`` gives (key, token) and skips numbering."""
     if positions:
-        rows = docs.select(key, F.posexplode(tokens(F.col(text))).alias("pos", "token"))
-    else:
-        rows = docs.select(key, F.explode(tokens(F.col(text))).alias("token"))
-    return rows.filter(F.col("token") != "")
+        return docs.select(key, F.posexplode(tokens(F.col(text))).alias("pos", "token"))
+    return docs.select(key, F.explode(tokens(F.col(text))).alias("token"))
+
+
+def salted_join(rows: DataFrame, per_term: DataFrame, key: str,
+                salts: int = TERM_SALTS) -> DataFrame:
+    """Inner join by ``term`` of rows (key, term, ...) to one row per term.
+
+    The salt is a hash of the row's document, so the rows of a hot term are
+    spread evenly over ``salts`` tasks; the per-term side is copied ``salts`` times.
+    The result keeps ``salt``, for aggregates in two steps.
+    """
+    left = rows.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    right = per_term.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, ["term", "salt"], "inner")
 
 
 def remove_stop_words(tok: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
@@ -54,30 +66,46 @@ def term_idf(tf: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def doc_tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, term, tf, tfidf).  Terms missing from ``idf`` are dropped."""
-    return (tf.join(idf.select("term", "idf"), "term", "inner")
+    return (salted_join(tf, idf.select("term", "idf"), key)
             .select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 
-def term_vocabulary(tf: DataFrame, vocab_size: int = DEFAULT_VOCAB_SIZE,
-                    min_df: float = 1.0, n_docs=None) -> DataFrame:
-    """(term, term_index, freq, doc_freq): the CountVectorizer vocabulary.
-
-    Terms need ``doc_freq >= min_df`` (a fraction of ``n_docs`` when
-    ``min_df < 1``); the ``vocab_size`` most frequent are kept, ordered by
-    corpus frequency, ties by term.  The index is numbered over at most
-    ``vocab_size`` rows after a distributed top-k, so the single ordered
-    window never sees more than that bound.
-    """
+def term_statistics(tf: DataFrame, min_df: float = 1.0, n_docs=None) -> DataFrame:
+    """(term, freq, doc_freq) of terms with ``doc_freq >= min_df`` (a share of
+    ``n_docs`` when ``min_df < 1``)."""
     stats = tf.groupBy("term").agg(F.sum("tf").alias("freq"),
                                    F.count(F.lit(1)).alias("doc_freq"))
     if min_df < 1.0:
         if n_docs is None:
             raise ValueError("fractional min_df needs n_docs")
-        stats = stats.filter(F.col("doc_freq") >= F.lit(min_df) * n_docs)
-    else:
-        stats = stats.filter(F.col("doc_freq") >= F.lit(min_df))
-    order = [F.desc("freq"), F.asc("term")]
-    top = stats.orderBy(*order).limit(vocab_size)
-    w = Window.orderBy(*order)
-    return top.withColumn("term_index", (F.row_number().over(w) - 1).cast("int")).select(
-        "term", "term_index", "freq", "doc_freq")
+        return stats.filter(F.col("doc_freq") >= F.lit(min_df) * n_docs)
+    return stats.filter(F.col("doc_freq") >= F.lit(min_df))
+
+
+def term_vocabulary(tf: DataFrame, vocab_size: int | None = None,
+                    min_df: float = 1.0, n_docs=None) -> DataFrame:
+    """(term, term_index, freq, doc_freq): all terms numbered by falling
+    frequency, ties by term; only the first ``vocab_size`` if the caller bounds it.
+
+    Numbering is distributed: a term's index is the number of terms with a higher
+    frequency, plus those of its frequency with a smaller two-character beginning,
+    plus its rank among the rest.  Windows run over the distinct
+    frequencies, over the beginnings of one frequency, and over the terms of one
+    beginning and frequency.
+    """
+    stats = term_statistics(tf, min_df, n_docs).withColumn("head", F.substring("term", 1, 2))
+    heads = stats.groupBy("freq", "head").agg(F.count(F.lit(1)).alias("n"))
+    freqs = heads.groupBy("freq").agg(F.sum("n").alias("n_freq"))
+    above = freqs.select("freq", (F.sum("n_freq").over(Window.orderBy(F.desc("freq"))) - F.col("n_freq")).alias("above"))
+    by_head = Window.partitionBy("freq").orderBy("head")
+    before = heads.select("freq", "head", (F.sum("n").over(by_head) - F.col("n")).alias("before"))
+    base = before.join(above, "freq").select("freq", "head", (F.col("above") + F.col("before")).alias("base"))
+    rank = F.row_number().over(Window.partitionBy("freq", "head").orderBy("term"))
+    out = stats.withColumn("rank", rank).join(base, ["freq", "head"]).select(
+        "term", (F.col("base") + F.col("rank") - 1).cast("long").alias("term_index"), "freq", "doc_freq")
+    return out if vocab_size is None else out.filter(F.col("term_index") < vocab_size)
+
+
+def n_terms(docs: DataFrame, key: str, text: str) -> int:
+    """Number of distinct terms, stop words left out."""
+    return remove_stop_words(token_rows(docs, key, text, positions=False)).select("token").distinct().count()

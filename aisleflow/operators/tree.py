@@ -4,18 +4,22 @@ continuous feature, the quantity a decision tree maximises at its root.
 Candidate thresholds are midpoints of consecutive distinct values (what
 ``DecisionTreeClassifier`` uses when a feature has fewer distinct values than
 bins).  Plan: unpivot the features, aggregate to (feature, value) class
-counts (map-side combined), then cumulative counts over a window per feature
-whose rows are that feature's distinct values only.
+counts (map-side combined), then prefix sums in two levels: a feature's values are cut into
+``RANGES`` ranges at approximate quantiles; windows run over the sums of the ranges and over the values
+of one range.  Where the cuts lie changes the work, not the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+RANGES = 64
+
+
 def _gini(n: str, counts: list[str]) -> str:
     s = " + ".join(f"({c} / {n}) * ({c} / {n})" for c in counts)
     return f"(CASE WHEN {n} = 0 THEN 0.0D ELSE 1.0D - ({s}) END)"
@@ -30,13 +34,25 @@ def gini_splits(df: DataFrame, features: Sequence[str], classes: Sequence[float]
         F.expr("count(1) AS n"),
         *[F.expr(f"sum(CASE WHEN `{label}` = {float(c)!r}D THEN 1 ELSE 0 END) AS _c{i}")
           for i, c in enumerate(classes)])
-    cum = "OVER (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    tot = "OVER (PARTITION BY feature)"
-    t = per.selectExpr(
-        "feature", "value", "lead(value) OVER (PARTITION BY feature ORDER BY value) AS next_value",
-        f"sum(n) {cum} AS nl", f"sum(n) {tot} AS nt",
-        *[f"sum(_c{i}) {cum} AS l{i}" for i in range(k)],
-        *[f"sum(_c{i}) {tot} AS t{i}" for i in range(k)],
+    cuts = F.percentile_approx("value", [i / RANGES for i in range(1, RANGES)], 1000).alias("cuts")
+    bounds = per.groupBy("feature").agg(cuts)  # one row a feature
+    per = per.join(F.broadcast(bounds), "feature").withColumn(
+        "part", F.size(F.filter("cuts", lambda c: c < F.col("value")))).drop("cuts")
+    counts = ["n"] + [f"_c{i}" for i in range(k)]
+    sums = per.groupBy("feature", "part").agg(F.min("value").alias("first"), *[F.sum(c).alias(c) for c in counts])
+    up = "OVER (PARTITION BY feature ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    whole = "OVER (PARTITION BY feature)"
+    sums = sums.selectExpr("feature", "part", "lead(first) OVER (PARTITION BY feature ORDER BY part) AS next_first",
+                           *[f"coalesce(sum({c}) {up}, 0) AS before{c}" for c in counts],
+                           *[f"sum({c}) {whole} AS total{c}" for c in counts])  # at most RANGES rows a feature
+    run = "OVER (PARTITION BY feature, part ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    per = per.selectExpr("feature", "part", "value", "lead(value) OVER (PARTITION BY feature, part ORDER BY value) AS next_value",
+                         *[f"sum({c}) {run} AS run{c}" for c in counts])
+    t = per.join(F.broadcast(sums), ["feature", "part"]).selectExpr(
+        "feature", "value", "coalesce(next_value, next_first) AS next_value",
+        "beforen + runn AS nl", "totaln AS nt",
+        *[f"before_c{i} + run_c{i} AS l{i}" for i in range(k)],
+        *[f"total_c{i} AS t{i}" for i in range(k)],
     ).filter("next_value IS NOT NULL")
     nl, nt, nr = "CAST(nl AS DOUBLE)", "CAST(nt AS DOUBLE)", "CAST(nt - nl AS DOUBLE)"
     g_parent = _gini(nt, [f"CAST(t{i} AS DOUBLE)" for i in range(k)])

@@ -7,11 +7,15 @@ Inputs are the job-shaped tables (``items``, ``store_sales``, ``clicks``,
 the corrected behaviour (customer id not a feature, all 16 classes, correct
 category list, contiguous labels, IDF fitted on the training side, hash
 split); flags reproduce the original choices.
+
+Every result has ``release``: call it when the frames are no longer read, to uncache
+the fit's inputs (they still work afterwards, by recomputation).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +24,21 @@ from aisleflow.functions import labels as L
 from aisleflow.functions.split import with_split
 from aisleflow.operators import baskets as B
 from aisleflow.operators import evaluate as ev
-from aisleflow.operators import pivots
+from aisleflow.operators import pivots, text
 from aisleflow.plans import models as M
+from aisleflow.plans.cache import hold, owned
 from aisleflow.sources import sinks
 
 
+def job(fn):
+    """Run ``fn`` with an owner for what it caches; add its ``release`` to the results."""
+    @wraps(fn)
+    def run(*args, **kwargs) -> dict:
+        with owned(keep=True) as owner:
+            return {**fn(*args, **kwargs), "release": owner.release}
+    return run
+
+
 @dataclass
 class SegmentationConfig:
     k: int = 4
@@ -45,9 +59,10 @@ def _segment_vectors(sales, items, cfg):
     feats = list(cfg.features or [f"id{c}" for c in cfg.classes])
     if cfg.include_key:
         feats = ["cid"] + feats
-    return piv, M.persist_sized(M.assemble(piv, feats)), feats
+    return piv, hold(M.assemble(piv, feats)), feats
 
 
+@job
 def customer_segmentation(spark: SparkSession, sales: DataFrame, items: DataFrame,
                           cfg: SegmentationConfig = SegmentationConfig()) -> dict:
     piv, v, feats = _segment_vectors(sales, items, cfg)
@@ -70,6 +85,7 @@ class MixtureConfig(SegmentationConfig):
     max_iter: int = 100
 
 
+@job
 def customer_mixture(spark: SparkSession, sales: DataFrame, items: DataFrame,
                      cfg: MixtureConfig = MixtureConfig()) -> dict:
     piv, v, _ = _segment_vectors(sales, items, cfg)
@@ -86,7 +102,7 @@ def customer_mixture(spark: SparkSession, sales: DataFrame, items: DataFrame,
 @dataclass
 class ReviewConfig:
     rating_map: dict = field(default_factory=lambda: dict(L.RATING_TO_BAYES))
-    bucket_filter: bool = True           # keep pmod(id, 5) IN (1, 2, 3)
+    bucket_filter: bool = False          # True: keep pmod(id, 5) IN (1, 2, 3)
     train_buckets: int = 6               # 60 / 40 hash split
     log: bool = True
 
@@ -97,38 +113,38 @@ def _labelled_reviews(reviews: DataFrame, cfg: ReviewConfig) -> DataFrame:
         r = r.filter(L.bucket_filter(F.col("pr_review_id")))
     r = r.select("pr_review_id", L.rating_label(F.col("pr_rating"), cfg.rating_map).alias("label"),
                  "pr_content").filter(F.col("label").isNotNull())
-    return M.persist_sized(with_split(r, "pr_review_id", cfg.train_buckets), M.DOCS_PER_PARTITION)
+    r = with_split(r, "pr_review_id", cfg.train_buckets)
+    return hold(M.text_features(r, "pr_content", F.col("split") == "train"))
 
 
-def _classify_reviews(spark, reviews, cfg, job, estimator):
+def _classify_reviews(spark, reviews, cfg, name, estimator):
     data = _labelled_reviews(reviews, cfg)
-    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
-    model = M.fit_text_classifier(train, "pr_content", estimator)
-    pred = model.transform(test).select("pr_review_id", "label", "prediction")
+    model = estimator.fit(data.filter(F.col("split") == "train"))
+    out = model.transform(data.filter(F.col("split") == "test"))
+    pred = out.select("pr_review_id", "label", "prediction")
     acc = ev.accuracy(pred)
     if cfg.log:
-        sinks.log_run(spark, job, sinks.param_rows(model.stages[-1]),
-                      {"accuracy": acc.first()["accuracy"]})
-    return data, model, pred, acc
+        sinks.log_run(spark, name, sinks.param_rows(model), {"accuracy": acc.first()["accuracy"]})
+    return {"predictions": pred, "scores": M.prediction_scores(out, "pr_review_id"), "accuracy": acc, "model": model}
 
 
+@job
 def review_sentiment_bayes(spark, reviews, cfg: ReviewConfig = ReviewConfig()) -> dict:
-    _, model, pred, acc = _classify_reviews(spark, reviews, cfg, "review_sentiment_bayes",
-                                            M.naive_bayes_estimator())
-    return {"predictions": pred, "accuracy": acc, "per_label": ev.per_label_metrics(pred),
-            "model": model}
+    out = _classify_reviews(spark, reviews, cfg, "review_sentiment_bayes", M.naive_bayes_estimator())
+    return {**out, "per_label": ev.per_label_metrics(out["predictions"])}
 
 
-def review_sentiment_logistic(spark, reviews, cfg: ReviewConfig = ReviewConfig()) -> dict:
-    _, model, pred, acc = _classify_reviews(spark, reviews, cfg, "review_sentiment_logistic",
-                                            M.logistic_estimator())
-    lr = model.stages[-1]
-    return {"predictions": pred, "accuracy": acc,
-            "coefficients": M.logistic_coefficients(spark, lr),
+@job
+def review_sentiment_logistic(spark, reviews, cfg: ReviewConfig = ReviewConfig(),
+                              family: str = "multinomial") -> dict:
+    """``family="auto"`` with ``rating_map=RATING_TO_BINARY`` is the binary model."""
+    out = _classify_reviews(spark, reviews, cfg, "review_sentiment_logistic", M.logistic_estimator(family))
+    lr = out["model"]
+    return {**out, "coefficients": M.logistic_coefficients(spark, lr), "facts": M.logistic_facts(spark, lr),
             "history": M.logistic_history(spark, lr),
             "train_metrics": M.logistic_train_metrics(spark, lr),
             "train_label_metrics": M.logistic_label_metrics(spark, lr),
-            "test_metrics": ev.weighted_metrics(pred), "model": model}
+            "test_metrics": ev.weighted_metrics(out["predictions"])}
 
 
 @dataclass
@@ -136,23 +152,28 @@ class TopicConfig:
     k: int = 4
     max_iter: int = 100
     seed: int = M.DEFAULT_SEED
-    bucket_filter: bool = True
+    bucket_filter: bool = False
+    vocab_size: int | None = None        # None: every term; else the most frequent
     log: bool = True
 
 
+@job
 def review_topics(spark, reviews, cfg: TopicConfig = TopicConfig()) -> dict:
     r = reviews.filter(F.col("pr_content").isNotNull())
     if cfg.bucket_filter:
         r = r.filter(L.bucket_filter(F.col("pr_review_id")))
-    docs = M.persist_sized(r.select("pr_review_id", "pr_content"), M.DOCS_PER_PARTITION)
-    model = M.lda_pipeline(docs, "pr_content", k=cfg.k, maxIter=cfg.max_iter, seed=cfg.seed)
-    quality = M.lda_quality(spark, model, docs, "pr_content")
+    docs = r.select("pr_review_id", "pr_content")
+    n_terms = text.n_terms(docs, "pr_review_id", "pr_content")
+    cv, features = M.lda_features(docs, "pr_review_id", "pr_content", cfg.vocab_size or max(1, n_terms))
+    features = hold(features)
+    model = M.fit_lda(features, k=cfg.k, maxIter=cfg.max_iter, seed=cfg.seed)
+    quality = M.lda_quality(spark, model, features, n_terms)
     if cfg.log:
         q = quality.first()
-        sinks.log_run(spark, "review_topics", sinks.param_rows(model.stages[-1]),
+        sinks.log_run(spark, "review_topics", sinks.param_rows(model),
                       {"log_likelihood": q["log_likelihood"], "log_perplexity": q["log_perplexity"]})
-    return {"topics": M.lda_topics(spark, model),
-            "doc_topics": M.lda_doc_topics(model, docs, "pr_review_id", "pr_content"),
+    return {"topics": M.lda_topics(spark, cv, model),
+            "doc_topics": M.lda_doc_topics(model, features, "pr_review_id"),
             "quality": quality, "model": model}
 
 
@@ -166,19 +187,20 @@ class BasketConfig:
     log: bool = True
 
 
+@job
 def market_basket(spark, sales, items, cfg: BasketConfig = BasketConfig()) -> dict:
-    bk = M.persist(B.baskets(sales, items, item_col=cfg.item_col))
-    model = B.fit_fp_growth(bk, min_support=cfg.min_support,
-                            min_confidence=cfg.min_confidence,
-                            num_partitions=cfg.num_partitions)
-    rules = B.association_rules(model)
+    """``items=None`` builds the baskets from the sales alone."""
+    bk = hold(B.baskets(sales, items, item_col=cfg.item_col))
+    model = B.mined(B.fit_fp_growth(bk, min_support=cfg.min_support,
+                                    min_confidence=cfg.min_confidence,
+                                    num_partitions=cfg.num_partitions))
+    itemsets, rules = B.frequent_itemsets(model), B.association_rules(model)
     if cfg.publish_rules_as:
         sinks.publish(rules, cfg.publish_rules_as)
-    longf = B.basket_items(sales, items, item_col=cfg.item_col)
     if cfg.log:
         sinks.log_run(spark, "market_basket", sinks.param_rows(model), {})
-    return {"baskets": bk, "itemsets": B.frequent_itemsets(model), "rules": rules,
-            "recommendations": B.recommend(longf, rules), "model": model}
+    return {"baskets": bk, "itemsets": itemsets, "rules": rules,
+            "recommendations": B.recommend(bk, rules, itemsets), "model": model}
 
 
 @dataclass
@@ -193,23 +215,24 @@ def _click_data(clicks, items, cfg):
     lab = (pivots.click_label(piv, cfg.threshold) if cfg.threshold is not None
            else pivots.click_label_by_mean(piv))
     feats = [c for c in lab.columns if c.startswith("clicks_in_")]
-    data = M.persist_sized(with_split(M.assemble(lab, feats), "wl_customer_id", cfg.train_buckets))
+    data = hold(with_split(M.assemble(lab, feats), "wl_customer_id", cfg.train_buckets))
     return data, feats
 
 
-def _click_job(spark, clicks, items, cfg, job, fit):
+def _click_job(spark, clicks, items, cfg, name, fit):
     data, feats = _click_data(clicks, items, cfg)
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     model = fit(train, feats)
     pred = model.transform(test).select("wl_customer_id", "label", "prediction")
-    acc = ev.accuracy(pred).join(ev.rmse(pred))
+    acc = ev.regression_metrics(pred)
     if cfg.log:
         a = acc.first()
-        sinks.log_run(spark, job, sinks.param_rows(model),
+        sinks.log_run(spark, name, sinks.param_rows(model),
                       {"accuracy": a["accuracy"], "test_error": a["test_error"], "rmse": a["rmse"]})
     return model, pred, acc, feats
 
 
+@job
 def click_interest_tree(spark, clicks, items, cfg: ClickConfig = ClickConfig()) -> dict:
     model, pred, acc, feats = _click_job(spark, clicks, items, cfg, "click_interest_tree",
                                          lambda tr, f: M.fit_tree(tr))
@@ -217,6 +240,7 @@ def click_interest_tree(spark, clicks, items, cfg: ClickConfig = ClickConfig())
             "importances": M.tree_importances(spark, model, feats), "model": model}
 
 
+@job
 def click_interest_svc(spark, clicks, items, cfg: ClickConfig = ClickConfig(train_buckets=6)) -> dict:
     model, pred, acc, feats = _click_job(spark, clicks, items, cfg, "click_interest_svc",
                                          lambda tr, f: M.fit_svc(tr))
@@ -224,6 +248,7 @@ def click_interest_svc(spark, clicks, items, cfg: ClickConfig = ClickConfig(trai
             "coefficients": M.svc_coefficients(spark, model, feats), "model": model}
 
 
+@job
 def click_interest_mlp(spark, clicks, items, cfg: ClickConfig = ClickConfig(train_buckets=6),
                        n_classes: int = 2) -> dict:
     model, pred, acc, _ = _click_job(spark, clicks, items, cfg, "click_interest_mlp",

@@ -1,8 +1,8 @@
 """Model fits through ``pyspark.ml`` with every output exported as a
 DataFrame.
 
-Inputs are persisted (MEMORY_AND_DISK) around the iterative fits and released
-afterwards; a lost executor recomputes its blocks from the short lineage
+Inputs are cached (MEMORY_AND_DISK) around the iterative fits by their owner (see
+:mod:`aisleflow.plans.cache`), which releases them; a lost executor recomputes its blocks from the short lineage
 (parquet scan -> features).  Model-sized values (centres, weights,
 coefficients, summaries) already live on the driver in ``pyspark.ml`` and
 are turned into small DataFrames; per-row outputs (assignments,
@@ -11,11 +11,9 @@ predictions, topic mixes) stay distributed.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        LogisticRegression,
@@ -28,6 +26,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aisleflow.plans.cache import hold, owned
+
 # Model settings of the nine jobs.
 KMEANS = dict(k=4, initSteps=5, maxIter=20, tol=0.01)
 KMEANS_SWEEP_KS = tuple(range(2, 15))
@@ -46,60 +46,6 @@ def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> Da
     return VectorAssembler(inputCols=list(columns), outputCol=out).transform(df)
 
 
-def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-# Rows per partition of a persisted fit input.  Iterative fits run one job
-# per iteration over every partition, so a few large partitions beat many
-# tiny ones; at scale the count still yields thousands of partitions.
-ROWS_PER_PARTITION = 500_000
-DOCS_PER_PARTITION = 2_000
-
-
-# Session setting: "true" writes reused intermediates to the shared
-# checkpoint folder instead of caching them on executors.
-DURABLE_CONF = "spark.aisleflow.durableIntermediates"
-
-
-def durable_enabled(spark: SparkSession) -> bool:
-    try:
-        return spark.conf.get(DURABLE_CONF, "false").lower() == "true"
-    except Exception:
-        return False
-
-
-def stage_durable(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back: one computation, lineage cut, and a lost executor costs a re-read
-    of files instead of a recomputation from raw inputs."""
-    from aisleflow.session import scratch_path
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Persist ``df`` with about ``rows_per_partition`` rows per partition.
-
-    The frame is persisted and counted once; if it has more partitions than
-    its size needs, the result reads the cached blocks through a narrow
-    coalesce (no shuffle, no second copy).  Never increases the partition
-    count.  With ``spark.aisleflow.durableIntermediates=true`` the
-    frame is written to the shared checkpoint folder instead (see
-    :func:`stage_durable`).
-    """
-    if durable_enabled(df.sparkSession):
-        return stage_durable(df)
-    first = persist(df)
-    n = first.count()
-    want = max(1, -(-n // rows_per_partition))
-    if want >= first.rdd.getNumPartitions():
-        return first
-    # Narrow coalesce over the cached blocks: no second copy, no extra job.
-    return first.coalesce(want)
-
-
 # --- clustering -----------------------------------------------------------------
 
 def fit_kmeans(vectors: DataFrame, *, seed: int = DEFAULT_SEED, **overrides):
@@ -110,9 +56,10 @@ def fit_kmeans(vectors: DataFrame, *, seed: int = DEFAULT_SEED, **overrides):
 
 def kmeans_centers(spark: SparkSession, model, features: Sequence[str],
                    digits: int = 6) -> DataFrame:
-    rows = [(i, f, round(float(v), digits)) for i, c in enumerate(model.clusterCenters())
+    rows = [(i, f, float(v)) for i, c in enumerate(model.clusterCenters())
             for f, v in zip(features, c)]
-    return spark.createDataFrame(rows, "cluster int, feature string, value double")
+    return spark.createDataFrame(rows, "cluster int, feature string, value double").withColumn(
+        "value", F.round("value", digits))
 
 
 def silhouette_of(predictions: DataFrame) -> float:
@@ -128,19 +75,27 @@ def kmeans_quality(spark: SparkSession, model, vectors: DataFrame) -> DataFrame:
         "k int, silhouette double, training_cost double, num_iter int")
 
 
+def chosen_k(sweep: DataFrame) -> DataFrame:
+    """(k, silhouette) of the highest silhouette, ties to the smallest k."""
+    best = F.max_by(F.struct("k", "silhouette"), F.struct("silhouette", -F.col("k"))).alias("b")
+    return sweep.agg(best).select("b.k", "b.silhouette")
+
+
 def kmeans_sweep(spark: SparkSession, vectors: DataFrame,
                  ks: Sequence[int] = KMEANS_SWEEP_KS, seed: int = DEFAULT_SEED) -> DataFrame:
     """(k, silhouette, training_cost, chosen): one fit per k over one
-    persisted input; ``chosen`` marks the k of highest silhouette."""
-    v = persist_sized(vectors)
-    rows = []
-    for k in ks:
-        m = fit_kmeans(v, seed=seed, k=k)
-        rows.append((k, float(silhouette_of(m.transform(v))), float(m.summary.trainingCost)))
-    v.unpersist()
-    best = max(rows, key=lambda r: (r[1], -r[0]))[0]
-    return spark.createDataFrame([(k, s, c, k == best) for k, s, c in rows],
-                                 "k int, silhouette double, training_cost double, chosen boolean")
+    cached input; ``chosen`` marks the k of highest silhouette."""
+    with owned():
+        v = hold(vectors)
+        rows = []
+        for k in ks:
+            m = fit_kmeans(v, seed=seed, k=k)
+            rows.append((k, float(silhouette_of(m.transform(v))), float(m.summary.trainingCost)))
+            m.summary.cluster.unpersist()
+    sweep = spark.createDataFrame(rows, "k int, silhouette double, training_cost double")
+    best = chosen_k(sweep).select(F.col("k").alias("best"))
+    return sweep.join(F.broadcast(best), F.col("k") == F.col("best"), "left").select(
+        "k", "silhouette", "training_cost", F.col("best").isNotNull().alias("chosen"))
 
 
 def fit_gmm(vectors: DataFrame, **overrides):
@@ -166,41 +121,63 @@ def gmm_summary(spark: SparkSession, model) -> DataFrame:
 
 # --- text models --------------------------------------------------------------------
 
-def lda_pipeline(docs: DataFrame, text_col: str, *, vocab_size: int = 1 << 18,
-                 seed: int = DEFAULT_SEED, **overrides):
-    """Tokenizer -> StopWordsRemover -> CountVectorizer -> LDA (online)."""
-    params = {**LDA_PARAMS, **overrides}
-    stages = [Tokenizer(inputCol=text_col, outputCol="tokens"),
-              StopWordsRemover(inputCol="tokens", outputCol="words"),
-              CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocab_size),
-              LDA(featuresCol="features", seed=seed, **params)]
-    return Pipeline(stages=stages).fit(docs.filter(F.col(text_col).isNotNull()))
+# The topic model over hashed TF-IDF.
+LDA_HASHED = dict(k=3, maxIter=10)
+LDA_HASHED_TERMS = 3
+
 
+def words_of(text_col: str):
+    return [Tokenizer(inputCol=text_col, outputCol="tokens"),
+            StopWordsRemover(inputCol="tokens", outputCol="words")]
 
-def lda_topics(spark: SparkSession, pipe_model, max_terms: int = 10) -> DataFrame:
-    """(topic, rank, term, weight): top terms per topic joined to the
-    vocabulary (the vocabulary is bounded by vocabSize)."""
-    cv, lda = pipe_model.stages[2], pipe_model.stages[3]
-    vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_index int, term string")
-    t = lda.describeTopics(max_terms).select(
-        "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-    return (t.select("topic", "rank", F.col("tw.termIndices").alias("term_index"),
-                     F.col("tw.termWeights").alias("weight"))
-            .join(F.broadcast(vocab), "term_index").select("topic", "rank", "term", "weight"))
 
+def lda_features(docs: DataFrame, key: str, text_col: str, vocab_size: int):
+    """(model, frame): the fitted Tokenizer -> StopWordsRemover -> CountVectorizer,
+    and (key, features) of every document with a text; the texts are not carried on."""
+    docs = docs.filter(F.col(text_col).isNotNull())
+    model = Pipeline(stages=words_of(text_col) + [
+        CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocab_size)]).fit(docs)
+    return model, model.transform(docs).select(key, "features")
 
-def lda_doc_topics(pipe_model, docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    out = pipe_model.transform(docs.filter(F.col(text_col).isNotNull()))
-    return out.select(key, F.posexplode(vector_to_array("topicDistribution")).alias("topic", "share"))
 
+def fit_lda(features: DataFrame, *, seed: int = DEFAULT_SEED, **overrides):
+    return LDA(featuresCol="features", seed=seed, **{**LDA_PARAMS, **overrides}).fit(features)
 
-def lda_quality(spark: SparkSession, pipe_model, docs: DataFrame, text_col: str) -> DataFrame:
-    feats = persist(pipe_model.transform(docs.filter(F.col(text_col).isNotNull())))
-    lda = pipe_model.stages[3]
-    ll, lp = float(lda.logLikelihood(feats)), float(lda.logPerplexity(feats))
-    feats.unpersist()
-    return spark.createDataFrame([(ll, lp, int(lda.vocabSize()))],
-                                 "log_likelihood double, log_perplexity double, vocab_size int")
+
+def hashed_lda_features(docs: DataFrame, key: str, text_col: str, num_features: int = 1 << 18):
+    """(key, features): hashed TF-IDF, of one width whatever the vocabulary."""
+    docs = docs.filter(F.col(text_col).isNotNull())
+    model = Pipeline(stages=words_of(text_col) + [
+        HashingTF(inputCol="words", outputCol="raw", numFeatures=num_features),
+        IDF(inputCol="raw", outputCol="features")]).fit(docs)
+    return model.transform(docs).select(key, "features")
+
+
+def topic_terms(lda, max_terms: int) -> DataFrame:
+    """(topic, rank, term_index, weight)."""
+    return lda.describeTopics(max_terms).select(
+        "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw")).select(
+        "topic", "rank", F.col("tw.termIndices").alias("term_index"), F.col("tw.termWeights").alias("weight"))
+
+
+def lda_topics(spark: SparkSession, cv_model, lda, max_terms: int = 10) -> DataFrame:
+    """(topic, rank, term, weight): only the topics' own terms are named, k x
+    ``max_terms`` of them."""
+    rows = topic_terms(lda, max_terms).collect()
+    vocabulary = cv_model.stages[-1].vocabulary
+    return spark.createDataFrame([(r["topic"], r["rank"], vocabulary[r["term_index"]], r["weight"]) for r in rows],
+                                 "topic int, rank int, term string, weight double")
+
+
+def lda_doc_topics(lda, features: DataFrame, key: str) -> DataFrame:
+    return lda.transform(features).select(key, F.posexplode(vector_to_array("topicDistribution")).alias("topic", "share"))
+
+
+def lda_quality(spark: SparkSession, lda, features: DataFrame, n_terms: int) -> DataFrame:
+    """``terms_left_out``: terms of the corpus beyond the vocabulary bound."""
+    ll, lp, v = float(lda.logLikelihood(features)), float(lda.logPerplexity(features)), int(lda.vocabSize())
+    return spark.createDataFrame([(ll, lp, v, int(n_terms) - v)],
+                                 "log_likelihood double, log_perplexity double, vocab_size int, terms_left_out long")
 
 
 def tfidf_stages(text_col: str, num_features: int = 1 << 18):
@@ -209,23 +186,38 @@ def tfidf_stages(text_col: str, num_features: int = 1 << 18):
             IDF(inputCol="raw", outputCol="features")]
 
 
-def fit_text_classifier(train: DataFrame, text_col: str, estimator):
-    """Tokenizer -> HashingTF -> IDF -> estimator, fitted on ``train`` only."""
-    pipe = Pipeline(stages=tfidf_stages(text_col) + [estimator])
-    return pipe.fit(train.filter(F.col(text_col).isNotNull()))
+def text_features(data: DataFrame, text_col: str, is_train) -> DataFrame:
+    """``data`` with ``features`` (Tokenizer -> HashingTF -> IDF fitted on the rows of
+    ``is_train``) in place of the text."""
+    data = data.filter(F.col(text_col).isNotNull())
+    tf = Pipeline(stages=tfidf_stages(text_col)[:2]).fit(data).transform(data).drop(text_col, "words")
+    idf = tfidf_stages(text_col)[2].fit(tf.filter(is_train))
+    return idf.transform(tf).drop("raw")
 
 
 def naive_bayes_estimator(**overrides):
     return NaiveBayes(**{**NB_PARAMS, **overrides})
 
 
-def logistic_estimator(**overrides):
-    return LogisticRegression(family="multinomial", **{**LOGREG, **overrides})
+def logistic_estimator(family: str = "multinomial", **overrides):
+    """``family="auto"`` is binomial for two classes, multinomial for more."""
+    return LogisticRegression(family=family, **{**LOGREG, **overrides})
+
+
+def prediction_scores(predictions: DataFrame, key: str, probability: bool = True) -> DataFrame:
+    """(key, label, prediction, class, raw, probability): the scores behind each
+    prediction; without ``probability`` (margin classifiers) that column is left out."""
+    parts = {"raw": vector_to_array("rawPrediction")}
+    if probability:
+        parts["probability"] = vector_to_array("probability")
+    rows = predictions.select(key, "label", "prediction", F.posexplode(F.arrays_zip(*[c.alias(n) for n, c in parts.items()])).alias("class", "s"))
+    return rows.select(key, "label", "prediction", "class", *[F.col(f"s.{n}").alias(n) for n in parts])
 
 
 def logistic_coefficients(spark: SparkSession, lr_model) -> DataFrame:
     """(class, feature_index, value): non-zero coefficients (sparse long
-    form, bounded by classes x features) plus intercepts at index -1."""
+    form, bounded by classes x features) plus intercepts at index -1.  A binomial model
+    has one row of coefficients."""
     import pandas as pd
     dense = lr_model.coefficientMatrix.toArray()
     cls, feat = np.nonzero(dense)
@@ -238,6 +230,12 @@ def logistic_coefficients(spark: SparkSession, lr_model) -> DataFrame:
     return spark.createDataFrame(pdf, "class int, feature_index int, value double")
 
 
+def logistic_facts(spark: SparkSession, lr_model) -> DataFrame:
+    rows = [("num_classes", float(lr_model.numClasses)), ("num_features", float(lr_model.numFeatures)),
+            ("coefficient_rows", float(lr_model.coefficientMatrix.numRows)), ("iterations", float(lr_model.summary.totalIterations))]
+    return spark.createDataFrame(rows, "name string, value double")
+
+
 def logistic_history(spark: SparkSession, lr_model) -> DataFrame:
     h = lr_model.summary.objectiveHistory
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(h)],
@@ -270,16 +268,37 @@ def fit_tree(train: DataFrame, **overrides):
                                   **{**TREE, **overrides}).fit(train)
 
 
-_ROOT = re.compile(r"If \(feature (\d+) <= ([-0-9.Ee]+)\)")
+def tree_nodes(spark: SparkSession, model) -> DataFrame:
+    """The node table (node, parent, depth, is_leaf, feature, threshold, gain,
+    impurity, prediction), in preorder; a left child is the node after its parent."""
+    rows: list[tuple] = []
+    todo = [(model._call_java("rootNode"), None, 0)]
+    while todo:
+        node, parent, depth = todo.pop()
+        at, leaf = len(rows), node.subtreeDepth() == 0
+        split = None if leaf else node.split()
+        categorical = split is not None and split.getClass().getSimpleName() == "CategoricalSplit"
+        rows.append((at, parent, depth, leaf, None if leaf else int(split.featureIndex()),
+                     None if leaf or categorical else float(split.threshold()),
+                     None if leaf else float(node.gain()), float(node.impurity()), float(node.prediction())))
+        if not leaf:
+            todo += [(node.rightChild(), at, depth + 1), (node.leftChild(), at, depth + 1)]
+    return spark.createDataFrame(rows, "node int, parent int, depth int, is_leaf boolean, feature int, "
+                                       "threshold double, gain double, impurity double, prediction double")
+
+
+def tree_text(spark: SparkSession, model) -> DataFrame:
+    """(line, text): the model's printed form."""
+    return spark.createDataFrame(list(enumerate(model.toDebugString.splitlines())), "line int, text string")
 
 
 def tree_facts(spark: SparkSession, model) -> DataFrame:
-    m = _ROOT.search(model.toDebugString)
     rows = [("num_nodes", float(model.numNodes)), ("depth", float(model.depth)),
             ("num_features", float(model.numFeatures)), ("num_classes", float(model.numClasses))]
-    if m:
-        rows += [("root_feature", float(m.group(1))), ("root_threshold", float(m.group(2)))]
-    return spark.createDataFrame(rows, "name string, value double")
+    facts = spark.createDataFrame(rows, "name string, value double")
+    root = tree_nodes(spark, model).filter("node = 0 AND NOT is_leaf")
+    return facts.unionByName(root.select(F.expr(
+        "stack(2, 'root_feature', CAST(feature AS DOUBLE), 'root_threshold', threshold) AS (name, value)")))
 
 
 def tree_importances(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
@@ -296,8 +315,9 @@ def fit_svc(train: DataFrame, **overrides):
 
 def svc_coefficients(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
     rows = [(f, float(v)) for f, v in zip(features, model.coefficients.toArray())]
-    rows.append(("intercept", round(float(model.intercept), 8)))
-    return spark.createDataFrame(rows, "feature string, value double")
+    rows.append(("intercept", float(model.intercept)))
+    return spark.createDataFrame(rows, "feature string, value double").withColumn(
+        "value", F.when(F.col("feature") == "intercept", F.round("value", 8)).otherwise(F.col("value")))
 
 
 def fit_mlp(train: DataFrame, n_features: int, n_classes: int, *,

@@ -65,6 +65,7 @@ SELECT wl_customer_id,
 
 # --- readers ----------------------------------------------------------------
 ORACLE_SQL["delimited_roundtrip"] = ORACLE_SQL["items_dim"]
+ORACLE_SQL["delimited_swapped_headers"] = ORACLE_SQL["store_sales_view"]
 ORACLE_SQL["json_roundtrip"] = f"SELECT wl_customer_id, wl_item_id FROM {CLICKS}"
 
 # --- reviews ----------------------------------------------------------------
@@ -76,20 +77,32 @@ REVIEWS = """(SELECT d.doc_id AS pr_review_id,
         d.text AS pr_content
    FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
+REVIEW_TEXTS = "(SELECT doc_id AS pr_review_id, text AS pr_content FROM documents)"
+
+# The label encodings of a rating.
+BAYES_LABEL = ("CASE pr_rating WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 1.0 "
+               "WHEN 4 THEN 2.0 WHEN 5 THEN 2.0 END::DOUBLE")
+LOGISTIC_LABEL = ("CASE pr_rating WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 1.0 "
+                  "WHEN 4 THEN 3.0 WHEN 5 THEN 3.0 END::DOUBLE")
+BINARY_LABEL = ("CASE pr_rating WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 0.0 "
+                "WHEN 4 THEN 1.0 WHEN 5 THEN 1.0 END::DOUBLE")
+SENTIMENT = ("CASE pr_rating WHEN 1 THEN 'NEG' WHEN 2 THEN 'NEG' WHEN 3 THEN 'NEU' "
+             "WHEN 4 THEN 'POS' WHEN 5 THEN 'POS' END")
+
 REVIEW_LABELS = f"""(SELECT pr_review_id, pr_rating,
-        CASE pr_rating WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 1.0
-                       WHEN 4 THEN 2.0 WHEN 5 THEN 2.0 END::DOUBLE AS label,
-        CASE pr_rating WHEN 1 THEN 'NEG' WHEN 2 THEN 'NEG' WHEN 3 THEN 'NEU'
-                       WHEN 4 THEN 'POS' WHEN 5 THEN 'POS' END AS sentiment,
-        pr_content AS sentence
-   FROM {REVIEWS}
-  WHERE ((pr_review_id % 5) + 5) % 5 IN (1, 2, 3))"""
-
-ORACLE_SQL["review_labels"] = f"SELECT * FROM {REVIEW_LABELS} WHERE label IS NOT NULL"
+        {BAYES_LABEL} AS label, {SENTIMENT} AS sentiment, pr_content AS sentence
+   FROM {REVIEWS})"""
+
+# The bucket filter of the review jobs.
+ORACLE_SQL["review_labels"] = f"""SELECT * FROM {REVIEW_LABELS}
+ WHERE label IS NOT NULL AND ((pr_review_id % 5) + 5) % 5 IN (1, 2, 3)"""
+ORACLE_SQL["review_label_encodings"] = f"""SELECT pr_review_id, pr_rating, {BAYES_LABEL} AS bayes,
+       {LOGISTIC_LABEL} AS logistic, {BINARY_LABEL} AS binary, {SENTIMENT} AS sentiment FROM {REVIEWS}"""
 HASH_BUCKET = "(CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 4) AS INTEGER) % 10)"
 ORACLE_SQL["hash_split"] = f"""SELECT pr_review_id, {HASH_BUCKET.format(k='pr_review_id')} AS bucket,
        CASE WHEN {HASH_BUCKET.format(k='pr_review_id')} < 6 THEN 'train' ELSE 'test' END AS split
-  FROM {REVIEWS}"""
+  FROM {REVIEW_TEXTS}"""
+ORACLE_SQL["random_split_check"] = "SELECT doc_id AS pr_review_id, count(*) AS sides FROM documents GROUP BY doc_id"
 ORACLE_SQL["sample_head"] = f"""SELECT pr_review_id, label, sentence FROM {REVIEW_LABELS}
  WHERE label IS NOT NULL ORDER BY pr_review_id LIMIT 5"""
 ORACLE_SQL["label_index"] = f"""SELECT sentiment AS label,
@@ -101,15 +114,36 @@ long AS (UNPIVOT (SELECT {_CLICK_FEATS} FROM cl) ON {_CLICK_FEATS} INTO NAME fea
 SELECT feature, count(DISTINCT value) AS n_distinct, count(DISTINCT value) <= 20 AS is_categorical
   FROM long GROUP BY feature"""
 
+
+
+def _categorical_map(max_categories: int) -> str:
+    return f"""WITH cl AS (SELECT * FROM {CATEGORY_CLICKS}),
+long AS (UNPIVOT (SELECT {_CLICK_FEATS} FROM cl) ON {_CLICK_FEATS} INTO NAME feature VALUE value),
+v AS (SELECT DISTINCT feature, value FROM long),
+few AS (SELECT feature FROM v GROUP BY feature HAVING count(*) <= {max_categories})
+SELECT feature, value::DOUBLE AS value,
+       CAST(row_number() OVER (PARTITION BY feature ORDER BY value <> 0, value) - 1 AS INTEGER) AS category_index
+  FROM v JOIN few USING (feature)"""
+
+
+ORACLE_SQL["categorical_map_20"] = _categorical_map(20)
+ORACLE_SQL["categorical_map_4"] = _categorical_map(4)
+
 # --- text -------------------------------------------------------------------
 WS = "'[ \\t\\n\\x0B\\f\\r]'"
-TOKENS = f"""(SELECT pr_review_id, CAST(pos AS INTEGER) AS pos, token FROM (
+
+
+def _tokens(source: str) -> str:
+    return f"""(SELECT pr_review_id, CAST(pos AS INTEGER) AS pos, token FROM (
     SELECT pr_review_id,
            unnest(generate_series(0, len(t) - 1)) AS pos,
            unnest(t) AS token
-      FROM (SELECT pr_review_id, regexp_split_to_array(lower(pr_content), {WS}) AS t
-              FROM {REVIEWS}))
-  WHERE token <> '')"""
+      FROM (SELECT pr_review_id, CASE WHEN low <> '' AND cut = '' THEN CAST([] AS VARCHAR[]) ELSE regexp_split_to_array(cut, {WS}) END AS t
+              FROM (SELECT pr_review_id, lower(pr_content) AS low, regexp_replace(lower(pr_content), '[ \\t\\n\\x0B\\f\\r]+$', '') AS cut
+                      FROM {source}))))"""
+
+
+TOKENS = _tokens(REVIEW_TEXTS)
 
 
 def _stop_list() -> str:
@@ -120,18 +154,18 @@ def _stop_list() -> str:
 TOKENS_NS = f"(SELECT * FROM {TOKENS} WHERE token NOT IN ({_stop_list()}))"
 ORACLE_SQL["tokens"] = f"SELECT * FROM {TOKENS}"
 ORACLE_SQL["tokens_no_stopwords"] = f"SELECT * FROM {TOKENS_NS}"
-VOCAB = f"""(SELECT term, CAST(row_number() OVER (ORDER BY freq DESC, term) - 1 AS INTEGER) AS term_index,
+VOCAB = f"""(SELECT term, row_number() OVER (ORDER BY freq DESC, term) - 1 AS term_index,
         freq, doc_freq
    FROM (SELECT term, sum(tf) AS freq, count(*) AS doc_freq
            FROM (SELECT pr_review_id, token AS term, count(*) AS tf
                    FROM {TOKENS_NS} GROUP BY pr_review_id, token)
           GROUP BY term)
-  ORDER BY freq DESC, term LIMIT 262144)"""
+)"""
 ORACLE_SQL["term_vocabulary"] = f"SELECT term, term_index, CAST(freq AS BIGINT) AS freq, doc_freq FROM {VOCAB}"
 ORACLE_SQL["vocab_size"] = f"SELECT count(*) AS vocab_size FROM {VOCAB}"
 TF = f"(SELECT pr_review_id, token AS term, count(*) AS tf FROM {TOKENS} GROUP BY pr_review_id, token)"
 IDF = f"""(SELECT term, count(*) AS doc_freq,
-        ln(((SELECT count(*) FROM {REVIEWS}) + 1) / (count(*) + 1)) AS idf
+        ln(((SELECT count(*) FROM {REVIEW_TEXTS}) + 1) / (count(*) + 1)) AS idf
    FROM {TF} GROUP BY term)"""
 ORACLE_SQL["term_idf"] = f"SELECT term, doc_freq, round(idf, 9) AS idf FROM {IDF}"
 ORACLE_SQL["doc_tfidf"] = f"""SELECT t.pr_review_id, t.term, t.tf, round(t.tf * i.idf, 9) AS tfidf
@@ -148,11 +182,14 @@ ORACLE_SQL["customers_per_category"] = f"""SELECT DISTINCT i.i_category_id, c.wl
  WHERE c.wl_customer_id IS NOT NULL AND i.i_category_id IS NOT NULL"""
 
 
-def _itemsets(min_support: float) -> str:
+BRAND_ROWS = f"SELECT DISTINCT ss_transaction_id AS t, i_brand AS item FROM {SALES_ITEMS}"
+
+
+def _itemsets(min_support: float, baskets: str = "") -> str:
     """Frequent itemsets of every size over brand baskets: a recursive CTE
     lists each subset of each basket's frequent items once (items in
     increasing order), then subsets are counted."""
-    return f"""WITH RECURSIVE b AS (SELECT DISTINCT ss_transaction_id AS t, i_brand AS item FROM {SALES_ITEMS}),
+    return f"""WITH RECURSIVE b AS ({baskets or BRAND_ROWS}),
 mc AS (SELECT ceil({min_support}::DOUBLE * count(DISTINCT t)) AS m FROM b),
 s1 AS (SELECT item, count(*) AS freq FROM b GROUP BY item HAVING count(*) >= (SELECT m FROM mc)),
 bf AS (SELECT * FROM b WHERE item IN (SELECT item FROM s1)),
@@ -168,6 +205,11 @@ ORACLE_SQL["frequent_itemsets"] = _itemsets(0.01) + "\nSELECT items, CAST(len(it
 ORACLE_SQL["frequent_itemsets_rdd_variant"] = _itemsets(0.004) + "\nSELECT items, CAST(len(items) AS INTEGER) AS size, freq FROM sets"
 
 
+ORACLE_SQL["frequent_itemsets_no_join"] = _itemsets(
+    0.004, "SELECT DISTINCT l_orderkey AS t, l_suppkey AS item FROM lineitem") + """
+SELECT items, CAST(len(items) AS INTEGER) AS size, freq FROM sets"""
+
+
 def _rules(min_support: float, min_conf: float) -> str:
     return _itemsets(min_support) + f""",
 n AS (SELECT count(DISTINCT t) AS n FROM b),
@@ -190,7 +232,11 @@ SELECT antecedent, consequent, round(confidence, 9) AS confidence, round(lift, 9
 ORACLE_SQL["association_rules_conf10"] = _rules(0.01, 0.1) + """
 SELECT antecedent, consequent, round(confidence, 9) AS confidence, round(lift, 9) AS lift,
        round(support, 9) AS support FROM rules"""
-ORACLE_SQL["basket_recommendations"] = _rules(0.01, 0.1) + """,
+ORACLE_SQL["association_rules_pairs"] = _rules(0.004, 0.15) + """
+SELECT antecedent, consequent, round(confidence, 9) AS confidence, round(lift, 9) AS lift,
+       round(support, 9) AS support FROM rules"""
+ORACLE_SQL["rules_view"] = ORACLE_SQL["association_rules_pairs"]
+ORACLE_SQL["basket_recommendations"] = _rules(0.004, 0.15) + """,
 bl AS (SELECT t, list(item) AS basket FROM b GROUP BY t)
 SELECT bl.t AS ss_transaction_id, list_sort(list(DISTINCT r.consequent)) AS prediction
   FROM bl JOIN rules r ON list_has_all(bl.basket, r.antecedent)
@@ -207,13 +253,12 @@ SELECT 'o_custkey', count(o_custkey), round(avg(o_custkey::DOUBLE), 4), round(st
 
 # --- naive Bayes twin ---------------------------------------------------------
 NB_CTE = f"""WITH r AS (SELECT pr_review_id,
-        CASE pr_rating WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 1.0
-                       WHEN 4 THEN 2.0 WHEN 5 THEN 2.0 END::DOUBLE AS label,
+        {BAYES_LABEL} AS label,
         {HASH_BUCKET.format(k='pr_review_id')} AS bucket
    FROM {REVIEWS}),
 train AS (SELECT pr_review_id, label FROM r WHERE label IS NOT NULL AND bucket < 6),
 test AS (SELECT pr_review_id, label FROM r WHERE label IS NOT NULL AND bucket >= 6),
-tf AS {TF},
+tf AS (SELECT pr_review_id, token AS term, count(*) AS tf FROM {_tokens(REVIEWS)} GROUP BY pr_review_id, token),
 tft AS (SELECT * FROM tf WHERE pr_review_id IN (SELECT pr_review_id FROM train)),
 idf AS (SELECT term, ln(((SELECT count(*) FROM train) + 1) / (count(*) + 1)) AS idf
           FROM tft GROUP BY term),
@@ -376,3 +421,42 @@ g AS (SELECT feature, CAST(substr(feature, 11) AS INTEGER) - 1 AS feature_index,
         FROM cum WHERE next_value IS NOT NULL)"""
 ORACLE_SQL["gini_splits"] = GINI + "\nSELECT * FROM g"
 ORACLE_SQL["gini_best"] = GINI + "\nSELECT * FROM g ORDER BY gain DESC, feature_index, threshold LIMIT 1"
+
+
+# --- facts of the fits, for every row -----------------------------------------------
+PIVOT = f"({ORACLE_SQL['customer_class_pivot']})"
+ORACLE_SQL["kmeans_check"] = f"SELECT cid, true AS nearest FROM {PIVOT}"
+ORACLE_SQL["gmm_row_check"] = f"SELECT cid, true AS sums_to_one, true AS is_argmax FROM {PIVOT}"
+ORACLE_SQL["gmm_component_check"] = """SELECT CAST(c AS INTEGER) AS component, 16 AS dims, true AS symmetric,
+       1.0::DOUBLE AS total_weight FROM range(2) r(c)"""
+ORACLE_SQL["lda_doc_check"] = "SELECT doc_id AS pr_review_id, 4::BIGINT AS topics, true AS sums_to_one FROM documents WHERE text IS NOT NULL"
+ORACLE_SQL["lda_hashed_doc_check"] = ORACLE_SQL["lda_doc_check"].replace("4::BIGINT", "3::BIGINT")
+REVIEW_TEST = f"""(SELECT pr_review_id, {BAYES_LABEL} AS label FROM {REVIEWS}
+  WHERE {HASH_BUCKET.format(k='pr_review_id')} >= 6)"""
+ORACLE_SQL["nb_fit_check"] = f"""SELECT pr_review_id, 3::BIGINT AS classes, true AS sums_to_one, true AS is_argmax
+  FROM {REVIEW_TEST} WHERE label IS NOT NULL"""
+ORACLE_SQL["logreg_check"] = ORACLE_SQL["nb_fit_check"]
+ORACLE_SQL["logreg_binary_check"] = ORACLE_SQL["nb_fit_check"].replace("3::BIGINT", "2::BIGINT")
+ORACLE_SQL["logreg_history_check"] = "SELECT true AS never_rises"
+ORACLE_SQL["logreg_families"] = """SELECT * FROM (VALUES ('auto', 'num_classes', 3.0::DOUBLE), ('auto', 'num_features', 262144.0),
+       ('auto', 'coefficient_rows', 3.0), ('binary', 'num_classes', 2.0), ('binary', 'num_features', 262144.0),
+       ('binary', 'coefficient_rows', 1.0)) v(model, name, value)"""
+
+
+def _click_test(train_buckets: int) -> str:
+    return f"(SELECT wl_customer_id FROM {CATEGORY_CLICKS} WHERE {HASH_BUCKET.format(k='wl_customer_id')} >= {train_buckets})"
+
+
+ORACLE_SQL["tree_check"] = f"SELECT wl_customer_id, 2::BIGINT AS classes, true AS sums_to_one, true AS is_argmax FROM {_click_test(7)}"
+ORACLE_SQL["mlp_check"] = f"SELECT wl_customer_id, 2::BIGINT AS classes, true AS sums_to_one, true AS is_argmax FROM {_click_test(6)}"
+ORACLE_SQL["svc_check"] = f"SELECT wl_customer_id, true AS sign_is_prediction, true AS margin_is_linear FROM {_click_test(6)}"
+ORACLE_SQL["tree_importance_check"] = "SELECT 19::BIGINT AS n, true AS none_negative, true AS sum_to_one"
+ORACLE_SQL["tree_root_check"] = GINI + """
+SELECT feature_index AS feature, threshold, gain FROM g ORDER BY gain DESC, feature_index, threshold LIMIT 1"""
+ORACLE_SQL["model_roundtrip_check"] = """SELECT CAST(c AS INTEGER) AS cluster, 'id' || CAST(f AS VARCHAR) AS feature, true AS equal
+  FROM range(4) a(c), range(1, 17) b(f)"""
+ORACLE_SQL["run_log_check"] = """SELECT 'customer_segmentation' AS job, * FROM (VALUES ('k', 4.0::DOUBLE), ('initSteps', 5.0),
+       ('maxIter', 20.0), ('tol', 0.01), ('seed', 1234138471039.0)) v(name, value)"""
+ORACLE_SQL["silhouette_best_k"] = "WITH s AS (" + " UNION ALL ".join(
+    f"SELECT {k} AS k, silhouette FROM ({_silhouette_sql(k)})" for k in (2, 3, 4)) + """)
+SELECT k, silhouette FROM s ORDER BY silhouette DESC, k LIMIT 1"""

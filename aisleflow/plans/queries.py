@@ -1,8 +1,10 @@
 """Named queries over a scale-factor folder: name -> f(spark, sf_dir).
 
-Each one reads the whole driver tables through the adapters and returns a
-lazy DataFrame.  Where the result is SQL-expressible the same name has a
-DuckDB statement in :mod:`aisleflow.plans.oracle`.
+Each one reads the whole driver tables through the adapters.  Plain queries are
+lazy; fits, file round trips and the stream run when called.  Where the result is
+SQL-expressible the same name has a DuckDB statement in :mod:`aisleflow.plans.oracle`.
+Of a fit, whose numbers SQL cannot give, ``*_check`` queries state facts for every
+row that must hold whatever the numbers are.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aisleflow.operators import pivots
+from aisleflow.plans.cache import hold, memo
 from aisleflow.sources import adapters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +99,20 @@ def delimited_roundtrip(spark, sf):
     return readers.read_delimited(spark, path, schema, validate_header=True)
 
 
+@query("delimited_swapped_headers")
+def delimited_swapped_headers(spark, sf):
+    """Two files whose headers name the columns in different orders, read as one."""
+    from aisleflow.session import scratch_path
+    from aisleflow.sources import readers
+    path = scratch_path(spark, "sales_tbl")
+    sales = adapters.store_sales(spark, sf)
+    names = readers.STORE_SALES_SCHEMA.fieldNames()
+    even = F.col("ss_transaction_id") % 2 == 0
+    for i, (rows, order) in enumerate(((sales.filter(even), names), (sales.filter(~even), [names[1], names[0], names[2]]))):
+        rows.select(*order).write.option("sep", "|").option("header", True).csv(f"{path}/{i}")
+    return readers.read_delimited(spark, f"{path}/*", readers.STORE_SALES_SCHEMA, validate_header=True)
+
+
 @query("json_roundtrip")
 def json_roundtrip(spark, sf):
     from aisleflow.session import scratch_path
@@ -114,27 +131,44 @@ def _reviews(spark, sf):
     return adapters.product_reviews(spark, sf)
 
 
-def _review_labels(spark, sf, bucketed=True):
+def _review_labels(spark, sf, bucketed=False, text=True):
     from aisleflow.functions import labels as L
-    r = _reviews(spark, sf)
+    r = _reviews(spark, sf) if text else adapters.review_ratings(spark, sf)
     if bucketed:
         r = r.filter(L.bucket_filter(F.col("pr_review_id")))
     lab = L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES)
     return (r.select("pr_review_id", "pr_rating", lab.alias("label"),
                      L.rating_label(F.col("pr_rating"), L.RATING_TO_SENTIMENT).alias("sentiment"),
-                     F.col("pr_content").alias("sentence"))
+                     *([F.col("pr_content").alias("sentence")] if text else []))
             .filter(F.col("label").isNotNull()))
 
 
 @query("review_labels")
 def review_labels(spark, sf):
-    return _review_labels(spark, sf)
+    return _review_labels(spark, sf, bucketed=True)
+
+
+@query("review_label_encodings")
+def review_label_encodings(spark, sf):
+    """Every label encoding of every rating; the numeric ones by the cast of digit text."""
+    from aisleflow.functions import labels as L
+    r = adapters.review_ratings(spark, sf)
+    rating = F.col("pr_rating")
+    return r.select("pr_review_id", "pr_rating", L.text_label(rating, L.RATING_TO_BAYES).alias("bayes"),
+                    L.text_label(rating, L.RATING_TO_LOGISTIC).alias("logistic"),
+                    L.text_label(rating, L.RATING_TO_BINARY).alias("binary"),
+                    L.rating_label(rating, L.RATING_TO_SENTIMENT).alias("sentiment"))
+
+
+def _review_ids(spark, sf):
+    from aisleflow.sources.tables import table
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("pr_review_id"))
 
 
 @query("hash_split")
 def hash_split(spark, sf):
     from aisleflow.functions.split import with_split
-    return with_split(_reviews(spark, sf).select("pr_review_id"), "pr_review_id")
+    return with_split(_review_ids(spark, sf), "pr_review_id")
 
 
 @query("sample_head")
@@ -146,15 +180,21 @@ def sample_head(spark, sf):
 @query("random_split")
 def random_split(spark, sf):
     from aisleflow.functions.split import random_split as rs
-    tr, te = rs(_reviews(spark, sf).select("pr_review_id"))
+    tr, te = rs(_review_ids(spark, sf))
     return (tr.withColumn("split", F.lit("train"))
             .unionByName(te.withColumn("split", F.lit("test"))))
 
 
+@query("random_split_check")
+def random_split_check(spark, sf):
+    """(review, sides): every id is on exactly one side."""
+    return random_split(spark, sf).groupBy("pr_review_id").agg(F.count(F.lit(1)).alias("sides"))
+
+
 @query("label_index")
 def label_index(spark, sf):
     from aisleflow.operators.classify import label_index as li
-    return li(_review_labels(spark, sf), "sentiment")
+    return li(_review_labels(spark, sf, text=False), "sentiment")
 
 
 @query("categorical_features")
@@ -164,11 +204,27 @@ def categorical_features(spark, sf):
     return cf(cl, [f"clicks_in_{n}" for n in range(1, 20)], max_categories=20)
 
 
+def _categorical_map(spark, sf, max_categories):
+    from aisleflow.operators.classify import categorical_map
+    cl = pivots.click_label(_category_clicks(spark, sf))
+    return categorical_map(cl, CLICK_FEATURES, max_categories)
+
+
+@query("categorical_map_20")
+def categorical_map_20(spark, sf):
+    return _categorical_map(spark, sf, 20)
+
+
+@query("categorical_map_4")
+def categorical_map_4(spark, sf):
+    return _categorical_map(spark, sf, 4)
+
+
 # --- text long form ---------------------------------------------------------
 
 def _review_tokens(spark, sf, positions=True):
     from aisleflow.operators import text
-    return text.token_rows(_reviews(spark, sf), key="pr_review_id", text="pr_content",
+    return text.token_rows(adapters.review_texts(spark, sf), key="pr_review_id", text="pr_content",
                            positions=positions)
 
 
@@ -200,17 +256,15 @@ def vocab_size(spark, sf):
 
 
 def _idf(spark, sf):
-    """(tf, idf): the (review, term) counts are persisted once and read by
+    """(tf, idf): the (review, term) counts are cached once and read by
     both the document-frequency aggregate and the TF-IDF join, so the texts
     are tokenised a single time."""
     from aisleflow.operators import text
-    from aisleflow.plans.models import persist_sized
 
     def build():
-        return persist_sized(text.term_frequencies(
-            _review_tokens(spark, sf, positions=False), "pr_review_id"), TF_ROWS_PER_PARTITION)
-    tf = _memo("review_tf", spark, sf, build)
-    return tf, text.term_idf(tf, _reviews(spark, sf), "pr_review_id")
+        return hold(text.term_frequencies(_review_tokens(spark, sf, positions=False), "pr_review_id"))
+    tf = memo("review_tf", spark, sf, build)
+    return tf, text.term_idf(tf, _review_ids(spark, sf), "pr_review_id")
 
 
 @query("term_idf")
@@ -254,23 +308,21 @@ def customers_per_category(spark, sf):
     return j.select("i_category_id", "wl_customer_id").distinct()
 
 
-def _fp_model(spark, sf, min_support, min_confidence):
+def _fp_fit(spark, sf, min_support):
+    """(brand baskets, FP-growth model) for one support level, cached."""
     from aisleflow.operators import baskets as B
 
-    _, model = _fp_fit(spark, sf, min_support)
-    # One fit per support; the confidence only filters the rules.
-    return B.with_min_confidence(model, min_confidence)
+    def build():
+        bk = hold(_brand_baskets(spark, sf))
+        return bk, B.mined(B.fit_fp_growth(bk, min_support=min_support))
+    return memo(f"fp-{min_support}", spark, sf, build)
 
 
-def _fp_fit(spark, sf, min_support):
-    """(persisted brand baskets, FP-growth model) for one support level."""
+def _fp_model(spark, sf, min_support, min_confidence):
     from aisleflow.operators import baskets as B
 
-    def build():
-        from aisleflow.plans.models import persist_sized
-        bk = persist_sized(_brand_baskets(spark, sf), BASKETS_PER_PARTITION)
-        return bk, B.fit_fp_growth(bk, min_support=min_support)
-    return _memo(f"fp-{min_support}", spark, sf, build)
+    # One fit per support; the confidence only filters the rules.
+    return B.with_min_confidence(_fp_fit(spark, sf, min_support)[1], min_confidence)
 
 
 @query("frequent_itemsets")
@@ -286,6 +338,15 @@ def frequent_itemsets_rdd_variant(spark, sf):
                                          B.MIN_CONFIDENCE))
 
 
+@query("frequent_itemsets_no_join")
+def frequent_itemsets_no_join(spark, sf):
+    """The variant without the items table: baskets of the sales' own item column."""
+    from aisleflow.operators import baskets as B
+    from aisleflow.sources.tables import table
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("ss_transaction_id"), F.col("l_suppkey").alias("ss_item_id"))
+    return B.frequent_itemsets(B.fit_fp_growth(B.baskets(li), min_support=B.RDD_VARIANT_MIN_SUPPORT))
+
+
 @query("association_rules")
 def association_rules(spark, sf):
     from aisleflow.operators import baskets as B
@@ -294,6 +355,8 @@ def association_rules(spark, sf):
 
 # Confidence 0.1 keeps rules at every test scale (0.9 keeps none there).
 LOW_CONFIDENCE = 0.1
+# Support and confidence that keep rules of two items and refuse some of one.
+PAIR_SUPPORT, PAIR_CONFIDENCE = 0.004, 0.15
 
 
 @query("association_rules_conf10")
@@ -302,14 +365,26 @@ def association_rules_conf10(spark, sf):
     return B.association_rules(_fp_model(spark, sf, B.MIN_SUPPORT, LOW_CONFIDENCE))
 
 
+@query("association_rules_pairs")
+def association_rules_pairs(spark, sf):
+    from aisleflow.operators import baskets as B
+    return B.association_rules(_fp_model(spark, sf, PAIR_SUPPORT, PAIR_CONFIDENCE))
+
+
+@query("rules_view")
+def rules_view(spark, sf):
+    """The rules published as a view and read back through SQL."""
+    from aisleflow.sources import sinks
+    sinks.publish(association_rules_pairs(spark, sf), "association_rules_view")
+    return spark.sql("SELECT antecedent, consequent, confidence, lift, support FROM association_rules_view")
+
+
 @query("basket_recommendations")
 def basket_recommendations(spark, sf):
     from aisleflow.operators import baskets as B
-    model = _fp_model(spark, sf, B.MIN_SUPPORT, LOW_CONFIDENCE)
-    longf = B.basket_items(adapters.sales_lines(spark, sf), adapters.items(spark, sf),
-                           item_col="i_brand")
-    bk, _ = _fp_fit(spark, sf, B.MIN_SUPPORT)
-    return B.recommend(longf, B.association_rules(model), model=model, baskets=bk)
+    bk, _ = _fp_fit(spark, sf, PAIR_SUPPORT)
+    model = _fp_model(spark, sf, PAIR_SUPPORT, PAIR_CONFIDENCE)
+    return B.recommend(bk, B.association_rules(model), B.frequent_itemsets(model))
 
 
 # --- profiles ---------------------------------------------------------------
@@ -323,29 +398,10 @@ def column_profile(spark, sf):
 
 # --- naive Bayes twin over TF-IDF (split first, IDF fitted on train) -------
 
-_FITS: dict = {}
-
-
-def _memo(name, spark, sf, build):
-    """Fit once per (session, folder, name): several registered queries
-    read the same fitted model."""
-    k = (id(spark), sf, name)
-    if k not in _FITS:
-        _FITS[k] = build()
-    return _FITS[k]
-
-
 def nb_pipeline(spark, sf):
     """Labelled reviews -> hash split -> train-only IDF -> NB twin -> test
     scores.  Returns (model, scored test frame)."""
-    return _memo("nb", spark, sf, lambda: _nb_build(spark, sf))
-
-
-# Rows per partition of persisted per-row work tables (term counts,
-# baskets): small enough to keep every core busy, large enough to cap a
-# 200-partition default shuffle at a useful size.
-TF_ROWS_PER_PARTITION = 50_000
-BASKETS_PER_PARTITION = 20_000
+    return memo("nb", spark, sf, lambda: _nb_build(spark, sf))
 
 
 def _nb_build(spark, sf):
@@ -353,29 +409,24 @@ def _nb_build(spark, sf):
     from aisleflow.functions.split import hash_bucket
     from aisleflow.operators import bayes, text
     key = "pr_review_id"
-    reviews = _reviews(spark, sf).select(
-        key, L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label"),
-        "pr_content").filter(F.col("label").isNotNull())
+    label = L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label")
     is_train = hash_bucket(F.col(key)) < 6          # split is a function of the key
-    train = reviews.filter(is_train).select(key, "label")
-    test = reviews.filter(~is_train).select(key, "label")
+    keys = adapters.review_ratings(spark, sf).select(key, label).filter(F.col("label").isNotNull())
+    train, test = keys.filter(is_train), keys.filter(~is_train)
     # Token counts carry the document's label through the explode (no join
-    # back to the labels later); the one expensive input, persisted once.
-    tok = reviews.select(key, "label", F.explode(tokens_expr("pr_content")).alias("token")) \
-        .filter(F.col("token") != "")
-    from aisleflow.plans.models import persist_sized
-    tf = persist_sized(tok.groupBy(key, "label", F.col("token").alias("term"))
-                       .agg(F.count(F.lit(1)).alias("tf")), TF_ROWS_PER_PARTITION)
+    # back to the labels later); the one expensive input, cached once.
+    reviews = _reviews(spark, sf).select(key, label, "pr_content").filter(F.col("label").isNotNull())
+    tok = reviews.select(key, "label", F.explode(tokens_expr("pr_content")).alias("token"))
+    tf = hold(tok.groupBy(key, "label", F.col("token").alias("term")).agg(F.count(F.lit(1)).alias("tf")))
     tf_train = tf.filter(is_train)
-    idf = persist_sized(text.term_idf(tf_train, train, key), TF_ROWS_PER_PARTITION)
-    x_train = tf_train.join(idf, "term").select(
-        key, "label", "term", (F.col("tf") * F.col("idf")).alias("x"))
+    idf = hold(text.term_idf(tf_train, train, key).select("term", "idf"))
+    x_train = text.salted_join(tf_train, idf, key).select(
+        key, "label", "term", "salt", (F.col("tf") * F.col("idf")).alias("x"))
     model = bayes.fit(x_train, train, key=key)
-    x_test = tf.filter(~is_train).join(idf, "term").select(
-        key, "term", (F.col("tf") * F.col("idf")).alias("x"))
+    x_test = tf.filter(~is_train).select(key, "term", F.col("tf").alias("x"))
+    scored = bayes.scores(model, test, x_test, key=key, weights=idf.withColumnRenamed("idf", "w"))
     # One row per test document; several evaluation queries read it.
-    sc = persist_sized(bayes.scores(model, test, x_test, key=key).join(test, key))
-    return model, sc
+    return model, hold(scored.join(test, key))
 
 
 def tokens_expr(col):
@@ -482,13 +533,12 @@ LLOYD_STEPS = 5
 
 
 def lloyd_run(spark, sf):
-    return _memo("lloyd", spark, sf, lambda: _lloyd_build(spark, sf))
+    return memo("lloyd", spark, sf, lambda: _lloyd_build(spark, sf))
 
 
 def _lloyd_build(spark, sf):
     from aisleflow.operators import cluster
-    from aisleflow.plans import models as M
-    pts = M.persist_sized(customer_class_pivot(spark, sf))
+    pts = hold(customer_class_pivot(spark, sf))
     init = cluster.initial_centers(pts, PIVOT_FEATURES, LLOYD_K, "cid")
     centers = cluster.lloyd(pts, PIVOT_FEATURES, init, LLOYD_STEPS)
     return pts, centers
@@ -534,20 +584,22 @@ def gini_best(spark, sf):
     return tree.best_split(gini_splits(spark, sf))
 
 
-# --- pyspark.ml fits (rows-only in the driver; invariants in tests) ---------
+# --- pyspark.ml fits ----------------------------------------------------------
 
 def _pivot_vectors(spark, sf):
     from aisleflow.plans import models as M
     return M.assemble(customer_class_pivot(spark, sf), PIVOT_FEATURES)
 
 
+def _vectors(spark, sf):
+    """The cached purchase vectors, shared by k-means, its sweep and the mixture."""
+    return memo("pivot_vectors", spark, sf, lambda: hold(_pivot_vectors(spark, sf)))
+
+
 def kmeans_model(spark, sf):
     from aisleflow.plans import models as M
-
-    def build():
-        v = M.persist_sized(_pivot_vectors(spark, sf))
-        return v, M.fit_kmeans(v)
-    return _memo("kmeans", spark, sf, build)
+    v = _vectors(spark, sf)
+    return v, memo("kmeans", spark, sf, lambda: M.fit_kmeans(v))
 
 
 @query("kmeans_fit")
@@ -570,20 +622,44 @@ def kmeans_assignment(spark, sf):
     return m.transform(v).select("cid", "prediction")
 
 
+@query("kmeans_check")
+def kmeans_check(spark, sf):
+    """(cid, nearest): the assigned centre is the nearest one, for every customer."""
+    from aisleflow.operators import cluster
+    v, m = kmeans_model(spark, sf)
+    own = cluster.assign(m.transform(v), PIVOT_FEATURES, [list(map(float, c)) for c in m.clusterCenters()], "by_distance")
+    return own.select("cid", (F.col("prediction") == F.col("by_distance")).alias("nearest"))
+
+
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
     from aisleflow.plans import models as M
-    return M.kmeans_sweep(spark, M.persist_sized(_pivot_vectors(spark, sf)))
+    return M.kmeans_sweep(spark, _pivot_vectors(spark, sf))
 
 
-def gmm_model(spark, sf):
+# Fixed start for the checkable choice of k: silhouettes of Lloyd runs by k.
+SWEEP_CHECK_KS = (2, 3, 4)
+
+
+@query("silhouette_best_k")
+def silhouette_best_k(spark, sf):
+    """The k of the highest silhouette among Lloyd runs from fixed centres."""
+    from functools import reduce
+    from aisleflow.operators import cluster
     from aisleflow.plans import models as M
+    pts, _ = lloyd_run(spark, sf)
+    tables = []
+    for k in SWEEP_CHECK_KS:
+        centers = cluster.lloyd(pts, PIVOT_FEATURES, cluster.initial_centers(pts, PIVOT_FEATURES, k, "cid"), LLOYD_STEPS)
+        sil = cluster.silhouette(cluster.assign(pts, PIVOT_FEATURES, centers), PIVOT_FEATURES)
+        tables.append(sil.select(F.lit(k).alias("k"), F.round("silhouette", 6).alias("silhouette")))
+    return M.chosen_k(reduce(DataFrame.unionByName, tables))
 
-    def build():
-        v = M.persist_sized(_pivot_vectors(spark, sf))
-        m = M.fit_gmm(v)
-        return v, m
-    return _memo("gmm", spark, sf, build)
+
+def gmm_model(spark, sf):
+    from aisleflow.plans import models as M
+    v = _vectors(spark, sf)
+    return v, memo("gmm", spark, sf, lambda: M.fit_gmm(v))
 
 
 @query("gmm_fit")
@@ -598,61 +674,145 @@ def gmm_summary(spark, sf):
     return M.gmm_summary(spark, gmm_model(spark, sf)[1])
 
 
-def lda_model(spark, sf):
+@query("gmm_component_check")
+def gmm_component_check(spark, sf):
+    """(component, dims, symmetric, share): covariances are symmetric, and the weights sum to 1."""
+    from pyspark.sql import Window
+    c = gmm_fit(spark, sf)
+    n = len(PIVOT_FEATURES)
+    odd = F.expr(f"exists(sequence(0, {n * n - 1}), k -> abs(cov[k] - cov[(k % {n}) * {n} + cast(k / {n} as int)]) > 1e-9)")
+    total = F.sum("weight").over(Window.partitionBy(F.lit(0)))
+    return c.select("component", F.size("mean").alias("dims"), (~odd).alias("symmetric"), F.round(total, 6).alias("total_weight"))
+
+
+@query("gmm_row_check")
+def gmm_row_check(spark, sf):
+    """(cid, sums_to_one, is_argmax) of the mixture's probabilities, for every customer."""
+    from pyspark.ml.functions import vector_to_array
+    v, m = gmm_model(spark, sf)
+    p = m.transform(v).select("cid", "prediction", vector_to_array("probability").alias("p"))
+    return p.select("cid", (F.abs(F.aggregate("p", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6).alias("sums_to_one"),
+                    (F.element_at("p", F.col("prediction") + 1) == F.array_max("p")).alias("is_argmax"))
+
+
+def _lda_fit(spark, sf):
+    """(vocabulary model, cached features, topic model, number of terms)."""
+    from aisleflow.operators import text
     from aisleflow.plans import models as M
 
     def build():
-        docs = M.persist_sized(_reviews(spark, sf).select("pr_review_id", "pr_content"),
-                               M.DOCS_PER_PARTITION)
-        return docs, M.lda_pipeline(docs, "pr_content")
-    return _memo("lda", spark, sf, build)
+        docs = adapters.review_texts(spark, sf)
+        n_terms = text.n_terms(docs, "pr_review_id", "pr_content")
+        cv, features = M.lda_features(docs, "pr_review_id", "pr_content", max(1, n_terms))
+        features = hold(features)
+        return cv, features, M.fit_lda(features), n_terms
+    return memo("lda", spark, sf, build)
 
 
 @query("lda_topics")
 def lda_topics(spark, sf):
     from aisleflow.plans import models as M
-    return M.lda_topics(spark, lda_model(spark, sf)[1])
+    cv, _, m, _ = _lda_fit(spark, sf)
+    return M.lda_topics(spark, cv, m)
 
 
 @query("lda_doc_topics")
 def lda_doc_topics(spark, sf):
     from aisleflow.plans import models as M
-    docs, m = lda_model(spark, sf)
-    return M.lda_doc_topics(m, docs, "pr_review_id", "pr_content")
+    _, features, m, _ = _lda_fit(spark, sf)
+    return M.lda_doc_topics(m, features, "pr_review_id")
 
 
 @query("lda_quality")
 def lda_quality(spark, sf):
     from aisleflow.plans import models as M
-    docs, m = lda_model(spark, sf)
-    return M.lda_quality(spark, m, docs, "pr_content")
+    _, features, m, n_terms = _lda_fit(spark, sf)
+    return M.lda_quality(spark, m, features, n_terms)
+
+
+def _share_check(doc_topics):
+    # a text without any term left has no topics: all its shares are 0
+    total = F.sum("share")
+    return doc_topics.groupBy("pr_review_id").agg(
+        F.count(F.lit(1)).alias("topics"), ((F.abs(total - 1) < 1e-6) | (total == 0)).alias("sums_to_one"))
+
+
+@query("lda_doc_check")
+def lda_doc_check(spark, sf):
+    """(review, topics, sums_to_one): the topic shares of every review."""
+    return _share_check(lda_doc_topics(spark, sf))
+
+
+def _lda_hashed_fit(spark, sf):
+    from aisleflow.plans import models as M
+
+    def build():
+        features = hold(M.hashed_lda_features(adapters.review_texts(spark, sf), "pr_review_id", "pr_content"))
+        return features, M.fit_lda(features, **M.LDA_HASHED)
+    return memo("lda_hashed", spark, sf, build)
+
+
+@query("lda_hashed_topics")
+def lda_hashed_topics(spark, sf):
+    from aisleflow.plans import models as M
+    return M.topic_terms(_lda_hashed_fit(spark, sf)[1], M.LDA_HASHED_TERMS)
+
+
+@query("lda_hashed_doc_check")
+def lda_hashed_doc_check(spark, sf):
+    from aisleflow.plans import models as M
+    features, m = _lda_hashed_fit(spark, sf)
+    return _share_check(M.lda_doc_topics(m, features, "pr_review_id"))
 
 
-def _review_split(spark, sf, train_buckets=6):
+def _review_split(spark, sf, mapping=None, train_buckets=6):
     from aisleflow.functions import labels as L
     from aisleflow.functions.split import with_split
     r = _reviews(spark, sf).select(
-        "pr_review_id", L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label"),
+        "pr_review_id", L.rating_label(F.col("pr_rating"), mapping or L.RATING_TO_BAYES).alias("label"),
         "pr_content").filter(F.col("label").isNotNull())
     return with_split(r, "pr_review_id", train_buckets)
 
 
-def _text_model(spark, sf, name, make_estimator):
+def _review_vectors(spark, sf):
+    """Cached hashed TF-IDF vectors of the labelled reviews, shared by the classifiers."""
     from aisleflow.plans import models as M
+    return memo("review_vectors", spark, sf, lambda: hold(
+        M.text_features(_review_split(spark, sf), "pr_content", F.col("split") == "train")))
 
-    def build():
-        data = M.persist_sized(_review_split(spark, sf), M.DOCS_PER_PARTITION)
-        train = data.filter(F.col("split") == "train")
-        return data, M.fit_text_classifier(train, "pr_content", make_estimator())
-    return _memo(name, spark, sf, build)
+
+def _text_model(spark, sf, name, make_estimator, relabel=None):
+    data = _review_vectors(spark, sf)
+    if relabel is not None:
+        data = data.withColumn("label", relabel)
+    return data, memo(name, spark, sf, lambda: make_estimator().fit(data.filter(F.col("split") == "train")))
+
+
+def _tested(data, m):
+    return m.transform(data.filter(F.col("split") == "test"))
+
+
+def _score_check(scores, key):
+    """(key, classes, sums_to_one, is_argmax) from the long scores of a classifier."""
+    return scores.groupBy(key).agg(
+        F.count(F.lit(1)).alias("classes"), (F.abs(F.sum("probability") - 1) < 1e-6).alias("sums_to_one"),
+        (F.max(F.when(F.col("class") == F.col("prediction"), F.col("probability"))) == F.max("probability")).alias("is_argmax"))
+
+
+def nb_model(spark, sf):
+    from aisleflow.plans import models as M
+    return _text_model(spark, sf, "nb_ml", M.naive_bayes_estimator)
 
 
 @query("nb_fit")
 def nb_fit(spark, sf):
+    return _tested(*nb_model(spark, sf)).select("pr_review_id", "label", "prediction")
+
+
+@query("nb_fit_check")
+def nb_fit_check(spark, sf):
     from aisleflow.plans import models as M
-    data, m = _text_model(spark, sf, "nb_ml", M.naive_bayes_estimator)
-    test = data.filter(F.col("split") == "test")
-    return m.transform(test).select("pr_review_id", "label", "prediction")
+    return _score_check(M.prediction_scores(_tested(*nb_model(spark, sf)), "pr_review_id"), "pr_review_id")
 
 
 def logreg_model(spark, sf):
@@ -660,39 +820,88 @@ def logreg_model(spark, sf):
     return _text_model(spark, sf, "logreg", M.logistic_estimator)
 
 
+def logreg_auto_model(spark, sf):
+    """Three classes, family chosen by the estimator."""
+    from aisleflow.plans import models as M
+    return _text_model(spark, sf, "logreg_auto", lambda: M.logistic_estimator("auto"))
+
+
+def logreg_binary_model(spark, sf):
+    """Two classes (positive or not), family chosen by the estimator."""
+    from aisleflow.plans import models as M
+    positive = F.when(F.col("label") == 2.0, F.lit(1.0)).otherwise(F.lit(0.0))
+    return _text_model(spark, sf, "logreg_binary", lambda: M.logistic_estimator("auto"), positive)
+
+
 @query("logreg_fit")
 def logreg_fit(spark, sf):
     from aisleflow.plans import models as M
-    _, m = logreg_model(spark, sf)
-    return M.logistic_coefficients(spark, m.stages[-1])
+    return M.logistic_coefficients(spark, logreg_model(spark, sf)[1])
 
 
 @query("logreg_metrics")
 def logreg_metrics(spark, sf):
     from aisleflow.plans import models as M
-    _, m = logreg_model(spark, sf)
-    return M.logistic_train_metrics(spark, m.stages[-1])
+    return M.logistic_train_metrics(spark, logreg_model(spark, sf)[1])
 
 
 @query("logreg_label_metrics")
 def logreg_label_metrics(spark, sf):
     from aisleflow.plans import models as M
-    _, m = logreg_model(spark, sf)
-    return M.logistic_label_metrics(spark, m.stages[-1])
+    return M.logistic_label_metrics(spark, logreg_model(spark, sf)[1])
 
 
 @query("logreg_history")
 def logreg_history(spark, sf):
     from aisleflow.plans import models as M
-    _, m = logreg_model(spark, sf)
-    return M.logistic_history(spark, m.stages[-1])
+    return M.logistic_history(spark, logreg_model(spark, sf)[1])
+
+
+@query("logreg_history_check")
+def logreg_history_check(spark, sf):
+    """The objective never rises: one row, from all iterations."""
+    from pyspark.sql import Window
+    h = logreg_history(spark, sf)
+    before = F.lag("objective").over(Window.partitionBy(F.lit(0)).orderBy("iteration"))
+    return h.withColumn("rise", F.col("objective") - before).agg(
+        F.coalesce(F.max("rise") <= 1e-9, F.lit(True)).alias("never_rises"))
 
 
 @query("logreg_test_predictions")
 def logreg_test_predictions(spark, sf):
-    data, m = logreg_model(spark, sf)
-    return m.transform(data.filter(F.col("split") == "test")).select(
-        "pr_review_id", "label", "prediction")
+    return _tested(*logreg_model(spark, sf)).select("pr_review_id", "label", "prediction")
+
+
+@query("logreg_test_scores")
+def logreg_test_scores(spark, sf):
+    from aisleflow.plans import models as M
+    return M.prediction_scores(_tested(*logreg_model(spark, sf)), "pr_review_id")
+
+
+@query("logreg_check")
+def logreg_check(spark, sf):
+    return _score_check(logreg_test_scores(spark, sf), "pr_review_id")
+
+
+@query("logreg_binary_fit")
+def logreg_binary_fit(spark, sf):
+    from aisleflow.plans import models as M
+    return M.logistic_coefficients(spark, logreg_binary_model(spark, sf)[1])
+
+
+@query("logreg_binary_check")
+def logreg_binary_check(spark, sf):
+    from aisleflow.plans import models as M
+    return _score_check(M.prediction_scores(_tested(*logreg_binary_model(spark, sf)), "pr_review_id"), "pr_review_id")
+
+
+@query("logreg_families")
+def logreg_families(spark, sf):
+    """(model, name, value): classes, width, and rows of coefficients that the
+    automatic family chose for three and for two classes."""
+    from aisleflow.plans import models as M
+    auto, binary = (M.logistic_facts(spark, f(spark, sf)[1]).filter("name <> 'iterations'") for f in (logreg_auto_model, logreg_binary_model))
+    return auto.withColumn("model", F.lit("auto")).unionByName(binary.withColumn("model", F.lit("binary"))).select("model", "name", "value")
 
 
 def _click_split(spark, sf, train_buckets):
@@ -702,13 +911,18 @@ def _click_split(spark, sf, train_buckets):
     return with_split(cl, "wl_customer_id", train_buckets)
 
 
+def _click_vectors(spark, sf, train_buckets):
+    return memo(f"click_vectors-{train_buckets}", spark, sf, lambda: hold(_click_split(spark, sf, train_buckets)))
+
+
+def _train(data):
+    return data.filter(F.col("split") == "train")
+
+
 def tree_model(spark, sf):
     from aisleflow.plans import models as M
-
-    def build():
-        data = M.persist_sized(_click_split(spark, sf, 7))
-        return data, M.fit_tree(data.filter(F.col("split") == "train"))
-    return _memo("tree", spark, sf, build)
+    data = _click_vectors(spark, sf, 7)
+    return data, memo("tree", spark, sf, lambda: M.fit_tree(_train(data)))
 
 
 @query("tree_fit")
@@ -716,26 +930,57 @@ def tree_fit(spark, sf):
     from aisleflow.operators import evaluate as ev
     from aisleflow.plans import models as M
     data, m = tree_model(spark, sf)
-    pred = m.transform(data.filter(F.col("split") == "test"))
-    acc = ev.accuracy(pred).join(ev.rmse(pred))
-    metrics = acc.select(F.expr("stack(3, 'accuracy', accuracy, 'test_error', test_error, "
-                                "'rmse', rmse) AS (name, value)"))
+    metrics = ev.regression_metrics(_tested(data, m)).select(F.expr(
+        "stack(3, 'accuracy', accuracy, 'test_error', test_error, 'rmse', rmse) AS (name, value)"))
     return M.tree_facts(spark, m).unionByName(metrics)
 
 
+@query("tree_nodes")
+def tree_nodes(spark, sf):
+    from aisleflow.plans import models as M
+    return M.tree_nodes(spark, tree_model(spark, sf)[1])
+
+
+@query("tree_text")
+def tree_text(spark, sf):
+    from aisleflow.plans import models as M
+    return M.tree_text(spark, tree_model(spark, sf)[1])
+
+
+@query("tree_root_check")
+def tree_root_check(spark, sf):
+    """(feature, threshold) of the root of a tree of depth 1 over all click rows:
+    the best split of ``gini_best``."""
+    from aisleflow.plans import models as M
+    data = M.assemble(click_label(spark, sf), CLICK_FEATURES)
+    nodes = M.tree_nodes(spark, M.fit_tree(data, maxDepth=1, maxBins=256))
+    return nodes.filter("node = 0").select("feature", "threshold", F.round("gain", 9).alias("gain"))
+
+
 @query("tree_importances")
 def tree_importances(spark, sf):
     from aisleflow.plans import models as M
     return M.tree_importances(spark, tree_model(spark, sf)[1], CLICK_FEATURES)
 
 
-def svc_model(spark, sf):
+@query("tree_importance_check")
+def tree_importance_check(spark, sf):
+    """Importances are shares of 1 over all features."""
+    return tree_importances(spark, sf).agg(
+        F.count(F.lit(1)).alias("n"), (F.min("importance") >= 0).alias("none_negative"),
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("sum_to_one"))
+
+
+@query("tree_check")
+def tree_check(spark, sf):
     from aisleflow.plans import models as M
+    return _score_check(M.prediction_scores(_tested(*tree_model(spark, sf)), "wl_customer_id"), "wl_customer_id")
 
-    def build():
-        data = M.persist_sized(_click_split(spark, sf, 6))
-        return data, M.fit_svc(data.filter(F.col("split") == "train"))
-    return _memo("svc", spark, sf, build)
+
+def svc_model(spark, sf):
+    from aisleflow.plans import models as M
+    data = _click_vectors(spark, sf, 6)
+    return data, memo("svc", spark, sf, lambda: M.fit_svc(_train(data)))
 
 
 @query("svc_fit")
@@ -746,21 +991,38 @@ def svc_fit(spark, sf):
 
 @query("svc_predictions")
 def svc_predictions(spark, sf):
+    return _tested(*svc_model(spark, sf)).select("wl_customer_id", "label", "prediction")
+
+
+@query("svc_check")
+def svc_check(spark, sf):
+    """(customer, sign_is_prediction, margin_is_linear): the raw margin recomputed
+    from the exported coefficients, for every test customer."""
     data, m = svc_model(spark, sf)
-    return m.transform(data.filter(F.col("split") == "test")).select(
-        "wl_customer_id", "label", "prediction")
+    from pyspark.ml.functions import vector_to_array
+    raw = F.element_at(vector_to_array("rawPrediction"), 2)
+    own = F.lit(float(m.intercept))
+    for f, c in zip(CLICK_FEATURES, m.coefficients.toArray()):
+        own = own + F.col(f) * F.lit(float(c))
+    return _tested(data, m).select("wl_customer_id", ((raw > 0).cast("double") == F.col("prediction")).alias("sign_is_prediction"),
+                                   (F.abs(raw - own) < 1e-6).alias("margin_is_linear"))
+
+
+def mlp_model(spark, sf):
+    from aisleflow.plans import models as M
+    data = _click_vectors(spark, sf, 6)
+    return data, memo("mlp", spark, sf, lambda: M.fit_mlp(_train(data), len(CLICK_FEATURES), 2))
 
 
 @query("mlp_predictions")
 def mlp_predictions(spark, sf):
-    from aisleflow.plans import models as M
+    return _tested(*mlp_model(spark, sf)).select("wl_customer_id", "label", "prediction")
 
-    def build():
-        data = M.persist_sized(_click_split(spark, sf, 6))
-        return data, M.fit_mlp(data.filter(F.col("split") == "train"), len(CLICK_FEATURES), 2)
-    data, m = _memo("mlp", spark, sf, build)
-    return m.transform(data.filter(F.col("split") == "test")).select(
-        "wl_customer_id", "label", "prediction")
+
+@query("mlp_check")
+def mlp_check(spark, sf):
+    from aisleflow.plans import models as M
+    return _score_check(M.prediction_scores(_tested(*mlp_model(spark, sf)), "wl_customer_id"), "wl_customer_id")
 
 
 # --- run log and model persistence ---------------------------------------------
@@ -788,6 +1050,23 @@ def model_roundtrip(spark, sf):
     return M.kmeans_centers(spark, KMeansModel.load(path), PIVOT_FEATURES)
 
 
+@query("run_log_check")
+def run_log_check(spark, sf):
+    """(name, value, value_text) of the fixed parameters of a logged run, read back from
+    the log."""
+    from aisleflow.plans import models as M
+    fixed = {"k": "k", "initSteps": "initSteps", "maxIter": "maxIter", "tol": "tol", "seed": "seed"}
+    return run_log(spark, sf).filter(F.col("kind") == "param").filter(F.col("name").isin(sorted({*M.KMEANS, *fixed}))) \
+        .select("job", "name", "value")
+
+
+@query("model_roundtrip_check")
+def model_roundtrip_check(spark, sf):
+    """(cluster, feature, equal): every centre of the loaded model is that of the saved."""
+    a, b = model_roundtrip(spark, sf), kmeans_fit(spark, sf).withColumnRenamed("value", "saved")
+    return a.join(b, ["cluster", "feature"]).select("cluster", "feature", (F.col("value") == F.col("saved")).alias("equal"))
+
+
 # --- streaming form of the click pivot ---------------------------------------
 
 @query("category_clicks_stream")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisleflow.sources.tables import spread, table
+from aisleflow.sources.tables import by_key, table
 
 N_CATEGORIES = 20
 N_CLASSES = 20
@@ -62,10 +62,9 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_partkey").alias("ss_item_id"))
 
 
-def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_rows(events: DataFrame) -> DataFrame:
     """Web clicks with the item id pulled out of the event's JSON text."""
-    e = table(spark, sf_dir, "events")
-    return e.select(
+    return events.select(
         F.col("event_id").alias("wl_id"),
         F.col("user_id").alias("wl_customer_id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("wl_item_id"),
@@ -73,6 +72,10 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return click_rows(table(spark, sf_dir, "events"))
+
+
 def review_rating(quality: Column, toxic: Column, doc_id: Column) -> Column:
     """Star rating 1-5 derived from the quality / toxicity labels."""
     return (F.when((quality == 0) & (toxic == 1), F.lit(1))
@@ -82,9 +85,8 @@ def review_rating(quality: Column, toxic: Column, doc_id: Column) -> Column:
 
 
 def product_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews with whole texts; spread over the cluster when the document
-    scan lands in fewer tasks than cores (text work follows)."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Rated reviews with whole texts: the documents that have labels."""
+    d = by_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     lab = table(spark, sf_dir, "labels")
     j = d.join(lab, "doc_id", "inner")
     return j.select(
@@ -92,3 +94,18 @@ def product_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         review_rating(F.col("quality"), F.col("toxic"), F.col("doc_id")).cast("int").alias("pr_rating"),
         F.col("text").alias("pr_content"),
     )
+
+
+def review_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``product_reviews`` without the text: no text leaves the scan."""
+    j = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "inner")
+    return j.select(
+        F.col("doc_id").alias("pr_review_id"),
+        review_rating(F.col("quality"), F.col("toxic"), F.col("doc_id")).cast("int").alias("pr_rating"))
+
+
+def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every review text, rated or not, partitioned by review."""
+    d = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("pr_review_id"), F.col("text").alias("pr_content"))
+    return by_key(d, "pr_review_id")

@@ -38,8 +38,13 @@ def test_itemsets_rules_recommendations(spark):
         assert abs(r["confidence"] - conf) < 1e-9
         assert abs(r["support"] - sets[union] / n) < 1e-9
     # relational recommendations equal the model's own transform (non-empty ones)
-    longf = B.basket_items(_sales(spark), txn="ss_transaction_id", item="ss_item_id")
-    mine = {r[0]: r[1] for r in B.recommend(longf, B.association_rules(model)).collect()}
     ref = {r["ss_transaction_id"]: sorted(r["prediction"])
            for r in model.transform(bk).collect() if r["prediction"]}
-    assert mine == ref
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (old, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            out = B.recommend(bk, B.association_rules(model), B.frequent_itemsets(model))
+            assert {r[0]: r[1] for r in out.collect()} == ref
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

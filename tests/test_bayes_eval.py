@@ -38,6 +38,10 @@ def test_twin_equals_spark_naive_bayes(spark):
     sc = {r["doc_id"]: r["prediction"] for r in bayes.scores(twin, docs, x, key="doc_id").collect()}
     ref = {r["doc_id"]: r["prediction"] for r in m.transform(feats).collect()}
     assert sc == ref
+    # the IDF as weights of the per-term table gives the same scores
+    weighted = bayes.scores(twin, docs, tf.withColumnRenamed("tf", "x"), key="doc_id", weights=idf.select("term", F.col("idf").alias("w")))
+    plain = {r["doc_id"]: r["score_0"] for r in bayes.scores(twin, docs, x, key="doc_id").collect()}
+    assert all(math.isclose(r["score_0"], plain[r["doc_id"]], rel_tol=1e-9) for r in weighted.collect())
 
 
 def _pred(spark):

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from aisleflow.plans.oracle import ORACLE_SQL
+from aisleflow.plans.queries import QUERIES
 from aisleflow.sources.tables import TABLES
 
 
@@ -15,6 +17,17 @@ def test_entry_runs(spark):
     assert df.count() > 0 and df.columns[0] == "cid"
 
 
+def test_every_fit_has_a_checked_fact():
+    """Queries without SQL of their own are numbers of a fit, and beside each fit stand
+    facts over all rows that SQL checks."""
+    missing = {n for n in set(QUERIES) - set(ORACLE_SQL)}
+    assert missing <= {"random_split", "kmeans_fit", "kmeans_quality", "kmeans_assignment", "kmeans_sweep", "gmm_fit", "gmm_summary",
+                       "lda_topics", "lda_doc_topics", "lda_quality", "lda_hashed_topics", "nb_fit", "logreg_fit", "logreg_metrics",
+                       "logreg_label_metrics", "logreg_history", "logreg_test_predictions", "logreg_test_scores", "logreg_binary_fit",
+                       "tree_fit", "tree_nodes", "tree_text", "tree_importances", "svc_fit", "svc_predictions", "mlp_predictions",
+                       "run_log", "model_roundtrip"}
+
+
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
 

@@ -41,12 +41,12 @@ def test_durable_intermediates_same_results(spark, sf):
     """Writing reused intermediates to the shared folder gives the same
     results as caching them."""
     import os
-    from aisleflow.plans import models as M
+    from aisleflow.plans import cache as M
     from aisleflow.plans import queries as Q
     ref = sorted(Q.customer_class_pivot(spark, sf).collect())
     spark.conf.set(M.DURABLE_CONF, "true")
     try:
-        staged = M.persist_sized(Q.customer_class_pivot(spark, sf))
+        staged = M.hold(Q.customer_class_pivot(spark, sf))
         files = staged.inputFiles()
         assert files and all(spark.conf.get("spark.checkpoint.dir").split("://")[-1] in f
                              for f in files)

@@ -35,3 +35,7 @@ def test_incremental_rollup(spark, sf, tmp_path):
     S.start_click_rollup(spark, pattern, items, sink, ckpt).awaitTermination()
     assert sorted(S.read_click_rollup(spark, sink).collect()) == _batch(spark, pattern, items)
     assert len([d for d in os.listdir(sink) if d.startswith("batch_id=")]) == 2
+    # compaction keeps the totals, and the last batch, which may be replayed
+    assert S.compact(spark, sink) == 0 and S.compact(spark, sink) is None
+    assert sorted(d for d in os.listdir(sink) if "=" in d) == ["base_upto=0", "batch_id=1"]
+    assert sorted(S.read_click_rollup(spark, sink).collect()) == _batch(spark, pattern, items)

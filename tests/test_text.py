@@ -11,7 +11,7 @@ def test_stop_words_equal_spark_default(spark):
     assert list(STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
 
 
-def test_tokens_match_tokenizer_nonempty(spark):
+def test_tokens_match_tokenizer(spark):
     docs = spark.createDataFrame(
         [(1, "Hello  World\tFoo\nbar "), (2, ""), (3, "   "), (4, "A,b. c"), (5, None),
          (6, "x\x0by\x0cz\rw")], "doc_id long, text string")
@@ -21,7 +21,7 @@ def test_tokens_match_tokenizer_nonempty(spark):
         mine.setdefault(r["doc_id"], []).append((r["pos"], r["token"]))
     ref = Tokenizer(inputCol="text", outputCol="t").transform(docs.filter(F.col("text").isNotNull()))
     for r in ref.collect():
-        want = [(i, t) for i, t in enumerate(r["t"]) if t != ""]
+        want = list(enumerate(r["t"]))
         assert sorted(mine.get(r["doc_id"], [])) == want
     assert 5 not in mine                                # NULL text: no tokens
 
@@ -30,7 +30,7 @@ def test_idf_and_vocabulary_equal_spark(spark):
     docs = spark.createDataFrame(
         [(1, "the cat sat on the mat"), (2, "the dog sat"), (3, "a cat and a dog"), (4, "")],
         "doc_id long, text string")
-    tok = text.token_rows(docs)
+    tok = text.token_rows(docs).filter("token <> ''")
     tf = text.term_frequencies(tok)
     idf = {r["term"]: r["idf"] for r in text.term_idf(tf, docs).collect()}
     # pyspark.ml on the same tokens (empty tokens removed, as in the long form)
@@ -50,6 +50,7 @@ def test_vocabulary_cap_and_min_df(spark):
     tf = text.term_frequencies(text.token_rows(docs))
     v = text.term_vocabulary(tf, vocab_size=2).collect()
     assert [(r["term"], r["term_index"]) for r in sorted(v, key=lambda r: r["term_index"])] == [("a", 0), ("b", 1)]
+    assert text.term_vocabulary(tf).count() == 3
     v2 = text.term_vocabulary(tf, min_df=2).collect()
     assert sorted(r["term"] for r in v2) == ["a", "b"]
 
@@ -58,3 +59,30 @@ def test_stop_words_removed(spark):
     docs = spark.createDataFrame([(1, "The cat IS on the mat")], "doc_id long, text string")
     toks = [r["token"] for r in text.remove_stop_words(text.token_rows(docs)).orderBy("pos").collect()]
     assert toks == ["cat", "mat"]
+
+
+def test_vocabulary_numbering_has_no_gaps(spark):
+    rows = [(i, " ".join(f"{chr(97 + (i * k) % 26)}{k % 40}" for k in range(60))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["freq"], r["term"], r["term_index"]) for r in text.term_vocabulary(text.term_frequencies(text.token_rows(docs))).collect()]
+    assert [i for _, _, i in sorted(got, key=lambda x: (-x[0], x[1]))] == list(range(len(got)))
+
+
+def test_hot_term_is_spread_and_exact(spark):
+    """One term in half of all rows, broadcast off: its rows land in several
+    join tasks, and the results are those of a plain computation."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, "hot" if k == 0 else f"t{i}") for i in range(4000) for k in range(2)]
+        tf = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, term string, tf long")
+        idf = text.term_idf(tf, tf.select("doc_id").distinct())
+        joined = text.salted_join(tf, idf, "doc_id").filter("term = 'hot'")
+        assert joined.count() == 4000
+        sizes = [r["count"] for r in joined.groupBy("salt").count().collect()]
+        assert len(sizes) == text.TERM_SALTS and max(sizes) < 4000 / 4
+        got = {(r["doc_id"], r["term"]): r["tfidf"] for r in text.doc_tfidf(tf, idf).collect()}
+        assert len(got) == 8000
+        assert math.isclose(got[5, "t5"], math.log(4001 / 2)) and abs(got[5, "hot"]) < 1e-12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -57,22 +57,71 @@ def test_gmm_invariants(spark, sf):
     assert math.isclose(m.summary.logLikelihood, again.summary.logLikelihood, rel_tol=1e-9)
 
 
+def test_tree_nodes_are_the_printed_tree(spark, sf):
+    v = M.assemble(Q.click_label(spark, sf), Q.CLICK_FEATURES)
+    m = M.fit_tree(v)
+    nodes = {r["node"]: r for r in M.tree_nodes(spark, m).collect()}
+    assert len(nodes) == m.numNodes and max(r["depth"] for r in nodes.values()) == m.depth
+    kids = {}
+    for r in nodes.values():
+        if r["parent"] is not None:
+            kids.setdefault(r["parent"], []).append(r["node"])
+    for r in v.limit(200).collect():
+        at = 0
+        while not nodes[at]["is_leaf"]:
+            low, high = sorted(kids[at])
+            at = low if r["features"][nodes[at]["feature"]] <= nodes[at]["threshold"] else high
+        assert nodes[at]["prediction"] == m.predict(r["features"])
+
+
+def test_gini_table_is_exact_over_many_values(spark):
+    """More distinct values than ranges: against a plain computation."""
+    import random
+    rnd = random.Random(2)
+    rows = [(float(rnd.random() < 0.3), rnd.randrange(500), rnd.choice([0, 0, 0, 1, 10 ** 9])) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "label double, a long, b long")
+    got = {(r["feature"], r["threshold"]): (r["n_left"], r["n_right"], r["gain"]) for r in tree.gini_splits(df, ["a", "b"], [0.0, 1.0]).collect()}
+
+    def gini(labels):
+        n = len(labels)
+        return 1 - sum((labels.count(c) / n) ** 2 for c in (0.0, 1.0)) if n else 0.0
+
+    want = {}
+    for k, f in ((1, "a"), (2, "b")):
+        values = sorted({r[k] for r in rows})
+        for x, y in zip(values, values[1:]):
+            left, right = [r[0] for r in rows if r[k] <= x], [r[0] for r in rows if r[k] > x]
+            gain = gini(left + right) - len(left) / 2000 * gini(left) - len(right) / 2000 * gini(right)
+            want[f, (x + y) / 2] = (len(left), len(right), gain)
+    assert set(got) == set(want)
+    for k, (n, r, g) in want.items():
+        assert got[k][:2] == (n, r) and math.isclose(got[k][2], g, abs_tol=2e-9)
+
+
 def test_logistic_history_and_probabilities(spark, sf):
-    data = Q._review_split(spark, sf)
-    m = M.fit_text_classifier(data.filter(F.col("split") == "train"), "pr_content",
-                              M.logistic_estimator())
-    h = m.stages[-1].summary.objectiveHistory
+    data = M.text_features(Q._review_split(spark, sf), "pr_content", F.col("split") == "train")
+    m = M.logistic_estimator().fit(data.filter(F.col("split") == "train"))
+    h = m.summary.objectiveHistory
     assert all(b <= a + 1e-9 for a, b in zip(h, h[1:]))
     for r in m.transform(data).select("probability").collect():
         assert abs(sum(r[0]) - 1.0) < 1e-9
 
 
-def test_lda_shares_sum_to_one(spark, sf):
-    docs = Q._reviews(spark, sf).select("pr_review_id", "pr_content")
-    m = M.lda_pipeline(docs, "pr_content", maxIter=5)
-    shares = M.lda_doc_topics(m, docs, "pr_review_id", "pr_content").groupBy(
-        "pr_review_id").agg(F.sum("share").alias("s")).collect()
-    assert all(abs(r["s"] - 1.0) < 1e-6 for r in shares)
-    cv = m.stages[2]
-    terms = {r["term"] for r in M.lda_topics(spark, m).collect()}
-    assert terms <= set(cv.vocabulary)
+def test_lda_shares_vocabulary_and_terms_left_out(spark, sf):
+    from aisleflow.operators import text
+    from aisleflow.sources import adapters
+    docs = adapters.review_texts(spark, sf)
+    n = text.n_terms(docs, "pr_review_id", "pr_content")
+    for bound in (n, 50):
+        cv, features = M.lda_features(docs, "pr_review_id", "pr_content", bound)
+        m = M.fit_lda(features, maxIter=3)
+        shares = M.lda_doc_topics(m, features, "pr_review_id").groupBy("pr_review_id").agg(F.sum("share").alias("s")).collect()
+        assert all(abs(r["s"] - 1.0) < 1e-6 or r["s"] == 0 for r in shares)
+        assert {r["term"] for r in M.lda_topics(spark, cv, m).collect()} <= set(cv.stages[-1].vocabulary)
+        q = M.lda_quality(spark, m, features, n).first()
+        assert (q["vocab_size"], q["terms_left_out"]) == (bound, n - bound)
+
+
+def test_chosen_k_is_the_smallest_of_the_best(spark):
+    sweep = spark.createDataFrame([(2, 0.5), (3, 0.7), (4, 0.7), (5, 0.1)], "k int, silhouette double")
+    assert M.chosen_k(sweep).collect() == [(3, 0.7)]
