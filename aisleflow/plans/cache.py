@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_FITS = 12
+MAX_FITS = 24
 
 # Session setting: "true" writes reused intermediates to the shared
 # checkpoint folder instead of caching them on executors.
