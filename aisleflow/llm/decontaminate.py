@@ -14,10 +14,11 @@ necessary prefix of a window is its one rarest shingle.
    len(window) <= n_words`` must hold, and then the words are compared one by
    one, so every reported occurrence is exact.
 
-The items are a stated query set.  They are joined in blocks of at most
-``block_bytes`` of text, each block against all documents, so what is sent to a
-task stays bounded whatever the size of the benchmark; hits of several blocks
-are merged per document as word ranges.
+The items are a stated query set.  They are joined in blocks of about
+``block_bytes`` of text, each block in a pass of its own over all documents, so what is
+sent to a task stays bounded whatever the size of the benchmark.  Between passes the
+documents are written to the shared folder with the hits so far, which later passes extend.
+A benchmark of one block (the usual case) is one pass and writes nothing.
 
 Defined results: null and empty texts have no words and no hits.  Items without
 words have no windows; rows with a null item id still mark words as hit but are
@@ -32,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aisleflow.llm.common import binary_values, ship
+from aisleflow.llm.common import binary_values, cut, ship
 
 
 @dataclass(frozen=True)
@@ -156,19 +157,27 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def prefix_indexes(docs: DataFrame, items: DataFrame, cfg: DecontaminateConfig) -> list:
-    """Broadcast prefix index of every block of the items."""
+def passes(docs: DataFrame, items: DataFrame, cfg: DecontaminateConfig):
+    """(broadcast prefix index, whether it is the last) of every block of the items;
+    at least one, if only of no items."""
     spark = docs.sparkSession
     ship(spark)
-    return [spark.sparkContext.broadcast(prefix_index(b, rarity(docs, b, cfg), cfg)) for b in item_blocks(items, cfg)]
+    blocks = item_blocks(items, cfg)
+    block = next(blocks, [])
+    while block is not None:
+        after = next(blocks, None)
+        yield spark.sparkContext.broadcast(prefix_index(block, rarity(docs, block, cfg), cfg)), after is None
+        block = after
 
 
-def find(docs: DataFrame, items: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig()) -> DataFrame:
-    """One row per document: doc_id, n_words, hit_ranges (word ranges
-    [start, end)), item_ids (distinct, sorted as strings)."""
+_RANGES = "array<struct<start: int, end: int>>"
+
+
+def _extend(docs: DataFrame, index, last: bool) -> DataFrame:
+    """One pass: ``docs`` (doc_id, text, hit_ranges, item_ids) with the block's hits added;
+    the last pass leaves the text out and adds n_words."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    indexes = prefix_indexes(docs, items, cfg)
-    schema = f"doc_id {id_type}, n_words long, hit_ranges array<struct<start: int, end: int>>, item_ids array<string>"
+    text = "n_words long" if last else "text string"
 
     def run(batches):
         import pyarrow as pa
@@ -176,36 +185,42 @@ def find(docs: DataFrame, items: DataFrame, cfg: DecontaminateConfig = Decontami
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             sizes, hits, ids = [], [], []
-            for text in binary_values(batch.column(1)):
+            before = zip(binary_values(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for text, old, known in before:
                 doc = words(text)
-                ranges, items = [], set()
-                for index in indexes:
-                    more, owners = occurrences(doc, index.value)
-                    ranges += more
-                    items |= owners
+                ranges, owners = occurrences(doc, index.value)
                 sizes.append(len(doc))
-                hits.append([{"start": s, "end": e} for s, e in merge(ranges)])
-                ids.append(sorted(i for i in items if i is not None))
+                hits.append([{"start": a, "end": b} for a, b in merge(ranges + [(x["start"], x["end"]) for x in old])])
+                ids.append(sorted({i for i in owners if i is not None} | set(known)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, kind), pa.array(ids, pa.list_(pa.string()))],
-                names=["doc_id", "n_words", "hit_ranges", "item_ids"])
+                [batch.column(0), pa.array(sizes, pa.int64()) if last else batch.column(1), pa.array(hits, kind), pa.array(ids, pa.list_(pa.string()))],
+                names=["doc_id", "n_words" if last else "text", "hit_ranges", "item_ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.mapInArrow(run, f"doc_id {id_type}, {text}, hit_ranges {_RANGES}, item_ids array<string>")
+
+
+def find(docs: DataFrame, items: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig()) -> DataFrame:
+    """One row per document: doc_id, n_words, hit_ranges (word ranges
+    [start, end)), item_ids (distinct, sorted as strings)."""
+    found = docs.select("doc_id", "text", F.expr(f"cast(array() as {_RANGES})").alias("hit_ranges"),
+                        F.expr("cast(array() as array<string>)").alias("item_ids"))
+    for index, last in passes(docs, items, cfg):
+        found = _extend(found, index, last) if last else cut(_extend(found, index, last), "hits")
+    return found
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig()) -> DataFrame:
     """The documents in which no window occurs, whole and with all their columns."""
-    indexes = prefix_indexes(docs, items, cfg)
     at = docs.columns.index("text")
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            clean = []
-            for text in binary_values(batch.column(at)):
-                doc = words(text)
-                clean.append(not any(occurrences(doc, index.value)[0] for index in indexes))
-            yield batch.filter(pa.array(clean, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    kept = docs
+    for index, last in passes(docs, items, cfg):
+        def run(batches, index=index):
+            import pyarrow as pa
+
+            for batch in batches:
+                yield batch.filter(pa.array([not occurrences(words(t), index.value)[0] for t in binary_values(batch.column(at))], pa.bool_()))
+
+        kept = kept.mapInArrow(run, docs.schema)
+        if not last:
+            kept = cut(kept, "clean")
+    return kept

@@ -34,6 +34,8 @@ class LangIdConfig:
     #: About this many labelled documents of each language are fitted; a
     #: language with fewer gives all of them.  Chosen by a hash of the id.
     fit_docs_per_language: int = 6000
+    #: More labels than this are taken for a wrong column (the matrix has a column for each).
+    max_languages: int = 500
 
 
 @dataclass
@@ -104,7 +106,9 @@ def fit(docs: DataFrame, lang: Column, train: Column, cfg: LangIdConfig = LangId
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", lang.cast("string").alias("lang")).where(
         train & lang.isNotNull() & F.col("text").isNotNull())
     n_docs = {r["lang"]: r["n"] for r in docs.where(train & lang.isNotNull()).groupBy(
-        lang.cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}
+        lang.cast("string").alias("lang")).agg(F.count("*").alias("n")).limit(cfg.max_languages + 1).collect()}
+    if len(n_docs) > cfg.max_languages:
+        raise ValueError(f"more than {cfg.max_languages} languages")
     languages = sorted(n_docs)
     if not languages:
         return LangIdModel([], np.zeros((cfg.n_features + 1, 0)), np.zeros(0))

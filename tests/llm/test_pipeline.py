@@ -81,3 +81,9 @@ def test_stages_take_awkward_rows(spark, sf, docs, none):
     assert sizes["sharding"] == docs.count() and sizes["simhash_near_dedup"] < docs.count()
     texts = docs.where(F.col("text").isNotNull()).count()
     assert texts > 0
+
+
+def test_scratch_is_dropped(spark):
+    from aisleflow.llm.common import cut, drop_scratch
+    kept = cut(spark.range(3))
+    assert kept.count() == 3 and drop_scratch(spark) and not drop_scratch(spark)
