@@ -39,9 +39,13 @@ def _class_pivot(categories: list[str]) -> str:
 HAVING count(ss.ss_item_id) > 3"""
 
 
-ORACLE_SQL["customer_class_pivot"] = _class_pivot([f"cat#{n:02d}" for n in range(1, 16)])
-ORACLE_SQL["customer_class_pivot_original"] = _class_pivot(
-    [f"cat#{n:02d}" for n in range(1, 13)] + ["cat#013", "cat#14", "cat#15"])
+# The category lists of the class pivot, corrected and as first written.
+CATEGORIES = ["cat#01", "cat#02", "cat#03", "cat#04", "cat#05", "cat#06", "cat#07", "cat#08",
+              "cat#09", "cat#10", "cat#11", "cat#12", "cat#13", "cat#14", "cat#15"]
+ORIGINAL_CATEGORIES = ["cat#01", "cat#02", "cat#03", "cat#04", "cat#05", "cat#06", "cat#07", "cat#08",
+                       "cat#09", "cat#10", "cat#11", "cat#12", "cat#013", "cat#14", "cat#15"]
+ORACLE_SQL["customer_class_pivot"] = _class_pivot(CATEGORIES)
+ORACLE_SQL["customer_class_pivot_original"] = _class_pivot(ORIGINAL_CATEGORIES)
 
 CATEGORY_CLICKS = "(SELECT c.wl_customer_id,\n       " + ",\n       ".join(
     f"CAST(sum(CASE WHEN i.i_category_id = {n} THEN 1 ELSE 0 END) AS BIGINT) AS clicks_in_{n}"
@@ -52,9 +56,11 @@ CATEGORY_CLICKS = "(SELECT c.wl_customer_id,\n       " + ",\n       ".join(
 
 ORACLE_SQL["category_clicks"] = f"SELECT * FROM {CATEGORY_CLICKS}"
 ORACLE_SQL["category_clicks_stream"] = ORACLE_SQL["category_clicks"]
+# Fixed value: the click threshold of the interest label.
+CLICK_THRESHOLD = 3.871510156577754
 _CLICK_FEATS = ", ".join(f"clicks_in_{n}" for n in range(1, 20))
 ORACLE_SQL["click_label"] = f"""SELECT wl_customer_id,
-       CASE WHEN clicks_in_0 > 3.871510156577754 THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+       CASE WHEN clicks_in_0 > {CLICK_THRESHOLD} THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
        {_CLICK_FEATS}
   FROM {CATEGORY_CLICKS}"""
 ORACLE_SQL["click_label_by_mean"] = f"""WITH cc AS {CATEGORY_CLICKS}

@@ -75,3 +75,20 @@ def test_oracle_parity(spark, sf, duck, name):
     assert _rows(df.columns, rows) == _rows(dcols, drows)
     dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE ({E.oracle_sql()[name]})").fetchall()}
     assert {f.name: _duck_type(f.dataType) for f in df.schema.fields} == dtypes
+
+
+@pytest.mark.parametrize("name", ["customer_class_pivot", "category_clicks", "review_label_encodings", "label_index", "doc_tfidf",
+                                  "nb_likelihoods", "nb_predictions", "term_vocabulary", "basket_recommendations", "gini_splits"])
+def test_parity_without_broadcast_joins(spark, sf, duck, name):
+    """The plans of large inputs: no side is broadcast for being small."""
+    from aisleflow.plans import cache
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    cache.clear()
+    try:
+        df = E.queries()[name](spark, sf)
+        cur = duck.execute(E.oracle_sql()[name])
+        assert _rows(df.columns, df.collect()) == _rows([d[0] for d in cur.description], cur.fetchall())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        cache.clear()
