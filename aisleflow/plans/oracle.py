@@ -122,9 +122,8 @@ SELECT feature, count(DISTINCT value) AS n_distinct, count(DISTINCT value) <= 20
 
 
 
-def _categorical_map(max_categories: int) -> str:
-    return f"""WITH cl AS (SELECT * FROM {CATEGORY_CLICKS}),
-long AS (UNPIVOT (SELECT {_CLICK_FEATS} FROM cl) ON {_CLICK_FEATS} INTO NAME feature VALUE value),
+def _categorical_map(source: str, features: str, max_categories: int) -> str:
+    return f"""WITH long AS (UNPIVOT (SELECT {features} FROM {source}) ON {features} INTO NAME feature VALUE value),
 v AS (SELECT DISTINCT feature, value FROM long),
 few AS (SELECT feature FROM v GROUP BY feature HAVING count(*) <= {max_categories})
 SELECT feature, value::DOUBLE AS value,
@@ -132,8 +131,10 @@ SELECT feature, value::DOUBLE AS value,
   FROM v JOIN few USING (feature)"""
 
 
-ORACLE_SQL["categorical_map_20"] = _categorical_map(20)
-ORACLE_SQL["categorical_map_4"] = _categorical_map(4)
+ORACLE_SQL["categorical_map_20"] = _categorical_map(CATEGORY_CLICKS, _CLICK_FEATS, 20)
+ORACLE_SQL["categorical_map_4"] = _categorical_map(
+    f"(SELECT pr_rating::DOUBLE AS pr_rating, bayes, logistic, binary FROM ({ORACLE_SQL['review_label_encodings']}))",
+    "pr_rating, bayes, logistic, binary", 4)
 
 # --- text -------------------------------------------------------------------
 WS = "'[ \\t\\n\\x0B\\f\\r]'"

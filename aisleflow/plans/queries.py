@@ -204,20 +204,18 @@ def categorical_features(spark, sf):
     return cf(cl, [f"clicks_in_{n}" for n in range(1, 20)], max_categories=20)
 
 
-def _categorical_map(spark, sf, max_categories):
-    from aisleflow.operators.classify import categorical_map
-    cl = pivots.click_label(_category_clicks(spark, sf))
-    return categorical_map(cl, CLICK_FEATURES, max_categories)
-
-
 @query("categorical_map_20")
 def categorical_map_20(spark, sf):
-    return _categorical_map(spark, sf, 20)
+    from aisleflow.operators.classify import categorical_map
+    return categorical_map(pivots.click_label(_category_clicks(spark, sf)), CLICK_FEATURES, 20)
 
 
 @query("categorical_map_4")
 def categorical_map_4(spark, sf):
-    return _categorical_map(spark, sf, 4)
+    """With at most 4 categories, over the rating (too many values) and its encodings."""
+    from aisleflow.operators.classify import categorical_map
+    columns = ["pr_rating", "bayes", "logistic", "binary"]
+    return categorical_map(review_label_encodings(spark, sf).select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, 4)
 
 
 # --- text long form ---------------------------------------------------------
