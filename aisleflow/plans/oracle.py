@@ -133,8 +133,8 @@ SELECT feature, value::DOUBLE AS value,
 
 ORACLE_SQL["categorical_map_20"] = _categorical_map(CATEGORY_CLICKS, _CLICK_FEATS, 20)
 ORACLE_SQL["categorical_map_4"] = _categorical_map(
-    f"(SELECT pr_rating::DOUBLE AS pr_rating, bayes, logistic, binary FROM ({ORACLE_SQL['review_label_encodings']}))",
-    "pr_rating, bayes, logistic, binary", 4)
+    f"(SELECT pr_rating::DOUBLE AS pr_rating, bayes, logistic, \"binary\" FROM ({ORACLE_SQL['review_label_encodings']}))",
+    'pr_rating, bayes, logistic, "binary"', 4)
 
 # --- text -------------------------------------------------------------------
 WS = "'[ \\t\\n\\x0B\\f\\r]'"
