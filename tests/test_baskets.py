@@ -1,6 +1,5 @@
 from itertools import combinations
 
-from pyspark.sql import functions as F
 
 from aisleflow.operators import baskets as B
 

@@ -1,6 +1,5 @@
 """Driver contract and oracle parity of every tier-S query at sf 0.001."""
 
-import math
 from collections import Counter
 
 import duckdb

@@ -1,6 +1,5 @@
 """The nine end-to-end jobs run on sf 0.001 and return their tables."""
 
-import os
 
 from pyspark.sql import functions as F
 
