@@ -113,20 +113,25 @@ def term_counts(texts: list[str]) -> np.ndarray:
     return out
 
 
-def weigh(counts: np.ndarray, idf: np.ndarray, letter_weight: float) -> np.ndarray:
-    """Sublinear tf x idf, each family of terms scaled to unit length."""
-    w = np.log1p(counts) * idf
+def weigh(logs: np.ndarray, idf: np.ndarray, letter_weight: float) -> np.ndarray:
+    """Sublinear tf x idf from the logarithms of the counts, each family of terms
+    scaled to unit length."""
+    w = logs * idf
     out = np.empty_like(w)
     for begin, end, scale in ((0, SHAPE_SLOTS, 1.0), (SHAPE_SLOTS, SHAPE_SLOTS + LETTER_SLOTS, letter_weight)):
         part = w[:, begin:end]
         norm = np.linalg.norm(part, axis=1, keepdims=True)
         out[:, begin:end] = scale * np.divide(part, norm, out=np.zeros_like(part), where=norm > 0)
-    out[:, SHAPE_SLOTS + LETTER_SLOTS:] = 0.25 * np.log1p(counts[:, SHAPE_SLOTS + LETTER_SLOTS:])
+    out[:, SHAPE_SLOTS + LETTER_SLOTS:] = 0.25 * logs[:, SHAPE_SLOTS + LETTER_SLOTS:]
     return out
 
 
 def project(counts: np.ndarray, model: QualityModel, letter_weight: float) -> np.ndarray:
-    latent = weigh(counts, model.idf, letter_weight) @ model.basis
+    return project_logs(np.log1p(counts), model, letter_weight)
+
+
+def project_logs(logs: np.ndarray, model: QualityModel, letter_weight: float) -> np.ndarray:
+    latent = weigh(logs, model.idf, letter_weight) @ model.basis
     norm = np.linalg.norm(latent, axis=1, keepdims=True)
     return np.divide(latent, norm, out=np.zeros_like(latent), where=norm > 0)
 
@@ -137,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
 
     At most ``max_neighbours`` labels are used, those with the smallest hash of
     the id (a repeated id is one row: its smallest label, and of its texts
-    the one with the smallest hash).  Their ids are broadcast, and counts of fixed width come back.
+    the one with the smallest hash).  Their ids are broadcast, and vectors of fixed width come back.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -152,27 +157,28 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for i, j in blocks(texts, BLOCK_CHARS, 800):
-                rows = term_counts(texts[i:j]).astype(np.float16)
+                # logarithms fit 16 bits however long a text is; counts do not
+                rows = np.log1p(term_counts(texts[i:j])).astype(np.float16)
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("draw"), part.column("label"), pa.array([r.tobytes() for r in rows], pa.binary())],
-                    names=["draw", "label", "counts"])
+                    names=["draw", "label", "logs"])
 
-    got = rows.mapInArrow(count, "draw long, label int, counts binary").toArrow()
+    got = rows.mapInArrow(count, "draw long, label int, logs binary").toArrow()
     if not got.num_rows:
         return QualityModel(np.zeros(N_TERMS, np.float32), np.zeros((N_TERMS, 1), np.float32),
                             np.zeros((0, 1), np.float32), np.zeros(0, np.float32), 0.5)
     order = np.argsort(got.column("draw").to_numpy(), kind="stable")
-    counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.float16).reshape(-1, N_TERMS)[order].astype(np.float32)
+    logs = np.frombuffer(b"".join(got.column("logs").to_pylist()), np.float16).reshape(-1, N_TERMS)[order].astype(np.float32)
     labels = got.column("label").to_numpy()[order].astype(np.float32)
-    seen = (counts > 0).sum(axis=0)
-    idf = (np.log((1 + len(counts)) / (1 + seen)) + 0.3).astype(np.float32)
-    weights = weigh(counts, idf, cfg.letter_weight)
+    seen = (logs > 0).sum(axis=0)
+    idf = (np.log((1 + len(logs)) / (1 + seen)) + 0.3).astype(np.float32)
+    weights = weigh(logs, idf, cfg.letter_weight)
     values, vectors = np.linalg.eigh(weights.T.astype(np.float64) @ weights)
     dims = min(cfg.dims, len(values))
     model = QualityModel(idf, vectors[:, ::-1][:, :dims].astype(np.float32), np.zeros((0, dims), np.float32),
                          labels, float(labels.mean()))
-    model.vectors = project(counts, model, cfg.letter_weight)
+    model.vectors = project_logs(logs, model, cfg.letter_weight)
     return model
 
 

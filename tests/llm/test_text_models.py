@@ -67,6 +67,16 @@ def test_quality_edge_cases(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in rows)
 
 
+def test_quality_fit_takes_very_long_texts(spark):
+    """Counts beyond 16 bits in the sample leave the model finite and right."""
+    good, bad = "some plain words of prose. " , "NO!! NO!! $$$ "
+    rows = [(i, (good if i % 2 else bad) * (30_000 if i < 4 else 20 + i)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label int"), quality.QualityConfig(k=3))
+    assert np.isfinite(model.basis).all() and np.isfinite(model.vectors).all()
+    assert {r["doc_id"]: r["predicted"] for r in quality.score(docs, model, quality.QualityConfig(k=3)).collect()} == {i: i % 2 for i in range(40)}
+
+
 def test_votes_are_the_exact_nearest_neighbours(spark):
     rng = np.random.default_rng(1)
     cfg = quality.QualityConfig(k=5)
