@@ -288,14 +288,16 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def groups(prints: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> DataFrame:
     """One row per distinct fingerprint: fp, n_rows, first_id (its smallest
-    doc_id), component_id (the smallest doc_id of its component)."""
+    doc_id), root (the smallest fingerprint of its component), component_id (the
+    smallest doc_id of its component; of several components where an id is repeated)."""
     equal = cut(prints.groupBy("fp").agg(F.count("*").alias("n_rows"), F.min("doc_id").alias("first_id")))
     linked = components(links(equal, cfg, forest=True))
     member = equal.join(linked, "fp")
     smallest = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_linked = linked.join(smallest, "root").select(F.col("fp").alias("linked_fp"), "component_id")
+    of_linked = linked.join(smallest, "root").select(F.col("fp").alias("linked_fp"), "root", "component_id")
     return cut(equal.join(of_linked, F.col("fp") == F.col("linked_fp"), "left").select(
-        "fp", "n_rows", "first_id", F.when(F.col("linked_fp").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")))
+        "fp", "n_rows", "first_id", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("linked_fp").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
 def with_component(prints: DataFrame, grouped: DataFrame, hot_share: float = 1e-3) -> DataFrame:
@@ -304,15 +306,16 @@ def with_component(prints: DataFrame, grouped: DataFrame, hot_share: float = 1e-
     so that no task gets a hot fingerprint's rows.  The others are shuffled."""
     total = grouped.agg(F.sum("n_rows")).first()[0] or 0
     bound = max(1, int(total * hot_share))
-    slim = grouped.select("fp", "n_rows", "component_id")
-    hot = F.broadcast(slim.where(F.col("n_rows") > bound).select(F.col("fp").alias("hot_fp"), F.col("component_id").alias("hot_id")))
+    slim = grouped.select("fp", "n_rows", "root", "component_id")
+    hot = F.broadcast(slim.where(F.col("n_rows") > bound).select(
+        F.col("fp").alias("hot_fp"), F.col("root").alias("hot_root"), F.col("component_id").alias("hot_id")))
     marked = prints.join(hot, F.col("fp") == F.col("hot_fp"), "left")
-    cold = marked.where("hot_fp is null").drop("hot_fp", "hot_id").join(slim.where(F.col("n_rows") <= bound).drop("n_rows"), "fp")
-    return cold.unionByName(marked.where("hot_fp is not null").withColumnRenamed("hot_id", "component_id").drop("hot_fp"))
+    cold = marked.where("hot_fp is null").drop("hot_fp", "hot_root", "hot_id").join(slim.where(F.col("n_rows") <= bound).drop("n_rows"), "fp")
+    return cold.unionByName(marked.where("hot_fp is not null").withColumnsRenamed({"hot_root": "root", "hot_id": "component_id"}).drop("hot_fp"))
 
 
 def near_duplicates(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> DataFrame:
-    """doc_id, text_hash, fp, component_id for every row of ``docs``."""
+    """doc_id, text_hash, fp, root, component_id for every row of ``docs``."""
     prints = cut(fingerprints(docs, cfg))
     return with_component(prints, groups(prints, cfg))
 
@@ -323,11 +326,10 @@ def keep_one(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> DataFrame
     text hash, and of equal rows any one; a component without ids keeps one row)."""
     found = near_duplicates(docs, cfg)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
-    # a component is named by its id; components without one by their root
-    kept = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("nameless")) \
-        .agg(F.min(rank).alias("first")).select(
-            F.coalesce("first.doc_id", F.lit(0)).alias("__kept_id"), F.col("first.doc_id").isNull().alias("__kept_null"),
-            F.col("first.text_hash").alias("__kept_hash"))
+    # by root: component ids may be null, or stand for several components
+    kept = found.groupBy("root").agg(F.min(rank).alias("first")).select(
+        F.coalesce("first.doc_id", F.lit(0)).alias("__kept_id"), F.col("first.doc_id").isNull().alias("__kept_null"),
+        F.col("first.text_hash").alias("__kept_hash"))
     columns = docs.columns
     keyed = docs.withColumns({
         "__kept_id": F.coalesce("doc_id", F.lit(0)), "__kept_null": F.col("doc_id").isNull(),

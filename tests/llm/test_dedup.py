@@ -72,6 +72,32 @@ def test_simhash_edge_cases(spark, docs, none):
     assert kept.count() == found.select("component_id").distinct().count()
 
 
+def test_simhash_keeps_one_row_of_each_root(spark):
+    """Components that share their smallest id are kept apart; those without ids are kept whole."""
+    texts = ["one two three four five six seven", "quite another text of other words here", "and a third that is like none of them"]
+    rows = [(7, texts[0]), (7, texts[1]), (8, texts[1]), (9, texts[1].upper()), (None, texts[2])]
+    # two fingerprints within two bits of each other, on rows without ids
+    rnd = random.Random(3)
+    while True:
+        words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(400)]
+        near = [*words[:-1], "changed"]
+        a, b = fingerprint(" ".join(words)), fingerprint(" ".join(near))
+        if a != b and (a ^ b).bit_count() <= 2:
+            break
+    rows += [(None, " ".join(words)), (None, " ".join(near))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    root = classes([fingerprint(t) for _, t in rows])
+    assert len(set(root.values())) == 4
+    kept = [tuple(r) for r in simhash.keep_one(docs).collect()]
+    assert len({root[fingerprint(t)] for _, t in kept}) == len(kept) == 4
+    assert set(kept) >= {rows[0], rows[1], rows[4]}
+
+
+def test_simhash_keeps_the_roots_of_the_edge_cases(spark, docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    assert simhash.keep_one(docs).count() == len(set(classes([fingerprint(t) for _, t in rows]).values()))
+
+
 def test_simhash_query_is_brute_force_on_a_table(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, sf, "documents").collect()]
     got = sorted(((r["doc_id"], int(r["fingerprint"], 16), r["component_id"]) for r in QUERIES["op6_simhash_near_dedup"](spark, sf).collect()), key=str)
