@@ -75,7 +75,7 @@ def encode_turns(turns: DataFrame, cfg: ChatConfig) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        encoder = worker_encoder(cfg.tokenizer_path)
+        encoder = worker_encoder(cfg.tokenizer_path, literal=True)
         start, end = (np.array([i], "<u4") for i in reserved_ids(encoder.tokenizer))
         wide = lambda raw: np.frombuffer(raw, encoder.dtype).astype("<u4")
         newline = wide(encoder.encode(["\n"])[0])
@@ -169,7 +169,7 @@ def digests(formatted: DataFrame, cfg: ChatConfig) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        tokenizer = load_tokenizer(cfg.tokenizer_path)
+        tokenizer = load_tokenizer(cfg.tokenizer_path, literal=True)
         start, end = reserved_ids(tokenizer)
         now = None
         out: list = []

@@ -12,7 +12,8 @@ used, so retried or speculative tasks do no harm.  The folder must be shared by
 all executors (the checkpoint folder by default); folders of a remote store are
 read by ranges instead of being mapped.
 
-Defined results: null and empty texts are the end id alone.  Rows are ordered by id
+Defined results: null and empty texts are the end id alone.  The string of an added token
+in a text becomes that token, as in the tokenizer's plain call.  Rows are ordered by id
 (nulls first), then by the hash of the text; repeated rows are all written.  An empty
 table gives an empty manifest.
 """
@@ -44,11 +45,13 @@ _SETTLED = "\u0530"
 
 
 @lru_cache(maxsize=4)
-def load_tokenizer(path: str):
+def load_tokenizer(path: str, literal: bool = False):
+    """The tokenizer as its file has it: the string of an added token in a text is that token.
+    With ``literal`` the strings of special tokens are ordinary text."""
     from tokenizers import Tokenizer
 
     out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True  # their strings in a text are ordinary text
+    out.encode_special_tokens = literal
     return out
 
 
@@ -83,17 +86,23 @@ class Encoder:
     part is cut by the pre-tokenizer's pattern, and the model encodes the pieces; parts and
     pieces that were encoded before are kept, up to a bound.  Other
     tokenizers, and parts of letters on which versions of Unicode differ, go to the tokenizer whole.
+    Texts are cut at added tokens first, the longest of those that begin at a place; texts with
+    added tokens that take in spaces or stand for whole words only go to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = False):
         import regex
 
-        self.tokenizer = load_tokenizer(path)
+        self.tokenizer = load_tokenizer(path, literal)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         spec = json.loads(self.tokenizer.to_str())
         pre = spec["pre_tokenizer"] or {}
         self.by_parts = (spec["model"]["type"], pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex", True),
                          spec["normalizer"]) == ("BPE", "ByteLevel", False, True, None)
+        added = [t for t in spec.get("added_tokens", []) if t["content"] and not (literal and t["special"])]
+        self._added = {t["content"]: self._pack([t["id"]]) for t in added}
+        self._plain = len({t["normalized"] for t in added}) < 2 and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
+        self._marks = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")") if added else None
         self._letters, self._cut = byte_letters(), regex.compile(PIECES).findall
         self._tokenize = self.tokenizer.model.tokenize
         self._words = _Kept(self._model, MAX_WORDS)
@@ -102,7 +111,14 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_parts:
             return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return [self._encode(t) for t in texts]
+        return [self._marked(t) if self._marks and self._marks.search(t) else self._encode(t) for t in texts]
+
+    def _marked(self, text: str) -> bytes:
+        """A text in which added tokens stand."""
+        if not self._plain:
+            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        parts = self._marks.split(text)
+        return b"".join([self._added[p] if i % 2 else self._encode(p) for i, p in enumerate(parts)])
 
     def _pack(self, ids: list[int]) -> bytes:
         return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, self.dtype).tobytes()
@@ -133,9 +149,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def worker_encoder(path: str) -> Encoder:
+def worker_encoder(path: str, literal: bool = False) -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    return Encoder(path)
+    return Encoder(path, literal)
 
 
 def _files(folder: str):

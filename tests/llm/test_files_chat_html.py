@@ -25,6 +25,25 @@ def test_pieces_encode_like_whole_texts():
         assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == plain_ids(texts)
 
 
+MARKED = ["x <|endoftext|> y", "<|endoftext|>", "<|endoftext|><|endoftext|> ", "a  <|endoftext|>  b\n", "<|endoftext| <|endoftext|>>", "é<|endoftext|>日本 x", "plain"]
+
+
+def test_added_tokens_are_encoded_as_by_the_unmodified_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    want = [plain.encode(t, add_special_tokens=False).ids for t in MARKED]
+    encoder = token_files.Encoder(tokenizer_path())
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(MARKED)] == want
+    docs = spark.createDataFrame(list(enumerate(MARKED)), "doc_id long, text string")
+    got = token_files.read(spark, token_files.write(docs, tokenizer_path()), "bigint", with_ids=True).orderBy("start").collect()
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in got] == [[*ids, 0] for ids in want]
+    # in chat they stay ordinary text
+    literal = token_files.Encoder(tokenizer_path(), literal=True)
+    plain.encode_special_tokens = True
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in literal.encode(MARKED)] == [plain.encode(t, add_special_tokens=False).ids for t in MARKED]
+
+
 def test_token_files_edge_cases(spark, docs, none):
     path = tokenizer_path()
     data = token_files.write(docs, path)
