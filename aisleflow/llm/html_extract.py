@@ -21,7 +21,9 @@ The trees (a few hundred nodes) are broadcast as arrays and evaluated in numpy
 over the nodes of a batch of pages.
 
 Defined results: null and empty html give the empty text; so does a page without
-text outside of scripts and the like.  Unclosed and stray tags are
+text outside of scripts and the like.  If no page of the table has an article or main
+element, there is nothing to fit on, and elements whose tag or names tell a frame are dropped
+(but never html and body).  Unclosed and stray tags are
 tolerated; a page without elements is one block of text.  Pages are handled one by
 one: repeated pages give repeated rows, and extra columns are not read.
 """
@@ -396,8 +398,8 @@ def _trees(model) -> Trees:
 
 
 def fit(pages: DataFrame, cfg: HtmlConfig = HtmlConfig()) -> Trees | None:
-    """Fit on at most ``fit_pages`` pages (those with the smallest hash of the
-    html).  None if no page has an article element."""
+    """Fit on at most ``fit_pages`` pages (of those that ``weak_labels`` finds an
+    article in, the ones with the smallest hash of the html).  None if there is none."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
@@ -405,8 +407,27 @@ def fit(pages: DataFrame, cfg: HtmlConfig = HtmlConfig()) -> Trees | None:
     ship(spark)
     seed, copies = cfg.seed, cfg.copies
     chosen = pages.select("html", F.xxhash64("html").alias("h")).where("html is not null and html <> ''")
-    bound = chosen.select("h").distinct().orderBy("h").limit(cfg.fit_pages).agg(F.max("h")).first()[0]
-    if bound is None:
+    # may hold one of CONTENT_TAGS; whether it does only the parser can tell
+    likely = chosen.where(F.col("html").rlike("(?i)<(article|main)"))
+
+    def labelled(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            own = [h for source, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if any(weak_labels(parse(source)) or ())]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64())], names=["h"])
+
+    # the smallest hashes first; while pages are missing, eight times the range of hashes
+    lowest, highest = -(1 << 63), (1 << 63) - 1
+    bound = likely.select("h").distinct().orderBy("h").limit(cfg.fit_pages).agg(F.max("h")).first()[0]
+    below, found = None, []
+    while bound is not None:
+        some = likely.where(F.col("h") <= bound) if below is None else likely.where((F.col("h") > below) & (F.col("h") <= bound))
+        found += [r["h"] for r in some.mapInArrow(labelled, "h long").distinct().orderBy("h").limit(cfg.fit_pages - len(found)).collect()]
+        if len(found) >= cfg.fit_pages or bound == highest:
+            break
+        below, bound = bound, min(highest, lowest + 8 * (bound - lowest + 1))
+    if not found:
         return None
 
     def rows(batches):
@@ -430,7 +451,7 @@ def fit(pages: DataFrame, cfg: HtmlConfig = HtmlConfig()) -> Trees | None:
                 yield pa.RecordBatch.from_arrays([values, pa.array(np.concatenate(ys))], names=["x", "label"])
 
     # equal pages count once
-    one = chosen.where(F.col("h") <= bound).groupBy("h").agg(F.first("html").alias("html")).select("html", "h")
+    one = chosen.where(F.col("h").isin(found)).groupBy("h").agg(F.first("html").alias("html")).select("html", "h")
     nodes = one.mapInArrow(rows, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label").persist()
     try:
         kinds = nodes.select("label").distinct().count()
@@ -464,6 +485,15 @@ def decode(page: Page, odds: np.ndarray) -> list[bool]:
     return kept
 
 
+def without_frames(page: Page) -> list[bool]:
+    """Without trees: all but the elements that tag or tokens call a frame, and what is in them."""
+    kept = [True] * len(page.tag)
+    for i in range(1, len(kept)):
+        frame = page.tag[i] in FRAME_TAGS or any(t in FRAME_TOKENS for t in page.tokens[i])
+        kept[i] = kept[page.parent[i]] and (not frame or page.tag[i] in ("html", "body"))
+    return kept
+
+
 def kept_text(page: Page, kept: list[bool]) -> str:
     out, block = [], []
 
@@ -485,7 +515,7 @@ def kept_text(page: Page, kept: list[bool]) -> str:
 def extract_pages(sources: list, trees: Trees | None) -> list[str]:
     pages = [parse(s or "") for s in sources]
     if trees is None:
-        return [kept_text(p, [True] * len(p.tag)) for p in pages]
+        return [kept_text(p, without_frames(p)) for p in pages]
     rows = [features(p) for p in pages]
     odds = np.split(trees.log_odds(np.vstack(rows)), np.cumsum([len(r) for r in rows])[:-1]) if rows else []
     return [kept_text(p, decode(p, o)) for p, o in zip(pages, odds)]

@@ -180,3 +180,23 @@ def test_decoding_is_the_best_consistent_labelling(trees):
         best = max(value((True, *k)) for k in itertools.product([True, False], repeat=7)
                    if all((True, *k)[page.parent[i]] or not (True, *k)[i] for i in range(1, 8)))
         assert abs(value(kept) - best) < 1e-9
+
+
+def test_html_fit_pages_are_those_with_an_article(spark):
+    from pyspark.sql import functions as F
+
+    articles = table(spark, "/root/testdata/sf0.01", "pages").select("html").limit(20)
+    others = spark.range(400).select(F.concat(F.lit("<div>page "), "id", F.when(F.col("id") % 2 == 0, "<!-- <article> -->").otherwise(""), F.lit("</div>")).alias("html"))
+    pages = articles.union(others).withColumn("h", F.xxhash64("html"))
+    first = [r["html"] for r in pages.orderBy("h").limit(4).collect()]
+    assert all(html_extract.weak_labels(html_extract.parse(x)) is None for x in first)
+    assert any("<article>" in x for x in first)
+    cfg = html_extract.HtmlConfig(fit_pages=4, trees=2)
+    assert html_extract.fit(pages, cfg) is not None
+    assert html_extract.fit(others, cfg) is None
+
+
+def test_html_without_trees_drops_frames():
+    page = ("<html class=header><body class='has sidebar'><nav><a>x</a></nav><div id=menu>y</div><div><p>text <b>bold</b></p><p class=advert>z</p>"
+            "<button>ok</button></div><form><p>q</p></form><div class=comments><p>c</p></div><footer>f</footer></body></html>")
+    assert html_extract.extract_pages([page, "plain", None], None) == ["text bold", "plain", ""]
