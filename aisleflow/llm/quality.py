@@ -1,8 +1,8 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
 Each text becomes a sparse vector of hashed terms (n-grams of the sequence of
-character classes, letter 2- and 3-grams, and counts of repeated words and
-lines), weighted by tf-idf.  A truncated singular value decomposition of the
+character classes, letter 3-grams, and shares of repeated words), weighted by
+tf-idf.  A truncated singular value decomposition of the
 vectors of a bounded labelled sample gives the latent space.  The sample's unit
 vectors and labels (``max_neighbours`` x ``dims`` floats, independent of the
 corpus) are broadcast; every document's cosine with every one of them is one
@@ -140,13 +140,15 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
     """Fit on the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, label)
     marks 0 or 1; null labels and ids are left out.
 
-    At most ``max_neighbours`` labels are used, those with the smallest hash of
+    At most ``max_neighbours`` labels of ids in ``docs`` are used, those with the smallest hash of
     the id (a repeated id is one row: its smallest label, and of its texts
     the one with the smallest hash).  Their ids are broadcast, and vectors of fixed width come back.
     """
     spark = docs.sparkSession
     ship(spark)
-    chosen = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.min(F.col("label").cast("int")).alias("label")) \
+    # only labels of documents that are there count towards the bound
+    known = labels.where("label is not null and doc_id is not null").join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = known.groupBy("doc_id").agg(F.min(F.col("label").cast("int")).alias("label")) \
         .withColumn("draw", F.xxhash64(F.col("doc_id").cast("string"))).orderBy("draw", "doc_id").limit(cfg.max_neighbours)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "draw", "label").agg(
         F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")).select("draw", "first.text", "label")

@@ -77,6 +77,15 @@ def test_quality_fit_takes_very_long_texts(spark):
     assert {r["doc_id"]: r["predicted"] for r in quality.score(docs, model, quality.QualityConfig(k=3)).collect()} == {i: i % 2 for i in range(40)}
 
 
+def test_labels_of_absent_documents_take_no_place_of_the_bound(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " + ("fine prose of words " if i % 2 else "4711 0815 !! ") * 5) for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, label int")
+    cfg = quality.QualityConfig(k=3, max_neighbours=20)
+    model = quality.fit(docs, labels, cfg)
+    assert len(model.labels) == 20
+    assert {r["doc_id"]: r["predicted"] for r in quality.score(docs, model, cfg).collect()} == {i: i % 2 for i in range(30)}
+
+
 def test_votes_are_the_exact_nearest_neighbours(spark):
     rng = np.random.default_rng(1)
     cfg = quality.QualityConfig(k=5)
