@@ -68,8 +68,8 @@ def test_simhash_edge_cases(spark, docs, none):
     kept = simhash.keep_one(docs)
     found = simhash.near_duplicates(docs)
     assert kept.columns == docs.columns
-    # one row a component
-    assert kept.count() == found.select("component_id").distinct().count()
+    # one row a component (two components may print the same id where ids repeat)
+    assert kept.count() == found.select("root").distinct().count()
 
 
 def test_simhash_keeps_one_row_of_each_root(spark):
