@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisleflow.llm import chat, decontaminate, exact_dedup, html_extract, langid, mixing, quality, resharding, simhash, token_files
+from aisleflow.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_rules, mixing, quality, resharding,
+                           simhash, token_files)
 from aisleflow.llm.common import cut, held_out, table
 
 
@@ -100,6 +101,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), exact_dedup.ExactDedupConfig(keep="largest"))
 
 
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return rows.select("doc_id", *line_rules.STATISTICS, "base_failed", "kept", "n_lines_removed", "n_words_left")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_resharding": op2_resharding,
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_line_rules": op11_line_rules,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -156,7 +163,34 @@ def _mixing_sql(cfg: mixing.MixConfig) -> str:
     SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, unnest(range(1, copies + 1)) AS epoch FROM c WHERE copies > 0"""
 
 
+def _line_rules_sql(cfg: line_rules.LineRulesConfig) -> str:
+    """The rules of ``line_rules`` with whole lines in place of their hashes."""
+    spaces = r"[\x20\x09-\x0D]+"
+    gone = " ' || chr(9) || chr(11) || chr(12) || chr(13) || '"
+    norm = f"translate(line, '{_UPPER}123456789{gone}', '{_LOWER}{'0' * 9}')"
+    words = lambda t: f"[x FOR x IN string_split_regex({t}, '{spaces}') IF x <> '']"
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, {cfg.host} AS host, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, {words("text")} AS ws FROM d),
+    ln AS (SELECT row, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+    lw AS (SELECT *, {norm} AS norm, len({words("line")}) AS n FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    often AS (SELECT host, norm FROM lw GROUP BY ALL HAVING count(DISTINCT text) > {cfg.max_docs}),
+    lines AS (SELECT row, count(*) - count(DISTINCT line) AS dup,
+                     sum(CASE WHEN o.norm IS NOT NULL THEN 1 ELSE 0 END) AS n_gone, sum(CASE WHEN o.norm IS NOT NULL THEN n ELSE 0 END) AS w_gone
+              FROM lw LEFT JOIN often o ON lw.norm = o.norm AND lw.host IS NOT DISTINCT FROM o.host GROUP BY row),
+    grams AS (SELECT row, unnest(range(1, len(ws) - 1)) AS i, unnest([ws[k:k + 2] FOR k IN range(1, len(ws) - 1)]) AS g FROM w WHERE len(ws) >= 3),
+    twice AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, g) AS c FROM grams) WHERE c > 1),
+    covered AS (SELECT row, count(DISTINCT i + k) AS n FROM twice, range(3) t(k) GROUP BY row),
+    s AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                 CAST(len(regexp_extract_all(text, '{line_rules.SYMBOL_CLASS}')) AS BIGINT) AS n_symbols, CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
+                 CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_gone, 0) AS BIGINT) AS n_lines_removed,
+                 CAST(len(ws) - coalesce(w_gone, 0) AS BIGINT) AS n_words_left
+          FROM w LEFT JOIN lines USING (row) LEFT JOIN covered c USING (row)),
+    b AS (SELECT *, n_words < {cfg.min_words} OR 100 * n_repeat_words > {cfg.max_repeat_percent} * n_words AS base_failed FROM s)
+    SELECT *, NOT base_failed AND n_words_left >= {cfg.min_words} AND 100 * n_words_left >= {cfg.min_left_percent} * n_words AS kept FROM b"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_line_rules": _line_rules_sql(line_rules.LineRulesConfig()),
     "op8_chat_format": f"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'),
