@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aisleflow.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_rules, mixing, quality, resharding,
-                           simhash, token_files)
+                           simhash, token_files, whitening)
 from aisleflow.llm.common import cut, held_out, table
 
 
@@ -106,6 +106,16 @@ def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *line_rules.STATISTICS, "base_failed", "kept", "n_lines_removed", "n_words_left")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    share = F.lit([float(e / model.trace) for e in model.eigenvalues] or None).cast("array<double>")
+    rows = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), F.col("deviation").cast("long").alias("deviation"),
+        "whitened", F.get(share, F.col("at")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_resharding": op2_resharding,
@@ -118,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_line_rules": op11_line_rules,
+    "op12_whitening": op12_whitening,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
