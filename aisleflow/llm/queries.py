@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisleflow.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_rules, mixing, quality, resharding,
-                           simhash, token_files, whitening)
+from aisleflow.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_rules, mixing, phrases, quality,
+                           resharding, simhash, token_files, whitening)
 from aisleflow.llm.common import cut, held_out, table
 
 
@@ -116,6 +116,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "whitened", F.get(share, F.col("at")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_resharding": op2_resharding,
@@ -129,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_line_rules": op11_line_rules,
     "op12_whitening": op12_whitening,
+    "op13_phrases": op13_phrases,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -200,7 +205,27 @@ def _line_rules_sql(cfg: line_rules.LineRulesConfig) -> str:
     SELECT *, NOT base_failed AND n_words_left >= {cfg.min_words} AND 100 * n_words_left >= {cfg.min_left_percent} * n_words AS kept FROM b"""
 
 
+def _phrases_sql(cfg: phrases.PhraseConfig) -> str:
+    return f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[ \\t]+') IF x <> ''] AS ws FROM p),
+    totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+    grams AS (SELECT lang, m, unnest([array_to_string(ws[k:k + m - 1], ' ') FOR k IN range(1, len(ws) - m + 2)]) AS phrase FROM w, range(1, {cfg.max_words + 1}) t(m) WHERE len(ws) >= m),
+    f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {cfg.min_count}),
+    c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2),
+    inside AS (SELECT lang, a AS longer, unnest(list_concat(
+                   {", ".join(f"CASE WHEN m > {k} THEN [array_to_string(ws[i:i + {k - 1}], ' ') FOR i IN range(1, m - {k} + 2)] ELSE [] END" for k in range(2, cfg.max_words))})) AS phrase FROM c),
+    kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.longer >= {cfg.drop_percent} * c.a)),
+    cuts AS (SELECT lang, phrase, a, m, ws, unnest(range(1, m)) AS k FROM kept),
+    scored AS (SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, n, (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS score
+               FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+               JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:c.m], ' ') JOIN totals t ON t.lang = c.lang),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored) WHERE nth = 1),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {cfg.top}"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_phrases": _phrases_sql(phrases.PhraseConfig()),
     "op11_line_rules": _line_rules_sql(line_rules.LineRulesConfig()),
     "op8_chat_format": f"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
