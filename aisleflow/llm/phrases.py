@@ -35,7 +35,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisleflow.llm.common import binary_values, cut, ship
@@ -50,9 +51,9 @@ class PhraseConfig:
     drop_percent: int = 100
     #: Phrases kept of each language.
     top: int = 2000
-    shards: int = 8
-    chunk_bytes: int = 4 << 20
-    tally_rows: int = 1 << 20
+    shards: int = 4
+    chunk_bytes: int = 1 << 20
+    tally_rows: int = 1 << 19
     #: Bits of a bitmap: 16 for each candidate, at most this many.
     max_bits: int = 1 << 29
     rows_per_task: int = ROWS_PER_TASK
@@ -61,11 +62,8 @@ class PhraseConfig:
 # --- inside tasks: words and phrases of a chunk of text as arrays ------------------------
 
 #: Classes of bytes: 0 of words, 1 between words, 2 between pieces.
-_CLASS = np.zeros(256, np.uint8)
-_CLASS[[0x20, 0x09]] = 1
-_CLASS[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_CLASS = bytes(1 if b in b" \t" else 2 if b in b".,;:!?\n\x0b\x0c\r" else 0 for b in range(256))
+_LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,12 +75,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * _M3 + np.uint64(seed))
-
-
-_VALUES = (_byte_values(1), _byte_values(2))
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+#: Seeds of the two hashes of a word, and the bytes that are hashed in steps of 8; longer words go to XXH64.
+_SEEDS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD6E8FEB86659FD93))
+_STEPPED = 64
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
 
 
 @dataclass
@@ -102,22 +98,25 @@ class Words:
 
     def hashes(self, which: int) -> np.ndarray:
         """64-bit hash of each word's bytes."""
-        raw = np.frombuffer(self.data, np.uint8)
         length = self.end - self.start
-        if not len(length):
-            return np.zeros(0, np.uint64)
-        first = np.concatenate([[0], np.cumsum(length)[:-1]])
-        within = np.arange(length.sum()) - np.repeat(first, length)
-        power = np.full(int(length.max()), _BASES[which], np.uint64)
-        power[0] = 1
-        power = np.cumprod(power)
-        values = _VALUES[which][raw[np.repeat(self.start, length) + within]] * power[within]
-        return mix(np.add.reduceat(values, first) + length.astype(np.uint64) * _M3)
+        padded = self.data + bytes(8)
+        eight = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))  # the 8 bytes from each byte on
+        h = length.astype(np.uint64) * _M3 ^ _SEEDS[which]
+        own = np.flatnonzero(length <= _STEPPED)
+        for lo in range(0, _STEPPED, 8):
+            own = own[length[own] > lo]
+            if not len(own):
+                break
+            part = eight[self.start[own] + lo] & _KEEP[np.minimum(length[own] - lo, 8)]
+            h[own] = mix(h[own] ^ part) * _M3
+        for i in np.flatnonzero(length > _STEPPED):
+            h[i] = xxhash.xxh64_intdigest(self.data[self.start[i]:self.end[i]], which)
+        return mix(h)
 
 
 def words_of(data: bytes, doc_starts: np.ndarray, old: int = 0) -> Words:
     """The words of lower-cased ``data``; document i begins at byte ``doc_starts[i]`` (after a line end)."""
-    kind = _CLASS[np.frombuffer(data, np.uint8)]
+    kind = np.frombuffer(data.translate(_CLASS), np.uint8)
     word = np.concatenate([[0], (kind == 0).view(np.int8), [0]])
     step = np.diff(word)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
@@ -126,7 +125,7 @@ def words_of(data: bytes, doc_starts: np.ndarray, old: int = 0) -> Words:
 
 
 def lower(text: bytes) -> bytes:
-    return _LOWER[np.frombuffer(text, np.uint8)].tobytes()
+    return text.translate(_LOWER)
 
 
 def _long_chunks(text: bytes, size: int, context: int) -> Iterator[tuple[bytes, int]]:
@@ -136,7 +135,7 @@ def _long_chunks(text: bytes, size: int, context: int) -> Iterator[tuple[bytes,
         stop = min(at + size, len(text))
         whole = stop == len(text)
         while stop < len(text):
-            kind = _CLASS[np.frombuffer(text[at:stop], np.uint8)]
+            kind = np.frombuffer(text[at:stop].translate(_CLASS), np.uint8)
             ends, gaps = np.flatnonzero(kind == 2), np.flatnonzero(kind == 1)
             if len(ends):
                 stop, whole = at + int(ends[-1]) + 1, True
@@ -200,13 +199,22 @@ def shard_salts(shards: int) -> np.ndarray:
     return mix(np.arange(1, shards + 1, dtype=np.uint64) * _M3)
 
 
-def _sums(keys: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(an index of each distinct row of ``keys``, sum of its counts)."""
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0) if len(order) > 1 else False
-    at = np.flatnonzero(new)
-    return order[at], np.add.reduceat(counts[order], at) if len(at) else np.zeros(0, np.int64)
+def _sums(by: np.ndarray, same: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an index of each distinct row of ``same``, sum of its counts); the index is of the first of equals.
+    Rows are sorted by the hash ``by``, and by ``same`` too where that is one number for different rows."""
+    if not len(by):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def changes(order):
+        return np.any([k[order][1:] != k[order][:-1] for k in same], axis=0)
+
+    order = np.argsort(by, kind="stable")
+    new = changes(order)
+    if np.any(new & (by[order][1:] == by[order][:-1])):
+        order = np.lexsort([*same, by])
+        new = changes(order)
+    at = np.flatnonzero(np.concatenate([[True], new]))
+    return order[at], np.add.reduceat(counts[order], at)
 
 
 def _local_rows(n: int, bitmap: np.ndarray | None, salts: np.ndarray, cfg: PhraseConfig):
@@ -216,7 +224,7 @@ def _local_rows(n: int, bitmap: np.ndarray | None, salts: np.ndarray, cfg: Phras
 
     def batch(parts):
         shard, lang, key, count = (np.concatenate(x) for x in zip(*parts))
-        at, total = _sums([key, lang, shard], count)
+        at, total = _sums(key ^ salts[shard], [key, shard], count)
         return shard[at], lang[at], key[at], total
 
     def out(rows):
@@ -266,7 +274,7 @@ def _global_rows(bitmap: np.ndarray, cfg: PhraseConfig):
 
     def merge(parts):
         h, g, lang, phrase, count = (np.concatenate(x) for x in zip(*parts))
-        at, total = _sums([h, g], count)
+        at, total = _sums(h, [h, g], count)
         return h[at], g[at], lang[at], phrase[at], total
 
     def out(rows):
@@ -274,6 +282,9 @@ def _global_rows(bitmap: np.ndarray, cfg: PhraseConfig):
 
     def run(batches):
         totals: dict = {}
+        # sums so far, and the sums of chunks since; the phrase's text is held in the first of them alone
+        none = np.zeros(0, np.uint64)
+        whole = (none, none, none.astype(object), none.astype(object), none.astype(np.int64))
         held, size = [], 0
         for b in batches:
             lang_of, names = b.column(1).to_numpy(), np.array(b.column(2).to_pylist(), dtype=object)
@@ -296,19 +307,22 @@ def _global_rows(bitmap: np.ndarray, cfg: PhraseConfig):
                     if not len(at):
                         continue
                     h, g = keys[0][at], keys[1][at]
-                    index, total = _sums([h, g], np.ones(len(at), np.int64))
+                    index, total = _sums(h, [h, g], np.ones(len(at), np.int64))
                     h, g, at = h[index], g[index], at[index]
-                    phrase = np.array([w.text(i, n) for i in at], dtype=object)
+                    phrase = np.full(len(at), None, dtype=object)
+                    place = np.minimum(np.searchsorted(whole[0], h), max(len(whole[0]) - 1, 0))
+                    new = np.flatnonzero((whole[0][place] != h) | (whole[1][place] != g)) if len(whole[0]) else range(len(at))
+                    for i in new:
+                        phrase[i] = w.text(at[i], n)
                     held.append((h, g, names[doc[at]], phrase, total))
                     size += len(h)
-                if size >= cfg.tally_rows:
-                    all_held = merge(held)
-                    held, size = [all_held], len(all_held[0])
-                    if size >= cfg.tally_rows // 2:
-                        yield out(all_held)
-                        held, size = [], 0
-        if held:
-            yield out(merge(held))
+                if size >= max(cfg.tally_rows // 8, len(whole[0])):
+                    whole, held, size = merge([whole, *held]), [], 0
+                    if len(whole[0]) >= cfg.tally_rows:
+                        yield out(whole)
+                        whole = tuple(x[:0] for x in whole)
+        if held or len(whole[0]):
+            yield out(merge([whole, *held]))
         if totals:
             yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array([None] * len(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], schema=schema)
 
@@ -373,12 +387,24 @@ def locally_frequent(docs: DataFrame, cfg: PhraseConfig) -> DataFrame:
     return out.select("key")
 
 
+def shard_of(docs: DataFrame, id_col: str, shards: int) -> Column:
+    """Number of a document's shard.  Shards are equal ranges of the ids, as rows that lie together mostly have
+    near ids and are then added up before the shuffle; any dealing would do.  Ids that are not numbers are hashed."""
+    own = F.col(id_col)
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        return F.pmod(F.xxhash64(own.cast("string")), F.lit(shards)).cast("int")
+    low, high = docs.agg(F.min(own).cast("double"), F.max(own).cast("double")).first()
+    if low is None:
+        return F.lit(0)
+    place = F.floor((own.cast("double") - F.lit(low)) * F.lit(shards / (high - low + 1)))
+    return F.least(F.greatest(F.coalesce(place, F.lit(0)), F.lit(0)), F.lit(shards - 1)).cast("int")
+
+
 def phrase_counts(docs: DataFrame, cfg: PhraseConfig = PhraseConfig(), id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, f) of all phrases of 1 to ``max_words`` words with f >= min_count, (lang, n))."""
     ship(docs.sparkSession)
     lang = F.coalesce(F.col("lang"), F.lit("und"))
-    rows = docs.select("text", F.xxhash64(lang).alias("lang_key"), lang.alias("lang"),
-                       F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(cfg.shards)).cast("int").alias("shard"))
+    rows = docs.select("text", F.xxhash64(lang).alias("lang_key"), lang.alias("lang"), shard_of(docs, id_col, cfg.shards).alias("shard"))
     bitmap = bitmap_of(locally_frequent(rows, cfg).distinct(), cfg)
     counted = _map(rows.select("text", "lang_key", "lang"), lambda bm: _global_rows(bm, cfg), bitmap, "lang string, phrase string, cnt long")
     counts = cut(counted.groupBy("lang", "phrase").agg(F.sum("cnt").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= cfg.min_count)), "phrase-counts")

@@ -121,3 +121,11 @@ def test_chunks_count_every_phrase_once(size):
             for n in range(1, 6):
                 want.update((row, " ".join(ws[i:i + n])) for i in range(len(ws) - n + 1))
     assert got == want
+
+
+def test_sums_where_hashes_meet():
+    """Different rows with one hash are summed apart, and the first of equals is named."""
+    by = np.array([5, 5, 5, 5, 2, 5], np.uint64)
+    own = np.array([1, 3, 1, 3, 1, 2], np.uint64)
+    at, total = P._sums(by, [by, own], np.array([1, 10, 100, 1000, 7, 9]))
+    assert sorted(zip(at.tolist(), total.tolist())) == [(0, 101), (1, 1010), (4, 7), (5, 9)]
