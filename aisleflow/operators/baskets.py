@@ -16,6 +16,7 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aisleflow.operators.skew import ROWS_PER_TASK, share_join
 from aisleflow.plans.cache import adopt
 
 # FP-growth settings of the market-basket job and of its
@@ -24,10 +25,6 @@ MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.9
 RDD_VARIANT_MIN_SUPPORT = 0.004
 
-# Copies of the rules in the join by item: an item that is in a large share of all
-# baskets is joined in that many tasks.
-SALTS = 8
-
 
 def basket_items(sales: DataFrame, items: DataFrame | None = None, *,
                  txn: str = "ss_transaction_id", item: str = "ss_item_id",
@@ -94,23 +91,21 @@ def association_rules(model: FPGrowthModel, digits: int = 9) -> DataFrame:
 
 
 def recommend(basket_df: DataFrame, rules: DataFrame, itemsets: DataFrame, *,
-              txn: str = "ss_transaction_id") -> DataFrame:
+              txn: str = "ss_transaction_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(txn, prediction): consequents of rules whose antecedent is inside the
     basket, minus items already in it; only baskets with a recommendation.
 
     ``basket_df``: (txn, items); ``itemsets`` gives the frequency of the single items.
     Each rule is joined to basket rows by the rarest item of its antecedent; whether
     the basket holds the whole antecedent is then checked on its array.  Spark
-    broadcasts the rules if they are small; otherwise this is a shuffle join by item,
-    spread by a salt of the transaction.
+    broadcasts the rules if they are small; otherwise this is a shuffle join by item, in which
+    an item of many baskets is spread by its frequency.
     """
     freq = itemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     own = rules.select("antecedent", "consequent", F.explode("antecedent").alias("item")).join(freq, "item")
     rarest = own.groupBy("antecedent", "consequent").agg(F.min(F.struct("freq", "item")).alias("least")).select(
-        "antecedent", "consequent", F.col("least.item").alias("item"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    rows = basket_df.select(txn, "items", F.explode("items").alias("item"),
-                            F.pmod(F.xxhash64(txn), F.lit(SALTS)).cast("int").alias("salt"))
-    hits = rows.join(rarest, ["item", "salt"], "inner").filter(
+        "antecedent", "consequent", F.col("least.item").alias("item"))
+    rows = basket_df.select(txn, "items", F.explode("items").alias("item"))
+    hits = share_join(rows, rarest, ["item"], "freq", F.col(txn), rows_per_task, loads=freq).filter(
         (F.size(F.array_except("antecedent", "items")) == 0) & ~F.array_contains("items", F.col("consequent")))
     return hits.groupBy(txn).agg(F.array_sort(F.collect_set("consequent")).alias("prediction"))

@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aisleflow.operators.text import TERM_SALTS, salted_join
+from aisleflow.operators.skew import ROWS_PER_TASK, share_join
 from aisleflow.plans.cache import hold
 
 # More classes than this are taken for a wrong label column.
@@ -46,16 +46,13 @@ def fit(features: DataFrame, labels: DataFrame, *, key: str,
     """``features``: (key, term, x) of training documents, optionally with
     the document's ``label`` already attached (then no join is needed);
     ``labels``: (key, label), one row per training document (documents
-    without features count in the priors).  Sums per (class, term) are built in two
-    steps, by a salt of the document first, so a hot term is no hot task."""
+    without features count in the priors).  Sums per (class, term) are combined in every
+    task before the shuffle, so a term of all documents sends one row a task and class."""
     lam = F.lit(float(smoothing))
     n_c = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
     lf = features if "label" in features.columns else features.join(labels, key, "inner")
-    if "salt" not in lf.columns:
-        lf = lf.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)))
     # One row per (class, term): the model itself, kept for the steps below.
-    s_cj = hold(lf.groupBy("label", "term", "salt").agg(F.sum("x").alias("s"))
-                .groupBy("label", "term").agg(F.sum("s").alias("s_cj")))
+    s_cj = hold(lf.groupBy("label", "term").agg(F.sum("x").alias("s_cj")))
     s_c_rows = s_cj.groupBy("label").agg(F.sum("s_cj").alias("s_c")).limit(MAX_CLASSES + 1).collect()
     v = s_cj.select("term").distinct().count()
     s_c = {r["label"]: r["s_c"] for r in s_c_rows}
@@ -91,11 +88,11 @@ def fit(features: DataFrame, labels: DataFrame, *, key: str,
 
 
 def scores(model: NaiveBayesTwin, docs: DataFrame, features: DataFrame, *,
-           key: str, weights: DataFrame | None = None) -> DataFrame:
+           key: str, weights: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(key, score_<i> per class i, prediction) for every row of ``docs``.
 
-    ``features`` (key, term, x) are matched to the model's per-term table in one salted
-    join, and summed per document.  With ``weights`` (term, w; for example the
+    ``features`` (key, term, x) are matched to the model's per-term table in one join, in which
+    terms of many rows are spread by their share, and summed per document.  With ``weights`` (term, w; for example the
     IDF) a feature counts ``x * w``; the weights join the per-term table, not the
     rows.  Terms outside the training vocabulary drop out.  Documents
     without any such term score on the priors alone.
@@ -105,7 +102,8 @@ def scores(model: NaiveBayesTwin, docs: DataFrame, features: DataFrame, *,
     if weights is not None:
         wide = wide.join(weights, "term", "inner")
         x = x * F.col("w")
-    f = salted_join(features, wide, key).withColumn("x", x)
+    loads = features.groupBy("term").agg(F.count(F.lit(1)).alias("load"))
+    f = share_join(features, wide, ["term"], "load", F.col(key), rows_per_task, loads=loads).withColumn("x", x)
     k = len(model.classes)
     per_doc = f.groupBy(key).agg(
         F.sum("x").alias("xsum"),

@@ -30,14 +30,16 @@ def spread_keys(per_key: DataFrame, on: list[str], load: str, rows_per_task: int
 
 
 def share_join(rows: DataFrame, per_key: DataFrame, on: list[str], load: str, spread_by: Column,
-               rows_per_task: int = ROWS_PER_TASK, how: str = "inner", max_keys: int = MAX_SPREAD_KEYS) -> DataFrame:
-    """``rows`` joined (inner or left) to ``per_key``, which has one row per key ``on``
-    and the key's number of rows in ``load``.
-
-    ``spread_by`` deals the rows of a spread key over its salts.  The salt stays as
-    column ``__salt`` for aggregates in two steps.  Keys that are null meet nothing.
+               rows_per_task: int = ROWS_PER_TASK, how: str = "inner", max_keys: int = MAX_SPREAD_KEYS,
+               loads: DataFrame | None = None) -> DataFrame:
+    """``rows`` joined (inner or left) to ``per_key``.
+
+    ``loads`` (default ``per_key`` itself) has one row per key ``on`` and the key's number of
+    rows in column ``load``; a wrong number changes the spread, not the result.  ``spread_by``
+    deals the rows of a spread key over its salts.  The salt stays as column ``__salt``.  Keys
+    that are null meet nothing.
     """
-    heavy = F.broadcast(spread_keys(per_key, on, load, rows_per_task, max_keys))
+    heavy = F.broadcast(spread_keys(per_key if loads is None else loads, on, load, rows_per_task, max_keys))
     salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col(SALTS).cast("long")).cast("int"), F.lit(0))
     left = rows.join(heavy, on, "left").withColumn(SALT, salt).drop(SALTS)
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1))

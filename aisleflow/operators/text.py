@@ -15,11 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisleflow.functions.text import STOP_WORDS, tokens
-
-# Copies of the per-term side of a join with term rows: a term that stands in a large share of
-# all documents is joined in that many tasks.
-TERM_SALTS = 8
-
+from aisleflow.operators.skew import ROWS_PER_TASK, share_join
+from aisleflow.plans.cache import stage_durable
 
 def token_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
                positions: bool = True) -> DataFrame:
@@ -30,19 +27,6 @@ def token_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     return docs.select(key, F.explode(tokens(F.col(text))).alias("token"))
 
 
-def salted_join(rows: DataFrame, per_term: DataFrame, key: str,
-                salts: int = TERM_SALTS) -> DataFrame:
-    """Inner join by ``term`` of rows (key, term, ...) to one row per term.
-
-    The salt is a hash of the row's document, so the rows of a hot term are
-    spread evenly over ``salts`` tasks; the per-term side is copied ``salts`` times.
-    The result keeps ``salt``, for aggregates in two steps.
-    """
-    left = rows.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-    right = per_term.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, ["term", "salt"], "inner")
-
-
 def remove_stop_words(tok: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
     """Drop stop words (tokens are already lower case)."""
     return tok.filter(~F.col("token").isin(list(stop_words)))
@@ -64,10 +48,15 @@ def term_idf(tf: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
             .withColumn("idf", F.log((m + F.lit(1)) / (F.col("doc_freq") + F.lit(1)))))
 
 
-def doc_tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
+def weigh(tf: DataFrame, idf: DataFrame, key: str = "doc_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``tf`` (key, term, ...) with the ``idf`` of each term, from ``idf`` (term, doc_freq, idf); terms
+    missing there are dropped.  A term that stands in many documents is spread by its document frequency."""
+    return share_join(tf, idf.select("term", "doc_freq", "idf"), ["term"], "doc_freq", F.col(key), rows_per_task)
+
+
+def doc_tfidf(tf: DataFrame, idf: DataFrame, key: str = "doc_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(key, term, tf, tfidf).  Terms missing from ``idf`` are dropped."""
-    return (salted_join(tf, idf.select("term", "idf"), key)
-            .select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
+    return weigh(tf, idf, key, rows_per_task).select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def term_statistics(tf: DataFrame, min_df: float = 1.0, n_docs=None) -> DataFrame:
@@ -82,30 +71,33 @@ def term_statistics(tf: DataFrame, min_df: float = 1.0, n_docs=None) -> DataFram
     return stats.filter(F.col("doc_freq") >= F.lit(min_df))
 
 
+#: Bits of ``monotonically_increasing_id`` that number the rows of a partition.
+ROW_BITS = 33
+
+
 def term_vocabulary(tf: DataFrame, vocab_size: int | None = None,
                     min_df: float = 1.0, n_docs=None) -> DataFrame:
     """(term, term_index, freq, doc_freq): all terms numbered by falling
     frequency, ties by term; only the first ``vocab_size`` if the caller bounds it.
 
-    Numbering is distributed: a term's index is the number of terms with a higher
-    frequency, plus those of its frequency with a smaller two-character beginning,
-    plus its rank among the rest.  Windows run over the distinct
-    frequencies, over the beginnings of one frequency, and over the terms of one
-    beginning and frequency.
+    Terms are range-partitioned and sorted by (falling frequency, term) and written with
+    their place (partition, row); a partition's first index is the number of terms in
+    the partitions before it, a prefix sum over one number a partition.
     """
-    stats = term_statistics(tf, min_df, n_docs).withColumn("head", F.substring("term", 1, 2))
-    heads = stats.groupBy("freq", "head").agg(F.count(F.lit(1)).alias("n"))
-    freqs = heads.groupBy("freq").agg(F.sum("n").alias("n_freq"))
-    above = freqs.select("freq", (F.sum("n_freq").over(Window.orderBy(F.desc("freq"))) - F.col("n_freq")).alias("above"))
-    by_head = Window.partitionBy("freq").orderBy("head")
-    before = heads.select("freq", "head", (F.sum("n").over(by_head) - F.col("n")).alias("before"))
-    base = before.join(above, "freq").select("freq", "head", (F.col("above") + F.col("before")).alias("base"))
-    rank = F.row_number().over(Window.partitionBy("freq", "head").orderBy("term"))
-    out = stats.withColumn("rank", rank).join(base, ["freq", "head"]).select(
-        "term", (F.col("base") + F.col("rank") - 1).cast("long").alias("term_index"), "freq", "doc_freq")
+    stats = term_statistics(tf, min_df, n_docs)
+    order = [F.desc("freq"), F.asc("term")]
+    placed = stage_durable(stats.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "place", F.monotonically_increasing_id()), "vocabulary")
+    part = F.shiftright("place", ROW_BITS)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    base = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
+    within = F.col("place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    out = placed.withColumn("part", part).join(base, "part").select(
+        "term", (F.col("base") + within).cast("long").alias("term_index"), "freq", "doc_freq")
     return out if vocab_size is None else out.filter(F.col("term_index") < vocab_size)
 
 
-def n_terms(docs: DataFrame, key: str, text: str) -> int:
-    """Number of distinct terms, stop words left out."""
-    return remove_stop_words(token_rows(docs, key, text, positions=False)).select("token").distinct().count()
+def vocabulary_size(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(vocab_size): number of distinct terms, stop words left out; nothing is numbered."""
+    terms = remove_stop_words(token_rows(docs, key, text, positions=False)).select("token").distinct()
+    return terms.agg(F.count(F.lit(1)).alias("vocab_size"))

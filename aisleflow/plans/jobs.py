@@ -8,6 +8,9 @@ the corrected behaviour (customer id not a feature, all 16 classes, correct
 category list, contiguous labels, IDF fitted on the training side, hash
 split); flags reproduce the original choices.
 
+The text jobs return ``pipeline``: the whole fitted way from raw reviews to a prediction or to topic
+shares (``models.score_texts``, ``TopicModel.transform``), which can be saved and loaded.
+
 Every result has ``release``: call it when the frames are no longer read, to uncache
 the fit's inputs (they still work afterwards, by recomputation).
 """
@@ -24,7 +27,7 @@ from aisleflow.functions import labels as L
 from aisleflow.functions.split import with_split
 from aisleflow.operators import baskets as B
 from aisleflow.operators import evaluate as ev
-from aisleflow.operators import pivots, text
+from aisleflow.operators import pivots
 from aisleflow.plans import models as M
 from aisleflow.plans.cache import hold, owned
 from aisleflow.sources import sinks
@@ -107,25 +110,27 @@ class ReviewConfig:
     log: bool = True
 
 
-def _labelled_reviews(reviews: DataFrame, cfg: ReviewConfig) -> DataFrame:
+def _labelled_reviews(reviews: DataFrame, cfg: ReviewConfig) -> tuple:
     r = reviews.filter(F.col("pr_content").isNotNull())
     if cfg.bucket_filter:
         r = r.filter(L.bucket_filter(F.col("pr_review_id")))
     r = r.select("pr_review_id", L.rating_label(F.col("pr_rating"), cfg.rating_map).alias("label"),
                  "pr_content").filter(F.col("label").isNotNull())
     r = with_split(r, "pr_review_id", cfg.train_buckets)
-    return hold(M.text_features(r, "pr_content", F.col("split") == "train"))
+    stages, data = M.fit_text_features(r, "pr_content", F.col("split") == "train")
+    return stages, hold(data)
 
 
 def _classify_reviews(spark, reviews, cfg, name, estimator):
-    data = _labelled_reviews(reviews, cfg)
+    stages, data = _labelled_reviews(reviews, cfg)
     model = estimator.fit(data.filter(F.col("split") == "train"))
     out = model.transform(data.filter(F.col("split") == "test"))
     pred = out.select("pr_review_id", "label", "prediction")
     acc = ev.accuracy(pred)
     if cfg.log:
         sinks.log_run(spark, name, sinks.param_rows(model), {"accuracy": acc.first()["accuracy"]})
-    return {"predictions": pred, "scores": M.prediction_scores(out, "pr_review_id"), "accuracy": acc, "model": model}
+    return {"predictions": pred, "scores": M.prediction_scores(out, "pr_review_id"), "accuracy": acc, "model": model,
+            "pipeline": M.text_pipeline(stages, model)}
 
 
 @job
@@ -163,18 +168,17 @@ def review_topics(spark, reviews, cfg: TopicConfig = TopicConfig()) -> dict:
     if cfg.bucket_filter:
         r = r.filter(L.bucket_filter(F.col("pr_review_id")))
     docs = r.select("pr_review_id", "pr_content")
-    n_terms = text.n_terms(docs, "pr_review_id", "pr_content")
-    cv, features = M.lda_features(docs, "pr_review_id", "pr_content", cfg.vocab_size or max(1, n_terms))
-    features = hold(features)
-    model = M.fit_lda(features, k=cfg.k, maxIter=cfg.max_iter, seed=cfg.seed)
+    topics, features, n_terms = M.fit_topics(docs, "pr_review_id", "pr_content", cfg.vocab_size, k=cfg.k,
+                                             maxIter=cfg.max_iter, seed=cfg.seed)
+    model = topics.lda
     quality = M.lda_quality(spark, model, features, n_terms)
     if cfg.log:
         q = quality.first()
         sinks.log_run(spark, "review_topics", sinks.param_rows(model),
                       {"log_likelihood": q["log_likelihood"], "log_perplexity": q["log_perplexity"]})
-    return {"topics": M.lda_topics(spark, cv, model),
+    return {"topics": M.lda_topics(topics),
             "doc_topics": M.lda_doc_topics(model, features, "pr_review_id"),
-            "quality": quality, "model": model}
+            "quality": quality, "model": model, "pipeline": topics}
 
 
 @dataclass

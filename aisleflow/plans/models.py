@@ -12,21 +12,26 @@ predictions, topic mixes) stay distributed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes)
-from pyspark.ml.clustering import LDA, GaussianMixture, KMeans
+from pyspark.ml.clustering import LDA, GaussianMixture, KMeans, LDAModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, StopWordsRemover,
-                                Tokenizer, VectorAssembler)
+from pyspark.ml.feature import (IDF, HashingTF, StopWordsRemover, Tokenizer,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aisleflow.operators import text
+from aisleflow.operators.skew import share_join
 from aisleflow.plans.cache import hold, owned
+from aisleflow.sources import vectors as vec
+from aisleflow.sources.sinks import load_model
 
 # Model settings of the nine jobs.
 KMEANS = dict(k=4, initSteps=5, maxIter=20, tol=0.01)
@@ -131,13 +136,70 @@ def words_of(text_col: str):
             StopWordsRemover(inputCol="tokens", outputCol="words")]
 
 
-def lda_features(docs: DataFrame, key: str, text_col: str, vocab_size: int):
-    """(model, frame): the fitted Tokenizer -> StopWordsRemover -> CountVectorizer,
-    and (key, features) of every document with a text; the texts are not carried on."""
-    docs = docs.filter(F.col(text_col).isNotNull())
-    model = Pipeline(stages=words_of(text_col) + [
-        CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocab_size)]).fit(docs)
-    return model, model.transform(docs).select(key, "features")
+#: The topics' matrix (topics x terms doubles) that the driver may hold.
+MAX_TOPIC_BYTES = 1 << 30
+
+
+@dataclass
+class TopicModel:
+    """Fitted topics: the numbered vocabulary, as a table, and the LDA model over its numbers."""
+
+    vocabulary: DataFrame    # term, term_index, freq, doc_freq
+    width: int               # terms in the vectors
+    lda: LDAModel
+
+    def features(self, docs: DataFrame, key: str, text_col: str) -> DataFrame:
+        """(key, features) of every document with a text; terms unknown to the model drop out."""
+        return term_vectors(docs, word_counts(docs, key, text_col), self.vocabulary, self.width, key, text_col)
+
+    def transform(self, docs: DataFrame, key: str, text_col: str) -> DataFrame:
+        """(key, topic, share) of raw documents."""
+        return lda_doc_topics(self.lda, self.features(docs, key, text_col), key)
+
+    def save(self, path: str) -> str:
+        self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        self.lda.write().overwrite().save(f"{path}/lda")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "TopicModel":
+        lda = load_model(f"{path}/lda")
+        return cls(spark.read.parquet(f"{path}/vocabulary"), lda.vocabSize(), lda)
+
+
+def word_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, term, tf) without stop words."""
+    return text.term_frequencies(text.remove_stop_words(text.token_rows(docs, key, text_col, positions=False)), key)
+
+
+def term_vectors(docs: DataFrame, tf: DataFrame, vocabulary: DataFrame, width: int, key: str, text_col: str) -> DataFrame:
+    """(key, features): counts at the terms' numbers, for every document with a text, whose key must be its own.
+
+    The numbers are joined to the counts; the vocabulary is not gathered anywhere."""
+    rows = share_join(tf, vocabulary.select("term", "term_index", "doc_freq"), ["term"], "doc_freq", F.col(key))
+    own = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("term_index", "tf"))).alias("t"))
+    every = docs.filter(F.col(text_col).isNotNull()).select(key).join(own, key, "left")
+    t = F.coalesce("t", F.array().cast("array<struct<term_index:bigint,tf:bigint>>"))
+    parts = vec.sparse_parts(width, t["term_index"], t["tf"])
+    return vec.to_vectors(every.select(key, parts.alias("features")), "features")
+
+
+def fit_topics(docs: DataFrame, key: str, text_col: str, vocab_size: int | None = None, *,
+               max_bytes: int = MAX_TOPIC_BYTES, seed: int = DEFAULT_SEED, **overrides) -> tuple[TopicModel, DataFrame, int]:
+    """(model, cached features, number of terms in all): LDA over the counts of the ``vocab_size`` most frequent
+    terms, or of all.  LDA keeps topics x terms doubles on the driver; more than ``max_bytes`` of them raise
+    an error before the fit."""
+    params = {**LDA_PARAMS, **overrides}
+    tf = hold(word_counts(docs, key, text_col))
+    vocabulary = text.term_vocabulary(tf)
+    n_terms = vocabulary.count()
+    width = max(1, min(n_terms, vocab_size or n_terms))
+    if params["k"] * width * 8 > max_bytes:
+        raise ValueError(f"{params['k']} topics x {width} terms are {params['k'] * width * 8} bytes on the driver, above "
+                         f"{max_bytes}; bound vocab_size, use hashed_lda_features, or raise max_bytes")
+    vocabulary = vocabulary.filter(F.col("term_index") < width)
+    features = hold(term_vectors(docs, tf, vocabulary, width, key, text_col))
+    return TopicModel(vocabulary, width, fit_lda(features, seed=seed, **overrides)), features, n_terms
 
 
 def fit_lda(features: DataFrame, *, seed: int = DEFAULT_SEED, **overrides):
@@ -160,13 +222,10 @@ def topic_terms(lda, max_terms: int) -> DataFrame:
         "topic", "rank", F.col("tw.termIndices").alias("term_index"), F.col("tw.termWeights").alias("weight"))
 
 
-def lda_topics(spark: SparkSession, cv_model, lda, max_terms: int = 10) -> DataFrame:
-    """(topic, rank, term, weight): only the topics' own terms are named, k x
-    ``max_terms`` of them."""
-    rows = topic_terms(lda, max_terms).collect()
-    vocabulary = cv_model.stages[-1].vocabulary
-    return spark.createDataFrame([(r["topic"], r["rank"], vocabulary[r["term_index"]], r["weight"]) for r in rows],
-                                 "topic int, rank int, term string, weight double")
+def lda_topics(model: TopicModel, max_terms: int = 10) -> DataFrame:
+    """(topic, rank, term, weight): the numbers of k x ``max_terms`` terms are joined to their names."""
+    return topic_terms(model.lda, max_terms).join(model.vocabulary.select("term_index", "term"), "term_index").select(
+        "topic", "rank", "term", "weight")
 
 
 def lda_doc_topics(lda, features: DataFrame, key: str) -> DataFrame:
@@ -186,13 +245,28 @@ def tfidf_stages(text_col: str, num_features: int = 1 << 18):
             IDF(inputCol="raw", outputCol="features")]
 
 
-def text_features(data: DataFrame, text_col: str, is_train) -> DataFrame:
-    """``data`` with ``features`` (Tokenizer -> HashingTF -> IDF fitted on the rows of
-    ``is_train``) in place of the text."""
+def fit_text_features(data: DataFrame, text_col: str, is_train) -> tuple[PipelineModel, DataFrame]:
+    """(stages, frame): Tokenizer -> HashingTF -> IDF fitted on the rows of ``is_train`` alone, and
+    ``data`` with their ``features`` in place of the text."""
     data = data.filter(F.col(text_col).isNotNull())
-    tf = Pipeline(stages=tfidf_stages(text_col)[:2]).fit(data).transform(data).drop(text_col, "words")
-    idf = tfidf_stages(text_col)[2].fit(tf.filter(is_train))
-    return idf.transform(tf).drop("raw")
+    stages = Pipeline(stages=tfidf_stages(text_col)).fit(data.filter(is_train))
+    return stages, stages.transform(data).drop(text_col, "words", "raw")
+
+
+def text_features(data: DataFrame, text_col: str, is_train) -> DataFrame:
+    return fit_text_features(data, text_col, is_train)[1]
+
+
+def text_pipeline(stages: PipelineModel, classifier) -> PipelineModel:
+    """One fitted pipeline from raw text to a prediction: the feature stages and the classifier
+    that was fitted on their vectors."""
+    return PipelineModel(stages=[*stages.stages, classifier])
+
+
+def score_texts(model: PipelineModel, texts: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, prediction, probability) of raw texts; a null text counts as the empty one."""
+    own = texts.select(key, F.coalesce(F.col(text_col), F.lit("")).alias(model.stages[0].getInputCol()))
+    return model.transform(own).select(key, "prediction", vector_to_array("probability").alias("probability"))
 
 
 def naive_bayes_estimator(**overrides):

@@ -438,10 +438,18 @@ ORACLE_SQL["gmm_component_check"] = """SELECT CAST(c AS INTEGER) AS component, 1
        1.0::DOUBLE AS total_weight FROM range(2) r(c)"""
 ORACLE_SQL["lda_doc_check"] = "SELECT doc_id AS pr_review_id, 4::BIGINT AS topics, true AS sums_to_one FROM documents WHERE text IS NOT NULL"
 ORACLE_SQL["lda_hashed_doc_check"] = ORACLE_SQL["lda_doc_check"].replace("4::BIGINT", "3::BIGINT")
+ORACLE_SQL["lda_topics_check"] = """SELECT CAST(t AS INTEGER) AS topic, CAST(r AS INTEGER) AS rank, true AS falling, true AS in_corpus
+  FROM range(4) a(t), range(10) b(r)"""
+ORACLE_SQL["lda_quality_check"] = f"""SELECT (SELECT count(*) FROM {TOKENS_NS}) AS n_words, (SELECT count(*) FROM {VOCAB}) AS vocab_size, 0::BIGINT AS terms_left_out"""
+ORACLE_SQL["topic_model_roundtrip"] = """SELECT doc_id AS pr_review_id, CAST(t AS INTEGER) AS topic, true AS same
+  FROM documents, range(4) a(t) WHERE text IS NOT NULL"""
+ORACLE_SQL["text_pipeline_roundtrip"] = """SELECT classifier, doc_id AS pr_review_id, true AS same_prediction, true AS same_scores
+  FROM documents, (VALUES ('bayes'), ('logistic')) c(classifier)"""
 REVIEW_TEST = f"""(SELECT pr_review_id, {BAYES_LABEL} AS label FROM {REVIEWS}
   WHERE {HASH_BUCKET.format(k='pr_review_id')} >= 6)"""
 ORACLE_SQL["nb_fit_check"] = f"""SELECT pr_review_id, 3::BIGINT AS classes, true AS sums_to_one, true AS is_argmax
   FROM {REVIEW_TEST} WHERE label IS NOT NULL"""
+ORACLE_SQL["text_pipeline_predictions"] = f"SELECT pr_review_id, true AS same FROM {REVIEW_TEST} WHERE label IS NOT NULL"
 ORACLE_SQL["logreg_check"] = ORACLE_SQL["nb_fit_check"]
 ORACLE_SQL["logreg_binary_check"] = ORACLE_SQL["nb_fit_check"].replace("3::BIGINT", "2::BIGINT")
 ORACLE_SQL["logreg_history_check"] = "SELECT true AS never_rises"

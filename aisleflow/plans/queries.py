@@ -250,7 +250,8 @@ def term_vocabulary(spark, sf):
 
 @query("vocab_size")
 def vocab_size(spark, sf):
-    return _vocabulary(spark, sf).agg(F.count(F.lit(1)).alias("vocab_size"))
+    from aisleflow.operators import text
+    return text.vocabulary_size(adapters.review_texts(spark, sf), "pr_review_id", "pr_content")
 
 
 def _idf(spark, sf):
@@ -417,12 +418,11 @@ def _nb_build(spark, sf):
     tok = reviews.select(key, "label", F.explode(tokens_expr("pr_content")).alias("token"))
     tf = hold(tok.groupBy(key, "label", F.col("token").alias("term")).agg(F.count(F.lit(1)).alias("tf")))
     tf_train = tf.filter(is_train)
-    idf = hold(text.term_idf(tf_train, train, key).select("term", "idf"))
-    x_train = text.salted_join(tf_train, idf, key).select(
-        key, "label", "term", "salt", (F.col("tf") * F.col("idf")).alias("x"))
+    idf = hold(text.term_idf(tf_train, train, key))
+    x_train = text.weigh(tf_train, idf, key).select(key, "label", "term", (F.col("tf") * F.col("idf")).alias("x"))
     model = bayes.fit(x_train, train, key=key)
     x_test = tf.filter(~is_train).select(key, "term", F.col("tf").alias("x"))
-    scored = bayes.scores(model, test, x_test, key=key, weights=idf.withColumnRenamed("idf", "w"))
+    scored = bayes.scores(model, test, x_test, key=key, weights=idf.select("term", F.col("idf").alias("w")))
     # One row per test document; several evaluation queries read it.
     return model, hold(scored.join(test, key))
 
@@ -694,38 +694,68 @@ def gmm_row_check(spark, sf):
 
 
 def _lda_fit(spark, sf):
-    """(vocabulary model, cached features, topic model, number of terms)."""
-    from aisleflow.operators import text
+    """(topic model, cached features, number of terms)."""
     from aisleflow.plans import models as M
-
-    def build():
-        docs = adapters.review_texts(spark, sf)
-        n_terms = text.n_terms(docs, "pr_review_id", "pr_content")
-        cv, features = M.lda_features(docs, "pr_review_id", "pr_content", max(1, n_terms))
-        features = hold(features)
-        return cv, features, M.fit_lda(features), n_terms
-    return memo("lda", spark, sf, build)
+    return memo("lda", spark, sf, lambda: M.fit_topics(adapters.review_texts(spark, sf), "pr_review_id", "pr_content"))
 
 
 @query("lda_topics")
 def lda_topics(spark, sf):
     from aisleflow.plans import models as M
-    cv, _, m, _ = _lda_fit(spark, sf)
-    return M.lda_topics(spark, cv, m)
+    return M.lda_topics(_lda_fit(spark, sf)[0])
+
+
+@query("lda_topics_check")
+def lda_topics_check(spark, sf):
+    """(topic, rank, falling, in_corpus): weights fall with the rank, and each term stands in that many reviews
+    as the vocabulary says."""
+    from aisleflow.operators import text
+    from pyspark.sql import Window
+    model = _lda_fit(spark, sf)[0]
+    topics = lda_topics(spark, sf)
+    before = F.lag("weight").over(Window.partitionBy("topic").orderBy("rank"))
+    held = text.remove_stop_words(_review_tokens(spark, sf, positions=False)).distinct().join(
+        topics.select(F.col("term").alias("token")).distinct(), "token").groupBy("token").agg(F.count(F.lit(1)).alias("held"))
+    said = model.vocabulary.select(F.col("term").alias("token"), "doc_freq")
+    same = held.join(said, "token").select(F.col("token").alias("term"), (F.col("held") == F.col("doc_freq")).alias("in_corpus"))
+    falling = topics.withColumn("falling", F.coalesce(before >= F.col("weight"), F.lit(True)))
+    return falling.join(same, "term", "left").select("topic", "rank", "falling", F.coalesce("in_corpus", F.lit(False)).alias("in_corpus"))
 
 
 @query("lda_doc_topics")
 def lda_doc_topics(spark, sf):
     from aisleflow.plans import models as M
-    _, features, m, _ = _lda_fit(spark, sf)
-    return M.lda_doc_topics(m, features, "pr_review_id")
+    model, features, _ = _lda_fit(spark, sf)
+    return M.lda_doc_topics(model.lda, features, "pr_review_id")
 
 
 @query("lda_quality")
 def lda_quality(spark, sf):
     from aisleflow.plans import models as M
-    _, features, m, n_terms = _lda_fit(spark, sf)
-    return M.lda_quality(spark, m, features, n_terms)
+    model, features, n_terms = _lda_fit(spark, sf)
+    return M.lda_quality(spark, model.lda, features, n_terms)
+
+
+@query("lda_quality_check")
+def lda_quality_check(spark, sf):
+    """(n_words, vocab_size, terms_left_out): perplexity is the likelihood for each word, so both give the number
+    of words that the fit saw."""
+    return lda_quality(spark, sf).select(
+        F.round(-F.col("log_likelihood") / F.col("log_perplexity")).cast("long").alias("n_words"),
+        F.col("vocab_size").cast("long").alias("vocab_size"), "terms_left_out")
+
+
+@query("topic_model_roundtrip")
+def topic_model_roundtrip(spark, sf):
+    """(review, topic, same): shares of every raw review by the saved and loaded topic model and by the fitted one."""
+    from aisleflow.plans import models as M
+    from aisleflow.session import scratch_path
+    model = _lda_fit(spark, sf)[0]
+    loaded = M.TopicModel.load(spark, model.save(scratch_path(spark, "topic_model")))
+    reviews = adapters.review_texts(spark, sf)
+    a, b = (m.transform(reviews, "pr_review_id", "pr_content") for m in (model, loaded))
+    return a.join(b.withColumnRenamed("share", "other"), ["pr_review_id", "topic"]).select(
+        "pr_review_id", "topic", (F.abs(F.col("share") - F.col("other")) < 1e-9).alias("same"))
 
 
 def _share_check(doc_topics):
@@ -772,11 +802,18 @@ def _review_split(spark, sf, mapping=None, train_buckets=6):
     return with_split(r, "pr_review_id", train_buckets)
 
 
-def _review_vectors(spark, sf):
-    """Cached hashed TF-IDF vectors of the labelled reviews, shared by the classifiers."""
+def _review_features(spark, sf):
+    """(fitted feature stages, cached hashed TF-IDF vectors) of the labelled reviews, shared by the classifiers."""
     from aisleflow.plans import models as M
-    return memo("review_vectors", spark, sf, lambda: hold(
-        M.text_features(_review_split(spark, sf), "pr_content", F.col("split") == "train")))
+
+    def build():
+        stages, data = M.fit_text_features(_review_split(spark, sf), "pr_content", F.col("split") == "train")
+        return stages, hold(data)
+    return memo("review_vectors", spark, sf, build)
+
+
+def _review_vectors(spark, sf):
+    return _review_features(spark, sf)[1]
 
 
 def _text_model(spark, sf, name, make_estimator, relabel=None):
@@ -837,6 +874,37 @@ def logreg_fit(spark, sf):
     return M.logistic_coefficients(spark, logreg_model(spark, sf)[1])
 
 
+@query("text_pipeline_roundtrip")
+def text_pipeline_roundtrip(spark, sf):
+    """(classifier, review, same_prediction, same_scores): raw reviews, labelled or not, scored by a pipeline that was saved
+    and loaded and by the fitted one."""
+    from functools import reduce
+    from aisleflow.plans import models as M
+    from aisleflow.session import scratch_path
+    from aisleflow.sources import sinks
+    stages, raw, parts = _review_features(spark, sf)[0], adapters.review_texts(spark, sf), []
+    for name, (_, classifier) in (("bayes", nb_model(spark, sf)), ("logistic", logreg_model(spark, sf))):
+        fitted = M.text_pipeline(stages, classifier)
+        loaded = sinks.load_model(sinks.save_model(fitted, scratch_path(spark, f"{name}_pipeline")))
+        a, b = (M.score_texts(m, raw, "pr_review_id", "pr_content") for m in (fitted, loaded))
+        b = b.select("pr_review_id", F.col("prediction").alias("p2"), F.col("probability").alias("s2"))
+        parts.append(a.join(b, "pr_review_id").select(
+            F.lit(name).alias("classifier"), "pr_review_id", (F.col("prediction") == F.col("p2")).alias("same_prediction"),
+            (F.col("probability") == F.col("s2")).alias("same_scores")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("text_pipeline_predictions")
+def text_pipeline_predictions(spark, sf):
+    """(review, same): a pipeline over raw texts predicts for the held-out labelled reviews what the classifier
+    predicts over the cached vectors."""
+    from aisleflow.plans import models as M
+    data, m = nb_model(spark, sf)
+    raw = M.score_texts(M.text_pipeline(_review_features(spark, sf)[0], m), adapters.review_texts(spark, sf), "pr_review_id", "pr_content")
+    own = _tested(data, m).select("pr_review_id", F.col("prediction").alias("own"))
+    return own.join(raw, "pr_review_id").select("pr_review_id", (F.col("own") == F.col("prediction")).alias("same"))
+
+
 @query("logreg_metrics")
 def logreg_metrics(spark, sf):
     from aisleflow.plans import models as M

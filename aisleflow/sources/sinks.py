@@ -81,5 +81,12 @@ def read_run_log(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 def save_model(model, path: str) -> str:
+    """Write any fitted model or pipeline."""
     model.write().overwrite().save(path)
     return path
+
+
+def load_model(path: str):
+    """A saved model or pipeline, of the class that its metadata names."""
+    from pyspark.ml.util import DefaultParamsReader
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
