@@ -472,6 +472,12 @@ ORACLE_SQL["model_roundtrip_check"] = """SELECT CAST(c AS INTEGER) AS cluster, '
   FROM range(4) a(c), range(1, 17) b(f)"""
 ORACLE_SQL["run_log_check"] = """SELECT 'customer_segmentation' AS job, * FROM (VALUES ('k', 4.0::DOUBLE), ('initSteps', 5.0),
        ('maxIter', 20.0), ('tol', 0.01), ('seed', 1234138471039.0)) v(name, value)"""
-ORACLE_SQL["silhouette_best_k"] = "WITH s AS (" + " UNION ALL ".join(
-    f"SELECT {k} AS k, silhouette FROM ({_silhouette_sql(k)})" for k in (2, 3, 4)) + """)
-SELECT k, silhouette FROM s ORDER BY silhouette DESC, k LIMIT 1"""
+ORACLE_SQL["silhouette_sweep"] = " UNION ALL ".join(f"SELECT {k} AS k, silhouette FROM ({_silhouette_sql(k)})" for k in range(2, 15))
+ORACLE_SQL["silhouette_best_k"] = f"SELECT k, silhouette FROM ({ORACLE_SQL['silhouette_sweep']}) ORDER BY silhouette DESC, k LIMIT 1"
+ORACLE_SQL["gmm_density_check"] = f"SELECT cid, true AS same FROM {PIVOT}"
+ORACLE_SQL["gmm_likelihood_check"] = f"SELECT count(*) AS n, true AS equal FROM {PIVOT}"
+REVIEW_TRAIN = REVIEW_TEST.replace(">= 6", "< 6")
+ORACLE_SQL["logreg_objective_check"] = f"""SELECT model, count(*) AS n, true AS equal
+  FROM {REVIEW_TRAIN}, (VALUES ('multinomial'), ('binary')) m(model) WHERE label IS NOT NULL GROUP BY model"""
+ORACLE_SQL["tree_nodes_check"] = f"""SELECT count(*) AS at_root, count(*) AS at_leaves, 0::BIGINT AS differing
+  FROM {_click_test(7).replace(">= 7", "< 7")}"""

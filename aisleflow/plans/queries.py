@@ -635,23 +635,31 @@ def kmeans_sweep(spark, sf):
     return M.kmeans_sweep(spark, _pivot_vectors(spark, sf))
 
 
-# Fixed start for the checkable choice of k: silhouettes of Lloyd runs by k.
-SWEEP_CHECK_KS = (2, 3, 4)
+def lloyd_sweep(spark, sf):
+    """(points, k -> centres): Lloyd runs of every k of the sweep from fixed starts, all in one pass a step."""
+    from aisleflow.operators import cluster
+    from aisleflow.plans import models as M
+
+    def build():
+        pts = lloyd_run(spark, sf)[0]
+        first = cluster.initial_centers(pts, PIVOT_FEATURES, max(M.KMEANS_SWEEP_KS), "cid")
+        return pts, cluster.lloyd_all(pts, PIVOT_FEATURES, {k: first[:k] for k in M.KMEANS_SWEEP_KS}, LLOYD_STEPS)
+    return memo("lloyd_sweep", spark, sf, build)
+
+
+@query("silhouette_sweep")
+def silhouette_sweep(spark, sf):
+    """(k, silhouette) of every k of the sweep."""
+    from aisleflow.operators import cluster
+    pts, runs = lloyd_sweep(spark, sf)
+    return cluster.silhouettes(pts, PIVOT_FEATURES, runs).select("k", F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("silhouette_best_k")
 def silhouette_best_k(spark, sf):
-    """The k of the highest silhouette among Lloyd runs from fixed centres."""
-    from functools import reduce
-    from aisleflow.operators import cluster
+    """The k of the highest silhouette of the sweep."""
     from aisleflow.plans import models as M
-    pts, _ = lloyd_run(spark, sf)
-    tables = []
-    for k in SWEEP_CHECK_KS:
-        centers = cluster.lloyd(pts, PIVOT_FEATURES, cluster.initial_centers(pts, PIVOT_FEATURES, k, "cid"), LLOYD_STEPS)
-        sil = cluster.silhouette(cluster.assign(pts, PIVOT_FEATURES, centers), PIVOT_FEATURES)
-        tables.append(sil.select(F.lit(k).alias("k"), F.round("silhouette", 6).alias("silhouette")))
-    return M.chosen_k(reduce(DataFrame.unionByName, tables))
+    return M.chosen_k(silhouette_sweep(spark, sf))
 
 
 def gmm_model(spark, sf):
@@ -693,6 +701,34 @@ def gmm_row_check(spark, sf):
                     (F.element_at("p", F.col("prediction") + 1) == F.array_max("p")).alias("is_argmax"))
 
 
+def _gmm_densities(spark, sf):
+    from aisleflow.functions import density
+    return [density.weighted_density(PIVOT_FEATURES, r["weight"], r["mean"], r["cov"]) for r in gmm_fit(spark, sf).orderBy("component").collect()]
+
+
+@query("gmm_density_check")
+def gmm_density_check(spark, sf):
+    """(cid, same): the components' probabilities recomputed from the exported weights, means and covariances, for
+    every customer."""
+    from pyspark.ml.functions import vector_to_array
+    from aisleflow.functions import density
+    v, m = gmm_model(spark, sf)
+    own = density.mixture_probabilities(_gmm_densities(spark, sf))
+    far = F.exists(F.zip_with(own, vector_to_array("probability"), lambda a, b: F.abs(a - b)), lambda x: x > 1e-9)
+    return m.transform(v).select("cid", (~far).alias("same"))
+
+
+@query("gmm_likelihood_check")
+def gmm_likelihood_check(spark, sf):
+    """(n, equal): the log-likelihood recomputed over all customers is that of the summary, which is of the step
+    before the last and so may differ by the tolerance at which the steps end."""
+    from aisleflow.functions import density
+    from aisleflow.plans import models as M
+    v, m = gmm_model(spark, sf)
+    gap = F.abs(F.sum(density.log_density(_gmm_densities(spark, sf))) - F.lit(float(m.summary.logLikelihood)))
+    return v.agg(F.count(F.lit(1)).alias("n"), (gap <= 2 * M.GMM["tol"]).alias("equal"))
+
+
 def _lda_fit(spark, sf):
     """(topic model, cached features, number of terms)."""
     from aisleflow.plans import models as M
@@ -933,6 +969,25 @@ def logreg_history_check(spark, sf):
         F.coalesce(F.max("rise") <= 1e-9, F.lit(True)).alias("never_rises"))
 
 
+@query("logreg_objective_check")
+def logreg_objective_check(spark, sf):
+    """(model, n, equal): the penalised objective recomputed from the exported coefficients over all training
+    reviews is the last of the history."""
+    from functools import reduce
+    from aisleflow.operators import linear
+    from aisleflow.plans import models as M
+    from aisleflow.sources import vectors
+    out = []
+    for name, fitted in (("multinomial", logreg_model), ("binary", logreg_binary_model)):
+        data, m = fitted(spark, sf)
+        parts = vectors.to_parts(_train(data).select("pr_review_id", "label", "features"), "features")
+        got = linear.objective(parts.select("pr_review_id", "label"), vectors.entries(parts, "pr_review_id", "features"),
+                               M.logistic_coefficients(spark, m), "pr_review_id", M.LOGREG["regParam"], M.LOGREG["elasticNetParam"])
+        last = float(m.summary.objectiveHistory[-1])
+        out.append(got.select(F.lit(name).alias("model"), "n", (F.abs(F.col("objective") - F.lit(last)) < 1e-9).alias("equal")))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("logreg_test_predictions")
 def logreg_test_predictions(spark, sf):
     return _tested(*logreg_model(spark, sf)).select("pr_review_id", "label", "prediction")
@@ -1007,6 +1062,29 @@ def tree_nodes(spark, sf):
     return M.tree_nodes(spark, tree_model(spark, sf)[1])
 
 
+def _tree_statistics(spark, sf):
+    from aisleflow.operators import tree_routing
+    return tree_routing.node_statistics(_train(tree_model(spark, sf)[0]), tree_nodes(spark, sf), CLICK_FEATURES, [0.0, 1.0])
+
+
+@query("tree_node_counts")
+def tree_node_counts(spark, sf):
+    """(node, n, impurity, gain, prediction) recomputed by routing all training rows through the node table."""
+    return _tree_statistics(spark, sf).select(
+        "node", "n", F.col("own_impurity").alias("impurity"), F.col("own_gain").alias("gain"), F.col("own_prediction").alias("prediction"))
+
+
+@query("tree_nodes_check")
+def tree_nodes_check(spark, sf):
+    """(at_root, at_leaves, differing): training rows at the root and at all leaves, and the nodes whose impurity, gain
+    or prediction is not the one recomputed."""
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-9
+    same = near("impurity", "own_impurity") & (F.col("prediction") == F.col("own_prediction")) & (F.col("is_leaf") | near("gain", "own_gain"))
+    return _tree_statistics(spark, sf).agg(
+        F.sum(F.when(F.col("node") == 0, F.col("n"))).alias("at_root"), F.sum(F.when(F.col("is_leaf"), F.col("n"))).alias("at_leaves"),
+        F.sum((~F.coalesce(same, F.lit(False))).cast("long")).alias("differing"))
+
+
 @query("tree_text")
 def tree_text(spark, sf):
     from aisleflow.plans import models as M
@@ -1158,6 +1236,7 @@ FITS = {
     "fp_growth_004": lambda spark, sf: _fp_fit(spark, sf, PAIR_SUPPORT),
     "nb_twin": nb_pipeline,
     "lloyd": lloyd_run,
+    "lloyd_sweep": lloyd_sweep,
     "pivot_vectors": _vectors,
     "kmeans": kmeans_model,
     "gmm": gmm_model,
