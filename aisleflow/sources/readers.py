@@ -10,7 +10,9 @@ counted through the corrupt-record column.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,31 +64,36 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
 
 
-def file_headers(spark: SparkSession, path: str) -> dict[str, str]:
-    """First line of every data file below ``path`` (a folder, file or glob), through
-    the file system the path names; empty files are left out.  One open per
-    file, as a file listing with footers would make."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    todo, out = list(fs.globStatus(root) or []), {}
-    while todo:
-        status = todo.pop()
-        p = status.getPath()
-        if status.isDirectory():
-            todo += [x for x in fs.listStatus(p) if x.getPath().getName()[0] not in "_."]
-            continue
-        stream = fs.open(p)
-        try:
-            codec = codecs.getCodec(p)
-            data = codec.createInputStream(stream) if codec is not None else stream
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine()
-        finally:
-            stream.close()
-        if line is not None:
-            out[p.toString()] = line
-    return out
+def file_headers(spark: SparkSession, path) -> DataFrame:
+    """(file, header): the first line of every data file below ``path`` (a folder, file, glob, or list of them);
+    empty files have none.
+
+    One job, whatever the number of files: each split of a file is a task of its own (the cost
+    of opening a file is set to a whole split), which sends the first row of its first
+    batch if the split begins the file, and reads no further.
+    """
+    def first_line(batches):
+        for b in batches:
+            if b.num_rows:
+                if b.column(2)[0].as_py() == 0:
+                    yield b.slice(0, 1).select([0, 1])
+                return
+
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"), F.col("_metadata.file_block_start").alias("start"))
+    return lines.mapInArrow(first_line, "file string, header string")
+
+
+@contextmanager
+def _file_by_file(spark: SparkSession):
+    """Scans run inside have one file split a task."""
+    name = "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(name)
+    spark.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
 
 
 def header_names(line: str, schema: T.StructType, sep: str, aliases: Mapping[str, str] | None) -> tuple[str, ...]:
@@ -98,13 +105,26 @@ def header_names(line: str, schema: T.StructType, sep: str, aliases: Mapping[str
     return mapped
 
 
-def check_header(spark: SparkSession, path: str, schema: T.StructType,
+#: Different header lines of one read; more are taken for files of another kind.
+MAX_HEADERS = 1000
+
+
+def check_header(spark: SparkSession, path, schema: T.StructType,
                  sep: str = "|", aliases: Mapping[str, str] | None = None) -> dict[tuple[str, ...], list[str]]:
     """Files by the order of their columns; raises if any file's header does not
-    have exactly the schema's names (through ``aliases``)."""
-    out: dict[tuple[str, ...], list[str]] = {}
-    for file, line in sorted(file_headers(spark, path).items()):
-        out.setdefault(header_names(line, schema, sep, aliases), []).append(file)
+    have exactly the schema's names (through ``aliases``).  The driver gets the distinct headers, and the names
+    of the files only where these stand for more than one order."""
+    with _file_by_file(spark):
+        headers = file_headers(spark, path)
+        lines = [r["header"] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+        if len(lines) > MAX_HEADERS:
+            raise ValueError(f"more than {MAX_HEADERS} different header lines")
+        orders = {line: header_names(line, schema, sep, aliases) for line in sorted(lines)}
+        if len(set(orders.values())) <= 1:
+            return {order: [path] if isinstance(path, str) else list(path) for order in orders.values()}
+        out: dict[tuple[str, ...], list[str]] = {}
+        for r in sorted(headers.collect()):
+            out.setdefault(orders[r["header"]], []).append(unquote(r["file"]))
     return out
 
 
@@ -115,14 +135,14 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *,
                    keep_corrupt: bool = False) -> DataFrame:
     """``|``-separated file(s) with a header line, read against ``schema``.
 
-    With ``validate_header`` every file's header is read first; files whose columns
+    With ``validate_header`` every file's header is read first, in one job; files whose columns
     stand in another order are read in that order and then rearranged by name.
     Without it columns are taken by position.  CRLF line ends are handled by the CSV
     reader.  With ``keep_corrupt`` the result carries ``_corrupt_record``
     (non-NULL for malformed lines).
     """
     def read(paths, fields: T.StructType) -> DataFrame:
-        r = (spark.read.option("sep", sep).option("header", header)
+        r = (spark.read.option("sep", sep).option("header", header).option("recursiveFileLookup", validate_header)
              .option("mode", "PERMISSIVE").option("enforceSchema", True))
         if keep_corrupt:
             r = r.option("columnNameOfCorruptRecord", CORRUPT).schema(_with_corrupt(fields))

@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 
@@ -50,3 +52,21 @@ def test_assign_equals_kmeans_model(spark, sf):
     c5 = M.fit_kmeans(v, maxIter=5).summary.trainingCost
     c20 = M.fit_kmeans(v, maxIter=20).summary.trainingCost
     assert c20 <= c5 + 1e-9
+
+
+def test_runs_of_all_k_at_once(spark):
+    """One pass a step for several k gives what each run gives alone, a cluster of one point included."""
+    import random
+    rnd = random.Random(4)
+    rows = [(i, rnd.randint(0, 30), rnd.randint(0, 9)) for i in range(200)] + [(200, 900, 900)]
+    pts = spark.createDataFrame(rows, "cid long, x long, y long").repartition(5)
+    starts = {k: [[float(r[1]), float(r[2])] for r in (rows[:k - 1] + rows[-1:])] for k in (2, 3, 5)}
+    alone = {k: cluster.lloyd(pts, ["x", "y"], s, 4) for k, s in starts.items()}
+    got = cluster.lloyd_all(pts, ["x", "y"], starts, 4)
+    for k in starts:
+        for a, b in zip(alone[k], got[k]):
+            assert a == pytest.approx(b, abs=1e-9)
+    sil = {r["k"]: r["silhouette"] for r in cluster.silhouettes(pts, ["x", "y"], got).collect()}
+    for k in starts:
+        one = cluster.silhouette(cluster.assign(pts, ["x", "y"], got[k]), ["x", "y"]).first()["silhouette"]
+        assert sil[k] == pytest.approx(one, abs=1e-9)

@@ -24,7 +24,7 @@ def test_every_fit_has_a_checked_fact():
                        "lda_topics", "lda_doc_topics", "lda_quality", "lda_hashed_topics", "nb_fit", "logreg_fit", "logreg_metrics",
                        "logreg_label_metrics", "logreg_history", "logreg_test_predictions", "logreg_test_scores", "logreg_binary_fit",
                        "tree_fit", "tree_nodes", "tree_text", "tree_importances", "svc_fit", "svc_predictions", "mlp_predictions",
-                       "run_log", "model_roundtrip"}
+                       "run_log", "model_roundtrip", "tree_node_counts"}
 
 
 def test_oracle_keys_are_queries():

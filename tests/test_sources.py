@@ -94,3 +94,45 @@ def test_publish_and_drop_view(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM af_rules_view").first()[0] == 1
     assert sinks.drop_view(spark, "af_rules_view") is True
     assert sinks.drop_view(spark, "af_rules_view") is False
+
+
+def test_headers_of_many_files_in_one_job(spark, tmp_path):
+    """Split and empty files, folders below folders, CRLF and names that need quoting."""
+    names = readers.STORE_SALES_SCHEMA.fieldNames()
+    orders = ["|".join(names), "|".join(reversed(names))]
+    want = {}
+    for i in range(120):
+        folder = tmp_path / f"part {i % 3}" / "in%ner"
+        folder.mkdir(parents=True, exist_ok=True)
+        _write(folder / f"f {i}.tbl", orders[i % 2] + "\r\n" + "1|2|3\r\n" * (i % 5 * 400))
+        want[i] = orders[i % 2]
+    (tmp_path / "empty.tbl").touch()
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")  # several splits a file
+    try:
+        spark.sparkContext.setJobGroup("headers", "headers")
+        with readers._file_by_file(spark):
+            got = readers.file_headers(spark, str(tmp_path)).collect()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 1
+        assert sorted(r["header"].rstrip("\r") for r in got) == sorted(want.values())
+        rows = readers.read_delimited(spark, str(tmp_path), readers.STORE_SALES_SCHEMA, validate_header=True)
+        sums = rows.selectExpr("count(*)", "sum(ss_transaction_id)", "sum(ss_item_id)").first()
+        n = [sum(i % 5 * 400 for i in range(120) if i % 2 == k) for k in (0, 1)]
+        assert tuple(sums) == (sum(n), n[0] + 3 * n[1], 3 * n[0] + n[1])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_any_saved_model_loads_by_its_own_class(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import IDF, HashingTF, Tokenizer
+    from aisleflow.sources import sinks
+    texts = spark.createDataFrame([("a b",), ("b c c",)], "t string")
+    model = Pipeline(stages=[Tokenizer(inputCol="t", outputCol="w"), HashingTF(inputCol="w", outputCol="f", numFeatures=16),
+                             IDF(inputCol="f", outputCol="x")]).fit(texts)
+    loaded = sinks.load_model(sinks.save_model(model, str(tmp_path / "m")))
+    assert isinstance(loaded, PipelineModel)
+    assert loaded.transform(texts).collect() == model.transform(texts).collect()

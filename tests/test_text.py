@@ -68,21 +68,61 @@ def test_vocabulary_numbering_has_no_gaps(spark):
     assert [i for _, _, i in sorted(got, key=lambda x: (-x[0], x[1]))] == list(range(len(got)))
 
 
+def test_vocabulary_numbering_over_many_partitions(spark):
+    """Many terms of one frequency and beginning, over more partitions than rows in some."""
+    terms = [(1, f"http://x/{i:05d}", 1) for i in range(3000)] + [(d, "all", 1) for d in range(50)] + [(d, "Z", 2) for d in range(25)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        tf = spark.createDataFrame(terms, "doc_id long, term string, tf long").repartition(16)
+        got = sorted((r["term_index"], r["term"]) for r in text.term_vocabulary(tf).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == list(enumerate(["Z", "all"] + [f"http://x/{i:05d}" for i in range(3000)]))
+
+
 def test_hot_term_is_spread_and_exact(spark):
-    """One term in half of all rows, broadcast off: its rows land in several
-    join tasks, and the results are those of a plain computation."""
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    """One term in half of all rows, broadcast off, 64 partitions: its rows are spread in proportion to their share,
+    every other term has one copy, and the results are those of a plain computation."""
+    from aisleflow.operators import skew
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    old = {n: spark.conf.get(n) for n in names}
+    for n, v in zip(names, ["-1", "64", "false"]):
+        spark.conf.set(n, v)
     try:
         rows = [(i, "hot" if k == 0 else f"t{i}") for i in range(4000) for k in range(2)]
         tf = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, term string, tf long")
         idf = text.term_idf(tf, tf.select("doc_id").distinct())
-        joined = text.salted_join(tf, idf, "doc_id").filter("term = 'hot'")
-        assert joined.count() == 4000
-        sizes = [r["count"] for r in joined.groupBy("salt").count().collect()]
-        assert len(sizes) == text.TERM_SALTS and max(sizes) < 4000 / 4
-        got = {(r["doc_id"], r["term"]): r["tfidf"] for r in text.doc_tfidf(tf, idf).collect()}
+        per_task = 8000 // 64
+        joined = text.weigh(tf, idf, "doc_id", per_task)
+        sizes = [r["count"] for r in joined.filter("term = 'hot'").groupBy(skew.SALT).count().collect()]
+        assert sum(sizes) == 4000 and len(sizes) == 32 and max(sizes) < 2 * per_task
+        # cold terms stand once on the per-term side
+        salts = skew.spread_keys(idf, ["term"], "doc_freq", per_task).collect()
+        assert [tuple(r) for r in salts] == [("hot", 32)]
+        got = {(r["doc_id"], r["term"]): r["tfidf"] for r in text.doc_tfidf(tf, idf, rows_per_task=per_task).collect()}
         assert len(got) == 8000
         assert math.isclose(got[5, "t5"], math.log(4001 / 2)) and abs(got[5, "hot"]) < 1e-12
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for n, v in old.items():
+            spark.conf.set(n, v)
+
+
+def test_share_join_with_own_loads_nulls_and_left(spark):
+    from aisleflow.operators.skew import share_join
+    rows = spark.createDataFrame([(i, None if i % 10 == 0 else i % 3) for i in range(300)], "id long, k long")
+    per_key = spark.createDataFrame([(0, "a"), (1, "b"), (None, "n"), (9, "z")], "k long, v string")
+    loads = rows.groupBy("k").count()
+    want = sorted((i, {0: "a", 1: "b"}.get(i % 3) if i % 10 else None) for i in range(300))
+    for per_task in (7, 1000):
+        left = share_join(rows, per_key, ["k"], "count", F.col("id"), per_task, "left", loads=loads)
+        assert sorted((r["id"], r["v"]) for r in left.collect()) == want
+        inner = share_join(rows, per_key, ["k"], "count", F.col("id"), per_task, loads=loads)
+        assert sorted((r["id"], r["v"]) for r in inner.collect()) == [w for w in want if w[1]]
+
+
+def test_spread_keys_are_bounded(spark):
+    """However low the rows a task should read, keys that are spread are fewer than the bound."""
+    from aisleflow.operators.skew import spread_keys
+    loads = spark.range(1000).selectExpr("id AS k", "id + 1 AS load")
+    assert spread_keys(loads, ["k"], "load", 1, max_keys=50).count() < 50

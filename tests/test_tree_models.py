@@ -107,19 +107,125 @@ def test_logistic_history_and_probabilities(spark, sf):
         assert abs(sum(r[0]) - 1.0) < 1e-9
 
 
-def test_lda_shares_vocabulary_and_terms_left_out(spark, sf):
+def test_lda_shares_vocabulary_and_terms_left_out(spark, sf, tmp_path):
     from aisleflow.operators import text
     from aisleflow.sources import adapters
+    key, col = "pr_review_id", "pr_content"
     docs = adapters.review_texts(spark, sf)
-    n = text.n_terms(docs, "pr_review_id", "pr_content")
+    n = text.vocabulary_size(docs, key, col).first()[0]
     for bound in (n, 50):
-        cv, features = M.lda_features(docs, "pr_review_id", "pr_content", bound)
-        m = M.fit_lda(features, maxIter=3)
-        shares = M.lda_doc_topics(m, features, "pr_review_id").groupBy("pr_review_id").agg(F.sum("share").alias("s")).collect()
+        m, features, n_terms = M.fit_topics(docs, key, col, bound, maxIter=3)
+        shares = M.lda_doc_topics(m.lda, features, key).groupBy(key).agg(F.sum("share").alias("s")).collect()
+        assert len(shares) == docs.filter(f"{col} IS NOT NULL").count() and n_terms == n
         assert all(abs(r["s"] - 1.0) < 1e-6 or r["s"] == 0 for r in shares)
-        assert {r["term"] for r in M.lda_topics(spark, cv, m).collect()} <= set(cv.stages[-1].vocabulary)
-        q = M.lda_quality(spark, m, features, n).first()
+        terms = {r["term"]: r["term_index"] for r in m.vocabulary.collect()}
+        assert sorted(terms.values()) == list(range(bound))
+        topics = M.lda_topics(m).collect()
+        assert len(topics) == 40 and {r["term"] for r in topics} <= set(terms)
+        q = M.lda_quality(spark, m.lda, features, n).first()
         assert (q["vocab_size"], q["terms_left_out"]) == (bound, n - bound)
+        loaded = M.TopicModel.load(spark, m.save(str(tmp_path / f"topics{bound}")))
+        new = spark.createDataFrame([(1, docs.first()[col]), (2, "zzz-unknown"), (3, ""), (4, None)], f"{key} long, {col} string")
+        a, b = ({(r[key], r["topic"]): r["share"] for r in x.transform(new, key, col).collect()} for x in (m, loaded))
+        assert a == b and {k for k, _ in a} == {1, 2, 3}
+
+
+def test_topic_vectors_are_those_of_a_count_vectorizer(spark, sf):
+    """The same counts for each term as CountVectorizer gives, whose ties are numbered otherwise."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizer
+    from aisleflow.operators import text
+    from aisleflow.sources import adapters
+    key, col = "pr_review_id", "pr_content"
+    docs = adapters.review_texts(spark, sf).filter(f"{col} IS NOT NULL")
+    tf = M.word_counts(docs, key, col)
+    vocabulary = text.term_vocabulary(tf)
+    names = {r["term_index"]: r["term"] for r in vocabulary.collect()}
+    own = {r[key]: {names[int(i)]: v for i, v in zip(r["features"].indices, r["features"].values)}
+           for r in M.term_vectors(docs, tf, vocabulary, len(names), key, col).collect()}
+    cv = Pipeline(stages=M.words_of(col) + [CountVectorizer(inputCol="words", outputCol="features")]).fit(docs)
+    words = cv.stages[-1].vocabulary
+    want = {r[key]: {words[int(i)]: v for i, v in zip(r["features"].indices, r["features"].values)}
+            for r in cv.transform(docs).collect()}
+    assert own == want
+
+
+def test_topics_above_the_driver_limit_raise_before_the_fit(spark, sf):
+    from aisleflow.sources import adapters
+    with pytest.raises(ValueError, match="bytes on the driver"):
+        M.fit_topics(adapters.review_texts(spark, sf), "pr_review_id", "pr_content", max_bytes=1000)
+
+
+def test_text_pipeline_scores_raw_texts(spark, sf, tmp_path):
+    """The job's pipeline, saved and loaded, on raw reviews: the job's own predictions, and nulls as empty texts."""
+    from aisleflow.plans import jobs
+    from aisleflow.sources import adapters, sinks
+    reviews = adapters.product_reviews(spark, sf)
+    for run in (jobs.review_sentiment_bayes, jobs.review_sentiment_logistic):
+        out = run(spark, reviews, jobs.ReviewConfig(log=False))
+        loaded = sinks.load_model(sinks.save_model(out["pipeline"], str(tmp_path / run.__name__)))
+        raw = {r["pr_review_id"]: r["prediction"] for r in M.score_texts(loaded, reviews, "pr_review_id", "pr_content").collect()}
+        for r in out["predictions"].collect():
+            assert raw[r["pr_review_id"]] == r["prediction"]
+        other = spark.createDataFrame([(1, None), (2, "")], "id long, t string")
+        a, b = M.score_texts(loaded, other, "id", "t").orderBy("id").collect()
+        assert (a["prediction"], a["probability"]) == (b["prediction"], b["probability"])
+        # the idf is that of the training side: other labels or texts on the test side change nothing
+        out["release"]()
+
+
+def test_objective_is_the_optimizers(spark):
+    """Penalised objective and margins against numpy, and against the last entry of the history."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    from aisleflow.operators import linear
+    from aisleflow.sources import vectors
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(80, 6)) * (rng.random((80, 6)) < 0.6)
+    for labels, rows in ((3, 3), (2, 1)):
+        y = rng.integers(0, labels, 80)
+        vector = lambda i, v: Vectors.dense(v) if i % 2 else Vectors.sparse(6, {int(j): float(v[j]) for j in np.flatnonzero(v)})
+        data = spark.createDataFrame([(i, float(c), vector(i, v)) for i, (c, v) in enumerate(zip(y, x))], ["id", "label", "features"])
+        m = M.logistic_estimator("auto", elasticNetParam=0.3, maxIter=8).fit(data)
+        assert m.coefficientMatrix.numRows == rows
+        parts = vectors.to_parts(data, "features")
+        coef = M.logistic_coefficients(spark, m)
+        entries = vectors.entries(parts, "id", "features")
+        got = linear.objective(parts.select("id", "label"), entries, coef, "id", 0.1, 0.3).first()
+        assert abs(got["objective"] - m.summary.objectiveHistory[-1]) < 1e-10 and got["n"] == 80
+        margins = linear.margins(parts.select("id", "label"), entries, coef, "id", rows_per_task=5).orderBy("id").collect()
+        b, w = m.interceptVector.toArray(), m.coefficientMatrix.toArray()
+        want = x @ w.T + b
+        own = np.array([[r[f"m{c}"] for c in range(labels)] for r in margins])
+        np.testing.assert_allclose(own if rows == 3 else own[:, 1:], want, atol=1e-10)
+
+
+def test_tree_nodes_recomputed_by_routing(spark, sf):
+    from aisleflow.operators import tree_routing
+    data, m = Q.tree_model(spark, sf)
+    train = data.filter("split = 'train'")
+    nodes = M.tree_nodes(spark, m)
+    rows = {r["node"]: r for r in tree_routing.node_statistics(train, nodes, Q.CLICK_FEATURES, [0.0, 1.0]).collect()}
+    assert len(rows) == m.numNodes and rows[0]["n"] == train.count()
+    for r in rows.values():
+        assert abs(r["own_impurity"] - r["impurity"]) < 1e-12 and r["own_prediction"] == r["prediction"]
+        assert r["is_leaf"] or abs(r["own_gain"] - r["gain"]) < 1e-12
+    # the leaf of a row is where the model predicts from
+    routed = tree_routing.route(m.transform(data), nodes, Q.CLICK_FEATURES)
+    leaf = {n: r["prediction"] for n, r in rows.items()}
+    assert all(leaf[r["path"][-1]] == r["prediction"] for r in routed.select("path", "prediction").collect())
+
+
+def test_mixture_density_is_the_estimators(spark, sf):
+    import numpy as np
+    from aisleflow.functions import density
+    v, m = Q.gmm_model(spark, sf)
+    parts = [density.weighted_density(Q.PIVOT_FEATURES, r["weight"], r["mean"], r["cov"]) for r in M.gmm_components(spark, m).collect()]
+    for r in m.transform(v).select("probability", density.mixture_probabilities(parts).alias("p")).collect():
+        np.testing.assert_allclose(r["p"], r["probability"].toArray(), atol=1e-9)
+    # a covariance of rank 1: the density lives on its one direction
+    whitener, logdet = density.whitener(np.array([[4.0, 4.0], [4.0, 4.0]]))
+    assert whitener.shape == (1, 2) and abs(logdet - np.log(8)) < 1e-12
 
 
 def test_chosen_k_is_the_smallest_of_the_best(spark):
