@@ -53,6 +53,44 @@ def test_flow_of_real_size_moves_only_surplus():
     assert len(got) <= len(old) + len(caps) - 1
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_flow_of_unit_costs_is_that_of_the_search(seed):
+    import random
+    rnd = random.Random(seed)
+    old = {k: rnd.randint(0, 50) for k in rnd.sample([None, -3, *range(12)], 8)}
+    caps = resharding.even_capacities(sum(old.values()) + rnd.randint(0, 9), 7)
+    unit = lambda i, j: 0 if i == j else 1
+    cost = lambda ts: sum(t.n_bytes * unit(t.old, t.new) for t in ts)
+    fast, slow = resharding.min_cost_transfers(old, caps), resharding.min_cost_transfers(old, caps, unit)
+    assert cost(fast) == cost(slow) and len(fast) <= len(old) + len(caps) - 1
+    into, out = collections.Counter(), collections.Counter()
+    for t in fast:
+        into[t.new] += t.n_bytes
+        out[t.old] += t.n_bytes
+    assert all(out[k] == v for k, v in old.items()) and all(into[j] <= c for j, c in enumerate(caps))
+
+
+def test_flow_of_thousands_of_shards_takes_seconds():
+    import time
+    old = {i: 10**9 + 7919 * (i * i % 1009) for i in range(3000)}
+    start = time.monotonic()
+    got = resharding.min_cost_transfers(old, resharding.even_capacities(sum(old.values()), 3300))
+    assert time.monotonic() - start < 10 and sum(t.n_bytes for t in got) == sum(old.values())
+
+
+def test_repeated_rows_are_split_like_others(spark):
+    """Two fifths of the rows are one row, one fifth has null ids and one text: sizes stay near equal."""
+    rows = [(i, f"text {i} " + "w " * (i % 30)) for i in range(8000)] + [(5, "same text again")] * 8000 + [(None, "nobody's text")] * 4000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    old = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 8).cast("int")
+    got = resharding.reshard(docs, old, resharding.ReshardConfig(n_shards=40))[0].collect()
+    check_law(got, docs, 40)
+    sizes = collections.Counter()
+    for r in got:
+        sizes[r["shard"]] += len(r["text"]) + 16
+    assert len(sizes) == 40 and max(sizes.values()) - min(sizes.values()) <= 4 * 90
+
+
 def check_law(rows, docs, n):
     assert len(rows) == docs.count()
     shards = collections.defaultdict(list)
