@@ -13,7 +13,11 @@ Defined results: null and empty texts are scored like a text without terms,
 whose vector is zero and whose score is the sample's share of good labels; so is
 a text none of whose neighbours has a positive cosine.  Without any labelled row the
 score is 0.5.  Ties of similarity go to the neighbour with the smaller row of
-the sample, which is ordered by id.  Extra columns are not read by ``score``;
+the sample, which is ordered by a hash of the id.
+
+A text's score does not hang on the texts that are scored with it, nor on the partitioning: the entries of
+both matrix products are first rounded to whole multiples of a power of two, small
+enough that every sum of products is exact in doubles, in whatever order it is added.  Extra columns are not read by ``score``;
 ``keep_good`` passes them through.
 """
 
@@ -126,13 +130,22 @@ def weigh(logs: np.ndarray, idf: np.ndarray, letter_weight: float) -> np.ndarray
     return out
 
 
+#: Steps of 1 / 2^n to which the entries of a product's factors are rounded: terms x basis, unit x unit
+#: vectors.  Entries are below 1 or little more, so sums of up to 2056 products stay below 2^53.
+TERM_BITS, BASIS_BITS, UNIT_BITS = 18, 22, 22
+
+
+def _whole(x: np.ndarray, bits: int) -> np.ndarray:
+    return np.rint(np.asarray(x, np.float64) * float(1 << bits))
+
+
 def project(counts: np.ndarray, model: QualityModel, letter_weight: float) -> np.ndarray:
     return project_logs(np.log1p(counts), model, letter_weight)
 
 
 def project_logs(logs: np.ndarray, model: QualityModel, letter_weight: float) -> np.ndarray:
-    latent = weigh(logs, model.idf, letter_weight) @ model.basis
-    norm = np.linalg.norm(latent, axis=1, keepdims=True)
+    latent = _whole(weigh(logs, model.idf, letter_weight), TERM_BITS) @ _whole(model.basis, BASIS_BITS)
+    norm = np.sqrt((latent * latent).sum(axis=1, keepdims=True))
     return np.divide(latent, norm, out=np.zeros_like(latent), where=norm > 0)
 
 
@@ -180,18 +193,23 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
     dims = min(cfg.dims, len(values))
     model = QualityModel(idf, vectors[:, ::-1][:, :dims].astype(np.float32), np.zeros((0, dims), np.float32),
                          labels, float(labels.mean()))
-    model.vectors = project_logs(logs, model, cfg.letter_weight)
+    model.vectors = project_logs(logs, model, cfg.letter_weight).astype(np.float32)
     return model
 
 
 def vote(latent: np.ndarray, model: QualityModel, cfg: QualityConfig) -> np.ndarray:
-    """Scores of unit vectors by their exact nearest neighbours."""
+    """Scores of unit vectors by their exact nearest neighbours, of equally near ones the smaller rows."""
     if not len(model.vectors):
         return np.full(len(latent), model.prior)
-    cosine = latent @ model.vectors.T
-    k = min(cfg.k, cosine.shape[1])
-    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-    w = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** cfg.power
+    cosine = _whole(latent, UNIT_BITS) @ _whole(model.vectors, UNIT_BITS).T
+    n = cosine.shape[1]
+    k = min(cfg.k, n)
+    # the k-th greatest, then the first rows of those that equal it
+    least = np.partition(cosine, n - k, axis=1)[:, n - k, None]
+    above, equal = cosine > least, cosine == least
+    room = k - above.sum(axis=1, keepdims=True)
+    near = np.nonzero(above | (equal & (np.cumsum(equal, axis=1) <= room)))[1].reshape(len(latent), k)
+    w = np.maximum(np.take_along_axis(cosine, near, axis=1) / float(1 << 2 * UNIT_BITS), 0) ** cfg.power
     total = w.sum(axis=1)
     good = (w * model.labels[near]).sum(axis=1)
     return np.where(total > 0, np.divide(good, total, out=np.zeros_like(good), where=total > 0), model.prior)

@@ -100,6 +100,42 @@ def test_votes_are_the_exact_nearest_neighbours(spark):
         assert abs((w * model.labels[near]).sum() / w.sum() - s) < 1e-5
 
 
+def test_equally_near_neighbours_vote_by_row():
+    """Groups of equal vectors with labels of both kinds: the smaller rows vote, whatever the batch."""
+    rng = np.random.default_rng(6)
+    for case in range(60):
+        base = rng.normal(size=(4, 6))
+        base /= np.linalg.norm(base, axis=1, keepdims=True)
+        own = rng.integers(0, 4, 40)
+        model = quality.QualityModel(None, None, base[own].astype(np.float32), rng.integers(0, 2, 40).astype(np.float32), 0.5)
+        cfg = quality.QualityConfig(k=int(rng.integers(1, 30)))
+        queries = np.vstack([base[rng.integers(0, 4, 3)], rng.normal(size=(4, 6))])
+        queries /= np.linalg.norm(queries, axis=1, keepdims=True)
+        got = quality.vote(queries, model, cfg)
+        for i, (q, s) in enumerate(zip(queries, got)):
+            cos = np.round((model.vectors.astype(float) @ q), 5)
+            near = np.lexsort([np.arange(40), -cos])[:cfg.k]
+            w = np.maximum((model.vectors.astype(float) @ q)[near], 0) ** cfg.power
+            assert abs((w * model.labels[near]).sum() / w.sum() - s) < 1e-4 if w.sum() > 1e-9 else True
+            assert quality.vote(queries[i:i + 1], model, cfg)[0] == s
+
+
+def test_score_does_not_hang_on_batch_or_partitions(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.fit(docs, quality_labels(spark, sf))
+    some = [r["text"] for r in docs.orderBy("doc_id").limit(120).collect()] + [None, "", "x", "!!"]
+    cfg = quality.QualityConfig()
+    whole = quality.score_texts(some, model, cfg)
+    assert [quality.score_texts([t], model, cfg)[0] for t in some] == list(whole)
+    assert list(quality.score_texts(some[::-1], model, cfg)[::-1]) == list(whole)
+    first = None
+    for parts in (1, 7, 64):
+        got = {r["doc_id"]: (r["score"], r["predicted"]) for r in quality.score(docs.repartition(parts), model).collect()}
+        first = first or got
+        assert got == first
+
+
 def test_labels_never_come_from_held_out_rows(spark):
     labels = quality_labels(spark, "/root/testdata/sf0.01")
     assert labels.where(held_out(F.col("doc_id"))).count() == 0
