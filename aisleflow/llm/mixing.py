@@ -105,8 +105,9 @@ def share_out(nodes: DataFrame, parent: list[str], name: str, weights: dict) ->
 def leaf_budgets(leaves: DataFrame, cfg: MixConfig) -> DataFrame:
     """``leaves``: domain, lang, source, tokens.  Adds budget, epochs, rest."""
     cap = F.sum(F.col("tokens") * cfg.max_epochs)
-    total = leaves.agg((F.coalesce(F.sum("tokens"), F.lit(0)) * cfg.budget_permille / 1000).cast("long").alias("n")).first()["n"]
-    domains = share_out(leaves.groupBy("domain").agg(cap.alias("capacity")).withColumn("parent_budget", F.lit(total)),
+    total = leaves.agg(F.coalesce(F.sum(F.col("tokens").cast("decimal(38,0)")), F.lit(0)).alias("n")).first()["n"]
+    total = int(total) * cfg.budget_permille // 1000  # exact, also beyond 2^53
+    domains = share_out(leaves.groupBy("domain").agg(cap.alias("capacity")).withColumn("parent_budget", F.lit(total).cast("long")),
                         [], "domain", cfg.domain_weights).select("domain", F.col("budget").alias("parent_budget"))
     langs = share_out(leaves.groupBy("domain", "lang").agg(cap.alias("capacity")).join(domains, "domain"),
                       ["domain"], "lang", cfg.lang_weights).select("domain", "lang", F.col("budget").alias("parent_budget"))
