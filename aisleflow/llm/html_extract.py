@@ -1,7 +1,7 @@
 """HTML main-text extraction: gradient-boosted trees over DOM nodes.
 
 1. A page is parsed into a tree of element nodes (scripts, styles and comments
-   never become text).
+   never become text; an element of the page's own is named by the parts of its tag).
 2. Every node gets a row of features: tag, tokens of its class, id and role
    attributes, depth, statistics of its subtree (text length, density, share of link
    text, punctuation) and of its siblings and parent.
@@ -53,8 +53,12 @@ class HtmlConfig:
 
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-#: Content of these is no mark-up and no text of the page.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas"}
+#: Content of these is no mark-up and no text of the page; without an end tag they reach to the end of the page.
+RAW = {"script", "style", "textarea", "title"}
+#: Content of these is no text of the page; without an end tag, the tag alone is passed over.
+APART = {"template", "iframe", "svg", "object", "canvas"}
+#: Controls of forms, which the article is without whatever the trees say.
+CONTROLS = {"button", "select", "label", "input", "option", "optgroup", "datalist", "output", "progress", "meter"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt",
          "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html",
          "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th",
@@ -102,6 +106,7 @@ def parse(source: str) -> Page:
     tags, parents, tokens, pieces = page.tag, page.parent, page.tokens, page.pieces
     stack = [0]
     open_count = {"#root": 1}
+    unclosed: set[str] = set()
     at, n = 0, len(source)
 
     def close_top() -> None:
@@ -128,10 +133,16 @@ def parse(source: str) -> Page:
                     close_top()
                 close_top()
             continue
-        if name in RAW:
-            if not m[3].endswith("/"):
-                end = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(source, at)
-                at = end.end() if end else n
+        if name in RAW or name in APART:
+            if not m[3].endswith("/") or name in RAW:
+                if name not in unclosed:
+                    end = re.compile(f"</{name}\\s*>", re.I).search(source, at)
+                    if end:
+                        at = end.end()
+                    elif name in RAW:
+                        at = n
+                    else:
+                        unclosed.add(name)  # nor will another one be closed further on
             continue
         if name in BLOCK and open_count.get("p"):
             # a block ends an open paragraph, with what is open in it
@@ -156,6 +167,8 @@ def parse(source: str) -> Page:
         if name in VOID:
             continue
         found = tuple(t.lower() for _, v in _ATTRIBUTE.findall(m[3]) for t in _TOKEN.findall(v)) if m[3] else ()
+        if "-" in name:  # an element of the page's own, named by what it is
+            found = (*_TOKEN.findall(name), *found)
         tags.append(name)
         parents.append(stack[-1])
         tokens.append(found)
@@ -297,7 +310,34 @@ def reframed(page: Page, labels: list[int], rng) -> tuple[Page, list[int]]:
     words = html.escape(" ".join(b[1] for b in blocks)).split()
     quote = lambda: " ".join(words[(k := int(rng.integers(max(1, len(words) - 12)))):k + int(rng.integers(3, 40))])
     kept = ("h1", "h2", "h3", "blockquote", "pre")
-    written = [f"<{t if t in kept else 'p'}>{html.escape(x)}</{t if t in kept else 'p'}>" for t, x in blocks]
+    known = [x for _, x in blocks]
+
+    def parts(text: str) -> list[str]:
+        """The text in cells of a few words, each known as the article's."""
+        own, step = text.split(), int(rng.integers(1, 8))
+        cells = [" ".join(own[i:i + step]) for i in range(0, len(own), step)]
+        known.extend(cells)
+        return [html.escape(c) for c in cells]
+
+    def in_table(text: str) -> str:
+        cells, width = parts(text), int(rng.integers(1, 5))
+        rows = ["".join(f"<td>{c}</td>" for c in cells[i:i + width]) for i in range(0, len(cells), width)]
+        return f"<table>{pick('', '<tbody>')}" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>"
+
+    def in_list(text: str) -> str:
+        cells = parts(text)
+        return "<dl>" + "".join(f"<{'dd' if i % 2 else 'dt'}>{c}</{'dd' if i % 2 else 'dt'}>" for i, c in enumerate(cells)) + "</dl>"
+
+    def as_block(t: str, text: str) -> str:
+        t, x = t if t in kept else "p", html.escape(text)
+        if t == "p" and text.split() and chance(0.25):
+            return pick(in_table, in_list, lambda _: f"<figure><img src='/i'><figcaption>{x}</figcaption></figure>",
+                        lambda _: f"<pre>{x}</pre>", lambda _: f"<pre><code>{x}</code></pre>")(text)
+        if t == "p" and chance(0.1):  # an advert inside the line
+            return f"<p><span{name('ad', 'advert', 'promo', 'share', 'sponsored')}>{sentence(40)}</span>{x}</p>"
+        return f"<{t}>{x}</{t}>"
+
+    written = [as_block(t, x) for t, x in blocks]
     if chance(0.3) and written[0].startswith("<h"):
         written[0] = f"<header>{written[0]}</header>"
     if chance(0.3):
@@ -331,7 +371,7 @@ def reframed(page: Page, labels: list[int], rng) -> tuple[Page, list[int]]:
     if chance(0.5):
         marked = f"<div{name('wrapper', 'page', 'container')}>{marked}</div>"
     out = parse(f"<html><body>{marked}</body></html>")
-    return out, _heart_labels(out, [x for _, x in blocks])
+    return out, _heart_labels(out, known)
 
 
 def _heart_labels(page: Page, texts: list[str]) -> list[int]:
@@ -468,11 +508,18 @@ def fit(pages: DataFrame, cfg: HtmlConfig = HtmlConfig()) -> Trees | None:
 
 def decode(page: Page, odds: np.ndarray) -> list[bool]:
     """The labelling with the greatest total log-odds in which no kept node is
-    below a dropped one.  Inline elements follow the block they are in."""
+    below a dropped one.  Inline elements follow the block they are in, but for those that
+    tag or names call a frame, which have their own odds; controls are dropped."""
     n = len(page.tag)
     keep_gain, drop_gain = [0.0] * n, [0.0] * n
     for i in range(n - 1, -1, -1):
-        s = float(odds[i]) if page.tag[i] in BLOCK else 0.0
+        t = page.tag[i]
+        if t in CONTROLS:
+            s = -1e6
+        elif t in BLOCK or t in FRAME_TAGS or any(x in FRAME_TOKENS for x in page.tokens[i]):
+            s = float(odds[i])
+        else:
+            s = 0.0
         keep_gain[i] += s
         drop_gain[i] -= s
         if i:

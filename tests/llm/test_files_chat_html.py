@@ -129,6 +129,45 @@ PAGES = {
 }
 
 
+FRAME = "<html><body><nav><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul></nav>{}<footer><p>&copy; we</p></footer></body></html>"
+INSIDE = {
+    "<table><thead><tr><th>Year</th><th>Tons</th></tr></thead><tbody><tr><td>1990</td><td>12.5</td></tr><tr><td>1991</td><td>13</td></tr></tbody></table>": "Year\nTons\n1990\n12.5\n1991\n13",
+    "<dl><dt>Term</dt><dd>what it means, in short.</dd><dt>Other</dt><dd>and this one.</dd></dl>": "Term\nwhat it means, in short.\nOther\nand this one.",
+    "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>": "So x=2 holds.",
+    "<noscript><p>A picture of the old mill by the river.</p></noscript>": "A picture of the old mill by the river.",
+    "<figure><img src=x><figcaption>The mill, seen from the bridge.</figcaption></figure>": "The mill, seen from the bridge.",
+    "<pre><code>for i in range(3):\n    print(i)</code></pre>": "for i in range(3): print(i)",
+    "<p>Text <span class='ad'>Buy shoes now!</span>goes on here.</p>": "Text goes on here.",
+    "<p>Press on. <button>Send it</button></p>": "Press on.",
+    "<p>Choose well. <select><option>red<option>blue</select></p>": "Choose well.",
+    "<p>Name it. <label>Your name <input name=q></label></p>": "Name it.",
+    "<share-bar><a href=x>Share this</a></share-bar>": "",
+    "<p>Before it <svg><path d='M0'/><text>drawn</text></svg>and after it.</p>": "Before it and after it.",
+    "<p>Before it <svg viewbox=1>and after it.</p>": "Before it and after it.",
+    "<p>Seen <iframe src=x>and heard.</p>": "Seen and heard.",
+}
+
+
+@pytest.mark.parametrize("own", list(INSIDE))
+@pytest.mark.parametrize("heart", ["<article><h1>Title</h1><p>{0}</p>{1}<p>{0}</p></article>", "<main><div class=content><h1>Title</h1><p>{0}</p>{1}<p>{0}</p></div></main>"])
+def test_html_inside_an_article(trees, own, heart):
+    page = FRAME.format(heart.format(T, own))
+    want = "\n".join(x for x in ("Title", T.strip(), INSIDE[own], T.strip()) if x)
+    assert html_extract.extract_pages([page], trees) == [want]
+
+
+def test_html_raw_elements_end_or_take_the_rest(trees):
+    def text(source):
+        page = html_extract.parse(source)
+        return html_extract.kept_text(page, [True] * len(page.tag))
+
+    for name in ("script", "style", "textarea", "title"):
+        assert text(f"<p>a</p><{name}>b<p>c</p>") == "a"
+    for name in ("svg", "template", "iframe", "object", "canvas"):
+        assert text(f"<p>a</p><{name}>b<p>c</p>") == "a\nb\nc"
+        assert text(f"<p>a</p><{name}>b</{name}><p>c</p>") == "a\nc"
+
+
 def test_html_of_other_templates(trees):
     assert html_extract.extract_pages(list(PAGES), trees) == list(PAGES.values())
 
