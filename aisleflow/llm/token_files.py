@@ -233,7 +233,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, folder: str | N
                 f.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "stem": [stem], "docs": [n_docs], "tokens": [n_tokens], "dtype": [encoder.dtype.str]})
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange("doc_id") \
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange("doc_id", "h") \
         .sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     manifest = sorted(rows.mapInArrow(run, "part long, stem string, docs long, tokens long, dtype string").collect())
     bases = np.concatenate(([0], np.cumsum([m["tokens"] for m in manifest], dtype=np.int64)))

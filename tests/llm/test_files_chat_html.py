@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import tokenizers
 
 from aisleflow.llm import chat, html_extract, token_files
 from aisleflow.llm.common import table
@@ -62,6 +63,23 @@ def test_token_files_edge_cases(spark, docs, none):
     assert token_files.read(spark, token_files.write(none, path), "bigint").count() == 0
 
 
+def test_token_files_of_a_hot_id(spark):
+    """A third of the rows with one id, another third without any: the file holds every text once, in order of id, and
+    several tasks share the rows of one id."""
+    rows = [(7, f"text {i}") for i in range(300)] + [(None, f"none {i}") for i in range(300)] + [(10 + i, "x") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    data = token_files.write(docs, tokenizer_path())
+    got = token_files.read(spark, data, "bigint", with_ids=True).collect()
+    tok = tokenizers.Tokenizer.from_file(tokenizer_path())
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    got = sorted(got, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [r[0] for r in sorted(rows, key=key)]
+    assert [r["start"] for r in got] == [sum(r["n_tokens"] for r in got[:i]) for i in range(len(got))]
+    texts = sorted((str(r["doc_id"]), tok.decode(np.frombuffer(r["ids"], "<u4")[:-1].tolist())) for r in got)
+    assert texts == sorted((str(i), t) for i, t in rows)
+    assert max(p[2] for p in data.parts) < 600
+
+
 def test_token_query_against_the_tokenizer(spark, sf):
     rows = table(spark, sf, "documents").orderBy("doc_id").select("doc_id", "text").collect()
     want, start = [], 0
