@@ -3,8 +3,8 @@
 1. Fingerprints: 64 bits per document from all its word shingles (``shingle``
    words, repeats included); a bit is set if it is set in over half the hashes.
 2. Equal fingerprints collapse to one row (partial aggregation on the map side).
-3. A vantage-point tree is grown on a bounded sample of the distinct
-   fingerprints: a node has a vantage point v and a radius m; ``distance <= m``
+3. A vantage-point tree is grown on a sample of the distinct fingerprints, which follows
+   the number of its leaves: a node has a vantage point v and a radius m; ``distance <= m``
    is inside.  The number of leaves follows the number of fingerprints, so that
    a leaf holds about ``leaf_size`` of them.
 4. Every fingerprint walks down the tree.  By the triangle inequality two
@@ -43,8 +43,10 @@ class SimHashConfig:
     max_bits: int = 2
     #: Fingerprints a leaf of the shared tree should hold.
     leaf_size: int = 4000
-    #: Bound of the sample on which the shared tree is grown.
+    #: Fingerprints on which the shared tree is grown: as many as this, or ``sample_per_leaf`` for
+    #: each of its leaves if that is more (so ``max_tree_bytes`` bounds it too).
     sample: int = 100_000
+    sample_per_leaf: int = 8
     max_tree_bytes: int = 64 << 20
 
 
@@ -214,7 +216,7 @@ def links(fps: DataFrame, cfg: SimHashConfig = SimHashConfig(), forest: bool = F
     if 10 << depth > cfg.max_tree_bytes:
         raise ValueError(f"{n} fingerprints need a tree of {10 << depth} bytes; raise leaf_size or max_tree_bytes")
     # a seeded hash decides on the sample: the share is exact on average
-    share = min(1.0, cfg.sample / max(1, n))
+    share = min(1.0, max(cfg.sample, cfg.sample_per_leaf << depth) / max(1, n))
     sampled = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else distinct
     sample = np.sort(sampled.toArrow().column("fp").to_numpy().view(np.uint64))
     points, radii = grow_tree(sample, depth)
