@@ -9,11 +9,12 @@ driver samples, hold the first two only, so they stay small however long the tex
 with one long beginning still spread.  This range partitioning already satisfies the window,
 so there is one shuffle of the texts.
 
-A group of copies may hold a third of all rows.  A bounded sample of hashes
-(about ``sample`` rows, drawn at random) shows which texts recur: a text
-with ``heavy`` or more sampled rows gets a salt as second sort key, so its rows are spread
-over ``salts`` runs of the sort.  There are at most ``sample / heavy`` such texts
-(their hashes are broadcast).  Each run is reduced to one row, and the runs are
+A group of copies may hold a third of all rows.  A sample of hashes (about ``sample`` rows,
+drawn at random, or more where that would see less than ``2 * heavy`` of ``rows_per_task`` copies)
+shows which texts recur: a text with ``heavy`` or more sampled rows gets a salt as second sort
+key, so its rows are spread over ``salts`` runs of the sort, or over as many as its
+estimated rows fill tasks.  There are at most ``sample / heavy``, or two in ``rows_per_task`` rows,
+such texts (their hashes are broadcast).  Each run is reduced to one row, and the runs are
 merged by whole text.  A wrong guess changes the work, not the result.
 
 Defined results: null counts as the empty text.  Repeated rows count, and if the
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aisleflow.llm.common import ascii_lower, cut
+from aisleflow.operators.skew import ROWS_PER_TASK
 
 
 @dataclass(frozen=True)
@@ -41,14 +43,17 @@ class ExactDedupConfig:
     sample: int = 20_000
     heavy: int = 20
     salts: int = 64
+    #: Copies that one run should hold at most.
+    rows_per_task: int = ROWS_PER_TASK
 
 
 def heavy_hashes(docs: DataFrame, norm: Column, cfg: ExactDedupConfig) -> DataFrame:
-    """Hashes of texts that recur in the sample."""
+    """(heavy_hash, salts) of texts that recur in the sample."""
     n = docs.count()
-    share = min(1.0, cfg.sample / max(1, n))
+    share = min(1.0, max(cfg.sample / max(1, n), 2 * cfg.heavy / cfg.rows_per_task))
+    runs = F.ceil(F.col("count") / F.lit(share * cfg.rows_per_task)).cast("int")
     return docs.where(F.rand(17) < share).select(F.xxhash64(norm).alias("heavy_hash")).groupBy("heavy_hash").count() \
-        .where(F.col("count") >= cfg.heavy).select("heavy_hash")
+        .where(F.col("count") >= cfg.heavy).select("heavy_hash", F.greatest(F.lit(cfg.salts), runs).alias("salts"))
 
 
 def equal_texts(docs: DataFrame, norm: Column, cfg: ExactDedupConfig = ExactDedupConfig()) -> DataFrame:
@@ -58,7 +63,7 @@ def equal_texts(docs: DataFrame, norm: Column, cfg: ExactDedupConfig = ExactDedu
     rows = docs.select("doc_id", norm.alias("norm")).withColumn("hash", F.xxhash64("norm")) \
         .join(heavy, F.col("hash") == F.col("heavy_hash"), "left")
     is_heavy = F.col("heavy_hash").isNotNull()
-    salt = F.when(is_heavy, F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("salt")), F.lit(cfg.salts))).otherwise(F.lit(-1))
+    salt = F.when(is_heavy, F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("salt")), F.col("salts").cast("long"))).otherwise(F.lit(-1))
     ordered = rows.select("doc_id", "norm", F.substring("norm", 1, cfg.prefix).alias("begin"), "hash", salt.cast("int").alias("salt")) \
         .repartitionByRange("begin", "hash", "salt")
     # neighbours with the same whole text and salt
@@ -72,7 +77,7 @@ def equal_texts(docs: DataFrame, norm: Column, cfg: ExactDedupConfig = ExactDedu
     runs = cut(runs.withColumn("norm", F.when(F.col("nth") == 1, F.col("norm"))).drop("nth"), "runs")
     merged = runs.where("norm is not null").groupBy("norm").agg(
         best("best").alias("all_best"), F.sum("n").alias("all_n"), F.first("text_sha256").alias("sha"))
-    merged = F.broadcast(cut(merged.drop("norm"), "merged"))  # at most sample / heavy rows
+    merged = F.broadcast(cut(merged.drop("norm"), "merged"))  # one row a heavy text
     light = runs.where("salt < 0").select("doc_id", F.col("best").alias("keep_id"), F.col("n").alias("group_size"), "text_sha256")
     salted = runs.where("salt >= 0").join(merged, F.col("text_sha256") == F.col("sha")).select(
         "doc_id", F.col("all_best").alias("keep_id"), F.col("all_n").alias("group_size"), "text_sha256")

@@ -224,3 +224,34 @@ def test_exact_dedup_hot_group_is_spread(spark):
     docs = spark.range(0, 3000, 1, 6).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("Copy")).otherwise(F.concat(F.lit("t"), "id")).alias("text"))
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert sorted((tuple(r) for r in exact_dedup.exact_dedup(docs).collect()), key=str) == brute_exact(rows, False)
+
+
+def test_salts_follow_the_copies(spark):
+    """The sample sees every text of more rows than a task should hold, and its runs follow its rows."""
+    rows = [(i, "hot text") for i in range(4000)] + [(4000 + i, "warm") for i in range(700)] + [(9000 + i, f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    cfg = exact_dedup.ExactDedupConfig(sample=100, salts=2, rows_per_task=200)
+    heavy = {r["heavy_hash"]: r["salts"] for r in exact_dedup.heavy_hashes(docs, F.col("text"), cfg).collect()}
+    hashes = {r["text"]: r["h"] for r in docs.where("text in ('hot text', 'warm')").select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    assert set(heavy) == set(hashes.values()) and 15 <= heavy[hashes["hot text"]] <= 25 and 2 <= heavy[hashes["warm"]] <= 6
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup(docs, cfg).collect()}
+    assert all(got[i] == (0, 4000, i == 0) for i in range(4000)) and all(got[4000 + i] == (4000, 700, i == 0) for i in range(700))
+    assert all(got[9000 + i] == (9000 + i, 1, True) for i in range(3000))
+
+
+def test_shared_tree_of_many_leaves_is_even(spark):
+    """The sample follows the leaves, so that none holds many times the mean; the pairs are those of brute force."""
+    rng = np.random.default_rng(5)
+    fps = rng.integers(0, 1 << 63, 40_000, dtype=np.uint64)
+    depth = 10
+    own = np.sort(fps[rng.permutation(len(fps))[:8 << depth]])
+    points, radii = simhash.grow_tree(own, depth)
+    _, leaves = simhash.route(fps, points, radii, 2)
+    sizes = np.bincount(leaves - leaves.min())
+    assert sizes.max() < 10 * sizes[sizes > 0].mean()
+    near = np.concatenate([fps[:300], fps[:100] ^ np.uint64(5), fps[50:90] ^ np.uint64(1 << 40)])
+    frame = spark.createDataFrame([(int(x),) for x in near.view(np.int64)], "fp long").distinct()
+    got = {tuple(sorted((r["a"], r["b"]))) for r in simhash.links(frame, simhash.SimHashConfig(leaf_size=4, sample=10)).collect()}
+    values = sorted({int(x) for x in near.view(np.int64)})
+    want = {(a, b) for i, a in enumerate(values) for b in values[i + 1:] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert got == want and len(want) >= 140
