@@ -21,7 +21,7 @@ def label_index(df: DataFrame, column: str, *, order: str = "frequencyDesc") ->
     class after the aggregate); more than ``MAX_CLASSES`` raise an error.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("n"))
+        F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1)  # no window sees more; one too many raises
     many = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
     if order == "frequencyDesc":
         w = Window.orderBy(F.desc("n"), F.asc(column))

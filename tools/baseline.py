@@ -22,6 +22,8 @@ from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StopWordsRemover
 from pyspark.ml.fpm import FPGrowth  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from aisleflow.operators import baskets as B  # noqa: E402
+from aisleflow.plans import models as M  # noqa: E402
 from aisleflow.plans import queries as Q  # noqa: E402
 from aisleflow.session import build_session  # noqa: E402
 
@@ -54,34 +56,34 @@ def main() -> None:
     def classify(est):
         return accuracy.evaluate(Pipeline(stages=text + [est]).fit(train).transform(test))
 
-    timed("naive Bayes", lambda: classify(NaiveBayes(smoothing=1.0)))
-    timed("logistic", lambda: classify(LogisticRegression(family="multinomial", maxIter=10, regParam=0.1, elasticNetParam=1e-5)))
+    timed("naive Bayes", lambda: classify(NaiveBayes(**M.NB_PARAMS)))
+    timed("logistic", lambda: classify(LogisticRegression(family="multinomial", **M.LOGREG)))
     docs = cached(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("text").alias("pr_content")))
 
     def topics():
         words = [text[0], StopWordsRemover(inputCol="w", outputCol="s"), CountVectorizer(inputCol="s", outputCol="features", vocabSize=1 << 20)]
         feats = Pipeline(stages=words).fit(docs).transform(docs).select("features").cache()
-        return LDA(k=4, maxIter=100, seed=1).fit(feats)
+        return LDA(seed=1, **M.LDA_PARAMS).fit(feats)
     timed("LDA k=4, 100 iterations", topics)
     points = cached(VectorAssembler(inputCols=Q.PIVOT_FEATURES, outputCol="features").transform(Q.customer_class_pivot(spark, sf)))
     silhouette = ClusteringEvaluator()
 
     def kmeans(k):
-        return silhouette.evaluate(KMeans(k=k, initSteps=5, maxIter=20, tol=0.01, seed=1).fit(points).transform(points))
+        return silhouette.evaluate(KMeans(seed=1, **{**M.KMEANS, "k": k}).fit(points).transform(points))
     timed("k-means k=4 + silhouette", lambda: kmeans(4))
-    timed("k sweep 2..14", lambda: [kmeans(k) for k in range(2, 15)])
-    timed("Gaussian mixture", lambda: GaussianMixture(k=2, tol=0.01, seed=538009335).fit(points))
+    timed("k sweep 2..14", lambda: [kmeans(k) for k in M.KMEANS_SWEEP_KS])
+    timed("Gaussian mixture", lambda: GaussianMixture(**M.GMM).fit(points))
     clicks = cached(VectorAssembler(inputCols=Q.CLICK_FEATURES, outputCol="features").transform(Q.click_label(spark, sf)))
 
     def click(est):
         return accuracy.evaluate(est.fit(clicks).transform(clicks))
-    timed("decision tree", lambda: click(DecisionTreeClassifier(maxDepth=7, maxBins=32)))
-    timed("linear SVC", lambda: click(LinearSVC(maxIter=10, regParam=0.001, tol=0.01)))
-    timed("multilayer perceptron", lambda: click(MultilayerPerceptronClassifier(layers=[19, 5, 2], maxIter=100, blockSize=1000, seed=1)))
+    timed("decision tree", lambda: click(DecisionTreeClassifier(**M.TREE)))
+    timed("linear SVC", lambda: click(LinearSVC(**M.SVC)))
+    timed("multilayer perceptron", lambda: click(MultilayerPerceptronClassifier(layers=[19, *M.MLP_HIDDEN, 2], **M.MLP)))
     baskets = cached(Q.brand_baskets(spark, sf))
 
     def fp():
-        m = FPGrowth(itemsCol="items", minSupport=0.01, minConfidence=0.1).fit(baskets)
+        m = FPGrowth(itemsCol="items", minSupport=B.MIN_SUPPORT, minConfidence=Q.LOW_CONFIDENCE).fit(baskets)
         return m.associationRules.count(), m.transform(baskets).write.format("noop").mode("overwrite").save()
     timed("FP-growth 1 % + rules + recommendations", fp)
     print(json.dumps({"sf": sf, "cpus": cpus, "seconds": times}))
