@@ -5,7 +5,8 @@ the tasks, sums them with one ``groupBy`` and turns them into a matrix of log
 probabilities (features x languages), which is broadcast: its size is
 ``n_features`` x languages doubles, whatever the corpus.  Scoring is the product
 of the sparse count matrix of a batch of documents with that matrix, done as a
-gather and a segmented sum in numpy.
+gather and a segmented sum in numpy.  A long text is counted in pieces, and blocks are smaller with
+many languages, so memory beyond the text itself is bounded.
 
 Defined results: a null text, or one without a letter, gives language ``und``
 with score 0.  With no labelled row at all every document gives ``und``.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from aisleflow.llm.common import ship
 
 BLOCK_CHARS = 400_000
+#: A text longer than this is counted piece by piece.
+PIECE_CHARS = 200_000
 
 
 @dataclass(frozen=True)
@@ -54,6 +57,40 @@ def _letter_table() -> np.ndarray:
     return table
 
 
+def _points(padded: str) -> np.ndarray:
+    return _letter_table()[np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
+def _grams(points: np.ndarray, n_features: int) -> np.ndarray:
+    """Numbers of the 2-grams and 3-grams (two rows) from each position but the last two; a gram of spaces
+    alone has the number ``n_features``."""
+    a, b, c = points[:-2], points[1:-1], points[2:]
+    two = a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA6B)
+    three = two * np.uint32(0x01000193) ^ c * np.uint32(0xC2B2AE35)
+    shift = np.uint32(32 - int(n_features).bit_length() + 1)
+    out = np.stack([(two * np.uint32(0x27D4EB2F)) >> shift, (three * np.uint32(0x165667B1)) >> shift]).astype(np.int32)
+    blank2 = (a == 32) & (b == 32)
+    out[0][blank2] = n_features
+    out[1][blank2 & (c == 32)] = n_features
+    return out
+
+
+def long_grams(text: str, n_features: int):
+    """(grams, letters) of pieces of a text, which together are those of ``gram_features``: each
+    piece holds the two characters after it, so no gram is lost or counted twice."""
+    padded = f" {text.lower()}  "
+    last = len(padded) - 2
+    for lo in range(0, last, PIECE_CHARS):
+        hi = min(lo + PIECE_CHARS, last)
+        points = _points(padded[lo:hi + 2])
+        yield _grams(points, n_features), int((points[:hi - lo] != 32).sum())
+
+
+def _block_chars(languages: int) -> int:
+    """Characters of a block: fewer with many languages, as each character gathers a number for each."""
+    return max(PIECE_CHARS // 16, BLOCK_CHARS * 8 // max(8, languages))
+
+
 def gram_features(texts: list[str], n_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed 2- and 3-grams of a batch: (features, segment bounds, letters).
 
@@ -63,19 +100,12 @@ def gram_features(texts: list[str], n_features: int) -> tuple[np.ndarray, np.nda
     """
     lowered = [t.lower() for t in texts]
     joined = "".join(f" {t}  " for t in lowered)
-    points = _letter_table()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    points = _points(joined)
     lengths = np.fromiter((len(t) for t in lowered), np.int64, len(lowered))
     starts = np.concatenate(([0], np.cumsum(lengths + 3)[:-1]))
     bounds = np.empty(2 * len(lowered), np.int64)
     bounds[0::2], bounds[1::2] = starts, starts + lengths + 1
-    a, b, c = points[:-2], points[1:-1], points[2:]
-    two = a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA6B)
-    three = two * np.uint32(0x01000193) ^ c * np.uint32(0xC2B2AE35)
-    shift = np.uint32(32 - int(n_features).bit_length() + 1)
-    out = np.stack([(two * np.uint32(0x27D4EB2F)) >> shift, (three * np.uint32(0x165667B1)) >> shift]).astype(np.int32)
-    blank2 = (a == 32) & (b == 32)
-    out[0][blank2] = n_features
-    out[1][blank2 & (c == 32)] = n_features
+    out = _grams(points, n_features)
     is_letter = points != 32
     letters = np.add.reduceat(np.append(is_letter, False).astype(np.int64), bounds)[0::2]
     return out, bounds, letters
@@ -125,6 +155,12 @@ def fit(docs: DataFrame, lang: Column, train: Column, cfg: LangIdConfig = LangId
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for d in [d for d, t in enumerate(texts) if len(t) > PIECE_CHARS]:
+                own = sums.setdefault(langs[d], np.zeros(n_features + 1, np.int64))
+                for grams, _ in long_grams(texts[d], n_features):
+                    own += np.bincount(grams.ravel(), minlength=n_features + 1)
+            short = [d for d, t in enumerate(texts) if len(t) <= PIECE_CHARS]
+            texts, langs = [texts[d] for d in short], [langs[d] for d in short]
             for i, j in blocks(texts, BLOCK_CHARS):
                 feats, bounds, _ = gram_features(texts[i:j], n_features)
                 for d, k in enumerate(langs[i:j]):
@@ -155,7 +191,16 @@ def score_texts(texts: list, model: LangIdModel) -> tuple[list[str], np.ndarray]
         return names, scores
     n_features = len(model.log_prob) - 1
     whole = [t or "" for t in texts]
-    for i, j in blocks(whole, BLOCK_CHARS):
+    for d in [d for d, t in enumerate(whole) if len(t) > PIECE_CHARS]:
+        counts, letters = np.zeros(n_features + 1, np.int64), 0
+        for grams, n in long_grams(whole[d], n_features):
+            counts += np.bincount(grams.ravel(), minlength=n_features + 1)
+            letters += n
+        if letters:
+            logs = model.log_prior + counts @ model.log_prob
+            names[d], scores[d] = model.languages[int(logs.argmax())], 1.0 / np.exp(logs - logs.max()).sum()
+        whole[d] = ""
+    for i, j in blocks(whole, _block_chars(len(model.languages))):
         feats, bounds, letters = gram_features(whole[i:j], n_features)
         logs = model.log_prior + sum(_segment_sums(model.log_prob[f], bounds) for f in feats)
         best = logs.argmax(axis=1)

@@ -48,6 +48,35 @@ def test_language_score_is_multinomial_naive_bayes(spark):
     assert langid.score_texts(["zz", text, "q"], model)[1][1] == score[0]
 
 
+@pytest.mark.parametrize("piece", [1, 7, 50])
+def test_long_texts_are_counted_in_pieces(monkeypatch, piece):
+    """The same grams, letters, names and posteriors as of the whole text."""
+    rng = np.random.default_rng(2)
+    model = langid.LangIdModel(["a", "b", "c"], np.vstack([rng.normal(size=(64, 3)), np.zeros((1, 3))]), np.log([0.2, 0.3, 0.5]))
+    texts = ["Ab c, dé. Straße 12  ΣΑΣ x", "y" * 60, " 12 " * 20, "", None, "a  b", "İstanbul ve ötesi"]
+    whole = langid.score_texts(texts, model)
+    feats, bounds, letters = langid.gram_features([t or "" for t in texts], 64)
+    monkeypatch.setattr(langid, "PIECE_CHARS", piece)
+    for d, t in enumerate(texts):
+        pieces = list(langid.long_grams(t or "", 64))
+        assert np.array_equal(np.hstack([g for g, _ in pieces]), feats[:, bounds[2 * d]:bounds[2 * d + 1]])
+        assert sum(n for _, n in pieces) == letters[d]
+    got = langid.score_texts(texts, model)
+    assert got[0] == whole[0] and np.allclose(got[1], whole[1], atol=1e-12)
+
+
+def test_memory_of_a_very_long_text_is_bounded():
+    import tracemalloc
+    model = langid.LangIdModel([str(i) for i in range(100)], np.zeros((65, 100)), np.zeros(100))
+    text = "some words of it " * 1_000_000
+    langid._letter_table()
+    tracemalloc.start()
+    langid.score_texts([text, *["short text"] * 5000], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * len(text)
+
+
 def test_quality_of_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op4_quality_classifier"](spark, sf).join(table(spark, sf, "labels"), "doc_id").where("held_out")
