@@ -141,13 +141,23 @@ def format_conversations(turns: DataFrame, cfg: ChatConfig) -> DataFrame:
 
 def parse(ids: np.ndarray, tokenizer, start: int, end: int) -> list[tuple[str, str, int, int]]:
     """(role, text, first and last token of the text) of the turns in ``ids``."""
+    return parse_counted(ids, tokenizer, start, end)[0]
+
+
+def parse_counted(ids: np.ndarray, tokenizer, start: int, end: int) -> tuple[list[tuple[str, str, int, int]], int]:
+    """(turns as of ``parse``, code points of the whole formatted text): every token is decoded once."""
     begins, ends = np.flatnonzero(ids == start), np.flatnonzero(ids == end)
+    if len(begins) != len(ends) or np.any(begins >= ends) or np.any(ends[:-1] >= begins[1:]):
+        raise ValueError("the marks of the turns do not alternate")
     decoded = tokenizer.decode_batch([ids[a + 1:b].tolist() for a, b in zip(begins, ends)], skip_special_tokens=False)
+    # what lies outside of the turns: line ends after them
+    outside = [ids[a:b].tolist() for a, b in zip(np.concatenate(([0], ends + 1)), np.append(begins, len(ids)))]
+    chars = sum(map(len, decoded)) + sum(map(len, tokenizer.decode_batch([x for x in outside if x], skip_special_tokens=False)))
     out = []
     for text, a, b in zip(decoded, begins, ends):
         role, _, body = text.partition("\n")
         out.append((unescape_role(role), unescape(body), int(a), int(b)))
-    return out
+    return out, chars + len(begins) * (len(START) + len(END))
 
 
 def render(ids: np.ndarray, tokenizer, start: int, end: int) -> str:
@@ -190,7 +200,7 @@ def digests(formatted: DataFrame, cfg: ChatConfig) -> DataFrame:
                         out.append(closed())
                     now = {"conv": conv_id, "n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0}
                 ids = np.frombuffer(raw, "<u4")
-                turns = parse(ids, tokenizer, start, end)
+                turns, chars = parse_counted(ids, tokenizer, start, end)
                 for role, text, _, _ in turns:
                     now["turns"].update(f"{role}\n{text}\n".encode())
                 now["n"] += len(turns)
@@ -199,7 +209,7 @@ def digests(formatted: DataFrame, cfg: ChatConfig) -> DataFrame:
                     text = unescape(text)
                     now["loss"].update(text.encode())
                     now["loss_chars"] += len(text)
-                now["chars"] += len(render(ids, tokenizer, start, end))
+                now["chars"] += chars
             if len(out) >= 1000:
                 yield batch_of(out, conv_type)
                 out = []
