@@ -6,19 +6,23 @@ shingles of ``shingle`` words (of the whole window when it is shorter).  A
 window occurs in a document only if all its shingles do (containment 1), so the
 necessary prefix of a window is its one rarest shingle.
 
-1. Every shingle of every window is counted over all documents (one row per
-   task and shingle, summed by ``groupBy``): its rarity.
-2. Each window is indexed under its rarest shingle, with the shingle's offset.
-3. Documents look their shingles up.  A hit proposes ``start = position -
-   offset``; the positional bound ``start >= 0`` and the length bound ``start +
+1. Items become a table of distinct (item, window) rows with the 64-bit keys of their shingles.
+2. One pass over all documents counts the shingles whose key is in a bitmap of the
+   benchmark's keys (at most ``max_bits`` bits, broadcast): their rarity.  A task adds up in at most ``tally_rows`` rows.
+3. A join by key gives each window its rarest shingle and that shingle's offset.  Windows with a shingle that
+   no document has cannot occur and are left out.  Two shingles with one key share a count, which
+   can change which shingle is taken for the rarest, but no result.
+4. Windows are indexed under the words of their rarest shingle; documents look their shingles up.  A hit proposes
+   ``start = position - offset``; the positional bound ``start >= 0`` and the length bound ``start +
    len(window) <= n_words`` must hold, and then the words are compared one by
    one, so every reported occurrence is exact.
 
-The items are a stated query set.  They are joined in blocks of about
-``block_bytes`` of text, each block in a pass of its own over all documents, so what is
-sent to a task stays bounded whatever the size of the benchmark.  Between passes the
+Steps 1 to 3 are tables on the cluster.  The items are a stated query set: in step 4 their windows are taken in
+blocks of about ``block_bytes``, by a hash of (item, window), so that neither a long item nor a window of many items
+makes a block larger.  Only the index of one block is on the driver and in a task at a time, whatever the size of the
+benchmark.  Each block is a pass over all documents.  Between passes the
 documents are written to the shared folder with the hits so far, which later passes extend.
-A benchmark of one block (the usual case) is one pass and writes nothing.
+A benchmark of one block (the usual case) is one pass after that of step 2 and writes no documents.
 
 Defined results: null and empty texts have no words and no hits.  Items without
 words have no windows; rows with a null item id still mark words as hit but are
@@ -30,18 +34,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aisleflow.llm.common import binary_values, cut, ship
+from aisleflow.llm.phrases import bitmap_of, in_bitmap, phrase_hashes
+from aisleflow.operators.skew import ROWS_PER_TASK, share_join
 
 
 @dataclass(frozen=True)
 class DecontaminateConfig:
     window: int = 10
     shingle: int = 3
-    #: Bound of the item text in one block (about ten times as much in memory).
-    block_bytes: int = 4 << 20
+    #: Bound of the windows in one block (about ten times as much in memory).
+    block_bytes: int = 16 << 20
+    #: Bits of the bitmap of shingle keys: 16 for each key, at most this many.
+    max_bits: int = 1 << 27
+    #: Distinct shingles that a task counts before it passes their counts on.
+    tally_rows: int = 1 << 19
+    rows_per_task: int = ROWS_PER_TASK
 
 
 _WORD = set(range(48, 58)) | set(range(97, 123)) | set(range(128, 256))
@@ -53,15 +66,34 @@ def words(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
-def windows(item: list[bytes], size: int) -> list[tuple[bytes, ...]]:
-    if not item:
-        return []
-    return [tuple(item[i:i + size]) for i in range(max(1, len(item) - size + 1))]
+#: Words whose hash a task keeps, and the length of a kept word.
+_MAX_WORDS, _MAX_WORD = 200_000, 48
 
 
-def shingles(window: tuple[bytes, ...], size: int) -> list[tuple[bytes, ...]]:
-    k = min(size, len(window))
-    return [window[i:i + k] for i in range(len(window) - k + 1)]
+class WordHashes(dict):
+    """XXH64 of words, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= _MAX_WORD:
+            if len(self) >= _MAX_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+    def of(self, many: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, many), np.uint64, len(many))
+
+
+def shingle_keys(hashes: np.ndarray, sizes) -> dict[int, np.ndarray]:
+    """{size: 64-bit keys of the shingles of that many words, by first word}"""
+    out, keys = {}, hashes
+    for n in range(1, max(sizes, default=0) + 1):
+        if n > 1:
+            keys = phrase_hashes(hashes, keys, n)
+        if n in sizes:
+            out[n] = keys
+    return out
 
 
 def shingle_index(entries) -> dict:
@@ -83,55 +115,107 @@ def lookups(doc: list[bytes], index: dict):
                     yield at, value
 
 
-def item_blocks(items: DataFrame, cfg: DecontaminateConfig):
-    """Distinct (item id, words) of the benchmark, in blocks of bounded bytes;
-    read partition by partition, so the driver holds one block at a time."""
-    rows = items.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).where("text is not null").distinct()
-    block, size = [], 0
-    for item_id, text in rows.toLocalIterator():
-        block.append((item_id, words(bytes(text))))
-        size += len(text)
-        if size >= cfg.block_bytes:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def item_windows(items: DataFrame, cfg: DecontaminateConfig) -> DataFrame:
+    """Distinct (item_id, window as words between spaces, size of its shingles, their keys in order)."""
+    ship(items.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
 
+        hashes = WordHashes()
+        rows: list = []
 
-def rarity(docs: DataFrame, block: list, cfg: DecontaminateConfig) -> dict:
-    """How often each shingle of the block's windows occurs over all documents."""
-    known = sorted({s for _, item in block for w in windows(item, cfg.window) for s in shingles(w, cfg.shingle)})
-    shared = docs.sparkSession.sparkContext.broadcast(shingle_index((s, i) for i, s in enumerate(known)))
+        def taken():
+            ids, texts, sizes, keys = zip(*rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.string()), pa.array(texts, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["item_id", "window", "size", "keys"])
+
+        for batch in batches:
+            for item_id, text in zip(batch.column(0).to_pylist(), binary_values(batch.column(1))):
+                item = words(text)
+                if not item:
+                    continue
+                n = min(cfg.window, len(item))
+                k = min(cfg.shingle, n)
+                keys = shingle_keys(hashes.of(item), {k})[k].view(np.int64)
+                for i in range(len(item) - n + 1):
+                    rows.append((item_id, b" ".join(item[i:i + n]), k, keys[i:i + n - k + 1]))
+                    if len(rows) >= 4096:
+                        yield taken()
+                        rows = []
+        if rows:
+            yield taken()
+
+    rows = items.select(F.col("item_id").cast("string"), F.col("text").cast("string")).where("text is not null").distinct()
+    return rows.mapInArrow(run, "item_id string, window binary, size int, keys array<long>").distinct()
+
+
+def rarity(docs: DataFrame, loads: DataFrame, sizes: set[int], cfg: DecontaminateConfig) -> DataFrame:
+    """(key, n): how often the shingles with the keys of ``loads`` occur over all documents.  With a full
+    bitmap there are counts of other shingles too."""
+    spark = docs.sparkSession
+    bitmap = spark.sparkContext.broadcast(bitmap_of(loads.select("key"), cfg))
 
     def count(batches):
         import pyarrow as pa
-        from collections import Counter
 
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in binary_values(batch.column(0)):
-                if text:
-                    seen.update([i for _, i in lookups(words(text), shared.value)])
-        yield pa.RecordBatch.from_pydict({"shingle": pa.array(list(seen), pa.int32()), "n": pa.array(list(seen.values()), pa.int64())})
+        hashes = WordHashes()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
-    counted = docs.select("text").mapInArrow(count, "shingle int, n long").groupBy("shingle").agg(F.sum("n").alias("n")).toArrow()
-    freq = dict(zip(counted.column("shingle").to_pylist(), counted.column("n").to_pylist()))
-    return {s: freq.get(i, 0) for i, s in enumerate(known)}
+        def added():
+            key, counts = (np.concatenate(x) for x in zip(*held))
+            whole, where = np.unique(key, return_inverse=True)
+            return whole, np.bincount(where, counts, len(whole)).astype(np.int64)
 
+        def out(whole):
+            return pa.RecordBatch.from_arrays([pa.array(whole[0].view(np.int64)), pa.array(whole[1])], names=["key", "n"])
 
-def prefix_index(block: list, freq: dict, cfg: DecontaminateConfig) -> dict:
-    """Each window under its rarest shingle: (offset, window, item ids).  Windows
-    with a shingle that no document has cannot occur and are left out."""
+        for batch in batches:
+            for text in binary_values(batch.column(0)):
+                if not text:
+                    continue
+                for keys in shingle_keys(hashes.of(words(text)), sizes).values():
+                    keys = keys[in_bitmap(bitmap.value, keys)]
+                    if len(keys):
+                        held.append((keys, np.ones(len(keys), np.int64)))
+                        size += len(keys)
+                if size >= 2 * cfg.tally_rows:
+                    held = [added()]
+                    size = len(held[0][0])
+                    if size >= cfg.tally_rows:
+                        yield out(held[0])
+                        held, size = [], 0
+        if held:
+            yield out(added())
+
+    return docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def prefixes(windows: DataFrame, docs: DataFrame, cfg: DecontaminateConfig) -> DataFrame:
+    """(item_id, window, size, offset of the rarest shingle, deal) of the windows that can occur; ``deal`` is a hash
+    of the row, in order of which blocks are cut."""
+    shingles = windows.select("item_id", "window", "size", F.size("keys").alias("n_keys"), F.posexplode("keys").alias("offset", "key"))
+    loads = windows.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("load"))
+    sizes = set(windows.agg(F.collect_set("size")).first()[0])
+    counts = rarity(docs, loads, sizes, cfg)
+    met = share_join(shingles, counts, ["key"], "load", F.struct("item_id", "window"), cfg.rows_per_task, loads=loads)
+    rarest = met.groupBy("item_id", "window", "size", "n_keys").agg(F.count("*").alias("met"), F.min(F.struct("n", "offset")).alias("rarest"))
+    return rarest.where("met = n_keys").select("item_id", "window", "size", F.col("rarest.offset").alias("offset"),
+                                               F.xxhash64("item_id", "window").alias("deal"))
+
+
+def prefix_index(block: DataFrame) -> dict:
+    """The windows of a block under the words of their rarest shingle: (offset, window, item ids)."""
     owners: dict[tuple, set] = {}
-    for item_id, item in block:
-        for w in windows(item, cfg.window):
-            owners.setdefault(w, set()).add(item_id)
+    for item_id, window, size, offset in block.select("item_id", "window", "size", "offset").toLocalIterator():
+        owners.setdefault((bytes(window), size, offset), set()).add(item_id)
+    same: dict[bytes, bytes] = {}  # one object for each word
     entries = []
-    for w in sorted(owners):
-        own = shingles(w, cfg.shingle)
-        offset = min(range(len(own)), key=lambda i: (freq[own[i]], i))
-        if freq[own[offset]]:
-            entries.append((own[offset], (offset, list(w), frozenset(owners[w]))))
+    for (window, size, offset), ids in sorted(owners.items()):
+        w = [same.setdefault(x, x) for x in window.split(b" ")]
+        entries.append((tuple(w[offset:offset + size]), (offset, w, frozenset(ids))))
     return shingle_index(entries)
 
 
@@ -161,13 +245,14 @@ def passes(docs: DataFrame, items: DataFrame, cfg: DecontaminateConfig):
     """(broadcast prefix index, whether it is the last) of every block of the items;
     at least one, if only of no items."""
     spark = docs.sparkSession
-    ship(spark)
-    blocks = item_blocks(items, cfg)
-    block = next(blocks, [])
-    while block is not None:
-        after = next(blocks, None)
-        yield spark.sparkContext.broadcast(prefix_index(block, rarity(docs, block, cfg), cfg)), after is None
-        block = after
+    windows = cut(item_windows(items, cfg), "windows")
+    ready = cut(prefixes(windows, docs, cfg).sortWithinPartitions("deal"), "prefixes")
+    total = ready.agg(F.sum(F.octet_length("window") + F.coalesce(F.octet_length("item_id"), F.lit(0)))).first()[0] or 0
+    n = max(1, -(-total // cfg.block_bytes))
+    for i in range(n):
+        least, most = (-(1 << 63) + (j << 64) // n for j in (i, i + 1))
+        block = ready.where(F.col("deal").between(least, most - 1))
+        yield spark.sparkContext.broadcast(prefix_index(block)), i == n - 1
 
 
 _RANGES = "array<struct<start: int, end: int>>"

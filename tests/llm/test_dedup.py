@@ -170,7 +170,7 @@ def brute_hits(docs, items, size=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_bytes", [4 << 20, 50])
+@pytest.mark.parametrize("block_bytes", [4 << 20, 1500])
 def test_decontamination_edge_cases(spark, docs, none, block_bytes):
     long = " ".join(words(nasty.texts()[22])[20:60])
     items = [(1, long), (1, long), (2, long.upper() + "!"), (3, None), (4, ""), (5, "a"), (None, "the thing"), (6, "absent words never seen"),
@@ -197,6 +197,30 @@ def test_decontamination_repeated_words_and_overlaps(spark):
     assert (got["doc_id"], got["n_words"], sum(x["end"] - x["start"] for x in got["hit_ranges"]), got["item_ids"]) == want
 
 
+def test_decontamination_tables(spark):
+    """Blocks, counts passed on early and spread keys change no result."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)] + ["the"] * 60
+    text = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    passages = [text(14) for _ in range(30)]
+    items = [(i, rng.choice(passages) + " " + text(8)) for i in range(40)] + [(900 + i, passages[0]) for i in range(20)] + [(990, " ".join(passages))]
+    rows = [(i, text(rng.randint(0, 30)) + " " + " ".join(rng.sample(passages, rng.randint(0, 3)))) for i in range(120)] + [(7, passages[0]), (None, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_hits(rows, items)
+    for cfg in (decontaminate.DecontaminateConfig(),
+                decontaminate.DecontaminateConfig(block_bytes=20_000, tally_rows=10, rows_per_task=5)):
+        found = decontaminate.find(docs, bench, cfg).collect()
+        got = [(r["doc_id"], r["n_words"], sum(x["end"] - x["start"] for x in r["hit_ranges"]), r["item_ids"]) for r in found]
+        assert sorted(got, key=str) == want
+    sizes = []
+    for index, last in decontaminate.passes(docs, bench, decontaminate.DecontaminateConfig(block_bytes=4000)):
+        # what one pass holds: about a block, though one item has all passages and one passage is in twenty items
+        sizes.append(sum(len(b" ".join(w)) * len(ids) for by_size in index.value.values() for _, rests in by_size
+                         for values in rests.values() for _, w, ids in values))
+    assert len(sizes) > 5 and last and max(sizes) < 8000
+
+
 def brute_exact(rows, largest):
     groups = collections.defaultdict(list)
     for doc_id, text in rows:
