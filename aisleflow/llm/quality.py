@@ -17,7 +17,8 @@ the sample, which is ordered by a hash of the id.
 
 A text's score does not hang on the texts that are scored with it, nor on the partitioning: the entries of
 both matrix products are first rounded to whole multiples of a power of two, small
-enough that every sum of products is exact in doubles, in whatever order it is added.  Extra columns are not read by ``score``;
+enough that every sum of products is exact in doubles, in whatever order it is added.  A text longer than
+``BLOCK_CHARS`` is counted in pieces, with the same counts.  Extra columns are not read by ``score``;
 ``keep_good`` passes them through.
 """
 
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,47 +75,136 @@ def _class_table() -> np.ndarray:
     return out
 
 
+#: (classes, multiplier) of the n-grams of classes.
+_SHAPES = ((2, 0x9E3779B1), (4, 0x85EBCA6B))
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _kinds(points: np.ndarray) -> np.ndarray:
+    return _class_table()[np.minimum(points, 0x250)]
+
+
+def _shape_slots(kinds: np.ndarray, size: int, salt: int) -> np.ndarray:
+    """Slots of the n-grams of ``size`` classes; runs of one class are collapsed already."""
+    m = max(0, len(kinds) - size + 1)
+    h = np.zeros(m, np.uint32)
+    for i in range(size):
+        h = h * np.uint32(67) + kinds[i:m + i]
+    return (size // 4) * 512 + ((h * np.uint32(salt)) >> np.uint32(23)).astype(np.int64)
+
+
+def _letter_slots(points: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Slots of the letter 3-grams, whatever their case."""
+    low = np.where(kind == 2, points | 32, points)
+    h = (low[:-2] * np.uint32(0x9E3779B1) ^ low[1:-1] * np.uint32(0x85EBCA6B)) * np.uint32(0x01000193) ^ low[2:]
+    return ((h * np.uint32(0x27D4EB2F)) >> np.uint32(22)).astype(np.int64)
+
+
+def _word_shares(words: int, twice: int, distinct: int) -> tuple[float, float]:
+    """Shares as counts out of 100, so that the length of a text does not hide them."""
+    return 100.0 * twice / words, 100.0 * (words >= 8) * max(0.0, 0.5 - distinct / words)
+
+
+def word_runs(parts):
+    """The words of a text, given as parts in order, in one list for each part (and the last word)."""
+    open_word: list[str] = []
+    for part in parts:
+        words = part.split()
+        if open_word and part and (not words or part[0].isspace()):
+            yield ["".join(open_word)]
+            open_word = []
+        if not words:
+            continue
+        goes_on = not part[-1].isspace()
+        if open_word:
+            open_word.append(words[0])
+            if len(words) == 1 and goes_on:
+                continue
+            words[0], open_word = "".join(open_word), []
+        if goes_on:
+            open_word = [words.pop()]
+        yield words
+    if open_word:
+        yield ["".join(open_word)]
+
+
+def long_term_counts(text: str, piece: int = BLOCK_CHARS) -> np.ndarray:
+    """The row of ``term_counts`` of one text, counted in pieces of ``piece`` characters: grams that begin in
+    the piece before are completed from its last classes and characters.  Of a word only its hash is kept."""
+    out = np.zeros(N_TERMS)
+    last, context = np.zeros(0, np.uint32), ""
+    words = twice = kept = 0
+    before, hashes, room = None, [], 1 << 20
+    parts = [(lo, min(lo + piece, len(text))) for lo in range(0, max(len(text), 1), piece)]
+    for lo, hi in parts:
+        new = text[lo:hi] + ("\n" if hi == len(text) else "")
+        kind = _kinds(_points(new))
+        kind = kind[np.append(not len(last) or kind[0] != last[-1], kind[1:] != kind[:-1])]
+        run = np.append(last, kind)
+        for size, salt in _SHAPES:
+            begin = max(0, len(last) - size + 1)
+            out[:SHAPE_SLOTS] += np.bincount(_shape_slots(run[begin:], size, salt), minlength=SHAPE_SLOTS)
+        last = run[-(max(size for size, _ in _SHAPES) - 1):]
+        points = _points(context + new)
+        if len(points) >= 3:
+            out[SHAPE_SLOTS:SHAPE_SLOTS + LETTER_SLOTS] += np.bincount(_letter_slots(points, _kinds(points)), minlength=LETTER_SLOTS)
+        context = (context + new)[-2:]
+    for run_of_words in word_runs(text[lo:hi] for lo, hi in parts):
+        if not run_of_words:
+            continue
+        words += len(run_of_words)
+        twice += sum(map(str.__eq__, run_of_words[1:], run_of_words)) + (run_of_words[0] == before)
+        before = run_of_words[-1]
+        hashes.append(np.unique(np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in run_of_words), np.uint64)))
+        kept += len(hashes[-1])
+        if kept > room:
+            hashes = [np.unique(np.concatenate(hashes))]
+            kept = len(hashes[0])
+            room = max(room, 2 * kept)
+    if words:
+        out[SHAPE_SLOTS + LETTER_SLOTS:][:2] = _word_shares(words, twice, len(np.unique(np.concatenate(hashes))))
+    return out
+
+
 def term_counts(texts: list[str]) -> np.ndarray:
-    """(texts, N_TERMS) counts of a block of texts."""
+    """(texts, N_TERMS) counts of a block of texts; a text longer than a block is counted in pieces."""
+    long = [i for i, t in enumerate(texts) if len(t) > BLOCK_CHARS]
+    if long:
+        out = np.zeros((len(texts), N_TERMS), np.float32)
+        rest = [i for i, t in enumerate(texts) if len(t) <= BLOCK_CHARS]
+        if rest:
+            out[rest] = term_counts([texts[i] for i in rest])
+        for i in long:
+            out[i] = long_term_counts(texts[i])
+        return out
     n = len(texts)
     out = np.zeros((n, N_TERMS), np.float32)
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, n)
-    points = np.frombuffer("".join(t + "\n" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = _points("".join(t + "\n" for t in texts))
     doc = np.repeat(np.arange(n, dtype=np.int64), lengths)
-    kind = _class_table()[np.minimum(points, 0x250)]
+    kind = _kinds(points)
 
     # n-grams of the sequence of classes, with runs of one class collapsed
     turn = np.append(True, (kind[1:] != kind[:-1]) | (doc[1:] != doc[:-1]))
     k, d = kind[turn], doc[turn]
-    for size, salt in ((2, 0x9E3779B1), (4, 0x85EBCA6B)):
+    for size, salt in _SHAPES:
         if len(k) >= size:
-            h = np.zeros(len(k) - size + 1, np.uint32)
-            for i in range(size):
-                h = h * np.uint32(67) + k[i:len(k) - size + 1 + i]
-            h = (h * np.uint32(salt)) >> np.uint32(23)
-            same = d[:len(h)] == d[size - 1:]
-            slot = (size // 4) * 512 + h[same].astype(np.int64)
-            out[:, :SHAPE_SLOTS] += np.bincount(d[:len(h)][same] * SHAPE_SLOTS + slot, minlength=n * SHAPE_SLOTS) \
-                .reshape(n, SHAPE_SLOTS)
-
-    # letter 3-grams, whatever their case
+            same = d[:len(k) - size + 1] == d[size - 1:]
+            slot = d[:len(same)][same] * SHAPE_SLOTS + _shape_slots(k, size, salt)[same]
+            out[:, :SHAPE_SLOTS] += np.bincount(slot, minlength=n * SHAPE_SLOTS).reshape(n, SHAPE_SLOTS)
     if len(points) >= 3:
-        low = np.where(kind == 2, points | 32, points)
-        h = (low[:-2] * np.uint32(0x9E3779B1) ^ low[1:-1] * np.uint32(0x85EBCA6B)) * np.uint32(0x01000193) ^ low[2:]
-        h = (h * np.uint32(0x27D4EB2F)) >> np.uint32(22)
         same = doc[:-2] == doc[2:]
-        out[:, SHAPE_SLOTS:SHAPE_SLOTS + LETTER_SLOTS] = np.bincount(
-            doc[:-2][same] * LETTER_SLOTS + h[same], minlength=n * LETTER_SLOTS).reshape(n, LETTER_SLOTS)
+        slot = doc[:-2][same] * LETTER_SLOTS + _letter_slots(points, kind)[same]
+        out[:, SHAPE_SLOTS:SHAPE_SLOTS + LETTER_SLOTS] = np.bincount(slot, minlength=n * LETTER_SLOTS).reshape(n, LETTER_SLOTS)
 
     extra = SHAPE_SLOTS + LETTER_SLOTS
     for i, t in enumerate(texts):
         words = t.split()
-        if not words:
-            continue
-        twice = sum(map(str.__eq__, words[1:], words))
-        # shares, as counts out of 100, so that the length of a text does not hide them
-        out[i, extra] = 100.0 * twice / len(words)
-        out[i, extra + 1] = 100.0 * (len(words) >= 8) * max(0.0, 0.5 - len(set(words)) / len(words))
+        if words:
+            out[i, extra:extra + 2] = _word_shares(len(words), sum(map(str.__eq__, words[1:], words)), len(set(words)))
     return out
 
 

@@ -173,3 +173,18 @@ def test_labels_never_come_from_held_out_rows(spark):
 def test_too_many_languages_raise(spark, docs):
     with pytest.raises(ValueError, match="languages"):
         langid.fit(docs, F.col("doc_id").cast("string"), F.lit(True), langid.LangIdConfig(max_languages=3))
+
+
+def test_quality_terms_of_long_texts():
+    """Counted in pieces of any length, a text has the counts that it has as a whole."""
+    rng = np.random.default_rng(3)
+    letters = list("abcABC  \n\t1.,é日\u2003") + ["the ", " the the "]
+    texts = ["".join(rng.choice(letters, size=n)) for n in (1, 2, 3, 50, 400)] + ["", " ", "x" * 300, " " * 300, "a b " * 90, "ab\n"]
+    for text, whole in zip(texts, quality.term_counts(texts)):
+        for piece in (1, 2, 3, 7, 100, 1000):
+            np.testing.assert_array_equal(quality.long_term_counts(text, piece).astype(np.float32), whole)
+    mixed = ["short one", "word and word " * 40_000, "another"]
+    assert len(mixed[1]) > quality.BLOCK_CHARS
+    got = quality.term_counts(mixed)
+    np.testing.assert_array_equal(got[[0, 2]], quality.term_counts(mixed[::2]))
+    np.testing.assert_array_equal(got[1], quality.long_term_counts(mixed[1], 10_000).astype(np.float32))
