@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aisleflow.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_rules, mixing, phrases, quality,
                            resharding, simhash, token_files, whitening)
-from aisleflow.llm.common import cut, held_out, table
+from aisleflow.llm.common import held_out, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +85,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
     cfg = chat.ChatConfig(tokenizer_path())
-    formatted = cut(chat.format_conversations(turns.unionByName(added), cfg), "chat")
-    return chat.digests(formatted, cfg)
+    return chat.digests(chat.format_conversations(turns.unionByName(added), cfg), cfg)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

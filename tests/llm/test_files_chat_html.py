@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 import tokenizers
+from pyspark.sql import functions as F
 
 from aisleflow.llm import chat, html_extract, token_files
 from aisleflow.llm.common import table
@@ -123,6 +124,41 @@ def test_chat_round_trip(spark, max_tokens):
     assert (len(rows) > 4) == (max_tokens == 5)
 
 
+@pytest.mark.parametrize("hot", [0, None])
+def test_chat_hot_conversation_is_many_tasks(spark, hot):
+    """A third of all turns in one conversation, half of these without a turn number: spread over tasks, whole and in order."""
+    rows = [(hot, None if i % 2 else i, "assistant" if i % 3 else "user", f"line {i * 7919 % 1000} of it") for i in range(1000)]
+    rows += [(i, t, ("user", "assistant")[t % 2], f"turn {t} of {i}") for i in range(1, 501) for t in range(4)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    cfg = chat.ChatConfig(tokenizer_path(), max_tokens=500)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        parts = chat.assemble(turns, cfg).cache()
+        formatted = chat.format_conversations(turns, cfg)
+        got = {r["conv_id"]: tuple(r)[1:] for r in chat.digests(formatted, cfg).collect()}
+        by_task = sorted(r["n"] for r in parts.groupBy("task").agg(F.sum("turns").alias("n")).collect())
+        assert parts.where(F.col("conv_id").eqNullSafe(hot)).select("task").distinct().count() > 2
+        parts.unpersist()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(by_task) > 8 and by_task[-1] < 2 * by_task[len(by_task) // 2]
+    want = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted((r[1] is not None, r[1] or 0, r[2], r[3]) for r in rows if r[0] == conv)
+        said = "".join(t for _, _, role, t in own if role == "assistant")
+        shown = sum(len(f"<|im_start|>{role}\n{t}<|im_end|>\n") for _, _, role, t in own)
+        want[conv] = (len(own), hashlib.sha256("".join(f"{role}\n{t}\n" for _, _, role, t in own).encode()).hexdigest(), len(said),
+                      hashlib.sha256(said.encode()).hexdigest(), shown)
+    assert got == want
+    parts = sorted((r for r in formatted.collect() if r["conv_id"] == hot), key=lambda r: r["part"])
+    assert [r["part"] for r in parts] == list(range(len(parts))) and [r["last"] for r in parts] == [False] * (len(parts) - 1) + [True]
+    assert [r["first_token"] for r in parts] == [sum(len(r["ids"]) // 4 for r in parts[:i]) for i in range(len(parts))]
+
+
 def test_chat_escape_is_reversible():
     for x in ("", "<", "|", "<|", "<\\|", "<\\\\|", "a<|b|>", "<<||", "\\<|", "<\\", "\\|"):
         assert chat.unescape(chat.escape(x)) == x and "<|" not in chat.escape(x)
