@@ -7,8 +7,8 @@ window occurs in a document only if all its shingles do (containment 1), so the
 necessary prefix of a window is its one rarest shingle.
 
 1. Items become a table of distinct (item, window) rows with the 64-bit keys of their shingles.
-2. One pass over all documents counts the shingles whose key is in a bitmap of the
-   benchmark's keys (at most ``max_bits`` bits, broadcast): their rarity.  A task adds up in at most ``tally_rows`` rows.
+2. One pass over all documents counts the shingles whose key is in a Bloom filter of the
+   benchmark's keys (three probes, at most ``max_bits`` bits, broadcast): their rarity.  A task adds up in at most ``tally_rows`` rows.
 3. A join by key gives each window its rarest shingle and that shingle's offset.  Windows with a shingle that
    no document has cannot occur and are left out.  Two shingles with one key share a count, which
    can change which shingle is taken for the rarest, but no result.
@@ -50,7 +50,7 @@ class DecontaminateConfig:
     shingle: int = 3
     #: Bound of the windows in one block (about ten times as much in memory).
     block_bytes: int = 16 << 20
-    #: Bits of the bitmap of shingle keys: 16 for each key, at most this many.
+    #: Bits of the filter of shingle keys: 48 for each key, at most this many (2^27 or fewer).
     max_bits: int = 1 << 27
     #: Distinct shingles that a task counts before it passes their counts on.
     tally_rows: int = 1 << 19
@@ -151,11 +151,16 @@ def item_windows(items: DataFrame, cfg: DecontaminateConfig) -> DataFrame:
     return rows.mapInArrow(run, "item_id string, window binary, size int, keys array<long>").distinct()
 
 
+#: Probes of the filter: the key without so many of its lowest bits.
+_PROBES = (0, 18, 37)
+
+
 def rarity(docs: DataFrame, loads: DataFrame, sizes: set[int], cfg: DecontaminateConfig) -> DataFrame:
-    """(key, n): how often the shingles with the keys of ``loads`` occur over all documents.  With a full
-    bitmap there are counts of other shingles too."""
+    """(key, n): how often the shingles with the keys of ``loads`` occur over all documents.  The
+    filter lets some other shingles through, whose counts meet nothing."""
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(bitmap_of(loads.select("key"), cfg))
+    probes = F.array(*(F.shiftrightunsigned("key", n) for n in _PROBES))
+    bitmap = spark.sparkContext.broadcast(bitmap_of(loads.select(F.explode(probes).alias("key")), cfg))
 
     def count(batches):
         import pyarrow as pa
@@ -177,7 +182,8 @@ def rarity(docs: DataFrame, loads: DataFrame, sizes: set[int], cfg: Decontaminat
                 if not text:
                     continue
                 for keys in shingle_keys(hashes.of(words(text)), sizes).values():
-                    keys = keys[in_bitmap(bitmap.value, keys)]
+                    for n in _PROBES:
+                        keys = keys[in_bitmap(bitmap.value, keys >> np.uint64(n))]
                     if len(keys):
                         held.append((keys, np.ones(len(keys), np.int64)))
                         size += len(keys)
