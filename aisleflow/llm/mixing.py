@@ -16,7 +16,9 @@ order of ``md5(seed:epoch:id)``, the id, and the md5 of the text.  The prefix en
 a key, which is found by two-level sums: over 4096 hash buckets of the leaf,
 then over the rows of the one bucket in which the prefix ends.  So no leaf is
 ever sorted as a whole, and documents are chosen by comparing their key with their
-leaf's, without shuffling texts.
+leaf's, in a join with one row a leaf.  That join moves no text while the leaves are few enough for
+Spark to broadcast them; with more leaves than that, texts are shuffled by leaf, and
+AQE splits the parts of a hot one.
 
 Defined results: null parts of the tree are the name ``(none)``.  Null and empty
 texts have no tokens; they are chosen like others where the prefix reaches
