@@ -29,7 +29,7 @@ from aisleflow.operators import baskets as B
 from aisleflow.operators import evaluate as ev
 from aisleflow.operators import pivots
 from aisleflow.plans import models as M
-from aisleflow.plans.cache import hold, owned
+from aisleflow.plans.cache import hold, hold_for_fit, owned
 from aisleflow.sources import sinks
 
 
@@ -62,7 +62,7 @@ def _segment_vectors(sales, items, cfg):
     feats = list(cfg.features or [f"id{c}" for c in cfg.classes])
     if cfg.include_key:
         feats = ["cid"] + feats
-    return piv, hold(M.assemble(piv, feats)), feats
+    return piv, hold_for_fit(M.assemble(piv, feats)), feats
 
 
 @job
@@ -118,7 +118,7 @@ def _labelled_reviews(reviews: DataFrame, cfg: ReviewConfig) -> tuple:
                  "pr_content").filter(F.col("label").isNotNull())
     r = with_split(r, "pr_review_id", cfg.train_buckets)
     stages, data = M.fit_text_features(r, "pr_content", F.col("split") == "train")
-    return stages, hold(data)
+    return stages, hold_for_fit(data)
 
 
 def _classify_reviews(spark, reviews, cfg, name, estimator):
@@ -219,7 +219,7 @@ def _click_data(clicks, items, cfg):
     lab = (pivots.click_label(piv, cfg.threshold) if cfg.threshold is not None
            else pivots.click_label_by_mean(piv))
     feats = [c for c in lab.columns if c.startswith("clicks_in_")]
-    data = hold(with_split(M.assemble(lab, feats), "wl_customer_id", cfg.train_buckets))
+    data = hold_for_fit(with_split(M.assemble(lab, feats), "wl_customer_id", cfg.train_buckets))
     return data, feats
 
 
