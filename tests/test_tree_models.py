@@ -231,3 +231,29 @@ def test_mixture_density_is_the_estimators(spark, sf):
 def test_chosen_k_is_the_smallest_of_the_best(spark):
     sweep = spark.createDataFrame([(2, 0.5), (3, 0.7), (4, 0.7), (5, 0.1)], "k int, silhouette double")
     assert M.chosen_k(sweep).collect() == [(3, 0.7)]
+
+
+def test_lda_bound_is_that_of_the_library(spark):
+    """The same likelihood and perplexity as the model's own, which infers each document from another random start;
+    an empty document and a term of every document change nothing."""
+    from pyspark.ml.linalg import Vectors
+    rows = [(i, Vectors.sparse(30, sorted({0: 1.0, **{(i * j) % 29 + 1: float(j) for j in range(1, 6)}}.items()))) for i in range(1, 40)]
+    features = spark.createDataFrame([*rows, (40, Vectors.sparse(30, []))], ["id", "features"])
+    m = M.fit_lda(features, k=3, maxIter=5)
+    for spread in (1 << 20, 5):
+        bound, words = M.lda_bound(spark, m, features, rows_per_task=spread)
+        assert words == sum(sum(v.values) for _, v in rows)
+        assert abs(bound / m.logLikelihood(features) - 1) < 1e-4
+    q = M.lda_quality(spark, m, features, 30).first()
+    assert abs(q["log_perplexity"] / m.logPerplexity(features) - 1) < 1e-4 and q["terms_left_out"] == 0
+
+
+def test_lda_quality_does_not_ask_the_library_for_the_likelihood(spark, monkeypatch):
+    """Which works through the whole topic matrix for each document."""
+    from pyspark.ml.linalg import Vectors
+    features = spark.createDataFrame([(i, Vectors.sparse(50, [(i, 1.0), (49, 2.0)])) for i in range(20)], ["id", "features"])
+    m = M.fit_lda(features, maxIter=1)
+    for name in ("logLikelihood", "logPerplexity"):
+        monkeypatch.setattr(type(m), name, lambda *_: 1 / 0)
+    q = M.lda_quality(spark, m, features, 50).first()
+    assert round(-q["log_likelihood"] / q["log_perplexity"]) == 60
