@@ -16,8 +16,8 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aisleflow.operators.skew import ROWS_PER_TASK, share_join
-from aisleflow.plans.cache import adopt
+from aisleflow.operators.skew import ROWS_PER_TASK, SALTS, share_join, spread_keys
+from aisleflow.plans.cache import FIT_PARTITIONS_PER_CORE, adopt, hold_for_fit, let_go
 
 # FP-growth settings of the market-basket job and of its
 # RDD-API variant.
@@ -50,6 +50,24 @@ def baskets(sales: DataFrame, items: DataFrame | None = None, *,
     return s.groupBy(txn).agg(F.array_sort(F.collect_set(F.col(col))).alias("items"))
 
 
+def hold_alike(basket_df: DataFrame, *, txn: str = "ss_transaction_id", items_col: str = "items",
+               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``basket_df`` cached for ``fit_fp_growth``, equal baskets in one partition.
+
+    Each task of the mining sends a tree of the different baskets that it has met; where equal ones lie
+    together, the trees of all tasks hold each basket once.  A basket of more than ``rows_per_task``
+    transactions is spread by its number.
+    """
+    held = hold_for_fit(basket_df)
+    loads = held.groupBy(items_col).agg(F.count(F.lit(1)).alias("load"))
+    often = F.broadcast(spread_keys(loads, [items_col], "load", rows_per_task))
+    salt = F.coalesce(F.pmod(F.xxhash64(txn), F.col(SALTS).cast("long")), F.lit(0))
+    n = FIT_PARTITIONS_PER_CORE * basket_df.sparkSession.sparkContext.defaultParallelism
+    alike = hold_for_fit(held.join(often, items_col, "left").repartition(n, F.col(items_col), salt).select(*basket_df.columns))
+    let_go(held)
+    return alike
+
+
 def fit_fp_growth(basket_df: DataFrame, *, min_support: float = MIN_SUPPORT,
                   min_confidence: float = MIN_CONFIDENCE,
                   num_partitions: int | None = None,

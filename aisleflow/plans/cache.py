@@ -97,6 +97,13 @@ def hold(df: DataFrame) -> DataFrame:
     return adopt(even)
 
 
+def let_go(held: DataFrame) -> None:
+    """Release one frame of the innermost owner before the others."""
+    if held in _OWNERS[-1].frames:
+        _OWNERS[-1].frames.remove(held)
+        held.unpersist()
+
+
 #: Partitions for each core of a frame that an iterative fit reads, at most.
 FIT_PARTITIONS_PER_CORE = 2
 
@@ -118,8 +125,7 @@ def hold_for_fit(df: DataFrame) -> DataFrame:
         return few  # nothing is cached
     few = few.persist(StorageLevel.MEMORY_AND_DISK)
     few.count()
-    _OWNERS[-1].frames.remove(held)
-    held.unpersist()
+    let_go(held)
     return adopt(few)
 
 

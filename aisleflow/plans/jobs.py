@@ -194,7 +194,7 @@ class BasketConfig:
 @job
 def market_basket(spark, sales, items, cfg: BasketConfig = BasketConfig()) -> dict:
     """``items=None`` builds the baskets from the sales alone."""
-    bk = hold(B.baskets(sales, items, item_col=cfg.item_col))
+    bk = B.hold_alike(B.baskets(sales, items, item_col=cfg.item_col))
     model = B.mined(B.fit_fp_growth(bk, min_support=cfg.min_support,
                                     min_confidence=cfg.min_confidence,
                                     num_partitions=cfg.num_partitions))

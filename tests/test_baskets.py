@@ -47,3 +47,23 @@ def test_itemsets_rules_recommendations(spark):
             assert {r[0]: r[1] for r in out.collect()} == ref
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_equal_baskets_lie_together_and_often_ones_are_spread(spark):
+    from aisleflow.plans import cache
+    rows = [(i, ["a", "b"] if i % 3 else ["a", str(i % 30)]) for i in range(300)] + [(None, ["c"]), (None, ["c"]), (7, [])]
+    df = spark.createDataFrame(rows, "ss_transaction_id long, items array<string>").repartition(9)
+    most = cache.FIT_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    with cache.owned() as owner:
+        for limit, spread in ((1000, 1), (20, 10)):
+            alike = B.hold_alike(df, rows_per_task=limit)
+            assert owner.frames == [alike] and alike.rdd.getNumPartitions() <= most
+            got = alike.rdd.mapPartitionsWithIndex(lambda i, p: [(i, r[0], tuple(r[1])) for r in p]).collect()
+            assert sorted(map(str, ((t, b) for _, t, b in got))) == sorted(str((t, tuple(b))) for t, b in rows)
+            places = {b: {i for i, _, own in got if own == b} for _, _, b in got}
+            assert max(len(v) for b, v in places.items() if b != ("a", "b")) == 1
+            assert (len(places["a", "b"]) > 1) == (spread > 1)
+            alike.unpersist()
+            owner.frames.clear()
+        model = B.fit_fp_growth(B.hold_alike(df, rows_per_task=20), min_support=0.3)
+        assert {tuple(r["items"]): r["freq"] for r in B.frequent_itemsets(model).collect()} == {("a",): 300, ("b",): 200, ("a", "b"): 200}
