@@ -75,3 +75,26 @@ def test_metrics_equal_spark_evaluator(spark):
     rm = ev.rmse(p).first()["rmse"]
     assert math.isclose(rm, math.sqrt(np.mean([(a - b) ** 2 for a, b in
                                                [(r[0], r[1]) for r in p.collect()]])))
+
+
+def test_query_fits_on_sums_by_class_and_not_on_rows_of_documents(spark, sf, monkeypatch):
+    from aisleflow.functions.split import hash_bucket
+    from aisleflow.plans import cache, queries as Q
+    seen = []
+    fit = bayes.fit
+    monkeypatch.setattr(bayes, "fit", lambda features, labels, **kw: seen.append(features) or fit(features, labels, **kw))
+    cache.clear()
+    Q.nb_pipeline(spark, sf)
+    assert seen[0].columns == ["label", "term", "x"]
+    assert seen[0].groupBy("label", "term").count().where("count > 1").count() == 0
+    # the same sums as over the documents' own rows
+    reviews = Q._reviews(spark, sf)
+    from aisleflow.functions import labels as L
+    docs = reviews.select("pr_review_id", L.rating_label(F.col("pr_rating"), L.RATING_TO_BAYES).alias("label"), "pr_content").where(
+        F.col("label").isNotNull() & (hash_bucket(F.col("pr_review_id")) < 6))
+    tf = text.term_frequencies(text.token_rows(docs, "pr_review_id", "pr_content", positions=False), "pr_review_id")
+    rows = text.weigh(tf, text.term_idf(tf, docs, "pr_review_id"), "pr_review_id").join(docs.select("pr_review_id", "label"), "pr_review_id")
+    want = rows.groupBy("label", "term").agg(F.sum(F.col("tf") * F.col("idf")).alias("want"))
+    both = seen[0].join(want, ["label", "term"], "full")
+    assert both.where("x is null or want is null or abs(x - want) > 1e-9 * (1 + want)").count() == 0 and both.count() > 1000
+    cache.clear()
