@@ -57,6 +57,8 @@ class PhraseConfig:
     #: Bits of a bitmap: 16 for each candidate, at most this many.
     max_bits: int = 1 << 29
     rows_per_task: int = ROWS_PER_TASK
+    #: Tasks for each core that count the candidates, at most: each of them sends every candidate that it meets.
+    counting_tasks_per_core: int = 2
 
 
 # --- inside tasks: words and phrases of a chunk of text as arrays ------------------------
@@ -406,7 +408,9 @@ def phrase_counts(docs: DataFrame, cfg: PhraseConfig = PhraseConfig(), id_col: s
     lang = F.coalesce(F.col("lang"), F.lit("und"))
     rows = docs.select("text", F.xxhash64(lang).alias("lang_key"), lang.alias("lang"), shard_of(docs, id_col, cfg.shards).alias("shard"))
     bitmap = bitmap_of(locally_frequent(rows, cfg).distinct(), cfg)
-    counted = _map(rows.select("text", "lang_key", "lang"), lambda bm: _global_rows(bm, cfg), bitmap, "lang string, phrase string, cnt long")
+    # few long tasks: what they send grows with the candidates times the tasks, not with the texts
+    tasks = cfg.counting_tasks_per_core * docs.sparkSession.sparkContext.defaultParallelism
+    counted = _map(rows.select("text", "lang_key", "lang").coalesce(tasks), lambda bm: _global_rows(bm, cfg), bitmap, "lang string, phrase string, cnt long")
     counts = cut(counted.groupBy("lang", "phrase").agg(F.sum("cnt").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= cfg.min_count)), "phrase-counts")
     words = F.size(F.split("phrase", " ", -1)).alias("words")
     return counts.where("phrase is not null").select("lang", "phrase", words, "f"), counts.where("phrase is null").select("lang", F.col("f").alias("n"))

@@ -129,3 +129,24 @@ def test_sums_where_hashes_meet():
     own = np.array([1, 3, 1, 3, 1, 2], np.uint64)
     at, total = P._sums(by, [by, own], np.array([1, 10, 100, 1000, 7, 9]))
     assert sorted(zip(at.tolist(), total.tolist())) == [(0, 101), (1, 1010), (4, 7), (5, 9)]
+
+
+def test_few_tasks_count_the_candidates(spark):
+    from aisleflow.llm import phrases as P
+    cfg = P.PhraseConfig(min_count=4)
+    docs = spark.createDataFrame([(i, "red fox runs. old dog sleeps", "en") for i in range(64)], "doc_id long, text string, lang string").repartition(40)
+    asked, sizes, real = [], [], P._map
+
+    def watched(rows, make, bitmap, schema):
+        asked.append(schema)
+        sizes.append(rows.rdd.getNumPartitions())
+        return real(rows, make, bitmap, schema)
+
+    P._map = watched
+    try:
+        counts, totals = P.phrase_counts(docs, cfg)
+        got = {r["phrase"]: r["f"] for r in counts.collect()}
+    finally:
+        P._map = real
+    assert asked[-1].startswith("lang string") and sizes[-1] <= cfg.counting_tasks_per_core * spark.sparkContext.defaultParallelism < 40
+    assert got["red fox runs"] == 64 and got["old dog"] == 64 and "runs old" not in got and totals.first()["n"] == 64 * 6
