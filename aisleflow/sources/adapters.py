@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aisleflow.sources.tables import by_key, table
+from aisleflow.sources.tables import by_key, table, texts_by_key
 
 N_CATEGORIES = 20
 N_CLASSES = 20
@@ -108,4 +108,4 @@ def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every review text, rated or not, partitioned by review."""
     d = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("pr_review_id"), F.col("text").alias("pr_content"))
-    return by_key(d, "pr_review_id")
+    return texts_by_key(d, "pr_review_id", "pr_content")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
@@ -29,3 +30,17 @@ def by_key(df: DataFrame, key: str) -> DataFrame:
     move once, and the work is not bound to the number of input splits.
     """
     return df.repartition(key)
+
+
+#: Bytes of text in one partition of ``texts_by_key``, about.
+TEXT_BYTES_PER_TASK = 16 << 20
+
+
+def texts_by_key(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``by_key`` with a bound on each partition's text, for work whose memory follows the words.
+
+    Adaptive execution sizes partitions by compressed bytes, up to 64 MB; grouped words take some thirty times that, and
+    with a fixed number of shuffle partitions a task would grow with the input."""
+    held = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    n = -(-held // TEXT_BYTES_PER_TASK)
+    return df.repartition(n, key) if n > df.sparkSession.sparkContext.defaultParallelism else by_key(df, key)
