@@ -55,9 +55,11 @@ def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> Da
 # --- clustering -----------------------------------------------------------------
 
 def fit_kmeans(vectors: DataFrame, *, seed: int = DEFAULT_SEED, **overrides):
+    """The estimator is given the vectors alone, a frame that is not itself held, and so keeps them as objects over its passes.
+    Of a held frame it keeps the norms alone, and each pass would take the vectors out of the cache's rows again."""
     params = {**KMEANS, **overrides}
     return KMeans(featuresCol="features", predictionCol="prediction", seed=seed,
-                  **params).fit(vectors)
+                  **params).fit(vectors.select("features"))
 
 
 def kmeans_centers(spark: SparkSession, model, features: Sequence[str],
