@@ -117,8 +117,7 @@ def _labelled_reviews(reviews: DataFrame, cfg: ReviewConfig) -> tuple:
     r = r.select("pr_review_id", L.rating_label(F.col("pr_rating"), cfg.rating_map).alias("label"),
                  "pr_content").filter(F.col("label").isNotNull())
     r = with_split(r, "pr_review_id", cfg.train_buckets)
-    stages, data = M.fit_text_features(r, "pr_content", F.col("split") == "train")
-    return stages, hold_for_fit(data)
+    return M.fit_text_features(r, "pr_content", F.col("split") == "train")
 
 
 def _classify_reviews(spark, reviews, cfg, name, estimator):

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes)
@@ -212,12 +212,22 @@ def fit_lda(features: DataFrame, **overrides):
 
 
 def hashed_lda_features(docs: DataFrame, key: str, text_col: str, num_features: int = 1 << 18):
-    """(key, features): hashed TF-IDF, of one width whatever the vocabulary."""
-    docs = docs.filter(F.col(text_col).isNotNull())
-    model = Pipeline(stages=words_of(text_col) + [
-        HashingTF(inputCol="words", outputCol="raw", numFeatures=num_features),
-        IDF(inputCol="raw", outputCol="features")]).fit(docs)
-    return model.transform(docs).select(key, "features")
+    """(key, features): hashed TF-IDF, of one width whatever the vocabulary; held for the innermost owner."""
+    docs = docs.filter(F.col(text_col).isNotNull()).select(key, text_col)
+    return fit_tfidf(docs, text_col, words_of(text_col), num_features)[1].select(key, "features")
+
+
+def fit_tfidf(docs: DataFrame, text_col: str, word_stages: Sequence, num_features: int, is_train=None) -> tuple[PipelineModel, DataFrame]:
+    """(stages, frame): word stages -> HashingTF -> IDF fitted on the rows of ``is_train`` (a condition on columns beside
+    the text; default: all), and ``docs`` with their ``features`` in place of the text, held for the innermost owner.
+
+    The counts are held before the IDF is fitted, so that each text is read, moved and cut into words once."""
+    counting = PipelineModel(stages=[*word_stages, HashingTF(inputCol="words", outputCol="raw", numFeatures=num_features)])
+    counts = hold_for_fit(counting.transform(docs).select(*[c for c in docs.columns if c != text_col], "raw"))
+    idf = IDF(inputCol="raw", outputCol="features").fit(counts if is_train is None else counts.filter(is_train))
+    features = hold(idf.transform(counts).drop("raw"))
+    let_go(counts)
+    return PipelineModel(stages=[*counting.stages, idf]), features
 
 
 def topic_terms(lda, max_terms: int) -> DataFrame:
@@ -314,18 +324,11 @@ def lda_quality(spark: SparkSession, lda, features: DataFrame, n_terms: int) ->
                                  "log_likelihood double, log_perplexity double, vocab_size int, terms_left_out long")
 
 
-def tfidf_stages(text_col: str, num_features: int = 1 << 18):
-    return [Tokenizer(inputCol=text_col, outputCol="words"),
-            HashingTF(inputCol="words", outputCol="raw", numFeatures=num_features),
-            IDF(inputCol="raw", outputCol="features")]
-
-
-def fit_text_features(data: DataFrame, text_col: str, is_train) -> tuple[PipelineModel, DataFrame]:
+def fit_text_features(data: DataFrame, text_col: str, is_train, num_features: int = 1 << 18) -> tuple[PipelineModel, DataFrame]:
     """(stages, frame): Tokenizer -> HashingTF -> IDF fitted on the rows of ``is_train`` alone, and
-    ``data`` with their ``features`` in place of the text."""
-    data = data.filter(F.col(text_col).isNotNull())
-    stages = Pipeline(stages=tfidf_stages(text_col)).fit(data.filter(is_train))
-    return stages, stages.transform(data).drop(text_col, "words", "raw")
+    ``data`` with their ``features`` in place of the text, held for the innermost owner."""
+    return fit_tfidf(data.filter(F.col(text_col).isNotNull()), text_col, [Tokenizer(inputCol=text_col, outputCol="words")],
+                     num_features, is_train)
 
 
 def text_features(data: DataFrame, text_col: str, is_train) -> DataFrame:
