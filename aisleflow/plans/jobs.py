@@ -29,7 +29,7 @@ from aisleflow.operators import baskets as B
 from aisleflow.operators import evaluate as ev
 from aisleflow.operators import pivots
 from aisleflow.plans import models as M
-from aisleflow.plans.cache import hold, hold_for_fit, owned
+from aisleflow.plans.cache import hold, hold_for_fit, in_few_partitions, owned
 from aisleflow.sources import sinks
 
 
@@ -117,7 +117,8 @@ def _labelled_reviews(reviews: DataFrame, cfg: ReviewConfig) -> tuple:
     r = r.select("pr_review_id", L.rating_label(F.col("pr_rating"), cfg.rating_map).alias("label"),
                  "pr_content").filter(F.col("label").isNotNull())
     r = with_split(r, "pr_review_id", cfg.train_buckets)
-    return M.fit_text_features(r, "pr_content", F.col("split") == "train")
+    stages, data = M.fit_text_features(r, "pr_content", F.col("split") == "train")
+    return stages, in_few_partitions(data)
 
 
 def _classify_reviews(spark, reviews, cfg, name, estimator):

@@ -52,6 +52,16 @@ def test_each_text_is_read_once_for_its_features(spark):
     assert got == {r["id"]: (r["label"], r["features"]) for r in stages.transform(whole).collect()}
 
 
+def test_text_features_are_held_as_they_came_and_read_by_fits_in_few_partitions(spark):
+    """Joined partitions that are stored again take memory that Spark doesn't count, more the larger they are."""
+    most = cache.FIT_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    docs = spark.range(0, 400, 1, 3 * most).selectExpr("id", "concat_ws(' ', 'w' || id % 5, 'v' || id % 3) AS text")
+    with cache.owned() as owner:
+        features = M.hashed_lda_features(docs, "id", "text", 64)
+        assert [f.rdd.getNumPartitions() for f in owner.frames] == [3 * most]
+        assert features.rdd.getNumPartitions() == most and features.count() == 400
+
+
 def test_each_text_is_read_once_for_hashed_topics(spark):
     seen = spark.sparkContext.accumulator(0)
     docs = _texts(spark, seen)
