@@ -126,3 +126,29 @@ def test_spread_keys_are_bounded(spark):
     from aisleflow.operators.skew import spread_keys
     loads = spark.range(1000).selectExpr("id AS k", "id + 1 AS load")
     assert spread_keys(loads, ["k"], "load", 1, max_keys=50).count() < 50
+
+
+def test_packed_documents_have_the_counts_of_their_rows(spark, monkeypatch):
+    """Vectors from packs of any size: a key that comes twice has two vectors of its summed counts, a null key empty
+    ones, whose words are in the vocabulary none the less; each term comes once a pack."""
+    from aisleflow.plans import models as M
+    rows = [(1, "a b b the c"), (1, "b d"), (2, None), (3, ""), (4, "  "), (None, "z b  b"), (None, "q"), (5, "the and"), (6, "c a")]
+    docs = spark.createDataFrame(rows + [(i, f"w{i % 3} b b") for i in range(7, 30)], "k int, t string").repartition(2, "k")
+    tf = M.word_counts(docs, "k", "t")
+    want = sorted(map(str, text.term_vocabulary(tf).collect()))
+    for limit in (1, 7, 1 << 20):
+        monkeypatch.setattr(text, "PACK_ENTRIES", limit)
+        packs = M.packed_counts(docs, tf, "k", "t")
+        terms = [r["terms"] for r in packs.collect()]
+        assert all(len(t) == len(set(t)) for t in terms) and (len(terms) <= 2) == (limit > 7)
+        vocabulary = text.term_vocabulary(text.pack_terms(packs))
+        assert sorted(map(str, vocabulary.collect())) == want
+        names = {r["term_index"]: r["term"] for r in vocabulary.collect()}
+        known = vocabulary.filter("term_index != 0")  # b is unknown
+        got = [(r["k"], {names[int(i)]: v for i, v in zip(r["features"].indices, r["features"].values)})
+               for r in M.pack_vectors(packs, docs, known, len(names), "k").collect()]
+        assert len(got) == len(rows) - 1 + 23 and names[0] == "b"
+        by_key = {k: [d for x, d in got if x == k] for k, _ in got}
+        assert by_key[1] == [{"c": 1.0, "d": 1.0}] * 2 and by_key[None] == [{}] * 2
+        assert by_key[3] == [{"": 1.0}] and by_key[4] == by_key[5] == [{}] and by_key[6] == [{"c": 1.0}]
+        assert by_key[8] == [{"w2": 1.0}] and 2 not in by_key
